@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The workload is batch only (no stream source, watermark, trigger or state in
+what it reproduces), so nothing is provided here rather than inventing a
+streaming variant.
+"""
