@@ -83,7 +83,7 @@ def _sql(final: str, *ctes, views_=("interactions",)) -> str:
     defs = {"interactions": views.INTERACTIONS_SQL, "event_interactions": views.EVENT_INTERACTIONS_SQL,
             "string_interactions": views.STRING_INTERACTIONS_SQL}
     parts = [f"{v} AS ({defs[v]})" for v in views_] + [f"{n} AS ({q})" for n, q in ctes]
-    return "WITH " + ",\n".join(parts) + "\n" + final
+    return ("WITH " + ",\n".join(parts) + "\n" + final) if parts else final
 
 
 def _labeled(spark, d) -> DataFrame:
