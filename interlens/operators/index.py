@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .joins import join_small
-from .positions import group_positions
+from .positions import global_positions
 
 INT_MAX = (1 << 31) - 1
 
@@ -23,7 +23,7 @@ def dense_index(df: DataFrame, col_name: str, start: int = 0, out: str | None =
     """(key, key_index) for the distinct non-null keys, and their number."""
     out = out or f"{col_name}_index"
     keys = df.select(col_name).where(F.col(col_name).isNotNull()).distinct()
-    pos, n = group_positions(keys, [], [col_name], out="_pos")
+    pos, n = global_positions(keys, [col_name], out="_pos")
     if as_int and n + start - 1 > INT_MAX:
         raise OverflowError(f"{n} keys do not fit an int index; use as_int=False")
     idx = (F.col("_pos") + F.lit(start))

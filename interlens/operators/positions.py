@@ -13,7 +13,8 @@ made in two passes over the persisted, sorted partitions:
    in-partition running sum to that offset.
 
 The sort key must be a total order on the rows (collapse exact copies into a
-weight first), so a recomputed partition yields the same positions.
+weight first), so a recomputed partition yields the same positions.  Groups
+whose measured weight is small enough for one task use a plain window instead.
 
 ``expand_counts`` turns (row, n) back into n rows.  A row with a huge count is
 cut into chunks that are spread over tasks before they are exploded, so a
@@ -23,7 +24,7 @@ group of copies never lands in one task.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +33,11 @@ _GKEY = "_gkey"
 _W = "_w"
 
 
+# Largest group (in weighted rows) numbered with a plain window: one task
+# sorts at most this many rows.  Larger groups take the distributed path.
+MAX_WINDOW_GROUP = 2_000_000
+
+
 def _num_partitions(df: DataFrame, n: int | None) -> int:
     if n:
         return n
@@ -40,70 +46,93 @@ def _num_partitions(df: DataFrame, n: int | None) -> int:
                spark.sparkContext.defaultParallelism)
 
 
+def global_positions(df: DataFrame, order_cols, out: str = "pos",
+                     num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """Add ``out`` (bigint, 0-based): the row's place in the total order.
+
+    Range partitioning sorts the rows over many tasks; each partition's row
+    count (one row per partition) gives its offset, and the row's index inside
+    its partition comes from ``monotonically_increasing_id`` taken on the
+    sorted partition.  The order must be total (e.g. distinct keys), so a
+    recomputed partition gets the same numbers.
+    """
+    order_cols = list(order_cols)
+    n = _num_partitions(df, num_partitions)
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)  # read by the range sampler and the shuffle
+    ranged = (src.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+              .withColumn(_PID, F.spark_partition_id())
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    counts = {r[0]: r[1] for r in ranged.groupBy(_PID).count().collect()}
+    src.unpersist()
+    offsets, acc = {}, 0
+    for pid in sorted(counts):
+        offsets[pid], acc = acc, acc + counts[pid]
+    if not offsets:
+        return ranged.drop(_PID, "_mid").withColumn(out, F.lit(None).cast("long")), 0
+    off = F.create_map(*[x for pid in sorted(offsets) for x in (F.lit(pid), F.lit(offsets[pid]))])
+    local = F.col("_mid") - F.shiftleft(F.col(_PID).cast("long"), 33)
+    pos = (F.element_at(off, F.col(_PID)) + local).cast("long")
+    return ranged.withColumn(out, pos).drop(_PID, "_mid"), acc
+
+
 def group_positions(df: DataFrame, group_cols, order_cols, weight: str | None = None,
-                    out: str = "pos", num_partitions: int | None = None) -> tuple[DataFrame, int]:
+                    out: str = "pos", num_partitions: int | None = None,
+                    max_window_group: int = MAX_WINDOW_GROUP) -> tuple[DataFrame, int]:
     """Add ``out`` (bigint, 0-based): total weight of earlier rows in the group.
 
-    Returns the DataFrame (persisted, sorted partitions) and the total weight.
+    Returns the DataFrame and the total weight.  The largest group's weight is
+    measured first (one aggregate); when it is at most ``max_window_group`` a
+    window per group does the numbering, otherwise the distributed path runs.
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
+    if not group_cols:
+        raise ValueError("group_positions needs group columns; use global_positions for one order")
+    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    sizes = df.groupBy(*group_cols).agg(F.sum(w).alias("_gw"))
+    biggest, total = sizes.agg(F.max("_gw"), F.sum("_gw")).first()
+    if biggest is None:
+        return df.withColumn(out, F.lit(None).cast("long")), 0
+    if biggest <= max_window_group:
+        win = (Window.partitionBy(*group_cols).orderBy(*order_cols)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return df.withColumn(out, (F.sum(w).over(win) - w).cast("long")), int(total)
+    return _distributed_positions(df, group_cols, order_cols, weight, out, num_partitions)
+
+
+def _distributed_positions(df, group_cols, order_cols, weight, out, num_partitions):
     keys = group_cols + order_cols
-    if not keys:
-        raise ValueError("need at least one group or order column")
-    gkey = F.to_json(F.struct(*[F.col(c) for c in group_cols])) if group_cols else F.lit("")
+    gkey = F.to_json(F.struct(*[F.col(c) for c in group_cols]))
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     n = _num_partitions(df, num_partitions)
-    ranged = (df.withColumn(_GKEY, gkey).withColumn(_W, w)
-              .repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    src = df.withColumn(_GKEY, gkey).withColumn(_W, w).persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = (src.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn(_PID, F.spark_partition_id())
               .persist(StorageLevel.MEMORY_AND_DISK))
 
-    # pass 1: per partition, the first and last group with their weights
-    def edges(batches):
-        import numpy as np
-        import pandas as pd
-        pid, first, first_w, first_open, last, last_w, total = None, None, 0, True, None, 0, 0
-        for b in batches:
-            if b.empty:
-                continue
-            pid = int(b[_PID].iloc[0])
-            g, wv = b[_GKEY].to_numpy(), b[_W].to_numpy(dtype=np.int64)
-            total += int(wv.sum())
-            if first is None:
-                first = g[0]
-            if first_open:
-                off = np.flatnonzero(g != first)
-                if off.size:
-                    first_w += int(wv[:off[0]].sum())
-                    first_open = False
-                else:
-                    first_w += int(wv.sum())
-            tail = g[-1]
-            off = np.flatnonzero(g != tail)
-            if off.size == 0 and last == tail:
-                last_w += int(wv.sum())
-            else:
-                start = off[-1] + 1 if off.size else 0
-                last, last_w = tail, int(wv[start:].sum())
-        if pid is not None:
-            yield pd.DataFrame({"pid": [pid], "first": [first], "first_w": [first_w],
-                                "last": [last], "last_w": [last_w], "total": [total]})
-
-    edge_schema = "pid int, first string, first_w long, last string, last_w long, total long"
-    rows = sorted(ranged.select(_PID, _GKEY, _W).mapInPandas(edges, edge_schema).collect(),
-                  key=lambda r: r.pid)
+    # pass 1 (JVM): per partition its first and last group with their weights.
+    # Each partition's rows are sorted by group, so the partial aggregate by
+    # (partition, group) is one row per group and the partition edges follow.
+    gstruct = F.struct(*[F.col(c) for c in group_cols])
+    per_group = ranged.groupBy(_PID, _GKEY).agg(F.sum(_W).alias("_s"), F.min(gstruct).alias("_g"))
+    edge_rows = per_group.groupBy(_PID).agg(
+        F.min_by(_GKEY, "_g").alias("first"), F.min_by("_s", "_g").alias("first_w"),
+        F.max_by(_GKEY, "_g").alias("last"), F.max_by("_s", "_g").alias("last_w"),
+        F.sum("_s").alias("total")).collect()
+    src.unpersist()
+    rows = sorted(edge_rows, key=lambda r: r[_PID])
 
     offsets: dict[int, int] = {}
     carry_key, carry_w, total = None, 0, 0
     for r in rows:
         total += r.total
-        offsets[r.pid] = carry_w if r.first == carry_key else 0
+        offsets[r[_PID]] = carry_w if r.first == carry_key else 0
         if r.first == r.last:
-            carry_key, carry_w = r.first, offsets[r.pid] + r.first_w
+            carry_key, carry_w = r.first, offsets[r[_PID]] + r.first_w
         else:
             carry_key, carry_w = r.last, r.last_w
 
-    # pass 2: running weight inside each partition plus the carried offset
+    # pass 2 (narrow): running weight inside each partition plus the carried offset
     def positions(batches):
         import numpy as np
         import pandas as pd
@@ -125,9 +154,7 @@ def group_positions(df: DataFrame, group_cols, order_cols, weight: str | None =
             yield b.assign(**{out: pos.astype("int64")})
 
     schema = T.StructType(ranged.schema.fields + [T.StructField(out, T.LongType())])
-    res = ranged.mapInPandas(positions, schema).drop(_GKEY, _PID)
-    if weight is None:
-        res = res.drop(_W)
+    res = ranged.mapInPandas(positions, schema).drop(_GKEY, _PID, _W)
     return res, int(total)
 
 

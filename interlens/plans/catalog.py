@@ -43,7 +43,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _a(spark, d):
-    return views.interactions(spark, d)
+    return views.stored_interactions(spark, d)
 
 
 def _cols(df: DataFrame, *extra) -> DataFrame:
@@ -101,7 +101,8 @@ def _scored(spark, d) -> DataFrame:
 
 @register("interactions_scan", _sql(f"SELECT {ACOLS} FROM interactions"))
 def interactions_scan(spark: SparkSession, d: str) -> DataFrame:
-    return _cols(_a(spark, d))
+    """The join itself, straight from the driver tables."""
+    return _cols(views.interactions(spark, d))
 
 
 _A_SCHEMA = "user_id int, item_id int, l_orderkey bigint, l_linenumber int, l_suppkey bigint, " \

@@ -166,14 +166,15 @@ def final_test_metrics(df: DataFrame, roles: Roles, rank_list, reg_list, metric:
     train = lab.where(F.col("_role") != TEST)
     test = lab.where(F.col("_role") == TEST)
     model = fit(train, roles, best["rank"], best["regParam"], **als_kw)
-    scored = score(model, test)
+    scored = score(model, test).persist(StorageLevel.MEMORY_AND_DISK)
     row = _metric_row(scored, k, roles)
-    n_test = test.count()
+    n_test, n_scored = test.count(), scored.count()
+    scored.unpersist()
     if model_path:
         save_model(model, model_path)
     out = {"rank": best["rank"], "regParam": best["regParam"], "metric": metric,
            "value": row[metric_info(metric)[0]], **row, "n_test_rows": n_test,
-           "n_dropped": n_test - (row.get("n_rows") or 0) if k is None else None,
+           "n_dropped": n_test - n_scored,
            "seconds": time.time() - t0}
     schema = ("rank int, regParam double, metric string, value double, precision_at_k double, "
               "map_at_k double, ndcg_at_k double, n_users bigint, n_users_le_k bigint, rmse double, "
