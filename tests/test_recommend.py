@@ -1,0 +1,52 @@
+"""ALS wrapper, grid and tuning tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from interlens.operators import split
+from interlens.plans import recommend, tuning
+from interlens.session import scratch_path
+from interlens.sources.views import ROLES
+
+
+def test_string_ids_rejected(spark):
+    df = spark.createDataFrame([("u1", "b1", 4)], "user_id string, item_id string, rating int")
+    with pytest.raises(TypeError, match="attach_index"):
+        recommend.fit(df, ROLES, 2, 0.1)
+
+
+def test_param_grid_and_best_config(spark):
+    g = tuning.param_grid(spark, [5, 10], [0.01, 0.1])
+    assert [tuple(r) for r in g.orderBy("grid_no").collect()] == [
+        (0, 5, 0.01), (1, 5, 0.1), (2, 10, 0.01), (3, 10, 0.1)]
+    with pytest.raises(ValueError):
+        tuning.param_grid(spark, [], [0.1])
+    t = spark.createDataFrame([(0, 1, 0.5), (1, 1, 0.7), (0, 2, 0.7), (1, 2, 0.5), (2, 0, 0.9), (2, 1, 0.3)],
+                              "grid_no int, fold int, m double")
+    means = tuning.fold_mean(t, "m", ("grid_no",))
+    assert {r.grid_no: r.mean_m for r in means.collect()} == {0: 0.6, 1: 0.6, 2: 0.6}
+    assert tuning.best_config(means, "mean_m", higher_is_better=True).first().grid_no == 0   # tie: first
+    assert tuning.best_config(means, "mean_m", higher_is_better=False).first().grid_no == 0
+
+
+def test_fit_score_save_reload(spark, interactions):
+    train, val, _ = split.train_val_test_split(interactions, ROLES)
+    model = recommend.fit(train, ROLES, 3, 0.1, max_iter=3)
+    scored = recommend.score(model, val)
+    rep = recommend.score_report(model, val, ROLES)
+    assert rep["n_scored"] == scored.count() and rep["n_dropped"] >= 0
+    path = scratch_path(spark, "model")
+    recommend.save_model(model, path)
+    again = recommend.score(recommend.load_model(path), val.select("user_id", "item_id", "rating"))
+    a = {(r.user_id, r.item_id): r.prediction for r in scored.collect()}
+    b = {(r.user_id, r.item_id): r.prediction for r in again.collect()}
+    assert a == b
+
+
+def test_tuning_table_rows(spark, interactions):
+    train, val, _ = split.train_val_test_split(interactions, ROLES)
+    t = recommend.tuning_table(train, val, ROLES, [2, 3], [0.1], k=5, max_iter=2)
+    rows = t.collect()
+    assert len(rows) == 2 and all(0 <= r.precision_at_k <= 1 and r.rmse > 0 for r in rows)
+    best = recommend.choose(t, "precisionAt")
+    assert best["grid_no"] in (0, 1)
