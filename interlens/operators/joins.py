@@ -32,12 +32,24 @@ def broadcast_row_cap(spark, row_bytes: int = _BYTES_PER_KEY_ROW) -> int:
     return limit // max(row_bytes, 1)
 
 
+_CACHED: list[DataFrame] = []
+
+
 def sized(small: DataFrame) -> tuple[DataFrame, int]:
     """Persist ``small`` and return it with its row count."""
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    _CACHED.append(small)
     return small, small.count()
 
 
+def release_cached() -> int:
+    """Unpersist the key tables cached for size checks; call once results are written."""
+    n = len(_CACHED)
+    while _CACHED:
+        _CACHED.pop().unpersist()
+    return n
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int | None = None, row_bytes: int = _BYTES_PER_KEY_ROW,
                known_rows: int | None = None) -> DataFrame:

@@ -28,7 +28,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import RANKING_METRICS, REGRESSION_METRICS, Roles
-from .joins import join_small
 
 
 def _clean(df: DataFrame, roles: Roles) -> DataFrame:
@@ -40,7 +39,7 @@ def _clean(df: DataFrame, roles: Roles) -> DataFrame:
 
 
 def ranking_per_user(scored: DataFrame, k: int, roles: Roles) -> DataFrame:
-    """(user, precision, ap, ndcg, n_items, n_relevant) for every scored user."""
+    """(user, precision, ap, ap_all, ndcg, n_items, n_relevant) for every scored user."""
     if k < 1:
         raise ValueError("k must be >= 1")
     u, i, r, p = roles.user, roles.item, roles.rating, roles.prediction
@@ -58,7 +57,9 @@ def ranking_per_user(scored: DataFrame, k: int, roles: Roles) -> DataFrame:
     sizes = hist.groupBy(u).agg(F.sum("_n").alias("_items"))
     stats = rel_stats.join(sizes, u)
 
-    t = join_small(top, stats, u, "inner", row_bytes=48)
+    # neither side is the big input (at most k rows and one row per user): a
+    # plain join, planned by AQE from the real sizes
+    t = top.join(stats, u)
     rel = (F.col("_r") >= F.col("_thr")).cast("int")
     w_hits = Window.partitionBy(u).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     t = t.withColumn("_rel", rel).withColumn("_hits", F.sum("_rel").over(w_hits))
@@ -75,6 +76,7 @@ def ranking_per_user(scored: DataFrame, k: int, roles: Roles) -> DataFrame:
         u,
         (F.col("_hk") / F.lit(float(k))).alias("precision"),
         (F.col("_ap") / F.least(F.col("n_relevant"), F.lit(k))).alias("ap"),
+        (F.col("_ap") / F.col("n_relevant")).alias("ap_all"),
         F.coalesce(F.try_divide(F.col("_dcg"), F.col("_idcg")), F.lit(0.0)).alias("ndcg"),
         F.col("n_items").cast("bigint").alias("n_items"),
         F.col("n_relevant").cast("bigint").alias("n_relevant"),
@@ -82,11 +84,16 @@ def ranking_per_user(scored: DataFrame, k: int, roles: Roles) -> DataFrame:
 
 
 def ranking_metrics(scored: DataFrame, k: int, roles: Roles) -> DataFrame:
-    """One row: precision_at_k, map_at_k, ndcg_at_k, n_users, n_users_le_k."""
+    """One row: precision_at_k, map_at_k, mean_average_precision, ndcg_at_k, n_users, n_users_le_k.
+
+    ``mean_average_precision`` is MAP without a cut-off over the top-k list
+    (divisor |L|), as Spark's ``RankingMetrics.meanAveragePrecision``.
+    """
     per = ranking_per_user(scored, k, roles)
     return per.agg(
         F.avg("precision").alias("precision_at_k"),
         F.avg("ap").alias("map_at_k"),
+        F.avg("ap_all").alias("mean_average_precision"),
         F.avg("ndcg").alias("ndcg_at_k"),
         F.count(F.lit(1)).alias("n_users"),
         F.sum((F.col("n_items") <= k).cast("long")).alias("n_users_le_k"),

@@ -446,6 +446,7 @@ _RANK_CTES = _SCORED_CTES + (
     ("per_user", f"""SELECT user_id,
         SUM(CASE WHEN pos <= {K} THEN rel ELSE 0 END) / {float(K)} AS precision,
         SUM(CASE WHEN pos <= {K} THEN rel * hits / pos ELSE 0 END) / LEAST(MAX(nrel), {K}) AS ap,
+        SUM(CASE WHEN pos <= {K} THEN rel * hits / pos ELSE 0 END) / MAX(nrel) AS ap_all,
         SUM(CASE WHEN pos <= {K} THEN rel / LN(pos + 1.0) ELSE 0 END)
           / SUM(CASE WHEN pos <= LEAST(nrel, {K}) THEN 1 / LN(pos + 1.0) ELSE 0 END) AS ndcg,
         COUNT(*) AS n_items
@@ -461,7 +462,8 @@ def _rank_query(col):
     return q
 
 
-for _col, _src in (("precision_at_k", "precision"), ("map_at_k", "ap"), ("ndcg_at_k", "ndcg")):
+for _col, _src in (("precision_at_k", "precision"), ("map_at_k", "ap"), ("ndcg_at_k", "ndcg"),
+                   ("mean_average_precision", "ap_all")):
     register(_col, _sql(
         f"SELECT ROUND(AVG({_src}), 6) AS {_col}, CAST(COUNT(*) AS BIGINT) AS n_users, "
         f"CAST(SUM(CASE WHEN n_items <= {K} THEN 1 ELSE 0 END) AS BIGINT) AS n_users_le_k FROM per_user",

@@ -85,8 +85,8 @@ def _metric_row(scored: DataFrame, k: int | None, roles: Roles) -> dict:
 
 
 _TABLE_SCHEMA = ("grid_no int, rank int, regParam double, fold int, precision_at_k double, "
-                 "map_at_k double, ndcg_at_k double, rmse double, mae double, r2 double, "
-                 "n_users bigint, n_rows bigint, seconds double")
+                 "map_at_k double, mean_average_precision double, ndcg_at_k double, rmse double, mae double, "
+                 "r2 double, n_users bigint, n_rows bigint, seconds double")
 
 
 def _run_grid(spark: SparkSession, tasks, parallelism: int) -> DataFrame:
@@ -177,7 +177,7 @@ def final_test_metrics(df: DataFrame, roles: Roles, rank_list, reg_list, metric:
            "n_dropped": n_test - n_scored,
            "seconds": time.time() - t0}
     schema = ("rank int, regParam double, metric string, value double, precision_at_k double, "
-              "map_at_k double, ndcg_at_k double, n_users bigint, n_users_le_k bigint, rmse double, "
+              "map_at_k double, mean_average_precision double, ndcg_at_k double, n_users bigint, n_users_le_k bigint, rmse double, "
               "mae double, r2 double, n_rows bigint, n_test_rows bigint, n_dropped bigint, seconds double")
     cols = [c.split()[0] for c in schema.split(", ")]
     return df.sparkSession.createDataFrame([tuple(out.get(c) for c in cols)], schema)

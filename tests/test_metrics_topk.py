@@ -47,6 +47,7 @@ def test_ranking_equals_spark_ranking_metrics(spark, k):
     assert got.precision_at_k == pytest.approx(rm.precisionAt(k), abs=1e-12)
     assert got.map_at_k == pytest.approx(rm.meanAveragePrecisionAt(k), abs=1e-12)
     assert got.ndcg_at_k == pytest.approx(rm.ndcgAt(k), abs=1e-12)
+    assert got.mean_average_precision == pytest.approx(rm.meanAveragePrecision, abs=1e-12)
     assert got.n_users == 40
 
 
