@@ -7,7 +7,7 @@ damping values over k folds, with the fold roles of ``kfold_labels``.
 Per-fold item statistics are not recomputed per fold.  A row is training data
 in every fold except where it is held out (its own fold, or always for test
 users), so fold f's statistics are ``all training-eligible rows`` minus ``held
-rows of fold f``: one aggregate by item and one by (item, fold).
+rows of fold f``: one aggregate by (item, fold it validates) covers all folds.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_FOLDS, DEFAULT_SEED, Roles
-from ..operators.joins import join_small
+from ..operators.joins import join_small, sized
 from ..operators.split import kfold_labels
 
 DEFAULT_DAMPING_GRID = (0.0, 1.0, 5.0, 25.0)
@@ -40,24 +40,31 @@ def baseline_cv_table(df: DataFrame, roles: Roles, k: int = DEFAULT_FOLDS,
     prediction = mu_f + sum_f(r - mu_f) / (n_f + regParam) over fold f's
     training rows; validation rows whose item is unseen in fold f are dropped.
     """
-    u, i, r = roles.user, roles.item, roles.rating
+    i, r = roles.item, roles.rating
     lab = kfold_labels(df, roles, k, seed=seed).where(F.col(r).isNotNull())
     held, uf = F.col("held") == 1, F.col("user_fold")
-    eligible = lab.where(~((uf == -1) & held))
-    val_rows = lab.where((uf >= 0) & held)
-
-    all_items = eligible.groupBy(i).agg(F.count(F.lit(1)).alias("_na"), F.sum(r).alias("_sa"))
-    fold_items = val_rows.groupBy(i, "user_fold").agg(F.count(F.lit(1)).alias("_nf"), F.sum(r).alias("_sf"))
-    # two scalars and one row per fold (k rows): the mean of each fold's training rows
-    n_all, s_all = eligible.agg(F.count(F.lit(1)), F.sum(r)).first()
-    fold_tot = val_rows.groupBy("user_fold").agg(F.count(F.lit(1)).alias("_NF"), F.sum(r).alias("_SF"))
-    mu = F.broadcast(fold_tot.select(
-        "user_fold", ((F.lit(s_all or 0) - F.col("_SF")) / (F.lit(n_all) - F.col("_NF"))).alias("_mu")))
-
-    v = val_rows.select(i, "user_fold", F.col(r).cast("double").alias("_l"))
-    v = join_small(v, all_items, i, "inner", row_bytes=48)
-    v = join_small(v, fold_items, [i, "user_fold"], "left", row_bytes=56)
-    v = v.join(mu, "user_fold")
+    # One pass over the data: sums per (item, g), g = the fold a held row
+    # validates, or -2 for rows that train in every fold; test users' held rows
+    # train nowhere.  Fold f trains on every g except f.
+    keyed = lab.where(~((uf == -1) & held)).withColumn("_g", F.when(held, uf).otherwise(F.lit(-2)))
+    stats, n_stats = sized(keyed.groupBy(i, "_g").agg(F.count(F.lit(1)).alias("_n"), F.sum(r).alias("_s")))
+    per_g = {row["_g"]: (row["_n"], row["_s"]) for row in
+             stats.groupBy("_g").agg(F.sum("_n").alias("_n"), F.sum("_s").alias("_s")).collect()}
+    n_all = sum(v[0] for v in per_g.values())
+    s_all = sum(v[1] for v in per_g.values())
+    # mean of fold f's training rows: k literals
+    mu = {f: (s_all - per_g.get(f, (0, 0))[1]) / (n_all - per_g.get(f, (0, 0))[0])
+          for f in range(k) if n_all - per_g.get(f, (0, 0))[0] > 0}
+    mu_map = F.create_map(*[x for f, m in sorted(mu.items()) for x in (F.lit(f), F.lit(float(m)))])
+
+    all_items = stats.groupBy(i).agg(F.sum("_n").alias("_na"), F.sum("_s").alias("_sa"))
+    fold_items = stats.where(F.col("_g") >= 0).select(
+        i, F.col("_g").alias("user_fold"), F.col("_n").alias("_nf"), F.col("_s").alias("_sf"))
+
+    v = lab.where((uf >= 0) & held).select(i, "user_fold", F.col(r).cast("double").alias("_l"))
+    v = join_small(v, all_items, i, "inner", row_bytes=48, known_rows=n_stats)
+    v = join_small(v, fold_items, [i, "user_fold"], "left", row_bytes=56, known_rows=n_stats)
+    v = v.withColumn("_mu", F.element_at(mu_map, F.col("user_fold")))
     n_f = F.col("_na") - F.coalesce(F.col("_nf"), F.lit(0))
     s_f = (F.col("_sa") - F.coalesce(F.col("_sf"), F.lit(0))).cast("double")
     v = v.select("user_fold", "_l", "_mu", n_f.alias("_n"), s_f.alias("_s")).where(F.col("_n") > 0)
