@@ -39,9 +39,9 @@ def attach_index(df: DataFrame, col_name: str, start: int = 0, out: str | None =
     return join_small(df, index, col_name, how, row_bytes=96, known_rows=n)
 
 
-def lookup_index(df: DataFrame, index: DataFrame, col_name: str) -> DataFrame:
+def lookup_index(df: DataFrame, index: DataFrame, col_name: str, known_rows: int | None = None) -> DataFrame:
     """Look keys up in an index table; unknown keys get null (P7 as a join)."""
-    return join_small(df, index, col_name, "left", row_bytes=96)
+    return join_small(df, index, col_name, "left", row_bytes=96, known_rows=known_rows)
 
 
 def row_index(df: DataFrame, out: str = "row_index") -> DataFrame:

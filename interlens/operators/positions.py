@@ -78,18 +78,24 @@ def global_positions(df: DataFrame, order_cols, out: str = "pos",
 
 def group_positions(df: DataFrame, group_cols, order_cols, weight: str | None = None,
                     out: str = "pos", num_partitions: int | None = None,
-                    max_window_group: int = MAX_WINDOW_GROUP) -> tuple[DataFrame, int]:
+                    max_window_group: int = MAX_WINDOW_GROUP,
+                    sizes_from: DataFrame | None = None) -> tuple[DataFrame, int]:
     """Add ``out`` (bigint, 0-based): total weight of earlier rows in the group.
 
     Returns the DataFrame and the total weight.  The largest group's weight is
     measured first (one aggregate); when it is at most ``max_window_group`` a
     window per group does the numbering, otherwise the distributed path runs.
+    ``sizes_from``: rows whose count per group equals the weights (e.g. the
+    rows before they were collapsed); sizing them is a thin partial aggregate.
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
     if not group_cols:
         raise ValueError("group_positions needs group columns; use global_positions for one order")
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    sizes = df.groupBy(*group_cols).agg(F.sum(w).alias("_gw"))
+    if sizes_from is not None:
+        sizes = sizes_from.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_gw"))
+    else:
+        sizes = df.groupBy(*group_cols).agg(F.sum(w).alias("_gw"))
     biggest, total = sizes.agg(F.max("_gw"), F.sum("_gw")).first()
     if biggest is None:
         return df.withColumn(out, F.lit(None).cast("long")), 0

@@ -59,7 +59,7 @@ def holdout_flag(roles: Roles, fraction: float = DEFAULT_HOLDOUT, seed: int = DE
 
 
 def stratified_halves(df: DataFrame, roles: Roles, seed: int = DEFAULT_SEED, order: str = "item",
-                      out: str = "half") -> DataFrame:
+                      out: str = "half", max_window_group: int | None = None) -> DataFrame:
     """Each user's rows cut into two exact halves (R5); adds ``out``: 0 even, 1 odd.
 
     Rows are numbered 1.. per user in the order (item, tie-break columns, the
@@ -77,7 +77,9 @@ def stratified_halves(df: DataFrame, roles: Roles, seed: int = DEFAULT_SEED, ord
         raise ValueError(f"order must be 'item' or 'hash', got {order!r}")
     keep = [c for c in base.columns]
     collapsed = base.groupBy(*keep).agg(F.count(F.lit(1)).alias("_cnt"))
-    pos, _ = group_positions(collapsed, [roles.user], order_cols, weight="_cnt", out="_p")
+    kw = {} if max_window_group is None else {"max_window_group": max_window_group}
+    pos, _ = group_positions(collapsed, [roles.user], order_cols, weight="_cnt", out="_p",
+                             sizes_from=base.select(roles.user), **kw)
     # rows of this value hold numbers p+1 .. p+cnt; how many of them are even
     p, c = F.col("_p"), F.col("_cnt")
     n_even = F.floor((p + c) / 2) - F.floor(p / 2)

@@ -360,8 +360,8 @@ def index_map_lookup(spark, d):
     """1-based item index built from training users' rows, looked up for all rows."""
     c = views.string_interactions(spark, d)
     train = c.where(split.split_label("user_key", seed=SEED) == "train")
-    idx, _ = index.dense_index(train, "item_key", start=1)
-    return index.lookup_index(c, idx, "item_key").select("user_key", "item_key", "rating", "item_key_index")
+    idx, n = index.dense_index(train, "item_key", start=1)
+    return index.lookup_index(c, idx, "item_key", known_rows=n).select("user_key", "item_key", "rating", "item_key_index")
 
 
 # ------------------------------------------------------------ top k

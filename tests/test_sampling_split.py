@@ -104,3 +104,12 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "user_id int, item_id int, rating int")
     assert split.label_roles(df, ROLES).count() == 0
     assert sampling.stratified_halves(df, ROLES.with_(tiebreak=())).count() == 0
+
+
+def test_halves_distributed_path_equals_window(spark, interactions):
+    win = sampling.stratified_halves(interactions, ROLES)
+    dist = sampling.stratified_halves(interactions, ROLES, max_window_group=0)
+    assert _bag(win, COLUMNS + ("half",)) == _bag(dist, COLUMNS + ("half",))
+    hashed = sampling.stratified_halves(interactions, ROLES, order="hash", max_window_group=0)
+    assert _bag(hashed, COLUMNS + ("half",)) == _bag(sampling.stratified_halves(interactions, ROLES, order="hash"),
+                                                     COLUMNS + ("half",))
