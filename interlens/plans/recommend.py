@@ -36,13 +36,19 @@ def check_ids(df: DataFrame, roles: Roles) -> None:
 def als_estimator(roles: Roles, rank: int, reg_param: float, max_iter: int = DEFAULT_MAX_ITER,
                   seed: int = DEFAULT_SEED, nonnegative: bool = True, cold_start: str = "drop",
                   num_blocks: int | None = None, checkpoint_interval: int = 10) -> ALS:
-    """Explicit-feedback ALS as the reference configures it (M1)."""
+    """Explicit-feedback ALS as the reference configures it (M1).
+
+    Blocks default to the cluster's parallelism (at least Spark's 10), so the
+    user and item blocks spread over all cores at scale.
+    """
+    if not num_blocks:
+        from pyspark import SparkContext
+        sc = SparkContext.getOrCreate()
+        num_blocks = max(10, sc.defaultParallelism)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg_param, seed=seed, coldStartStrategy=cold_start,
               userCol=roles.user, itemCol=roles.item, ratingCol=roles.rating, implicitPrefs=False,
               nonnegative=nonnegative, checkpointInterval=checkpoint_interval)
-    if num_blocks:
-        als = als.setNumUserBlocks(num_blocks).setNumItemBlocks(num_blocks)
-    return als
+    return als.setNumUserBlocks(num_blocks).setNumItemBlocks(num_blocks)
 
 
 def fit(train: DataFrame, roles: Roles, rank: int, reg_param: float, **kw) -> ALSModel:
