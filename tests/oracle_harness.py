@@ -36,7 +36,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 6))
+        return repr(v) if os.environ.get("ORACLE_EXACT") else repr(round(v, 6))
     if isinstance(v, (list, tuple)):
         return "[" + ",".join(_norm(x) for x in v) + "]"
     if isinstance(v, bool):
