@@ -113,3 +113,16 @@ def test_halves_distributed_path_equals_window(spark, interactions):
     hashed = sampling.stratified_halves(interactions, ROLES, order="hash", max_window_group=0)
     assert _bag(hashed, COLUMNS + ("half",)) == _bag(sampling.stratified_halves(interactions, ROLES, order="hash"),
                                                      COLUMNS + ("half",))
+
+
+def test_fast_hash_option(spark, interactions):
+    from interlens.functions.hashing import bucket
+    spark.conf.set("interlens.hash", "xxhash64")
+    try:
+        lab = split.label_roles(interactions, ROLES)
+        shares = {r.split: r["count"] for r in lab.select("user_id", "split").distinct().groupBy("split").count().collect()}
+        assert set(shares) == {"train", "val", "test"} and shares["train"] > shares["val"]
+        b = interactions.select(bucket(1, "x", "user_id").alias("b")).agg(F.min("b"), F.max("b")).first()
+        assert 0 <= b[0] and b[1] < 1 << 32
+    finally:
+        spark.conf.unset("interlens.hash")
