@@ -51,7 +51,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "interlens") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "interlens",
+                  extra: dict | None = None) -> SparkSession:
     """Session used by tests and the benchmark: local master, UI off, AQE on."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -66,6 +67,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)
