@@ -587,6 +587,25 @@ def final_test_metrics(spark, d):
                                         folds=FOLDS, seed=SEED, model_path=scratch_path(spark, "final-model"))
 
 
+@register("tuning_history")
+def tuning_history(spark, d):
+    """ALS grid on train / validation, best configuration refit on train and
+    scored on the test rows; every configuration and the final result appended
+    to a Parquet history table, which is read back (S9, M9)."""
+    import uuid
+    lab = _labeled(spark, d)
+    train, val = lab.where(F.col("role") == "train"), lab.where(F.col("role") == "val")
+    table = recommend.tuning_table(train, val, ROLES, GRID_RANKS, GRID_REGS, k=K, seed=SEED)
+    best = recommend.choose(table, "rmse")
+    model = recommend.fit(lab.where(F.col("role") != "test"), ROLES, best["rank"], best["regParam"], seed=SEED)
+    test_rmse = metrics.evaluate(recommend.score(model, lab.where(F.col("role") == "test")), "rmse", K, ROLES)
+    path = scratch_path(spark, "history")
+    recommend.record_history(spark, path, table, "rmse", run_id=uuid.uuid4().hex[:8], data=d,
+                             final={"rank": best["rank"], "regParam": best["regParam"], "value": test_rmse},
+                             note=f"top {K} rmse on test rows")
+    return spark.read.parquet(path)
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Frequent users -> hash split -> hold-out -> item-mean predictor -> all top-k metrics."""
     a = filters.frequent_interactions(_a(spark, d), threshold=THRESHOLD)

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from ..config import DEFAULT_FOLDS, DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SEED, Roles
 from ..operators.metrics import evaluate, metric_info, ranking_metrics, regression_metrics
 from ..operators.split import TEST, fold_role, kfold_labels
+from ..sources.io import append_history
 
 _INTEGRAL = (T.IntegerType, T.LongType, T.ShortType, T.ByteType)
 
@@ -191,3 +192,20 @@ def final_test_metrics(df: DataFrame, roles: Roles, rank_list, reg_list, metric:
 
 def evaluate_model(model: ALSModel, df: DataFrame, metric: str, k: int | None, roles: Roles) -> float:
     return evaluate(score(model, df), metric, k, roles)
+
+
+def record_history(spark: SparkSession, path: str, table: DataFrame, metric: str, run_id: str,
+                   model_path: str | None = None, data: str | None = None, final: dict | None = None,
+                   note: str | None = None) -> DataFrame:
+    """Append one history row per configuration (and fold) of ``table`` and one
+    for the final test result to the Parquet history at ``path`` (S9, M9)."""
+    col = metric_info(metric)[0]
+    rows = [{"run_id": run_id, "model_path": model_path, "data": data, "kind": "config", "rank": r["rank"],
+             "regParam": r["regParam"], "fold": r["fold"], "metric": metric, "value": r[col],
+             "seconds": r["seconds"], "note": note}
+            for r in table.select("rank", "regParam", "fold", col, "seconds").collect()]   # grid-sized
+    if final is not None:
+        rows.append({"run_id": run_id, "model_path": model_path, "data": data, "kind": "final",
+                     "rank": final["rank"], "regParam": final["regParam"], "metric": metric,
+                     "value": final["value"], "seconds": final.get("seconds"), "note": note})
+    return append_history(spark, path, rows)

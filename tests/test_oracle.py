@@ -27,4 +27,5 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_sql_or_is_model_based():
     rows_only = set(entry.queries()) - set(entry.oracle_sql())
-    assert rows_only == {"als_predict", "als_reload_scores", "tuning_table", "cv_table", "final_test_metrics"}
+    assert rows_only == {"als_predict", "als_reload_scores", "tuning_table", "cv_table", "final_test_metrics",
+                         "tuning_history"}
