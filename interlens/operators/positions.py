@@ -103,6 +103,11 @@ def group_positions(df: DataFrame, group_cols, order_cols, weight: str | None =
         win = (Window.partitionBy(*group_cols).orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return df.withColumn(out, (F.sum(w).over(win) - w).cast("long")), int(total)
+    if not num_partitions:
+        # as many range partitions as the input has splits (about one file block
+        # each), at least the shuffle partitions: a large group spans many tasks
+        src = sizes_from if sizes_from is not None else df
+        num_partitions = max(_num_partitions(df, None), src.rdd.getNumPartitions())
     return _distributed_positions(df, group_cols, order_cols, weight, out, num_partitions)
 
 
@@ -110,7 +115,7 @@ def _distributed_positions(df, group_cols, order_cols, weight, out, num_partitio
     keys = group_cols + order_cols
     gkey = F.to_json(F.struct(*[F.col(c) for c in group_cols]))
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    n = _num_partitions(df, num_partitions)
+    n = num_partitions
     src = df.withColumn(_GKEY, gkey).withColumn(_W, w).persist(StorageLevel.MEMORY_AND_DISK)
     ranged = (src.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn(_PID, F.spark_partition_id())
