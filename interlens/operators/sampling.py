@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_HOLDOUT, DEFAULT_PERCENTAGE, DEFAULT_SEED, DEFAULT_THRESHOLD, Roles
+from ..config import DEFAULT_HOLDOUT, DEFAULT_PERCENTAGE, DEFAULT_SEED, Roles
 from ..functions.hashing import SALT_HALF, SALT_ROW, SALT_SAMPLE, bucket, cut
 from .filters import frequent_users
 from .joins import restrict_to_keys
@@ -38,9 +38,15 @@ def sample_users(df: DataFrame, user: str = "user_id", percentage: float = DEFAU
     return out
 
 
-def sample_report(sampled: DataFrame, user: str = "user_id", percentage: float | None = None) -> DataFrame:
-    """Rows and distinct users kept by a sample, in one aggregate."""
-    rep = sampled.agg(F.count(F.lit(1)).alias("rows_kept"), F.countDistinct(user).alias("users_kept"))
+def sample_report(sampled: DataFrame, user: str = "user_id", percentage: float | None = None,
+                  approx_rsd: float | None = None) -> DataFrame:
+    """Rows and distinct users kept by a sample, in one aggregate.
+
+    ``approx_rsd``: count users with ``approx_count_distinct`` at that relative
+    standard deviation (a fixed-size sketch per task instead of a distinct set).
+    """
+    users = F.countDistinct(user) if approx_rsd is None else F.approx_count_distinct(user, rsd=approx_rsd)
+    rep = sampled.agg(F.count(F.lit(1)).alias("rows_kept"), users.alias("users_kept"))
     cols = [F.col("rows_kept").cast("bigint"), F.col("users_kept").cast("bigint")]
     if percentage is not None:
         cols.insert(0, F.lit(float(percentage)).alias("percentage"))

@@ -18,7 +18,7 @@ from ..operators import filters, index, metrics, sampling, setops, split, topk
 from ..plans import baseline, recommend, tuning
 from ..session import scratch_path
 from ..sources import io, schema, views
-from ..sources.views import COLUMNS, ROLES, with_views
+from ..sources.views import COLUMNS, ROLES
 
 # Fixed parameters of the registered queries.
 SEED = 123

@@ -4,7 +4,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import types as T
 
 from interlens.operators import filters, index, setops
@@ -125,3 +124,12 @@ def test_event_view_and_reviews(spark):
     assert b.count() == spark.read.parquet(f"{SF001}/events.parquet").count()
     g = views.genre_records(spark, SF001)
     assert g.count() == spark.read.parquet(f"{SF001}/documents.parquet").count()
+
+
+def test_sample_report_approx(spark, interactions):
+    from interlens.operators import sampling
+    s = sampling.sample_users(interactions, percentage=0.5)
+    exact = sampling.sample_report(s).first()
+    approx = sampling.sample_report(s, approx_rsd=0.01).first()
+    assert abs(approx.users_kept - exact.users_kept) <= max(3, 0.05 * exact.users_kept)
+    assert approx.rows_kept == exact.rows_kept
