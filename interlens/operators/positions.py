@@ -76,6 +76,14 @@ def global_positions(df: DataFrame, order_cols, out: str = "pos",
     return ranged.withColumn(out, pos).drop(_PID, "_mid"), acc
 
 
+def largest_group(df: DataFrame, group_cols, weight: str | None = None) -> tuple[int | None, int]:
+    """(weight of the largest group, total weight): one thin aggregate."""
+    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    sizes = df.groupBy(*group_cols).agg(F.sum(w).alias("_gw"))
+    biggest, total = sizes.agg(F.max("_gw"), F.sum("_gw")).first()
+    return biggest, int(total or 0)
+
+
 def group_positions(df: DataFrame, group_cols, order_cols, weight: str | None = None,
                     out: str = "pos", num_partitions: int | None = None,
                     max_window_group: int = MAX_WINDOW_GROUP,
@@ -92,17 +100,17 @@ def group_positions(df: DataFrame, group_cols, order_cols, weight: str | None =
     if not group_cols:
         raise ValueError("group_positions needs group columns; use global_positions for one order")
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    if sizes_from is not None:
-        sizes = sizes_from.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_gw"))
-    else:
-        sizes = df.groupBy(*group_cols).agg(F.sum(w).alias("_gw"))
-    biggest, total = sizes.agg(F.max("_gw"), F.sum("_gw")).first()
-    if biggest is None:
-        return df.withColumn(out, F.lit(None).cast("long")), 0
-    if biggest <= max_window_group:
-        win = (Window.partitionBy(*group_cols).orderBy(*order_cols)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return df.withColumn(out, (F.sum(w).over(win) - w).cast("long")), int(total)
+    if max_window_group >= 0:   # a negative cap means: already known to be large
+        if sizes_from is not None:
+            biggest, total = largest_group(sizes_from, group_cols)
+        else:
+            biggest, total = largest_group(df, group_cols, weight)
+        if biggest is None:
+            return df.withColumn(out, F.lit(None).cast("long")), 0
+        if biggest <= max_window_group:
+            win = (Window.partitionBy(*group_cols).orderBy(*order_cols)
+                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            return df.withColumn(out, (F.sum(w).over(win) - w).cast("long")), total
     if not num_partitions:
         # as many range partitions as the input has splits (about one file block
         # each), at least the shuffle partitions: a large group spans many tasks

@@ -9,14 +9,14 @@ user and no group of copies is ever handled by one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_HOLDOUT, DEFAULT_PERCENTAGE, DEFAULT_SEED, Roles
 from ..functions.hashing import SALT_HALF, SALT_ROW, SALT_SAMPLE, bucket, cut
 from .filters import frequent_users
 from .joins import restrict_to_keys
-from .positions import expand_counts, group_positions
+from .positions import MAX_WINDOW_GROUP, expand_counts, group_positions, largest_group
 
 
 def in_sample(user: str, p: float, seed: int = DEFAULT_SEED, salt: str = SALT_SAMPLE):
@@ -81,11 +81,19 @@ def stratified_halves(df: DataFrame, roles: Roles, seed: int = DEFAULT_SEED, ord
         order_cols = ["_h", *order_cols]
     elif order != "item":
         raise ValueError(f"order must be 'item' or 'hash', got {order!r}")
-    keep = [c for c in base.columns]
-    collapsed = base.groupBy(*keep).agg(F.count(F.lit(1)).alias("_cnt"))
-    kw = {} if max_window_group is None else {"max_window_group": max_window_group}
+    # One thin aggregate sizes the users.  When every user fits one task, a
+    # window over the raw rows numbers them (one shuffle); copies then simply
+    # get consecutive numbers.  Otherwise rows are collapsed to distinct values
+    # with a count and numbered by the distributed path, then expanded again.
+    cap = MAX_WINDOW_GROUP if max_window_group is None else max_window_group
+    biggest, _ = largest_group(base.select(roles.user), [roles.user])
+    if biggest is None or biggest <= cap:
+        w = Window.partitionBy(roles.user).orderBy(*order_cols)
+        rn = F.row_number().over(w)
+        return base.select(*cols, (rn % 2).cast("int").alias(out))
+    collapsed = base.groupBy(*base.columns).agg(F.count(F.lit(1)).alias("_cnt"))
     pos, _ = group_positions(collapsed, [roles.user], order_cols, weight="_cnt", out="_p",
-                             sizes_from=base.select(roles.user), **kw)
+                             sizes_from=base.select(roles.user), max_window_group=-1)
     # rows of this value hold numbers p+1 .. p+cnt; how many of them are even
     p, c = F.col("_p"), F.col("_cnt")
     n_even = F.floor((p + c) / 2) - F.floor(p / 2)
