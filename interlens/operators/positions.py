@@ -70,10 +70,11 @@ def global_positions(df: DataFrame, order_cols, out: str = "pos",
         offsets[pid], acc = acc, acc + counts[pid]
     if not offsets:
         return ranged.drop(_PID, "_mid").withColumn(out, F.lit(None).cast("long")), 0
-    off = F.create_map(*[x for pid in sorted(offsets) for x in (F.lit(pid), F.lit(offsets[pid]))])
+    # one row per partition: a bounded broadcast
+    off = df.sparkSession.createDataFrame(sorted(offsets.items()), f"{_PID} int, _off long")
     local = F.col("_mid") - F.shiftleft(F.col(_PID).cast("long"), 33)
-    pos = (F.element_at(off, F.col(_PID)) + local).cast("long")
-    return ranged.withColumn(out, pos).drop(_PID, "_mid"), acc
+    res = ranged.join(F.broadcast(off), _PID).withColumn(out, (F.col("_off") + local).cast("long"))
+    return res.drop(_PID, "_mid", "_off"), acc
 
 
 def largest_group(df: DataFrame, group_cols, weight: str | None = None) -> tuple[int | None, int]:
@@ -111,12 +112,9 @@ def group_positions(df: DataFrame, group_cols, order_cols, weight: str | None =
             win = (Window.partitionBy(*group_cols).orderBy(*order_cols)
                    .rowsBetween(Window.unboundedPreceding, Window.currentRow))
             return df.withColumn(out, (F.sum(w).over(win) - w).cast("long")), total
-    if not num_partitions:
-        # as many range partitions as the input has splits (about one file block
-        # each), at least the shuffle partitions: a large group spans many tasks
-        src = sizes_from if sizes_from is not None else df
-        num_partitions = max(_num_partitions(df, None), src.rdd.getNumPartitions())
-    return _distributed_positions(df, group_cols, order_cols, weight, out, num_partitions)
+    # range partitions: spark.sql.shuffle.partitions, which a cluster sizes for
+    # its data; a large group spans as many of them as its rows fill
+    return _distributed_positions(df, group_cols, order_cols, weight, out, _num_partitions(df, num_partitions))
 
 
 def _distributed_positions(df, group_cols, order_cols, weight, out, num_partitions):
@@ -151,6 +149,10 @@ def _distributed_positions(df, group_cols, order_cols, weight, out, num_partitio
         else:
             carry_key, carry_w = r.last, r.last_w
 
+    # only partitions that continue a group carry an offset; shipped once per
+    # executor as a broadcast variable, not inside every task's closure
+    carried = df.sparkSession.sparkContext.broadcast({p: o for p, o in offsets.items() if o})
+
     # pass 2 (narrow): running weight inside each partition plus the carried offset
     def positions(batches):
         import numpy as np
@@ -162,7 +164,7 @@ def _distributed_positions(df, group_cols, order_cols, weight, out, num_partitio
                 continue
             g, wv = b[_GKEY].to_numpy(), b[_W].to_numpy(dtype=np.int64)
             if prev_key is None:
-                prev_key, running = g[0], offsets.get(int(b[_PID].iloc[0]), 0)
+                prev_key, running = g[0], carried.value.get(int(b[_PID].iloc[0]), 0)
             new_block = np.empty(len(g), dtype=bool)
             new_block[0] = g[0] != prev_key
             new_block[1:] = g[1:] != g[:-1]
