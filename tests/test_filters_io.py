@@ -133,3 +133,14 @@ def test_sample_report_approx(spark, interactions):
     approx = sampling.sample_report(s, approx_rsd=0.01).first()
     assert abs(approx.users_kept - exact.users_kept) <= max(3, 0.05 * exact.users_kept)
     assert approx.rows_kept == exact.rows_kept
+
+
+def test_join_small_above_cap_same_rows(spark, interactions):
+    from interlens.operators.joins import join_small, restrict_to_keys
+    keys = filters.frequent_users(interactions, threshold=40)
+    small = restrict_to_keys(interactions, keys, "user_id")
+    big = restrict_to_keys(interactions, keys, "user_id", max_rows=0)
+    assert sorted(tuple(r) for r in small.collect()) == sorted(tuple(r) for r in big.collect())
+    means = interactions.groupBy("item_id").count()
+    a = join_small(interactions, means, "item_id", max_rows=0).count()
+    assert a == interactions.count()
