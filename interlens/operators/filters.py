@@ -37,11 +37,15 @@ def frequent_users(df: DataFrame, user: str = "user_id", threshold: int = DEFAUL
 
 
 def frequent_interactions(df: DataFrame, user: str = "user_id", threshold: int = DEFAULT_THRESHOLD,
-                          inclusive: bool = True, method: str = "semi") -> DataFrame:
-    """Rows whose user passes the activity threshold, in the input's columns."""
+                          inclusive: bool = True, method: str = "semi", max_users: int | None = None) -> DataFrame:
+    """Rows whose user passes the activity threshold, in the input's columns.
+
+    ``max_users``: a known upper bound on the distinct users (table statistics);
+    under the broadcast cap it spares the count of the key table.
+    """
     if method == "semi":
         keys = frequent_users(df, user, threshold, inclusive)
-        return restrict_to_keys(df, keys, user)
+        return restrict_to_keys(df, keys, user, upper_bound=max_users)
     if method == "window":
         n = F.count(F.col(user)).over(Window.partitionBy(user))
         return (df.where(F.col(user).isNotNull()).withColumn("_n", n)

@@ -52,15 +52,22 @@ def release_cached() -> int:
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int | None = None, row_bytes: int = _BYTES_PER_KEY_ROW,
-               known_rows: int | None = None) -> DataFrame:
-    """``big.join(small, on, how)``, broadcasting ``small`` only if it is proven small."""
+               known_rows: int | None = None, upper_bound: int | None = None) -> DataFrame:
+    """``big.join(small, on, how)``, broadcasting ``small`` only if it is proven small.
+
+    The proof is ``known_rows`` (an exact count), an ``upper_bound`` that
+    already fits (e.g. the table's distinct keys), or else a count taken here.
+    """
+    cap = broadcast_row_cap(big.sparkSession, row_bytes) if max_rows is None else max_rows
+    if known_rows is None and upper_bound is not None and upper_bound <= cap:
+        return big.join(F.broadcast(small), on, how)
     if known_rows is None:
         small, known_rows = sized(small)
-    cap = broadcast_row_cap(big.sparkSession, row_bytes) if max_rows is None else max_rows
     right = F.broadcast(small) if known_rows <= cap else small
     return big.join(right, on, how)
 
 
 def restrict_to_keys(df: DataFrame, keys: DataFrame, key: str, **kw) -> DataFrame:
+    # kw: max_rows, row_bytes, known_rows, upper_bound (see join_small)
     """Rows of ``df`` whose ``key`` is in ``keys`` (left semi join; left columns only)."""
     return join_small(df, keys.select(key).where(F.col(key).isNotNull()), key, "left_semi", **kw)

@@ -25,7 +25,8 @@ def in_sample(user: str, p: float, seed: int = DEFAULT_SEED, salt: str = SALT_SA
 
 
 def sample_users(df: DataFrame, user: str = "user_id", percentage: float = DEFAULT_PERCENTAGE,
-                 seed: int = DEFAULT_SEED, users: DataFrame | None = None) -> DataFrame:
+                 seed: int = DEFAULT_SEED, users: DataFrame | None = None,
+                 max_users: int | None = None) -> DataFrame:
     """Rows of a seeded ``percentage`` of users (C4 with ``users``, C5 without).
 
     With ``users`` the sample is drawn from those users only: the bucket filter
@@ -34,7 +35,7 @@ def sample_users(df: DataFrame, user: str = "user_id", percentage: float = DEFAU
     pred = in_sample(user, percentage, seed)
     out = df.where(pred)
     if users is not None:
-        out = restrict_to_keys(out, users.where(pred), user)
+        out = restrict_to_keys(out, users.where(pred), user, upper_bound=max_users)
     return out
 
 
@@ -54,9 +55,11 @@ def sample_report(sampled: DataFrame, user: str = "user_id", percentage: float |
 
 
 def create_subset(df: DataFrame, threshold: int = 500, percentage: float = DEFAULT_PERCENTAGE,
-                  user: str = "user_id", seed: int = DEFAULT_SEED, inclusive: bool = True) -> DataFrame:
+                  user: str = "user_id", seed: int = DEFAULT_SEED, inclusive: bool = True,
+                  max_users: int | None = None) -> DataFrame:
     """Frequent users (C1), then a seeded share of them (C4): their rows."""
-    return sample_users(df, user, percentage, seed, users=frequent_users(df, user, threshold, inclusive))
+    return sample_users(df, user, percentage, seed, users=frequent_users(df, user, threshold, inclusive),
+                        max_users=max_users)
 
 
 def holdout_flag(roles: Roles, fraction: float = DEFAULT_HOLDOUT, seed: int = DEFAULT_SEED):

@@ -26,8 +26,12 @@ def _order(col: str, ascending: bool):
 
 
 def top_k(df: DataFrame, k: int, by: str, roles: Roles, ties: str = "keep", ascending: bool = False,
-          rank_col: str = "rank") -> DataFrame:
-    """Rows whose per-user rank on ``by`` is at most k, with the rank."""
+          rank_col: str = "rank", max_users: int | None = None) -> DataFrame:
+    """Rows whose per-user rank on ``by`` is at most k, with the rank.
+
+    ``max_users`` (a known bound on distinct users) bounds the rank table by
+    k * max_users rows: at most k values per user can have rank <= k.
+    """
     if k < 1:
         raise ValueError("k must be >= 1")
     u = roles.user
@@ -41,7 +45,7 @@ def top_k(df: DataFrame, k: int, by: str, roles: Roles, ties: str = "keep", asce
     ranks = (value_ranks(base, k, by, u, ascending)
              .select(F.col(u).alias("_u"), F.col(by).alias("_v"), F.col("_rank").alias(rank_col)))
     joined = join_small(base, ranks, [base[u] == F.col("_u"), base[by].eqNullSafe(F.col("_v"))],
-                        "inner", row_bytes=48)
+                        "inner", row_bytes=48, upper_bound=None if max_users is None else k * max_users)
     return joined.drop("_u", "_v")
 
 

@@ -28,9 +28,13 @@ def item_means(train: DataFrame, roles: Roles) -> DataFrame:
             .agg(F.avg(F.col(roles.rating).cast("double")).alias(roles.prediction)))
 
 
-def score_item_mean(train: DataFrame, target: DataFrame, roles: Roles) -> DataFrame:
-    """``target`` rows with the item-mean prediction; items unseen in train are dropped."""
-    return join_small(target, item_means(train, roles), roles.item, "inner", row_bytes=48)
+def score_item_mean(train: DataFrame, target: DataFrame, roles: Roles, max_items: int | None = None) -> DataFrame:
+    """``target`` rows with the item-mean prediction; items unseen in train are dropped.
+
+    ``max_items``: a known bound on distinct items (table statistics), which
+    bounds the means table and spares its count when under the broadcast cap.
+    """
+    return join_small(target, item_means(train, roles), roles.item, "inner", row_bytes=48, upper_bound=max_items)
 
 
 def baseline_cv_table(df: DataFrame, roles: Roles, k: int = DEFAULT_FOLDS,

@@ -86,6 +86,14 @@ def _sql(final: str, *ctes, views_=("interactions",)) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" + final) if parts else final
 
 
+def _users(spark, d) -> int:
+    return views.stored_stats(spark, d)["n_users"]
+
+
+def _items(spark, d) -> int:
+    return views.stored_stats(spark, d)["n_items"]
+
+
 def _labeled(spark, d) -> DataFrame:
     return split.label_roles(_a(spark, d), ROLES, seed=SEED)
 
@@ -94,7 +102,7 @@ def _scored(spark, d) -> DataFrame:
     lab = _labeled(spark, d)
     train = lab.where(F.col("role") == "train")
     val = lab.where(F.col("role") == "val")
-    return baseline.score_item_mean(train, val, ROLES)
+    return baseline.score_item_mean(train, val, ROLES, max_items=_items(spark, d))
 
 
 # ------------------------------------------------------------ sources
@@ -174,12 +182,13 @@ WHERE user_id IN (SELECT user_id FROM interactions GROUP BY user_id HAVING COUNT
 @register("frequent_users_window", _sql(_FREQ_ROWS.format(cols=ACOLS, op=">", t=THRESHOLD)))
 def frequent_users_window(spark, d):
     """Rows of users with more than the threshold (strict, as the window variant)."""
-    return _cols(filters.frequent_interactions(_a(spark, d), threshold=THRESHOLD, inclusive=False))
+    return _cols(filters.frequent_interactions(_a(spark, d), threshold=THRESHOLD, inclusive=False,
+                                               max_users=_users(spark, d)))
 
 
 @register("frequent_interactions", _sql(_FREQ_ROWS.format(cols=ACOLS, op=">=", t=THRESHOLD)))
 def frequent_interactions(spark, d):
-    return _cols(filters.frequent_interactions(_a(spark, d), threshold=THRESHOLD))
+    return _cols(filters.frequent_interactions(_a(spark, d), threshold=THRESHOLD, max_users=_users(spark, d)))
 
 
 @register("distinct_users", _sql("SELECT DISTINCT user_id FROM interactions"))
@@ -228,7 +237,8 @@ WHERE {_SAMPLED}
   AND user_id IN (SELECT user_id FROM interactions WHERE user_id IS NOT NULL
                   GROUP BY user_id HAVING COUNT(*) >= {SUBSET_THRESHOLD})"""))
 def create_subset(spark, d):
-    return _cols(sampling.create_subset(_a(spark, d), threshold=SUBSET_THRESHOLD, percentage=SAMPLE_P, seed=SEED))
+    return _cols(sampling.create_subset(_a(spark, d), threshold=SUBSET_THRESHOLD, percentage=SAMPLE_P, seed=SEED,
+                                        max_users=_users(spark, d)))
 
 
 # ------------------------------------------------------------ splits
@@ -383,12 +393,12 @@ WHERE rk <= {K}"""
 
 @register("topk_pred_rank", _sql(_TOPK_SQL.format(fn="RANK", order="prediction DESC"), *_SCORED_CTES))
 def topk_pred_rank(spark, d):
-    return _topk_out(topk.top_k(_scored(spark, d), K, "prediction", ROLES, ties="keep"))
+    return _topk_out(topk.top_k(_scored(spark, d), K, "prediction", ROLES, ties="keep", max_users=_users(spark, d)))
 
 
 @register("topk_actual_rank", _sql(_TOPK_SQL.format(fn="RANK", order="rating DESC"), *_SCORED_CTES))
 def topk_actual_rank(spark, d):
-    return _topk_out(topk.top_k(_scored(spark, d), K, "rating", ROLES, ties="keep"))
+    return _topk_out(topk.top_k(_scored(spark, d), K, "rating", ROLES, ties="keep", max_users=_users(spark, d)))
 
 
 @register("topk_strict", _sql(_TOPK_SQL.format(
@@ -608,9 +618,10 @@ def tuning_history(spark, d):
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Frequent users -> hash split -> hold-out -> item-mean predictor -> all top-k metrics."""
-    a = filters.frequent_interactions(_a(spark, d), threshold=THRESHOLD)
+    a = filters.frequent_interactions(_a(spark, d), threshold=THRESHOLD, max_users=_users(spark, d))
     lab = split.label_roles(a, ROLES, seed=SEED)
-    scored = baseline.score_item_mean(lab.where(F.col("role") == "train"), lab.where(F.col("role") == "val"), ROLES)
+    scored = baseline.score_item_mean(lab.where(F.col("role") == "train"), lab.where(F.col("role") == "val"), ROLES,
+                                      max_items=_items(spark, d))
     rk = metrics.ranking_metrics(scored, K, ROLES)
     rg = metrics.regression_metrics(scored, K, ROLES)
     return rk.join(F.broadcast(rg))  # two one-row aggregates

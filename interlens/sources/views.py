@@ -70,6 +70,26 @@ def stored_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+_STATS: dict = {}
+
+
+def stored_stats(spark: SparkSession, sf_dir: str) -> dict:
+    """Exact distinct users and items of the stored view, counted once per
+    session (as ANALYZE TABLE ... FOR COLUMNS would): proven upper bounds for
+    every key table derived from it."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    with _LOCK:
+        st = _STATS.get(key)
+    if st is None:
+        row = stored_interactions(spark, sf_dir).agg(
+            F.count_distinct("user_id").alias("n_users"), F.count_distinct("item_id").alias("n_items"),
+            F.count(F.lit(1)).alias("n_rows")).first()
+        st = row.asDict()
+        with _LOCK:
+            _STATS[key] = st
+    return st
+
+
 def event_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select(
