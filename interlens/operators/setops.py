@@ -18,11 +18,16 @@ def distinct_values(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def subtract_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows of ``left`` that are not in ``right`` (SQL EXCEPT, Spark subtract)."""
+    """Distinct rows of ``left`` that are not in ``right`` (SQL EXCEPT, Spark subtract).
+
+    One aggregate over both sides tagged by origin: a single shuffle, copies
+    combined before it, and nulls compare equal as EXCEPT requires.
+    """
     cols = left.columns
-    l, r = left.distinct(), right.select(*cols).distinct()
-    cond = [l[c].eqNullSafe(r[c]) for c in cols]
-    return l.join(r, cond, "left_anti")
+    tagged = (left.select(*cols, F.lit(True).alias("_l"), F.lit(False).alias("_r"))
+              .unionByName(right.select(*cols, F.lit(False).alias("_l"), F.lit(True).alias("_r"))))
+    seen = tagged.groupBy(*cols).agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
+    return seen.where(F.col("_l") & ~F.col("_r")).select(*cols)
 
 
 def except_all(left: DataFrame, right: DataFrame) -> DataFrame:
