@@ -488,25 +488,26 @@ SELECT *, CASE WHEN {_b(SALT_TEST, 'user_id')} >= {cut(0.8)} THEN -1
           CASE WHEN {_b(SALT_ROW, 'user_id', 'item_id')} < {HALF} THEN 1 ELSE 0 END AS held
 FROM interactions WHERE user_id IS NOT NULL AND rating IS NOT NULL"""
 
-_GRID_VALUES = ", ".join(f"({j}, CAST({x} AS DOUBLE))" for j, x in enumerate(DAMPING))
-_FOLD_VALUES = ", ".join(f"({f})" for f in range(FOLDS))
+_GRID_LIST = ", ".join(f"{{'grid_no': {j}, 'regParam': CAST({x} AS DOUBLE)}}" for j, x in enumerate(DAMPING))
+_FOLD_LIST = ", ".join(str(f) for f in range(FOLDS))
 _CV_CTES = (
     ("flab", _FOLD_LAB),
-    ("folds", f"SELECT * FROM (VALUES {_FOLD_VALUES}) f(fold)"),
-    ("grid", f"SELECT * FROM (VALUES {_GRID_VALUES}) g(grid_no, regParam)"),
-    ("train_f", "SELECT f.fold, l.item_id, l.rating FROM flab l, folds f "
-                "WHERE NOT (l.user_fold = -1 AND l.held = 1) AND NOT (l.user_fold = f.fold AND l.held = 1)"),
-    ("mu", "SELECT fold, AVG(CAST(rating AS DOUBLE)) AS mu, SUM(rating) AS s, COUNT(*) AS n "
-           "FROM train_f GROUP BY fold"),
+    # each row once per fold it trains in (UNNEST, the SQL twin of explode)
+    ("train_f", f"""SELECT fold, item_id, rating FROM (
+                      SELECT item_id, rating, user_fold, held, UNNEST([{_FOLD_LIST}]) AS fold FROM flab) t
+                    WHERE NOT (user_fold = -1 AND held = 1) AND NOT (user_fold = fold AND held = 1)"""),
+    ("mu", "SELECT fold, SUM(rating) AS s, COUNT(*) AS n FROM train_f GROUP BY fold"),
     ("istat", "SELECT fold, item_id, SUM(rating) AS s, COUNT(*) AS n FROM train_f GROUP BY fold, item_id"),
-    ("cv", """SELECT g.grid_no, g.regParam, v.user_fold AS fold,
-                SQRT(AVG(POWER(((CAST(m.s AS DOUBLE) / m.n) + (i.s - (CAST(m.s AS DOUBLE) / m.n) * i.n)
-                               / (i.n + g.regParam)) - v.rating, 2))) AS rmse,
+    ("scored_cv", f"""SELECT v.user_fold AS fold, v.rating, m.s AS ms, m.n AS mn, i.s AS s_i, i.n AS n_i,
+                             UNNEST([{_GRID_LIST}]) AS g
+                      FROM flab v JOIN istat i ON i.fold = v.user_fold AND i.item_id = v.item_id
+                           JOIN mu m ON m.fold = v.user_fold
+                      WHERE v.user_fold >= 0 AND v.held = 1"""),
+    ("cv", """SELECT g.grid_no AS grid_no, g.regParam AS regParam, fold,
+                SQRT(AVG(POWER(((CAST(ms AS DOUBLE) / mn) + (s_i - (CAST(ms AS DOUBLE) / mn) * n_i)
+                               / (n_i + g.regParam)) - rating, 2))) AS rmse,
                 CAST(COUNT(*) AS BIGINT) AS n_rows
-              FROM flab v JOIN istat i ON i.fold = v.user_fold AND i.item_id = v.item_id
-                   JOIN mu m ON m.fold = v.user_fold, grid g
-              WHERE v.user_fold >= 0 AND v.held = 1
-              GROUP BY g.grid_no, g.regParam, v.user_fold"""),
+              FROM scored_cv GROUP BY g.grid_no, g.regParam, fold"""),
 )
 
 
