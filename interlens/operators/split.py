@@ -67,15 +67,20 @@ def train_val_test_split(df: DataFrame, roles: Roles, **kw):
     return tuple(lab.where(F.col("role") == r).drop("split", "role") for r in (TRAIN, VAL, TEST))
 
 
+def user_fold(user: str, k: int = DEFAULT_FOLDS, test_share: float = 0.2, seed: int = DEFAULT_SEED) -> Column:
+    """Fold of a user: -1 for the ``test_share`` of test users, else 0..k-1."""
+    if k < 2:
+        raise ValueError(f"k-fold split needs k >= 2, got {k}")
+    test = bucket(seed, SALT_TEST, user) >= F.lit(cut(1.0 - test_share))
+    fold = F.floor(bucket(seed, SALT_FOLD, user) * k / float(SPACE)).cast("int")
+    return F.when(test, F.lit(-1)).otherwise(fold)
+
+
 def kfold_labels(df: DataFrame, roles: Roles, k: int = DEFAULT_FOLDS, test_share: float = 0.2,
                  holdout: float = DEFAULT_HOLDOUT, seed: int = DEFAULT_SEED) -> DataFrame:
     """Add ``user_fold`` (-1 = test user) and ``held`` (0/1)."""
-    if k < 2:
-        raise ValueError(f"k-fold split needs k >= 2, got {k}")
-    test = bucket(seed, SALT_TEST, roles.user) >= F.lit(cut(1.0 - test_share))
-    fold = F.floor(bucket(seed, SALT_FOLD, roles.user) * k / float(SPACE)).cast("int")
     return (df.where(F.col(roles.user).isNotNull())
-            .withColumn("user_fold", F.when(test, F.lit(-1)).otherwise(fold))
+            .withColumn("user_fold", user_fold(roles.user, k, test_share, seed))
             .withColumn("held", holdout_flag(roles, holdout, seed).cast("int")))
 
 

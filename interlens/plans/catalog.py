@@ -264,8 +264,7 @@ FROM (SELECT DISTINCT user_id FROM interactions WHERE user_id IS NOT NULL) u"""
 @register("fold_assign", _sql(_FOLD_SQL))
 def fold_assign(spark, d):
     users = _a(spark, d).select("user_id").where(F.col("user_id").isNotNull()).distinct()
-    return split.kfold_labels(users.withColumn("item_id", F.lit(0)), ROLES, FOLDS, seed=SEED) \
-        .select("user_id", "user_fold")
+    return users.select("user_id", split.user_fold("user_id", FOLDS, seed=SEED).alias("user_fold"))
 
 
 @register("holdout_half", _sql(f"""
