@@ -31,12 +31,27 @@ def dense_index(df: DataFrame, col_name: str, start: int = 0, out: str | None =
 
 
 def attach_index(df: DataFrame, col_name: str, start: int = 0, out: str | None = None,
-                 index: DataFrame | None = None, as_int: bool = True, how: str = "inner") -> DataFrame:
+                 index: DataFrame | None = None, as_int: bool = True, how: str = "inner",
+                 known_rows: int | None = None) -> DataFrame:
     """``df`` with ``<col>_index`` joined on (J3); builds the index when not given."""
-    n = None
     if index is None:
-        index, n = dense_index(df, col_name, start, out, as_int)
-    return join_small(df, index, col_name, how, row_bytes=96, known_rows=n)
+        index, known_rows = dense_index(df, col_name, start, out, as_int)
+    return join_small(df, index, col_name, how, row_bytes=96, known_rows=known_rows)
+
+
+def attach_indexes(df: DataFrame, cols, start: int = 0, as_int: bool = True) -> DataFrame:
+    """``df`` with a dense index for each of ``cols``.
+
+    The indexes are independent, so their (small) jobs are submitted from a
+    thread pool and overlap; each is then joined with its known size.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    cols = list(cols)
+    with ThreadPoolExecutor(max_workers=max(1, min(4, len(cols)))) as pool:
+        built = list(pool.map(lambda c: dense_index(df, c, start, as_int=as_int), cols))
+    for c, (idx, n) in zip(cols, built):
+        df = attach_index(df, c, index=idx, known_rows=n)
+    return df
 
 
 def lookup_index(df: DataFrame, index: DataFrame, col_name: str, known_rows: int | None = None) -> DataFrame:

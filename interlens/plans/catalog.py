@@ -349,9 +349,7 @@ SELECT user_key, item_key, l_orderkey, l_linenumber, l_suppkey, rating,
        CAST(DENSE_RANK() OVER (ORDER BY item_key) - 1 AS INT) AS item_key_index
 FROM string_interactions""", views_=("interactions", "string_interactions")))
 def dense_index(spark, d):
-    c = views.string_interactions(spark, d)
-    c = index.attach_index(c, "user_key", start=0)
-    c = index.attach_index(c, "item_key", start=0)
+    c = index.attach_indexes(views.string_interactions(spark, d), ["user_key", "item_key"], start=0)
     return c.select("user_key", "item_key", "l_orderkey", "l_linenumber", "l_suppkey", "rating",
                     "user_key_index", "item_key_index")
 

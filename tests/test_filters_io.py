@@ -144,3 +144,10 @@ def test_join_small_above_cap_same_rows(spark, interactions):
     means = interactions.groupBy("item_id").count()
     a = join_small(interactions, means, "item_id", max_rows=0).count()
     assert a == interactions.count()
+
+
+def test_attach_indexes_concurrent(spark):
+    df = spark.createDataFrame([("b", 3), ("a", 1), ("c", 3), ("a", 2)], "k string, v int")
+    out = index.attach_indexes(df, ["k", "v"], start=1)
+    got = sorted((r.k, r.v, r.k_index, r.v_index) for r in out.collect())
+    assert got == [("a", 1, 1, 1), ("a", 2, 1, 2), ("b", 3, 2, 3), ("c", 3, 3, 3)]
