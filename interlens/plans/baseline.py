@@ -12,6 +12,7 @@ rows of fold f``: one aggregate by (item, fold it validates) covers all folds.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +39,8 @@ def score_item_mean(train: DataFrame, target: DataFrame, roles: Roles, max_items
 
 
 def baseline_cv_table(df: DataFrame, roles: Roles, k: int = DEFAULT_FOLDS,
-                      grid=DEFAULT_DAMPING_GRID, seed: int = DEFAULT_SEED) -> DataFrame:
+                      grid=DEFAULT_DAMPING_GRID, seed: int = DEFAULT_SEED,
+                      max_items: int | None = None) -> DataFrame:
     """(grid_no, regParam, fold, rmse, n_rows) of the damped item-bias predictor.
 
     prediction = mu_f + sum_f(r - mu_f) / (n_f + regParam) over fold f's
@@ -51,7 +53,14 @@ def baseline_cv_table(df: DataFrame, roles: Roles, k: int = DEFAULT_FOLDS,
     # validates, or -2 for rows that train in every fold; test users' held rows
     # train nowhere.  Fold f trains on every g except f.
     keyed = lab.where(~((uf == -1) & held)).withColumn("_g", F.when(held, uf).otherwise(F.lit(-2)))
-    stats, n_stats = sized(keyed.groupBy(i, "_g").agg(F.count(F.lit(1)).alias("_n"), F.sum(r).alias("_s")))
+    stats = keyed.groupBy(i, "_g").agg(F.count(F.lit(1)).alias("_n"), F.sum(r).alias("_s"))
+    if max_items is None:
+        stats, n_stats = sized(stats)
+        bound = None
+    else:
+        # at most one row per (item, g) with g in {-2, 0..k-1}: a proven bound;
+        # the per-g totals below materialise the cache
+        stats, n_stats, bound = stats.persist(StorageLevel.MEMORY_AND_DISK), None, max_items * (k + 1)
     per_g = {row["_g"]: (row["_n"], row["_s"]) for row in
              stats.groupBy("_g").agg(F.sum("_n").alias("_n"), F.sum("_s").alias("_s")).collect()}
     n_all = sum(v[0] for v in per_g.values())
@@ -66,8 +75,8 @@ def baseline_cv_table(df: DataFrame, roles: Roles, k: int = DEFAULT_FOLDS,
         i, F.col("_g").alias("user_fold"), F.col("_n").alias("_nf"), F.col("_s").alias("_sf"))
 
     v = lab.where((uf >= 0) & held).select(i, "user_fold", F.col(r).cast("double").alias("_l"))
-    v = join_small(v, all_items, i, "inner", row_bytes=48, known_rows=n_stats)
-    v = join_small(v, fold_items, [i, "user_fold"], "left", row_bytes=56, known_rows=n_stats)
+    v = join_small(v, all_items, i, "inner", row_bytes=48, known_rows=n_stats, upper_bound=bound)
+    v = join_small(v, fold_items, [i, "user_fold"], "left", row_bytes=56, known_rows=n_stats, upper_bound=bound)
     v = v.withColumn("_mu", F.element_at(mu_map, F.col("user_fold")))
     n_f = F.col("_na") - F.coalesce(F.col("_nf"), F.lit(0))
     s_f = (F.col("_sa") - F.coalesce(F.col("_sf"), F.lit(0))).cast("double")

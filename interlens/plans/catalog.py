@@ -509,7 +509,7 @@ _CV_CTES = (
 
 
 def _cv(spark, d):
-    return baseline.baseline_cv_table(_a(spark, d), ROLES, FOLDS, DAMPING, SEED)
+    return baseline.baseline_cv_table(_a(spark, d), ROLES, FOLDS, DAMPING, SEED, max_items=_items(spark, d))
 
 
 @register("baseline_cv_table", _sql(
