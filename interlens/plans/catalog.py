@@ -477,6 +477,42 @@ for _col, _src in (("precision_at_k", "precision"), ("map_at_k", "ap"), ("ndcg_a
         *_RANK_CTES))(_rank_query(_col))
 
 
+# ------------------------------------------------------------ the same on event interactions
+# (view B: many repeated (user, item) pairs and tied ratings 0-5)
+
+_EV_LABELED_SQL = LABELED_SQL.replace("FROM interactions ", "FROM event_interactions ")
+_EV_SCORED_CTES = (("labeled", _EV_LABELED_SQL), ("scored", SCORED_SQL))
+_EV_RANK_CTES = _EV_SCORED_CTES + _RANK_CTES[2:]
+
+
+def _scored_events(spark, d) -> DataFrame:
+    lab = split.label_roles(views.event_interactions(spark, d), _B_ROLES, seed=SEED)
+    return baseline.score_item_mean(lab.where(F.col("role") == "train"), lab.where(F.col("role") == "val"),
+                                    _B_ROLES)
+
+
+@register("event_topk_actual_rank", _sql(f"""
+SELECT {_B_COLS}, ROUND(prediction, 6) AS prediction, CAST(rk AS BIGINT) AS rank FROM (
+  SELECT *, RANK() OVER (PARTITION BY user_id ORDER BY rating DESC) AS rk FROM scored) t
+WHERE rk <= {K}""", *_EV_SCORED_CTES, views_=("event_interactions",)))
+def event_topk_actual_rank(spark, d):
+    t = topk.top_k(_scored_events(spark, d), K, "rating", _B_ROLES, ties="keep")
+    return t.select(*_B_COLS.split(", "), F.round("prediction", 6).alias("prediction"),
+                    F.col("rank").cast("bigint").alias("rank"))
+
+
+@register("event_precision_at_k", _sql(
+    f"SELECT ROUND(AVG(precision), 6) AS precision_at_k, ROUND(AVG(ndcg), 6) AS ndcg_at_k, "
+    f"CAST(COUNT(*) AS BIGINT) AS n_users, "
+    f"CAST(SUM(CASE WHEN n_items <= {K} THEN 1 ELSE 0 END) AS BIGINT) AS n_users_le_k FROM per_user",
+    *_EV_RANK_CTES, views_=("event_interactions",)))
+def event_precision_at_k(spark, d):
+    m = metrics.ranking_metrics(_scored_events(spark, d), K, _B_ROLES)
+    return m.select(F.round("precision_at_k", 6).alias("precision_at_k"), F.round("ndcg_at_k", 6).alias("ndcg_at_k"),
+                    F.col("n_users").cast("bigint").alias("n_users"),
+                    F.col("n_users_le_k").cast("bigint").alias("n_users_le_k"))
+
+
 # ------------------------------------------------------------ tuning tables
 
 _FOLD_LAB = f"""
