@@ -160,17 +160,3 @@ SELECT 'u' || CAST(user_id AS VARCHAR) AS user_key, 'b' || CAST(item_id AS VARCH
        l_orderkey, l_linenumber, l_suppkey, is_read, rating, is_reviewed
 FROM interactions
 """
-
-
-def with_views(body: str, *names: str) -> str:
-    """Prefix ``body`` with the CTEs it needs (interactions first)."""
-    defs = {
-        "interactions": INTERACTIONS_SQL,
-        "event_interactions": EVENT_INTERACTIONS_SQL,
-        "string_interactions": STRING_INTERACTIONS_SQL,
-    }
-    need = list(names)
-    if "string_interactions" in need and "interactions" not in need:
-        need.insert(0, "interactions")
-    ctes = ",\n".join(f"{n} AS ({defs[n]})" for n in need)
-    return f"WITH {ctes}\n{body}" if ctes else body
