@@ -19,11 +19,23 @@ INT_MAX = (1 << 31) - 1
 
 
 def dense_index(df: DataFrame, col_name: str, start: int = 0, out: str | None = None,
-                as_int: bool = True) -> tuple[DataFrame, int]:
-    """(key, key_index) for the distinct non-null keys, and their number."""
+                as_int: bool = True, order: str = "key") -> tuple[DataFrame, int]:
+    """(key, key_index) for the distinct non-null keys, and their number.
+
+    ``order="key"``: keys in sorted order.  ``order="frequency"``: most frequent
+    key first, ties by key (the order of Spark ML's StringIndexer, which however
+    collects every label to the driver; here the counts are a partial aggregate
+    and the numbering is distributed).
+    """
     out = out or f"{col_name}_index"
-    keys = df.select(col_name).where(F.col(col_name).isNotNull()).distinct()
-    pos, n = global_positions(keys, [col_name], out="_pos")
+    present = df.select(col_name).where(F.col(col_name).isNotNull())
+    if order == "key":
+        pos, n = global_positions(present.distinct(), [col_name], out="_pos")
+    elif order == "frequency":
+        counted = present.groupBy(col_name).agg(F.count(F.lit(1)).alias("_freq"))
+        pos, n = global_positions(counted, [F.col("_freq").desc(), F.col(col_name).asc()], out="_pos")
+    else:
+        raise ValueError(f"order must be 'key' or 'frequency', got {order!r}")
     if as_int and n + start - 1 > INT_MAX:
         raise OverflowError(f"{n} keys do not fit an int index; use as_int=False")
     idx = (F.col("_pos") + F.lit(start))

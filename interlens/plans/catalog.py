@@ -354,6 +354,19 @@ def dense_index(spark, d):
                     "user_key_index", "item_key_index")
 
 
+@register("frequency_index", _sql("""
+SELECT item_key, CAST(ROW_NUMBER() OVER (ORDER BY n DESC, item_key) - 1 AS INT) AS item_key_index,
+       CAST(n AS BIGINT) AS n_rows
+FROM (SELECT item_key, COUNT(*) AS n FROM string_interactions GROUP BY item_key) c""",
+    views_=("interactions", "string_interactions")))
+def frequency_index(spark, d):
+    """Item keys numbered most frequent first (the StringIndexer order of X4)."""
+    c = views.string_interactions(spark, d)
+    idx, n = index.dense_index(c, "item_key", order="frequency")
+    counts = c.groupBy("item_key").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+    return index.lookup_index(counts, idx, "item_key", known_rows=n).select("item_key", "item_key_index", "n_rows")
+
+
 _C_TRAIN = f"{_b(SALT_SPLIT, 'user_key')} < {C1}"
 
 

@@ -151,3 +151,11 @@ def test_attach_indexes_concurrent(spark):
     out = index.attach_indexes(df, ["k", "v"], start=1)
     got = sorted((r.k, r.v, r.k_index, r.v_index) for r in out.collect())
     assert got == [("a", 1, 1, 1), ("a", 2, 1, 2), ("b", 3, 2, 3), ("c", 3, 3, 3)]
+
+
+def test_frequency_index(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("c",), ("b",), ("c",), ("c",), (None,)], "k string")
+    idx, n = index.dense_index(df, "k", order="frequency")
+    assert n == 3 and dict(idx.collect()) == {"c": 0, "b": 1, "a": 2}
+    with pytest.raises(ValueError):
+        index.dense_index(df, "k", order="random")
