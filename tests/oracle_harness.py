@@ -1,7 +1,10 @@
 """Run a registered Spark query and its DuckDB oracle side by side.
 
 Same contract as the driver's check: row count, column names, and an
-order-insensitive hash of the values (columns sorted by name).
+order-insensitive hash of the values (columns sorted by name).  Floats are
+hashed rounded to 6 places; ``ORACLE_EXACT=1`` hashes their exact repr.
+
+    python tests/oracle_harness.py [names...] [--sf /root/testdata/sf0.01]
 """
 
 from __future__ import annotations

@@ -4,6 +4,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from interlens.operators import filters, index, setops
@@ -159,3 +160,17 @@ def test_frequency_index(spark):
     assert n == 3 and dict(idx.collect()) == {"c": 0, "b": 1, "a": 2}
     with pytest.raises(ValueError):
         index.dense_index(df, "k", order="random")
+
+
+def test_table_stats_bound_key_tables(spark, interactions):
+    from conftest import SF001
+    from interlens.operators import topk
+    from interlens.plans import baseline
+    from interlens.sources.views import ROLES, stored_stats
+    st = stored_stats(spark, SF001)
+    assert st["n_rows"] == interactions.count()
+    assert filters.frequent_users(interactions, threshold=1).count() <= st["n_users"]
+    assert baseline.item_means(interactions, ROLES).count() <= st["n_items"]
+    ranks = topk.value_ranks(interactions, 5, "rating", "user_id")
+    assert ranks.count() <= 5 * st["n_users"]
+    assert ranks.groupBy("user_id").count().agg(F.max("count")).first()[0] <= 5
