@@ -6,11 +6,16 @@ would put a whole group in one task; here the rows are range partitioned on
 (group, order), so a large group is spread over many tasks, and positions are
 made in two passes over the persisted, sorted partitions:
 
-1. each partition reports its first and last group and their weight sums
-   (one row per partition reaches the driver);
-2. the driver turns those into a carried offset per partition for the group
-   that continues from the partitions before it, and a narrow pass adds the
-   in-partition running sum to that offset.
+1. an aggregate reports each partition's first and last group with their
+   weight sums (one row per partition reaches the driver);
+2. the driver turns those into a carried offset for each partition whose
+   first group continues from earlier partitions (a sparse map, shipped as a
+   broadcast variable), and a narrow Arrow pass adds the in-partition running
+   sum to that offset.
+
+``global_positions`` (one order, no groups, distinct rows) needs no Python:
+per-partition counts give offsets, joined as a one-row-per-partition broadcast,
+and ``monotonically_increasing_id`` on the sorted partition gives the rest.
 
 The sort key must be a total order on the rows (collapse exact copies into a
 weight first), so a recomputed partition yields the same positions.  Groups
