@@ -126,3 +126,11 @@ def test_fast_hash_option(spark, interactions):
         assert 0 <= b[0] and b[1] < 1 << 32
     finally:
         spark.conf.unset("interlens.hash")
+
+
+def test_final_split_is_fold_zero_train_plus_val(spark, interactions):
+    train, test = split.final_split(interactions, ROLES, k=4, fold=0)
+    tr0, va0, te0 = split.kfold_split(interactions, ROLES, k=4)[0]
+    assert _bag(train) == _bag(tr0) + _bag(va0)
+    assert _bag(test) == _bag(te0)
+    assert train.count() + test.count() == interactions.count()
