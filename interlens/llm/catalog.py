@@ -49,3 +49,25 @@ FROM d LEFT JOIN k USING (doc_id)
 @_query("op10_substring_dedup", OP10_SQL)
 def op10(spark, sf_dir) -> DataFrame:
     return _op("substring_dedup").substring_dedup(load(spark, sf_dir, "documents")).drop("kept_text")
+
+
+OP9_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS p FROM d WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 2], ' ') AS g FROM p),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM c JOIN n nx ON x = nx.doc_id JOIN n ny ON y = ny.doc_id WHERE 100 * i >= 90 * (nx.n + ny.n - i)),
+e AS (SELECT x AS a, y AS b FROM l UNION ALL SELECT y, x FROM l),
+r(doc_id, node) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.node = e.a)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(node) AS component_id,
+       (SELECT count(*) FROM e WHERE e.a = r.doc_id) AS n_links
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
+@_query("op9_jaccard_join", OP9_SQL)
+def op9(spark, sf_dir) -> DataFrame:
+    return _op("jaccard_join").jaccard_join(load(spark, sf_dir, "documents"), shingle=3, percent=90)

@@ -4,7 +4,7 @@ and connected components over DataFrames."""
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, shared_dir
@@ -37,8 +37,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def slices_for(n_bytes: int, per_slice: int = 8 << 20, least: int = 64) -> int:
-    """Hash slices so that one slice holds about ``per_slice`` bytes at any size."""
-    return int(max(least, -(-n_bytes // per_slice)))
+    """Hash slices of the input: about ``per_slice`` bytes each, and up to eight
+    times as much once there are over 4096 of them (fewer, larger messages)."""
+    n = -(-n_bytes // per_slice)
+    return int(max(least, min(n, max(4096, n // 8))))
 
 
 def i64(a) -> pa.Array:
@@ -64,15 +66,14 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
     mark = None
     for _ in range(rounds):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "cc-low")
         # large-star: neighbours above a go to a's minimum
         large = (edges.select(F.col("b").alias("a"), F.col("a").alias("v")).join(low, "a")
                  .select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
         # small-star: a and its neighbours below go to the least of them
-        low2 = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low2, "a")
-        small = (small.select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .union(low2.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
+        near = large.withColumn("m", F.min("b").over(Window.partitionBy("a")))
+        small = (near.select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
+                 .where("a <> b").distinct())
         edges = stored(small, "cc-round")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1000003)).first()
         if now == mark:
