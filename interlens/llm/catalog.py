@@ -71,3 +71,35 @@ FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 @_query("op9_jaccard_join", OP9_SQL)
 def op9(spark, sf_dir) -> DataFrame:
     return _op("jaccard_join").jaccard_join(load(spark, sf_dir, "documents"), shingle=3, percent=90)
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS g
+       FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM d WHERE len(w) >= 5)),
+bs AS (SELECT DISTINCT item_id, array_to_string(w[p:p + 4], ' ') AS g
+       FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS p FROM b WHERE len(w) >= 5)),
+n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id),
+c AS (SELECT doc_id, item_id, count(*) AS n_common FROM ds JOIN bs USING (g) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shingles, n_common, n_common / n_shingles AS containment
+FROM c JOIN n USING (item_id) WHERE 100 * n_common >= 80 * n_shingles
+"""
+
+
+@_query("op1_decontaminate", OP1_SQL)
+def op1(spark, sf_dir) -> DataFrame:
+    return _op("decontaminate").find_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+def byte_bpe() -> dict:
+    """Where the public byte-level tokeniser lies on this machine."""
+    import public_tokenizers as p
+    return {"tokenizer": p.path("byte_bpe_50k.json"), "ranks": p.path("byte_bpe_50k.tiktoken"), "pattern": p.PATTERN}
+
+
+@_query("op2_pack")
+def op2(spark, sf_dir) -> DataFrame:
+    return _op("packing").pack(load(spark, sf_dir, "documents"), **byte_bpe())
