@@ -64,7 +64,7 @@ def cells_of(h: np.ndarray, row: int, width: int) -> np.ndarray:
 
 
 def _partition_sketch(width: int, window: int):
-    """One sketch a task, flushed when it holds 4 million cells a row."""
+    """One sketch a task, flushed when it holds 2 million cells a row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         size = 0
@@ -95,7 +95,7 @@ def _partition_sketch(width: int, window: int):
                 _, h = tv.windows(tv.words(c), window)
                 held.append(h)
                 size += len(h)
-                if size > 4_000_000:
+                if size > 2_000_000:
                     yield flush()
                     size = 0
         if size:
@@ -147,8 +147,8 @@ def _candidates(bits, width: int, window: int, n_slices: int):
     def run(batches):
         marks = bits.value
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            tags = batch.column(2).to_numpy(zero_copy_only=False)
+            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            tags = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int16)
             for c in tv.chunks(batch.column(1), 2 * tv.CHUNK_BYTES):
                 w = tv.words(c)
                 at, h = tv.windows(w, window)
@@ -174,8 +174,8 @@ def _candidates(bits, width: int, window: int, n_slices: int):
                     by = np.argsort(slot, kind="stable")
                     pick, slot = pick[by], slot[by]
                     cut = np.flatnonzero(np.diff(slot, prepend=-1))
-                    rows = [(int(slot[a]), known, b"" if known else h[p].tobytes(), b"" if known else g[p].tobytes(),
-                             did[p].astype(np.int64).tobytes(), tag[p].tobytes(), pos[p].tobytes())
+                    rows = [(int(slot[a]), known, b"" if known else tv.pack(h[p]), b"" if known else tv.pack(g[p]),
+                             *(tv.pack(x[p]) for x in (did, tag, pos)))
                             for a, b in zip(cut, [*cut[1:], len(pick)]) for p in [pick[a:b]]]
                     if rows:
                         yield pa.RecordBatch.from_arrays(
@@ -183,16 +183,12 @@ def _candidates(bits, width: int, window: int, n_slices: int):
     return run
 
 
-def _joined(col, dtype) -> np.ndarray:
-    return np.concatenate([np.frombuffer(x.as_py(), dtype) for x in col]) if len(col) else np.zeros(0, dtype)
-
-
 def _repeats(group: pa.Table) -> pa.Table:
     """Occurrences after the first, per document row."""
     sent = group.filter(pc.invert(group["known"]))
     known = group.filter(group["known"])
-    h, g = _joined(sent["h"], np.uint64), _joined(sent["g"], np.uint32)
-    did, tag, pos = _joined(sent["id"], np.int64), _joined(sent["tag"], np.int64), _joined(sent["pos"], np.int32)
+    h, g = tv.unpack(sent["h"], np.uint64), tv.unpack(sent["g"], np.uint32)
+    did, tag, pos = tv.unpack(sent["id"], np.int64), tv.unpack(sent["tag"], np.int16), tv.unpack(sent["pos"], np.int32)
     if len(h):
         order = np.lexsort((pos, did, g, h))
         h, g, did, tag, pos = h[order], g[order], did[order], tag[order], pos[order]
@@ -200,15 +196,15 @@ def _repeats(group: pa.Table) -> pa.Table:
         head = np.maximum.accumulate(np.where(lead, np.arange(len(h)), 0))
         later = (did != did[head]) | (pos != pos[head])
         did, tag, pos = did[later], tag[later], pos[later]
-    did = np.concatenate([did, _joined(known["id"], np.int64)])
-    tag = np.concatenate([tag, _joined(known["tag"], np.int64)])
-    pos = np.concatenate([pos, _joined(known["pos"], np.int32)])
+    did = np.concatenate([did, tv.unpack(known["id"], np.int64)])
+    tag = np.concatenate([tag, tv.unpack(known["tag"], np.int16)])
+    pos = np.concatenate([pos, tv.unpack(known["pos"], np.int32)])
     order = np.lexsort((pos, tag, did))
     did, tag, pos = did[order], tag[order], pos[order]
     cut = np.flatnonzero(np.concatenate([[True], (did[1:] != did[:-1]) | (tag[1:] != tag[:-1])])) if len(did) else []
     ends = [*cut[1:], len(did)] if len(cut) else []
     return pa.table({"id": pa.array(did[cut] if len(cut) else [], pa.int64()),
-                     "tag": pa.array(tag[cut] if len(cut) else [], pa.int64()),
+                     "tag": pa.array(tag[cut] if len(cut) else [], pa.int16()),
                      "pos": pa.array([pos[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary())})
 
 
@@ -220,7 +216,7 @@ def repeated_windows(texts: DataFrame, window: int, sketch_bytes: int) -> DataFr
     width = sketch_cells(n, sketch_bytes)
     bits = spark.sparkContext.broadcast(merged_sketch(texts, width, window))
     return (texts.mapInArrow(_candidates(bits, width, window, slices_for(n)), _ENTRY)
-            .groupBy("slice").applyInArrow(_repeats, "id long, tag long, pos binary"))
+            .groupBy("slice").applyInArrow(_repeats, "id long, tag short, pos binary"))
 
 
 def _rest(window: int):
@@ -259,10 +255,10 @@ def substring_dedup(docs: DataFrame, window: int = 20, sketch_bytes: int = 64 <<
     kept_text.  Null text: no words.  Rows without an id are left out.  Texts
     shorter than a window lose nothing.  Rows repeated with one id are no copies
     of each other (neither starts earlier); a different text under that id is
-    compared by start alone.  Empty table: empty result.  Extra columns are not
+    compared by start alone, and told apart by a 16-bit hash of the text.  Empty table: empty result.  Extra columns are not
     read.
     """
-    texts = id_text(docs, id_col, text_col).withColumn("tag", F.xxhash64("text"))
+    texts = id_text(docs, id_col, text_col).withColumn("tag", (F.xxhash64("text") % 32768).cast("short"))
     found = (repeated_windows(texts, window, sketch_bytes)
              .groupBy("id", "tag").agg(F.collect_list("pos").alias("pos")))
     rest = texts.join(found, ["id", "tag"], "left").select("id", "text", "pos").mapInArrow(
