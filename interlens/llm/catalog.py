@@ -103,3 +103,46 @@ def byte_bpe() -> dict:
 @_query("op2_pack")
 def op2(spark, sf_dir) -> DataFrame:
     return _op("packing").pack(load(spark, sf_dir, "documents"), **byte_bpe())
+
+
+def op3_sql() -> str:
+    from . import quality_rules as q
+    stop = ", ".join(f"'{w}'" for w in dict.fromkeys(q.STOP_WORDS))
+    def bad(rules):
+        parts = []
+        for r in rules:
+            value = r.value if r.per is None else f"({r.value}) * 1.0 / nullif({r.per}, 0)"
+            if r.low is not None:
+                parts.append(f"coalesce({value} < {r.low}, false)")
+            if r.high is not None:
+                parts.append(f"coalesce({value} > {r.high}, false)")
+        return " OR ".join(parts)
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
+g AS (SELECT doc_id, p, array_to_string(w[p:p + 2], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM d WHERE len(w) >= 3)),
+r AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g),
+c AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + 3)) AS q FROM r WHERE n > 1) GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT x) AS n_dup_lines,
+             count(*) FILTER (rtrim(x, ' ') LIKE '%...' OR rtrim(x, ' ') LIKE '%…') AS n_ellipsis_lines,
+             count(*) FILTER (ltrim(x, ' ')[1] IN ('-', '*', '•')) AS n_bullet_lines
+      FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(length(regexp_replace(t, '[^A-Z]', '', 'g')) AS BIGINT) AS n_capitals,
+             CAST(len(list_filter(w, lambda x: lower(x) IN ({stop}))) AS BIGINT) AS n_stop_words,
+             coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines,
+             coalesce(n_ellipsis_lines, 0) AS n_ellipsis_lines, coalesce(n_bullet_lines, 0) AS n_bullet_lines,
+             coalesce(c.n, 0) AS n_repeat_words
+      FROM d LEFT JOIN l USING (doc_id) LEFT JOIN c USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       {bad(q.BASE)} AS base_failed, NOT ({bad((*q.BASE, *q.RULES))}) AS kept
+FROM m
+"""
+
+
+@_query("op3_quality_rules", op3_sql())
+def op3(spark, sf_dir) -> DataFrame:
+    return _op("quality_rules").quality_rules(load(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
