@@ -146,3 +146,8 @@ FROM m
 def op3(spark, sf_dir) -> DataFrame:
     return _op("quality_rules").quality_rules(load(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@_query("op4_licences")
+def op4(spark, sf_dir) -> DataFrame:
+    return _op("licences").scan(load(spark, sf_dir, "documents"))
