@@ -151,3 +151,23 @@ def op3(spark, sf_dir) -> DataFrame:
 @_query("op4_licences")
 def op4(spark, sf_dir) -> DataFrame:
     return _op("licences").scan(load(spark, sf_dir, "documents"))
+
+
+@_query("op5_warc")
+def op5(spark, sf_dir) -> DataFrame:
+    from .common import scratch_path
+    w, path = _op("warc"), scratch_path(spark, "warc")
+    w.write_archive(load(spark, sf_dir, "pages"), path)
+    return w.parse_records(w.read_records(spark, path))
+
+
+ORACLE["op5_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x,
+                  max(page_id) OVER (PARTITION BY coalesce(html, '')) AS original FROM pages)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+       translate({" || ".join(f"to_base(CAST('0x' || substr(x, {1 + 5 * i}, 5) AS BIGINT), 32, 4)" for i in range(8))},
+                 '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+       CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> original THEN original END AS refers_to
+FROM p
+"""
