@@ -171,3 +171,8 @@ SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
        CASE WHEN page_id <> original THEN original END AS refers_to
 FROM p
 """
+
+
+@_query("op6_quality_model")
+def op6(spark, sf_dir) -> DataFrame:
+    return _op("quality_model").classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
