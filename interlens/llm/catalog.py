@@ -176,3 +176,14 @@ FROM p
 @_query("op6_quality_model")
 def op6(spark, sf_dir) -> DataFrame:
     return _op("quality_model").classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@_query("op7_toxicity")
+def op7(spark, sf_dir) -> DataFrame:
+    return _op("toxicity").score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")).select(
+        "doc_id", "held_out", "score", "predicted")
+
+
+@_query("op8_personal")
+def op8(spark, sf_dir) -> DataFrame:
+    return _op("personal").find(load(spark, sf_dir, "documents"))
