@@ -13,9 +13,9 @@ salt so that, e.g., a 25 % sample is not nested inside the first 60 % of a split
 Keys must be non-null (``concat_ws`` skips nulls) and integral or string typed.
 
 md5 costs about 3 us per row and core.  Where reproducing the buckets in
-another engine does not matter, set ``interlens.hash=xxhash64`` on the
-session: the bucket becomes ``xxhash64(seed, salt, keys) mod 2^32``, several
-times cheaper, with the same fractions and salts (but other rows).
+another engine does not matter, pass ``method="xxhash64"``: the bucket becomes
+``xxhash64(seed, salt, keys) mod 2^32``, several times cheaper, with the same
+fractions and salts (but other rows).
 """
 
 from __future__ import annotations
@@ -38,21 +38,14 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def hash_method() -> str:
-    """``md5`` (portable, default) or ``xxhash64`` (fast), from the active session."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    method = spark.conf.get("interlens.hash", "md5") if spark is not None else "md5"
-    if method not in ("md5", "xxhash64"):
-        raise ValueError(f"interlens.hash must be md5 or xxhash64, got {method!r}")
-    return method
-
-
-def bucket(seed: int, salt: str, *keys, method: str | None = None) -> Column:
-    """Seeded 32-bit bucket of ``keys`` as a bigint column."""
+def bucket(seed: int, salt: str, *keys, method: str = "md5") -> Column:
+    """Seeded 32-bit bucket of ``keys`` as a bigint column, by ``md5`` (portable)
+    or ``xxhash64`` (cheaper)."""
     if not keys:
         raise ValueError("bucket needs at least one key column")
-    if (method or hash_method()) == "xxhash64":
+    if method not in ("md5", "xxhash64"):
+        raise ValueError(f"method must be md5 or xxhash64, got {method!r}")
+    if method == "xxhash64":
         # keys as strings, so int and bigint ids of one entity share a bucket
         return F.pmod(F.xxhash64(F.lit(str(seed)), F.lit(salt), *[_col(k).cast("string") for k in keys]),
                       F.lit(SPACE))

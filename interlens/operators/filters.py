@@ -3,14 +3,13 @@
 Counting per user is a hash aggregate with a partial step before the shuffle,
 so a user holding a large share of the rows costs one row per map task.  Rows
 of the kept users are selected with a semi join whose key side is broadcast
-only below a counted size.  The window form (``method="window"``) does the same
-in one pass but puts every row of a user in one task; it is offered for small
-inputs only.
+only below a measured size.  (A count window over the user would put every row
+of a user in one task; the result is the same.)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_THRESHOLD
@@ -37,20 +36,9 @@ def frequent_users(df: DataFrame, user: str = "user_id", threshold: int = DEFAUL
 
 
 def frequent_interactions(df: DataFrame, user: str = "user_id", threshold: int = DEFAULT_THRESHOLD,
-                          inclusive: bool = True, method: str = "semi", max_users: int | None = None) -> DataFrame:
-    """Rows whose user passes the activity threshold, in the input's columns.
-
-    ``max_users``: a known upper bound on the distinct users (table statistics);
-    under the broadcast cap it spares the count of the key table.
-    """
-    if method == "semi":
-        keys = frequent_users(df, user, threshold, inclusive)
-        return restrict_to_keys(df, keys, user, upper_bound=max_users)
-    if method == "window":
-        n = F.count(F.col(user)).over(Window.partitionBy(user))
-        return (df.where(F.col(user).isNotNull()).withColumn("_n", n)
-                .where(_keep("_n", threshold, inclusive)).drop("_n"))
-    raise ValueError(f"method must be 'semi' or 'window', got {method!r}")
+                          inclusive: bool = True) -> DataFrame:
+    """Rows whose user passes the activity threshold, in the input's columns."""
+    return restrict_to_keys(df, frequent_users(df, user, threshold, inclusive), user)
 
 
 def removal_report(df: DataFrame, user: str = "user_id", threshold: int = DEFAULT_THRESHOLD,

@@ -4,7 +4,7 @@
 gaps and no one-task window: distinct keys are range partitioned and numbered
 by ``group_positions`` (per-partition counts plus offsets).  The index has one
 row per key; ``attach_index`` joins it to the data and broadcasts it only when
-its counted size is under the cap.
+its measured bytes are within Spark's threshold.
 """
 
 from __future__ import annotations
@@ -43,32 +43,31 @@ def dense_index(df: DataFrame, col_name: str, start: int = 0, out: str | None =
 
 
 def attach_index(df: DataFrame, col_name: str, start: int = 0, out: str | None = None,
-                 index: DataFrame | None = None, as_int: bool = True, how: str = "inner",
-                 known_rows: int | None = None) -> DataFrame:
+                 index: DataFrame | None = None, as_int: bool = True, how: str = "inner") -> DataFrame:
     """``df`` with ``<col>_index`` joined on (J3); builds the index when not given."""
     if index is None:
-        index, known_rows = dense_index(df, col_name, start, out, as_int)
-    return join_small(df, index, col_name, how, row_bytes=96, known_rows=known_rows)
+        index, _ = dense_index(df, col_name, start, out, as_int)
+    return join_small(df, index, col_name, how)
 
 
 def attach_indexes(df: DataFrame, cols, start: int = 0, as_int: bool = True) -> DataFrame:
     """``df`` with a dense index for each of ``cols``.
 
     The indexes are independent, so their (small) jobs are submitted from a
-    thread pool and overlap; each is then joined with its known size.
+    thread pool and overlap; each is then measured and joined.
     """
     from concurrent.futures import ThreadPoolExecutor
     cols = list(cols)
     with ThreadPoolExecutor(max_workers=max(1, min(4, len(cols)))) as pool:
         built = list(pool.map(lambda c: dense_index(df, c, start, as_int=as_int), cols))
-    for c, (idx, n) in zip(cols, built):
-        df = attach_index(df, c, index=idx, known_rows=n)
+    for c, (idx, _) in zip(cols, built):
+        df = attach_index(df, c, index=idx)
     return df
 
 
-def lookup_index(df: DataFrame, index: DataFrame, col_name: str, known_rows: int | None = None) -> DataFrame:
+def lookup_index(df: DataFrame, index: DataFrame, col_name: str) -> DataFrame:
     """Look keys up in an index table; unknown keys get null (P7 as a join)."""
-    return join_small(df, index, col_name, "left", row_bytes=96, known_rows=known_rows)
+    return join_small(df, index, col_name, "left")
 
 
 def row_index(df: DataFrame, out: str = "row_index") -> DataFrame:

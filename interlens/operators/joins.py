@@ -1,73 +1,81 @@
-"""Joins against a derived key table, broadcast only behind a size check.
+"""Joins against a derived key table, broadcast only below a measured size.
 
 The key tables here (frequent users, sampled users, index maps, per-user
 thresholds) are results of an aggregation, so the planner's estimate of their
-size is the size of the input they came from.  We count them once (they are
-persisted first, so the count is the only extra job) and broadcast only below
-a row cap; above it the join stays a shuffle join, where AQE may still split
-skewed partitions.
+size is the size of the input they came from.  They are checkpointed into the
+shared folder and measured there, in bytes: rows, fixed columns and the lengths
+of every string.  Up to Spark's own broadcast threshold they are broadcast.
+Beyond it the join is a shuffle join with a salted key: the key table is copied
+to every salt and the large side is dealt over them, so one hot key is never one
+task, and whatever aggregates next has to shuffle again instead of inheriting
+the skewed partitions.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# bytes per broadcast row we budget for: a small key plus hash-relation overhead
-_BYTES_PER_KEY_ROW = 64
+from ..session import cut_lineage
 
+ROW_OVERHEAD = 32   # hash relation and row header, per row
+SALTS = 16
 
-def broadcast_row_cap(spark, row_bytes: int = _BYTES_PER_KEY_ROW) -> int:
-    """Largest row count we broadcast: Spark's broadcast threshold / row budget."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        limit = int(str(raw).lower().rstrip("b"))
-    except ValueError:
-        units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-        s = str(raw).lower().rstrip("b")
-        limit = int(float(s[:-1]) * units.get(s[-1], 1))
-    if limit <= 0:
-        return 0
-    return limit // max(row_bytes, 1)
 
+def broadcast_limit(spark) -> int:
+    """Spark's broadcast threshold in bytes (0: never)."""
+    s = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    limit = int(float(s[:-1]) * units[s[-1]]) if s and s[-1] in units else int(s)
+    return max(limit, 0)
 
-_CACHED: list[DataFrame] = []
 
+def row_bytes(schema: T.StructType):
+    """Bytes of a row as a column expression."""
+    total = F.lit(ROW_OVERHEAD).cast("long")
+    for f in schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + 16 + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + 16 + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f.name)))), F.lit(0))
+        else:
+            total = total + 16
+    return total
 
-def sized(small: DataFrame) -> tuple[DataFrame, int]:
-    """Persist ``small`` and return it with its row count."""
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    _CACHED.append(small)
-    return small, small.count()
 
+def measured(small: DataFrame) -> tuple[DataFrame, int]:
+    """``small``, checkpointed, and its size in bytes."""
+    small = cut_lineage(small)
+    size = small.agg(F.sum(row_bytes(small.schema))).first()[0]
+    return small, int(size or 0)
 
-def release_cached() -> int:
-    """Unpersist the key tables cached for size checks; call once results are written."""
-    n = len(_CACHED)
-    while _CACHED:
-        _CACHED.pop().unpersist()
-    return n
 
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", limit: int | None = None,
+               null_safe: bool = False) -> DataFrame:
+    """``big.join(small, on, how)`` on equally named columns, which come once.
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int | None = None, row_bytes: int = _BYTES_PER_KEY_ROW,
-               known_rows: int | None = None, upper_bound: int | None = None) -> DataFrame:
-    """``big.join(small, on, how)``, broadcasting ``small`` only if it is proven small.
-
-    The proof is ``known_rows`` (an exact count), an ``upper_bound`` that
-    already fits (e.g. the table's distinct keys), or else a count taken here.
+    ``small`` is broadcast if its measured bytes are within ``limit`` (Spark's
+    threshold); else the join is salted.  ``how``: inner, left or left_semi.
+    ``null_safe``: null keys match null keys.
     """
-    cap = broadcast_row_cap(big.sparkSession, row_bytes) if max_rows is None else max_rows
-    if known_rows is None and upper_bound is not None and upper_bound <= cap:
-        return big.join(F.broadcast(small), on, how)
-    if known_rows is None:
-        small, known_rows = sized(small)
-    right = F.broadcast(small) if known_rows <= cap else small
-    return big.join(right, on, how)
-
-
-def restrict_to_keys(df: DataFrame, keys: DataFrame, key: str, **kw) -> DataFrame:
-    # kw: max_rows, row_bytes, known_rows, upper_bound (see join_small)
+    keys = [on] if isinstance(on, str) else list(on)
+    small, size = measured(small)
+    renamed = {c: f"_k_{c}" for c in keys}
+    right = small.withColumnsRenamed(renamed)
+    left = big
+    if size <= (broadcast_limit(big.sparkSession) if limit is None else limit):
+        right = F.broadcast(right)
+        salt = []
+    else:
+        left = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int"))
+        right = right.withColumn("_k_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salt = [F.col("_salt") == F.col("_k_salt")]
+    equal = [F.col(c).eqNullSafe(F.col(renamed[c])) if null_safe else F.col(c) == F.col(renamed[c]) for c in keys]
+    extra = [c for c in small.columns if c not in keys] if how != "left_semi" else []
+    return left.join(right, equal + salt, how).select(*big.columns, *extra)
+
+
+def restrict_to_keys(df: DataFrame, keys: DataFrame, key: str, limit: int | None = None) -> DataFrame:
     """Rows of ``df`` whose ``key`` is in ``keys`` (left semi join; left columns only)."""
-    return join_small(df, keys.select(key).where(F.col(key).isNotNull()), key, "left_semi", **kw)
+    return join_small(df, keys.select(key).where(F.col(key).isNotNull()), key, "left_semi", limit)

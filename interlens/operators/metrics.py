@@ -6,16 +6,21 @@ distinct items with their best rating):
 
     precision@k = |{i < k : P_i in L}| / k
     AP@k        = sum_{i<k} [P_i in L] * hits(i) / (i + 1) / min(|L|, k)
+    AP          = sum_{i} [P_i in L] * hits(i) / (i + 1) / |L|, over the items whose
+                  prediction rank() is at most k: ties at the k-th prediction stay
     NDCG@k      = sum_{i<k} [P_i in L] / ln(i + 2)  /  sum_{i < min(|L|, k)} 1 / ln(i + 2)
 
 averaged over users.  These equal Spark's ``RankingMetrics`` fed the lists the
 reference builds.  Nothing here needs a user's whole list in one place: P
-comes from a ``row_number <= k`` limit, which Catalyst applies per map task
+comes from a ``rank() <= k`` limit, which Catalyst applies per map task
 before the shuffle, and L from per-(user, rating) counts where only the k best
 ratings can qualify.
 
+Both read one shuffle of the (user, item) pairs.
+
 Regression (rmse, mae, r2) runs over the rows whose prediction rank() is at
-most k (all rows when k is None), from per-(user, prediction) sums.
+most k (all rows when k is None), from per-(user, prediction) counts, errors and
+central moments, so large ratings lose no digits.  Without variance r2 is null.
 
 Parity note: predicted and relevant lists come from the same held-out rows, so
 a user with n <= k distinct items scores precision n/k and NDCG 1 whatever the
@@ -45,8 +50,13 @@ def ranking_per_user(scored: DataFrame, k: int, roles: Roles) -> DataFrame:
     u, i, r, p = roles.user, roles.item, roles.rating, roles.prediction
     pairs = _clean(scored, roles).groupBy(u, i).agg(F.max(r).alias("_r"), F.max(p).alias("_p"))
 
+    # both branches keep the same columns of the pairs, so the exchange below
+    # them is planned once and reused
+    pairs = pairs.where(F.col("_r").isNotNull() & F.col("_p").isNotNull())
+    ties = Window.partitionBy(u).orderBy(F.col("_p").desc())
     w_pred = Window.partitionBy(u).orderBy(F.col("_p").desc(), F.col(i).asc())
-    top = pairs.withColumn("_pos", F.row_number().over(w_pred)).where(F.col("_pos") <= k)
+    top = (pairs.withColumn("_prank", F.rank().over(ties)).where(F.col("_prank") <= k)
+           .withColumn("_pos", F.row_number().over(w_pred)))
 
     hist = pairs.groupBy(u, "_r").agg(F.count(F.lit(1)).alias("_n"))
     w_rat = Window.partitionBy(u).orderBy(F.col("_r").desc())
@@ -64,10 +74,13 @@ def ranking_per_user(scored: DataFrame, k: int, roles: Roles) -> DataFrame:
     w_hits = Window.partitionBy(u).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     t = t.withColumn("_rel", rel).withColumn("_hits", F.sum("_rel").over(w_hits))
     disc = F.lit(1.0) / F.log(F.col("_pos") + 1.0)
+    gain = F.col("_rel") * F.col("_hits") / F.col("_pos")
+    in_k = F.col("_pos") <= k
     per = t.groupBy(u).agg(
-        F.sum("_rel").alias("_hk"),
-        F.sum(F.col("_rel") * F.col("_hits") / F.col("_pos")).alias("_ap"),
-        F.sum(F.col("_rel") * disc).alias("_dcg"),
+        F.sum(F.when(in_k, F.col("_rel")).otherwise(0)).alias("_hk"),
+        F.sum(F.when(in_k, gain).otherwise(0.0)).alias("_ap"),
+        F.sum(gain).alias("_ap_all"),
+        F.sum(F.when(in_k, F.col("_rel") * disc).otherwise(0.0)).alias("_dcg"),
         F.sum(F.when(F.col("_pos") <= F.least(F.col("_L"), F.lit(k)), disc).otherwise(0.0)).alias("_idcg"),
         F.first("_L").alias("n_relevant"),
         F.first("_items").alias("n_items"),
@@ -76,7 +89,7 @@ def ranking_per_user(scored: DataFrame, k: int, roles: Roles) -> DataFrame:
         u,
         (F.col("_hk") / F.lit(float(k))).alias("precision"),
         (F.col("_ap") / F.least(F.col("n_relevant"), F.lit(k))).alias("ap"),
-        (F.col("_ap") / F.col("n_relevant")).alias("ap_all"),
+        (F.col("_ap_all") / F.col("n_relevant")).alias("ap_all"),
         F.coalesce(F.try_divide(F.col("_dcg"), F.col("_idcg")), F.lit(0.0)).alias("ndcg"),
         F.col("n_items").cast("bigint").alias("n_items"),
         F.col("n_relevant").cast("bigint").alias("n_relevant"),
@@ -86,8 +99,9 @@ def ranking_per_user(scored: DataFrame, k: int, roles: Roles) -> DataFrame:
 def ranking_metrics(scored: DataFrame, k: int, roles: Roles) -> DataFrame:
     """One row: precision_at_k, map_at_k, mean_average_precision, ndcg_at_k, n_users, n_users_le_k.
 
-    ``mean_average_precision`` is MAP without a cut-off over the top-k list
-    (divisor |L|), as Spark's ``RankingMetrics.meanAveragePrecision``.
+    ``mean_average_precision`` is MAP without a cut-off over the items whose
+    prediction rank() is at most k (divisor |L|), as Spark's
+    ``RankingMetrics.meanAveragePrecision`` over those lists.
     """
     per = ranking_per_user(scored, k, roles)
     return per.agg(
@@ -107,7 +121,7 @@ def regression_metrics(scored: DataFrame, k: int | None, roles: Roles) -> DataFr
     err = F.col("_p") - F.col("_l")
     g = d.groupBy(u, "_p").agg(
         F.count(F.lit(1)).alias("_n"), F.sum(err * err).alias("_se"), F.sum(F.abs(err)).alias("_ae"),
-        F.sum("_l").alias("_sl"), F.sum(F.col("_l") * F.col("_l")).alias("_sl2"))
+        F.avg("_l").alias("_ml"), F.var_pop("_l").alias("_vl"))
     if k is not None:
         if k < 1:
             raise ValueError("k must be >= 1")
@@ -115,13 +129,16 @@ def regression_metrics(scored: DataFrame, k: int | None, roles: Roles) -> DataFr
         before = F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         g = (g.withColumn("_g", F.row_number().over(w)).where(F.col("_g") <= k)
              .withColumn("_rank", before + 1).where(F.col("_rank") <= k))
-    tot = g.agg(*[F.sum(c).alias(c) for c in ("_n", "_se", "_ae", "_sl", "_sl2")])
+    # the mean first (a scalar subquery), then moments about it
+    mean = g.agg((F.try_divide(F.sum(F.col("_n") * F.col("_ml")), F.sum("_n"))).alias("_m")).scalar()
+    off = F.col("_ml") - mean
+    tot = g.select("_n", "_se", "_ae", (F.col("_n") * (F.col("_vl") + off * off)).alias("_sst")).agg(
+        *[F.sum(c).alias(c) for c in ("_n", "_se", "_ae", "_sst")])
     n = F.col("_n").cast("double")
-    sst = F.col("_sl2") - F.col("_sl") * F.col("_sl") / n
     return tot.select(
         F.sqrt(F.try_divide(F.col("_se"), n)).alias("rmse"),
         F.try_divide(F.col("_ae"), n).alias("mae"),
-        (F.lit(1.0) - F.try_divide(F.col("_se"), sst)).alias("r2"),
+        (F.lit(1.0) - F.try_divide(F.col("_se"), F.col("_sst"))).alias("r2"),
         F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("n_rows"),
     )
 
@@ -151,9 +168,3 @@ def evaluate(scored: DataFrame, metric: str, k: int | None, roles: Roles) -> flo
     v = df.select(col).first()[0]
     return float("nan") if v is None else float(v)
 
-
-def evaluate_all(scored: DataFrame, k: int, roles: Roles) -> dict:
-    """All six metrics; two jobs (ranking and regression)."""
-    rk = ranking_metrics(scored, k, roles).first().asDict()
-    rg = regression_metrics(scored, k, roles).first().asDict()
-    return {**rk, **rg}

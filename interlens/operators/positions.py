@@ -3,23 +3,23 @@
 ``group_positions`` gives each row the number of (weighted) rows before it in
 its group, in a total order.  A window ``partitionBy(group).orderBy(...)``
 would put a whole group in one task; here the rows are range partitioned on
-(group, order), so a large group is spread over many tasks, and positions are
-made in two passes over the persisted, sorted partitions:
+(group, order), sorted and checkpointed once, so a large group is spread over
+many tasks, and positions are made in two passes over those partitions:
 
 1. an aggregate reports each partition's first and last group with their
    weight sums (one row per partition reaches the driver);
 2. the driver turns those into a carried offset for each partition whose
    first group continues from earlier partitions (a sparse map, shipped as a
-   broadcast variable), and a narrow Arrow pass adds the in-partition running
-   sum to that offset.
+   broadcast variable), and a narrow Arrow pass appends the position as one
+   column.  The other columns pass through untouched, so every type and every
+   null, NaN and large integer stays as it is.
 
 ``global_positions`` (one order, no groups, distinct rows) needs no Python:
 per-partition counts give offsets, joined as a one-row-per-partition broadcast,
 and ``monotonically_increasing_id`` on the sorted partition gives the rest.
 
 The sort key must be a total order on the rows (collapse exact copies into a
-weight first), so a recomputed partition yields the same positions.  Groups
-whose measured weight is small enough for one task use a plain window instead.
+weight first), so a recomputed partition yields the same positions.
 
 ``expand_counts`` turns (row, n) back into n rows.  A row with a huge count is
 cut into chunks that are spread over tasks before they are exploded, so a
@@ -28,21 +28,20 @@ group of copies never lands in one task.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 _PID = "_pid"
 _GKEY = "_gkey"
 _W = "_w"
 
 
-# Largest group (in weighted rows) numbered with a plain window: one task
-# sorts at most this many rows.  Larger groups take the distributed path.
-MAX_WINDOW_GROUP = 2_000_000
-
-
 def _num_partitions(df: DataFrame, n: int | None) -> int:
     if n:
         return n
@@ -58,18 +57,14 @@ def global_positions(df: DataFrame, order_cols, out: str = "pos",
     Range partitioning sorts the rows over many tasks; each partition's row
     count (one row per partition) gives its offset, and the row's index inside
     its partition comes from ``monotonically_increasing_id`` taken on the
-    sorted partition.  The order must be total (e.g. distinct keys), so a
-    recomputed partition gets the same numbers.
+    sorted partition.  The order must be total (e.g. distinct keys).
     """
     order_cols = list(order_cols)
     n = _num_partitions(df, num_partitions)
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)  # read by the range sampler and the shuffle
-    ranged = (src.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-              .withColumn(_PID, F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    ranged = cut_lineage(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+                         .withColumn(_PID, F.spark_partition_id())
+                         .withColumn("_mid", F.monotonically_increasing_id()))
     counts = {r[0]: r[1] for r in ranged.groupBy(_PID).count().collect()}
-    src.unpersist()
     offsets, acc = {}, 0
     for pid in sorted(counts):
         offsets[pid], acc = acc, acc + counts[pid]
@@ -82,55 +77,25 @@ def global_positions(df: DataFrame, order_cols, out: str = "pos",
     return res.drop(_PID, "_mid", "_off"), acc
 
 
-def largest_group(df: DataFrame, group_cols, weight: str | None = None) -> tuple[int | None, int]:
-    """(weight of the largest group, total weight): one thin aggregate."""
-    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    sizes = df.groupBy(*group_cols).agg(F.sum(w).alias("_gw"))
-    biggest, total = sizes.agg(F.max("_gw"), F.sum("_gw")).first()
-    return biggest, int(total or 0)
-
-
 def group_positions(df: DataFrame, group_cols, order_cols, weight: str | None = None,
-                    out: str = "pos", num_partitions: int | None = None,
-                    max_window_group: int = MAX_WINDOW_GROUP,
-                    sizes_from: DataFrame | None = None) -> tuple[DataFrame, int]:
+                    out: str = "pos", num_partitions: int | None = None) -> tuple[DataFrame, int]:
     """Add ``out`` (bigint, 0-based): total weight of earlier rows in the group.
 
-    Returns the DataFrame and the total weight.  The largest group's weight is
-    measured first (one aggregate); when it is at most ``max_window_group`` a
-    window per group does the numbering, otherwise the distributed path runs.
-    ``sizes_from``: rows whose count per group equals the weights (e.g. the
-    rows before they were collapsed); sizing them is a thin partial aggregate.
+    Returns the DataFrame and the total weight.  One path at every size: range
+    partitions (``spark.sql.shuffle.partitions`` of them, which a cluster sizes
+    for its data), of which a large group spans as many as its rows fill.
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
     if not group_cols:
         raise ValueError("group_positions needs group columns; use global_positions for one order")
-    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    if max_window_group >= 0:   # a negative cap means: already known to be large
-        if sizes_from is not None:
-            biggest, total = largest_group(sizes_from, group_cols)
-        else:
-            biggest, total = largest_group(df, group_cols, weight)
-        if biggest is None:
-            return df.withColumn(out, F.lit(None).cast("long")), 0
-        if biggest <= max_window_group:
-            win = (Window.partitionBy(*group_cols).orderBy(*order_cols)
-                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-            return df.withColumn(out, (F.sum(w).over(win) - w).cast("long")), total
-    # range partitions: spark.sql.shuffle.partitions, which a cluster sizes for
-    # its data; a large group spans as many of them as its rows fill
-    return _distributed_positions(df, group_cols, order_cols, weight, out, _num_partitions(df, num_partitions))
-
-
-def _distributed_positions(df, group_cols, order_cols, weight, out, num_partitions):
     keys = group_cols + order_cols
-    gkey = F.to_json(F.struct(*[F.col(c) for c in group_cols]))
+    # values as text: every type keeps its full precision, nulls are left out
+    gkey = F.to_json(F.struct(*[(F.hex(F.col(c)) if isinstance(df.schema[c].dataType, T.BinaryType)
+                                 else F.col(c).cast("string")).alias(f"g{i}") for i, c in enumerate(group_cols)]))
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    n = num_partitions
-    src = df.withColumn(_GKEY, gkey).withColumn(_W, w).persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = (src.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn(_PID, F.spark_partition_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    ranged = cut_lineage(df.withColumn(_GKEY, gkey).withColumn(_W, w)
+                         .repartitionByRange(_num_partitions(df, num_partitions), *keys).sortWithinPartitions(*keys)
+                         .withColumn(_PID, F.spark_partition_id()))
 
     # pass 1 (JVM): per partition its first and last group with their weights.
     # Each partition's rows are sorted by group, so the partial aggregate by
@@ -141,7 +106,6 @@ def _distributed_positions(df, group_cols, order_cols, weight, out, num_partitio
         F.min_by(_GKEY, "_g").alias("first"), F.min_by("_s", "_g").alias("first_w"),
         F.max_by(_GKEY, "_g").alias("last"), F.max_by("_s", "_g").alias("last_w"),
         F.sum("_s").alias("total")).collect()
-    src.unpersist()
     rows = sorted(edge_rows, key=lambda r: r[_PID])
 
     offsets: dict[int, int] = {}
@@ -157,31 +121,29 @@ def _distributed_positions(df, group_cols, order_cols, weight, out, num_partitio
     # only partitions that continue a group carry an offset; shipped once per
     # executor as a broadcast variable, not inside every task's closure
     carried = df.sparkSession.sparkContext.broadcast({p: o for p, o in offsets.items() if o})
+    payload = [c for c in ranged.columns if c not in (_GKEY, _PID, _W)]
 
     # pass 2 (narrow): running weight inside each partition plus the carried offset
     def positions(batches):
-        import numpy as np
-        import pandas as pd
         prev_key, running = None, 0
         for b in batches:
-            if b.empty:
-                yield b.assign(**{out: pd.Series([], dtype="int64", index=b.index)})
+            n = b.num_rows
+            if not n:
                 continue
-            g, wv = b[_GKEY].to_numpy(), b[_W].to_numpy(dtype=np.int64)
+            g, wv = b.column(_GKEY), b.column(_W).to_numpy()
             if prev_key is None:
-                prev_key, running = g[0], carried.value.get(int(b[_PID].iloc[0]), 0)
-            new_block = np.empty(len(g), dtype=bool)
-            new_block[0] = g[0] != prev_key
-            new_block[1:] = g[1:] != g[:-1]
-            block = np.cumsum(new_block)
-            excl = pd.Series(wv).groupby(block).cumsum().to_numpy() - wv
-            pos = excl + np.where(block == 0, running, 0)
-            running, prev_key = int(pos[-1] + wv[-1]), g[-1]
-            yield b.assign(**{out: pos.astype("int64")})
-
-    schema = T.StructType(ranged.schema.fields + [T.StructField(out, T.LongType())])
-    res = ranged.mapInPandas(positions, schema).drop(_GKEY, _PID, _W)
-    return res, int(total)
+                prev_key, running = g[0].as_py(), carried.value.get(b.column(_PID)[0].as_py(), 0)
+            new = np.empty(n, bool)
+            new[0] = g[0].as_py() != prev_key
+            new[1:] = pc.not_equal(g.slice(1), g.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+            before = np.cumsum(wv) - wv
+            start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+            pos = before - before[start] + np.where(np.cumsum(new) == 0, running, 0)
+            running, prev_key = int(pos[-1] + wv[-1]), g[n - 1].as_py()
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in payload), pa.array(pos, pa.int64())], [*payload, out])
+
+    schema = T.StructType([ranged.schema[c] for c in payload] + [T.StructField(out, T.LongType())])
+    return ranged.mapInArrow(positions, schema), int(total)
 
 
 def expand_counts(df: DataFrame, count_col: str, chunk: int = 100_000,

@@ -9,33 +9,32 @@ user and no group of copies is ever handled by one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_HOLDOUT, DEFAULT_PERCENTAGE, DEFAULT_SEED, Roles
 from ..functions.hashing import SALT_HALF, SALT_ROW, SALT_SAMPLE, bucket, cut
 from .filters import frequent_users
 from .joins import restrict_to_keys
-from .positions import MAX_WINDOW_GROUP, expand_counts, group_positions, largest_group
+from .positions import expand_counts, group_positions
 
 
-def in_sample(user: str, p: float, seed: int = DEFAULT_SEED, salt: str = SALT_SAMPLE):
+def in_sample(user: str, p: float, seed: int = DEFAULT_SEED, salt: str = SALT_SAMPLE, method: str = "md5"):
     """Predicate: the user's bucket falls in the first share ``p``."""
-    return F.col(user).isNotNull() & (bucket(seed, salt, user) < F.lit(cut(p)))
+    return F.col(user).isNotNull() & (bucket(seed, salt, user, method=method) < F.lit(cut(p)))
 
 
 def sample_users(df: DataFrame, user: str = "user_id", percentage: float = DEFAULT_PERCENTAGE,
-                 seed: int = DEFAULT_SEED, users: DataFrame | None = None,
-                 max_users: int | None = None) -> DataFrame:
+                 seed: int = DEFAULT_SEED, users: DataFrame | None = None, method: str = "md5") -> DataFrame:
     """Rows of a seeded ``percentage`` of users (C4 with ``users``, C5 without).
 
     With ``users`` the sample is drawn from those users only: the bucket filter
     runs on both sides first, so only sampled keys reach the semi join.
     """
-    pred = in_sample(user, percentage, seed)
+    pred = in_sample(user, percentage, seed, method=method)
     out = df.where(pred)
     if users is not None:
-        out = restrict_to_keys(out, users.where(pred), user, upper_bound=max_users)
+        out = restrict_to_keys(out, users.where(pred), user)
     return out
 
 
@@ -55,20 +54,18 @@ def sample_report(sampled: DataFrame, user: str = "user_id", percentage: float |
 
 
 def create_subset(df: DataFrame, threshold: int = 500, percentage: float = DEFAULT_PERCENTAGE,
-                  user: str = "user_id", seed: int = DEFAULT_SEED, inclusive: bool = True,
-                  max_users: int | None = None) -> DataFrame:
+                  user: str = "user_id", seed: int = DEFAULT_SEED, inclusive: bool = True) -> DataFrame:
     """Frequent users (C1), then a seeded share of them (C4): their rows."""
-    return sample_users(df, user, percentage, seed, users=frequent_users(df, user, threshold, inclusive),
-                        max_users=max_users)
+    return sample_users(df, user, percentage, seed, users=frequent_users(df, user, threshold, inclusive))
 
 
-def holdout_flag(roles: Roles, fraction: float = DEFAULT_HOLDOUT, seed: int = DEFAULT_SEED):
+def holdout_flag(roles: Roles, fraction: float = DEFAULT_HOLDOUT, seed: int = DEFAULT_SEED, method: str = "md5"):
     """Per-row hold-out predicate on (user, item): equal pairs share a side."""
-    return bucket(seed, SALT_ROW, roles.user, roles.item) < F.lit(cut(fraction))
+    return bucket(seed, SALT_ROW, roles.user, roles.item, method=method) < F.lit(cut(fraction))
 
 
 def stratified_halves(df: DataFrame, roles: Roles, seed: int = DEFAULT_SEED, order: str = "item",
-                      out: str = "half", max_window_group: int | None = None) -> DataFrame:
+                      out: str = "half") -> DataFrame:
     """Each user's rows cut into two exact halves (R5); adds ``out``: 0 even, 1 odd.
 
     Rows are numbered 1.. per user in the order (item, tie-break columns, the
@@ -84,19 +81,10 @@ def stratified_halves(df: DataFrame, roles: Roles, seed: int = DEFAULT_SEED, ord
         order_cols = ["_h", *order_cols]
     elif order != "item":
         raise ValueError(f"order must be 'item' or 'hash', got {order!r}")
-    # One thin aggregate sizes the users.  When every user fits one task, a
-    # window over the raw rows numbers them (one shuffle); copies then simply
-    # get consecutive numbers.  Otherwise rows are collapsed to distinct values
-    # with a count and numbered by the distributed path, then expanded again.
-    cap = MAX_WINDOW_GROUP if max_window_group is None else max_window_group
-    biggest, _ = largest_group(base.select(roles.user), [roles.user])
-    if biggest is None or biggest <= cap:
-        w = Window.partitionBy(roles.user).orderBy(*order_cols)
-        rn = F.row_number().over(w)
-        return base.select(*cols, (rn % 2).cast("int").alias(out))
+    # Rows are collapsed to distinct values with a count, numbered over range
+    # partitions, then expanded again: no user and no group of copies is one task.
     collapsed = base.groupBy(*base.columns).agg(F.count(F.lit(1)).alias("_cnt"))
-    pos, _ = group_positions(collapsed, [roles.user], order_cols, weight="_cnt", out="_p",
-                             sizes_from=base.select(roles.user), max_window_group=-1)
+    pos, _ = group_positions(collapsed, [roles.user], order_cols, weight="_cnt", out="_p")
     # rows of this value hold numbers p+1 .. p+cnt; how many of them are even
     p, c = F.col("_p"), F.col("_cnt")
     n_even = F.floor((p + c) / 2) - F.floor(p / 2)
@@ -105,9 +93,3 @@ def stratified_halves(df: DataFrame, roles: Roles, seed: int = DEFAULT_SEED, ord
         F.struct(F.lit(1).alias(out), (c - n_even).cast("long").alias("_n")))).alias("_s"))
     halves = halves.select(*cols, F.col("_s")[out].alias(out), F.col("_s._n").alias("_n"))
     return expand_counts(halves.where(F.col("_n") > 0), "_n")
-
-
-def stratify_sampling(df: DataFrame, roles: Roles, seed: int = DEFAULT_SEED, order: str = "item"):
-    """(even half, odd half) of each user's rows."""
-    h = stratified_halves(df, roles, seed, order)
-    return h.where(F.col("half") == 0).drop("half"), h.where(F.col("half") == 1).drop("half")

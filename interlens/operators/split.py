@@ -27,12 +27,12 @@ TRAIN, VAL, TEST = "train", "val", "test"
 
 
 def split_label(user: str, weights=DEFAULT_SPLIT_WEIGHTS, seed: int = DEFAULT_SEED,
-                names=(TRAIN, VAL, TEST)) -> Column:
+                names=(TRAIN, VAL, TEST), method: str = "md5") -> Column:
     """Which part of a weighted user split a user falls in."""
     if len(weights) != len(names):
         raise ValueError("one name per weight")
     cuts = cumulative_cuts(weights)
-    h = bucket(seed, SALT_SPLIT, user)
+    h = bucket(seed, SALT_SPLIT, user, method=method)
     expr = None
     for c, name in zip(cuts[:-1], names[:-1]):
         expr = F.when(h < F.lit(c), F.lit(name)) if expr is None else expr.when(h < F.lit(c), F.lit(name))
@@ -41,8 +41,9 @@ def split_label(user: str, weights=DEFAULT_SPLIT_WEIGHTS, seed: int = DEFAULT_SE
 
 def label_roles(df: DataFrame, roles: Roles, weights=DEFAULT_SPLIT_WEIGHTS,
                 holdout: float = DEFAULT_HOLDOUT, seed: int = DEFAULT_SEED,
-                names=(TRAIN, VAL, TEST)) -> DataFrame:
-    """Add ``split`` and ``role`` (C7, C8).  Null users are dropped.
+                names=(TRAIN, VAL, TEST), method: str = "md5") -> DataFrame:
+    """Add ``split`` and ``role`` (C7, C8).  Rows without a user or an item are
+    dropped (``null_keys`` counts them).
 
     ``role`` is written on the two bucket values directly (not on ``split``),
     so a filter such as ``role = 'val'`` that Catalyst pushes below the
@@ -51,14 +52,26 @@ def label_roles(df: DataFrame, roles: Roles, weights=DEFAULT_SPLIT_WEIGHTS,
     if len(weights) != len(names):
         raise ValueError("one name per weight")
     cuts = cumulative_cuts(weights)
-    h = bucket(seed, SALT_SPLIT, roles.user)
-    kept = ~holdout_flag(roles, holdout, seed)
+    h = bucket(seed, SALT_SPLIT, roles.user, method=method)
+    kept = ~holdout_flag(roles, holdout, seed, method)
     role = F.when((h < F.lit(cuts[0])) | kept, F.lit(names[0]))
     for c, name in zip(cuts[1:-1], names[1:-1]):
         role = role.when(h < F.lit(c), F.lit(name))
     role = role.otherwise(F.lit(names[-1]))
-    out = df.where(F.col(roles.user).isNotNull())
-    return out.withColumn("split", split_label(roles.user, weights, seed, names)).withColumn("role", role)
+    out = df.where(keyed(roles))
+    return out.withColumn("split", split_label(roles.user, weights, seed, names, method)).withColumn("role", role)
+
+
+def keyed(roles: Roles) -> Column:
+    """Rows that have both keys."""
+    return F.col(roles.user).isNotNull() & F.col(roles.item).isNotNull()
+
+
+def null_keys(df: DataFrame, roles: Roles) -> DataFrame:
+    """One row: n_rows, and the rows without a user, without an item, and dropped."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(roles.user).isNull()).alias("null_user_rows"),
+                  F.count_if(F.col(roles.item).isNull()).alias("null_item_rows"),
+                  F.count_if(~keyed(roles)).alias("dropped_rows"))
 
 
 def train_val_test_split(df: DataFrame, roles: Roles, **kw):
@@ -67,21 +80,23 @@ def train_val_test_split(df: DataFrame, roles: Roles, **kw):
     return tuple(lab.where(F.col("role") == r).drop("split", "role") for r in (TRAIN, VAL, TEST))
 
 
-def user_fold(user: str, k: int = DEFAULT_FOLDS, test_share: float = 0.2, seed: int = DEFAULT_SEED) -> Column:
+def user_fold(user: str, k: int = DEFAULT_FOLDS, test_share: float = 0.2, seed: int = DEFAULT_SEED,
+              method: str = "md5") -> Column:
     """Fold of a user: -1 for the ``test_share`` of test users, else 0..k-1."""
     if k < 2:
         raise ValueError(f"k-fold split needs k >= 2, got {k}")
-    test = bucket(seed, SALT_TEST, user) >= F.lit(cut(1.0 - test_share))
-    fold = F.floor(bucket(seed, SALT_FOLD, user) * k / float(SPACE)).cast("int")
+    test = bucket(seed, SALT_TEST, user, method=method) >= F.lit(cut(1.0 - test_share))
+    fold = F.floor(bucket(seed, SALT_FOLD, user, method=method) * k / float(SPACE)).cast("int")
     return F.when(test, F.lit(-1)).otherwise(fold)
 
 
 def kfold_labels(df: DataFrame, roles: Roles, k: int = DEFAULT_FOLDS, test_share: float = 0.2,
-                 holdout: float = DEFAULT_HOLDOUT, seed: int = DEFAULT_SEED) -> DataFrame:
-    """Add ``user_fold`` (-1 = test user) and ``held`` (0/1)."""
-    return (df.where(F.col(roles.user).isNotNull())
-            .withColumn("user_fold", user_fold(roles.user, k, test_share, seed))
-            .withColumn("held", holdout_flag(roles, holdout, seed).cast("int")))
+                 holdout: float = DEFAULT_HOLDOUT, seed: int = DEFAULT_SEED, method: str = "md5") -> DataFrame:
+    """Add ``user_fold`` (-1 = test user) and ``held`` (0/1) (R3, C9).  Rows
+    without a user or an item are dropped."""
+    return (df.where(keyed(roles))
+            .withColumn("user_fold", user_fold(roles.user, k, test_share, seed, method))
+            .withColumn("held", holdout_flag(roles, holdout, seed, method).cast("int")))
 
 
 def fold_role(fold: int) -> Column:
@@ -102,11 +117,15 @@ def kfold_split(df: DataFrame, roles: Roles, k: int = DEFAULT_FOLDS, **kw) -> di
     return out
 
 
+def refit_split(lab: DataFrame, fold: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(train ∪ val of ``fold``, test) of a ``kfold_labels`` table."""
+    r = lab.withColumn("role", fold_role(fold))
+    return tuple(r.where(c).drop("user_fold", "held", "role") for c in (F.col("role") != TEST, F.col("role") == TEST))
+
+
 def final_split(df: DataFrame, roles: Roles, k: int = DEFAULT_FOLDS, fold: int = 0, **kw):
     """(train ∪ val of ``fold``, test) for the refit after cross-validation."""
-    lab = kfold_labels(df, roles, k, **kw).withColumn("role", fold_role(fold))
-    test = lab.where(F.col("role") == TEST)
-    return lab.where(F.col("role") != TEST).drop("user_fold", "held", "role"), test.drop("user_fold", "held", "role")
+    return refit_split(kfold_labels(df, roles, k, **kw), fold)
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:

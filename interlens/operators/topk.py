@@ -9,7 +9,9 @@ number of the user's rows with a strictly better value.  Rows are counted per
 (user, value) by a hash aggregate, only the k best values per user can
 qualify, and the rank of each value follows from a running sum over at most k
 values.  The qualifying (user, value, rank) table is then joined back to the
-rows: broadcast when its counted size allows, else a shuffle join.
+rows: broadcast when its measured size allows, else a salted shuffle join.  Rows
+and ranks read one checkpoint of the input, so a value computed upstream (a mean
+of floats) is the same number on both sides.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Roles
+from ..session import cut_lineage
 from .joins import join_small
 
 
@@ -26,12 +29,8 @@ def _order(col: str, ascending: bool):
 
 
 def top_k(df: DataFrame, k: int, by: str, roles: Roles, ties: str = "keep", ascending: bool = False,
-          rank_col: str = "rank", max_users: int | None = None) -> DataFrame:
-    """Rows whose per-user rank on ``by`` is at most k, with the rank.
-
-    ``max_users`` (a known bound on distinct users) bounds the rank table by
-    k * max_users rows: at most k values per user can have rank <= k.
-    """
+          rank_col: str = "rank") -> DataFrame:
+    """Rows whose per-user rank on ``by`` is at most k, with the rank."""
     if k < 1:
         raise ValueError("k must be >= 1")
     u = roles.user
@@ -42,11 +41,9 @@ def top_k(df: DataFrame, k: int, by: str, roles: Roles, ties: str = "keep", asce
         return base.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
     if ties != "keep":
         raise ValueError(f"ties must be 'keep' or 'drop', got {ties!r}")
-    ranks = (value_ranks(base, k, by, u, ascending)
-             .select(F.col(u).alias("_u"), F.col(by).alias("_v"), F.col("_rank").alias(rank_col)))
-    joined = join_small(base, ranks, [base[u] == F.col("_u"), base[by].eqNullSafe(F.col("_v"))],
-                        "inner", row_bytes=48, upper_bound=None if max_users is None else k * max_users)
-    return joined.drop("_u", "_v")
+    base = cut_lineage(base)
+    ranks = value_ranks(base, k, by, u, ascending).select(u, by, F.col("_rank").alias(rank_col))
+    return join_small(base, ranks, [u, by], "inner", null_safe=True)
 
 
 def value_ranks(df: DataFrame, k: int, by: str, user: str, ascending: bool = False) -> DataFrame:

@@ -8,6 +8,7 @@ folder, as in tests.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -42,11 +43,55 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder."""
     root = shared_dir(spark).rstrip("/")
-    return f"{root}/interlens-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/interlens-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    if not _SCRATCH:
+        atexit.register(release_scratch, spark)
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def is_scratch(path: str) -> bool:
+    """Whether a scratch copy still stands."""
+    return path in _SCRATCH
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def release_scratch(spark: SparkSession, *paths: str) -> int:
+    """Delete the given scratch copies, or every one made so far; call it once
+    results are written (``bench.py`` and the tests do; at exit it runs by itself)."""
+    n = 0
+    for path in list(paths or _SCRATCH):
+        _SCRATCH.remove(path)
+        try:
+            fs, p = _file_system(spark, path)
+            n += bool(fs.delete(p, True))
+        except Exception:  # the session has ended: nothing can be reached any more
+            break
+    return n
+
+
+def fingerprint(spark: SparkSession, path: str) -> tuple:
+    """(name, length, modification time) of the files of a table, by Spark's own
+    file system: tells whether a table has changed since it was read."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return ()
+    files = fs.listStatus(p)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
+    """Reliable checkpoint into the shared folder: survives executor loss, keeps
+    partitions and order, and is removed with its last reference where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -64,6 +109,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )

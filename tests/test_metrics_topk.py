@@ -66,6 +66,51 @@ def test_regression_equals_evaluator(spark, k):
     assert got.n_rows == ref.count()
 
 
+@pytest.mark.parametrize("k", [1, 2, 5])
+def test_map_with_tied_predictions_equals_spark(spark, k):
+    """Predicted items are all with rank() <= k, ties kept, in the order (prediction, item)."""
+    rnd = random.Random(k)
+    rows = [(0, 1, 3, 1.0), (0, 2, 4, 1.0), (0, 3, 5, 1.0)]
+    rows += [(u, i, rnd.randint(1, 5), float(rnd.randint(1, 3))) for u in range(1, 30) for i in rnd.sample(range(40), 9)]
+    df = spark.createDataFrame(rows, "u int, i int, rating int, prediction double")
+    lists, by = [], {}
+    for u, i, r, p in rows:
+        by.setdefault(u, []).append((i, r, p))
+    for xs in by.values():
+        rank = lambda v, col: 1 + sum(x[col] > v for x in xs)
+        pred = [x[0] for x in sorted(xs, key=lambda x: (-x[2], x[0])) if rank(x[2], 2) <= k]
+        actual = [x[0] for x in xs if rank(x[1], 1) <= k]
+        lists.append((pred, actual))
+    got = metrics.ranking_metrics(df, k, R).first()
+    rm = RankingMetrics(spark.sparkContext.parallelize(lists, 2))
+    assert got.mean_average_precision == pytest.approx(rm.meanAveragePrecision, abs=1e-12)
+    assert got.precision_at_k == pytest.approx(rm.precisionAt(k), abs=1e-12)
+    assert got.map_at_k == pytest.approx(rm.meanAveragePrecisionAt(k), abs=1e-12)
+    assert got.ndcg_at_k == pytest.approx(rm.ndcgAt(k), abs=1e-12)
+
+
+def test_r2_of_large_ratings(spark):
+    rnd = random.Random(0)
+    rows = [(u, i, 1e8 + rnd.randint(0, 1) + rnd.random(), 1e8 + rnd.random() * 2) for u in range(50) for i in range(40)]
+    df = spark.createDataFrame(rows, "u int, i int, rating double, prediction double")
+    for k in (None, 5):
+        w = Window.partitionBy("u").orderBy(F.col("prediction").desc())
+        ref = df if k is None else df.withColumn("rk", F.rank().over(w)).where(F.col("rk") <= k)
+        want = RegressionEvaluator(metricName="r2", labelCol="rating", predictionCol="prediction").evaluate(ref)
+        assert metrics.regression_metrics(df, k, R).first().r2 == pytest.approx(want, abs=1e-6)
+    flat = spark.createDataFrame([(1, 1, 3.0, 2.0), (1, 2, 3.0, 4.0)], "u int, i int, rating double, prediction double")
+    assert metrics.regression_metrics(flat, None, R).first().r2 is None
+
+
+def test_ranking_reads_the_pairs_once(spark, interactions):
+    from interlens.plans import baseline, catalog
+    df = metrics.ranking_metrics(baseline.score_item_mean(interactions, interactions, catalog.ROLES), 5, catalog.ROLES)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan[:plan.index("== Initial Plan")] if "== Initial Plan" in plan else plan
+    assert final.count("FileScan") <= 1 and "ReusedExchange" in final
+
+
 def test_degenerate_when_k_covers_all_rows(spark):
     # users with n <= k items: precision n / k and ndcg 1, whatever the predictions
     rows = [(1, 1, 5, 0.1), (1, 2, 1, 0.9), (1, 3, 3, 0.5), (2, 1, 2, 0.3), (2, 4, 4, 0.2)]

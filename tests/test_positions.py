@@ -1,7 +1,6 @@
 """Positions inside groups and count expansion, against brute force.
 
-The distributed path is forced with ``max_window_group=0`` and small
-partition counts, on data with one hot group and groups of copies.
+Small partition counts, on data with one hot group and groups of copies.
 """
 
 import random
@@ -35,12 +34,12 @@ def _brute(rows):
     return out
 
 
-@pytest.mark.parametrize("cap,parts", [(0, 3), (0, 7), (10 ** 9, 4)])
-def test_group_positions_match_brute_force(spark, cap, parts):
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_group_positions_match_brute_force(spark, parts):
     rows = _rows()
     df = spark.createDataFrame(rows, "g int, o int, i int, w int").repartition(5)
     pos, total = group_positions(df, ["g"], ["o", "i"], weight="w", out="p",
-                                 num_partitions=parts, max_window_group=cap)
+                                 num_partitions=parts)
     got = {r.i: r.p for r in pos.select("i", "p").collect()}
     assert got == _brute(rows)
     assert total == sum(r[3] for r in rows)
@@ -49,7 +48,7 @@ def test_group_positions_match_brute_force(spark, cap, parts):
 def test_group_positions_null_group(spark):
     rows = [(None, 1, 0, 1), (None, 2, 1, 1), (1, 1, 2, 1)]
     df = spark.createDataFrame(rows, "g int, o int, i int, w int")
-    pos, _ = group_positions(df, ["g"], ["o"], weight="w", out="p", num_partitions=2, max_window_group=0)
+    pos, _ = group_positions(df, ["g"], ["o"], weight="w", out="p", num_partitions=2)
     assert sorted((r.i, r.p) for r in pos.collect()) == [(0, 0), (1, 1), (2, 0)]
 
 
@@ -78,6 +77,6 @@ def test_expand_counts_chunks(spark):
 
 def test_distributed_plan_has_no_one_task_window(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("g"), "id")
-    pos, _ = group_positions(df, ["g"], ["id"], out="p", num_partitions=4, max_window_group=0)
+    pos, _ = group_positions(df, ["g"], ["id"], out="p", num_partitions=4)
     plan = pos._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "Window" not in plan

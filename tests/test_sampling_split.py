@@ -106,26 +106,54 @@ def test_empty_input(spark):
     assert sampling.stratified_halves(df, ROLES.with_(tiebreak=())).count() == 0
 
 
-def test_halves_distributed_path_equals_window(spark, interactions):
-    win = sampling.stratified_halves(interactions, ROLES)
-    dist = sampling.stratified_halves(interactions, ROLES, max_window_group=0)
-    assert _bag(win, COLUMNS + ("half",)) == _bag(dist, COLUMNS + ("half",))
-    hashed = sampling.stratified_halves(interactions, ROLES, order="hash", max_window_group=0)
-    assert _bag(hashed, COLUMNS + ("half",)) == _bag(sampling.stratified_halves(interactions, ROLES, order="hash"),
-                                                     COLUMNS + ("half",))
+def test_halves_keep_every_type_and_value(spark):
+    """One user holds most rows; nulls, NaN, large integers, decimals and times pass untouched."""
+    import datetime
+    import decimal
+
+    import duckdb
+    import pandas as pd
+    import pyarrow as pa
+    n = 400
+    big = (1 << 53) + 1
+    table = pa.table({
+        "user_id": pa.array([7 if i % 3 else i for i in range(n)], pa.int64()),
+        "item_id": pa.array([i % 11 for i in range(n)], pa.int64()),
+        "a": pa.array([None if i % 5 == 0 else big + i for i in range(n)], pa.int64()),
+        "b": pa.array([None if i % 7 == 0 else float("nan") if i % 7 == 1 else i / 3 for i in range(n)], pa.float64()),
+        "c": pa.array([None if i % 6 == 0 else decimal.Decimal(i).scaleb(-2) + 10 ** 20 for i in range(n)],
+                      pa.decimal128(30, 2)),
+        "d": pa.array([None if i % 4 == 0 else datetime.datetime(2020, 1, 1, 0, 0, 0, i) for i in range(n)],
+                      pa.timestamp("us"))})
+    table = pa.concat_tables([table, table.slice(0, 90)])
+    df = spark.createDataFrame(table).repartition(5)
+    got = sampling.stratified_halves(df, ROLES.with_(tiebreak=()))
+    con = duckdb.connect()
+    con.register("t", table)
+    order = ", ".join(f"{c} NULLS FIRST" for c in ("item_id", "a", "b", "c", "d"))
+    ref = con.execute(f"SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY {order}) % 2 AS INT) AS half "
+                      "FROM t").fetchall()
+    same = lambda rows: Counter(tuple("nan" if isinstance(v, float) and v != v else v for v in r) for r in rows)
+    assert same(tuple(r) for r in got.collect()) == same(ref)
+    assert pd.notna(got.first().half)
+
+
+def test_fast_hash_argument(spark, interactions):
+    from interlens.functions.hashing import bucket
+    lab = split.label_roles(interactions, ROLES, method="xxhash64")
+    shares = {r.split: r["count"] for r in lab.select("user_id", "split").distinct().groupBy("split").count().collect()}
+    assert set(shares) == {"train", "val", "test"} and shares["train"] > shares["val"]
+    b = interactions.select(bucket(1, "x", "user_id", method="xxhash64").alias("b")).agg(F.min("b"), F.max("b")).first()
+    assert 0 <= b[0] and b[1] < 1 << 32
+    with pytest.raises(ValueError):
+        bucket(1, "x", "user_id", method="sha1")
 
 
-def test_fast_hash_option(spark, interactions):
-    from interlens.functions.hashing import bucket
-    spark.conf.set("interlens.hash", "xxhash64")
-    try:
-        lab = split.label_roles(interactions, ROLES)
-        shares = {r.split: r["count"] for r in lab.select("user_id", "split").distinct().groupBy("split").count().collect()}
-        assert set(shares) == {"train", "val", "test"} and shares["train"] > shares["val"]
-        b = interactions.select(bucket(1, "x", "user_id").alias("b")).agg(F.min("b"), F.max("b")).first()
-        assert 0 <= b[0] and b[1] < 1 << 32
-    finally:
-        spark.conf.unset("interlens.hash")
+def test_null_items_are_dropped_and_counted(spark):
+    df = spark.createDataFrame([(None, 1, 3), (1, None, 4), (1, 2, 4), (None, None, 1)],
+                               "user_id int, item_id int, rating int")
+    assert split.label_roles(df, ROLES).count() == 1 and split.kfold_labels(df, ROLES, 2).count() == 1
+    assert tuple(split.null_keys(df, ROLES).first()) == (4, 2, 2, 3)
 
 
 def test_final_split_is_fold_zero_train_plus_val(spark, interactions):
