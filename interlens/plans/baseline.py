@@ -12,13 +12,13 @@ rows of fold f``: one aggregate by (item, fold it validates) covers all folds.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_FOLDS, DEFAULT_SEED, Roles
-from ..operators.joins import join_small, sized
+from ..operators.joins import join_small
 from ..operators.split import kfold_labels
+from ..session import cut_lineage
 
 DEFAULT_DAMPING_GRID = (0.0, 1.0, 5.0, 25.0)
 
@@ -29,18 +29,13 @@ def item_means(train: DataFrame, roles: Roles) -> DataFrame:
             .agg(F.avg(F.col(roles.rating).cast("double")).alias(roles.prediction)))
 
 
-def score_item_mean(train: DataFrame, target: DataFrame, roles: Roles, max_items: int | None = None) -> DataFrame:
-    """``target`` rows with the item-mean prediction; items unseen in train are dropped.
-
-    ``max_items``: a known bound on distinct items (table statistics), which
-    bounds the means table and spares its count when under the broadcast cap.
-    """
-    return join_small(target, item_means(train, roles), roles.item, "inner", row_bytes=48, upper_bound=max_items)
+def score_item_mean(train: DataFrame, target: DataFrame, roles: Roles) -> DataFrame:
+    """``target`` rows with the item-mean prediction; items unseen in train are dropped."""
+    return join_small(target, item_means(train, roles), roles.item)
 
 
 def baseline_cv_table(df: DataFrame, roles: Roles, k: int = DEFAULT_FOLDS,
-                      grid=DEFAULT_DAMPING_GRID, seed: int = DEFAULT_SEED,
-                      max_items: int | None = None) -> DataFrame:
+                      grid=DEFAULT_DAMPING_GRID, seed: int = DEFAULT_SEED) -> DataFrame:
     """(grid_no, regParam, fold, rmse, n_rows) of the damped item-bias predictor.
 
     prediction = mu_f + sum_f(r - mu_f) / (n_f + regParam) over fold f's
@@ -54,13 +49,7 @@ def baseline_cv_table(df: DataFrame, roles: Roles, k: int = DEFAULT_FOLDS,
     # train nowhere.  Fold f trains on every g except f.
     keyed = lab.where(~((uf == -1) & held)).withColumn("_g", F.when(held, uf).otherwise(F.lit(-2)))
     stats = keyed.groupBy(i, "_g").agg(F.count(F.lit(1)).alias("_n"), F.sum(r).alias("_s"))
-    if max_items is None:
-        stats, n_stats = sized(stats)
-        bound = None
-    else:
-        # at most one row per (item, g) with g in {-2, 0..k-1}: a proven bound;
-        # the per-g totals below materialise the cache
-        stats, n_stats, bound = stats.persist(StorageLevel.MEMORY_AND_DISK), None, max_items * (k + 1)
+    stats = cut_lineage(stats)   # one row per (item, g): read three times below
     per_g = {row["_g"]: (row["_n"], row["_s"]) for row in
              stats.groupBy("_g").agg(F.sum("_n").alias("_n"), F.sum("_s").alias("_s")).collect()}
     n_all = sum(v[0] for v in per_g.values())
@@ -74,13 +63,16 @@ def baseline_cv_table(df: DataFrame, roles: Roles, k: int = DEFAULT_FOLDS,
     fold_items = stats.where(F.col("_g") >= 0).select(
         i, F.col("_g").alias("user_fold"), F.col("_n").alias("_nf"), F.col("_s").alias("_sf"))
 
-    v = lab.where((uf >= 0) & held).select(i, "user_fold", F.col(r).cast("double").alias("_l"))
-    v = join_small(v, all_items, i, "inner", row_bytes=48, known_rows=n_stats, upper_bound=bound)
-    v = join_small(v, fold_items, [i, "user_fold"], "left", row_bytes=56, known_rows=n_stats, upper_bound=bound)
+    # the prediction depends on (fold, item) only: held rows collapse to distinct
+    # (fold, item, rating) cells before the grid multiplies them
+    v = (lab.where((uf >= 0) & held).groupBy(i, "user_fold", F.col(r).cast("double").alias("_l"))
+         .agg(F.count(F.lit(1)).alias("_c")))
+    v = join_small(v, all_items, i)
+    v = join_small(v, fold_items, [i, "user_fold"], "left")
     v = v.withColumn("_mu", F.element_at(mu_map, F.col("user_fold")))
     n_f = F.col("_na") - F.coalesce(F.col("_nf"), F.lit(0))
     s_f = (F.col("_sa") - F.coalesce(F.col("_sf"), F.lit(0))).cast("double")
-    v = v.select("user_fold", "_l", "_mu", n_f.alias("_n"), s_f.alias("_s")).where(F.col("_n") > 0)
+    v = v.select("user_fold", "_l", "_c", "_mu", n_f.alias("_n"), s_f.alias("_s")).where(F.col("_n") > 0)
 
     g = F.array(*[F.struct(F.lit(j).alias("grid_no"), F.lit(float(x)).alias("regParam"))
                   for j, x in enumerate(grid)])
@@ -89,4 +81,4 @@ def baseline_cv_table(df: DataFrame, roles: Roles, k: int = DEFAULT_FOLDS,
     err = pred - F.col("_l")
     return (v.groupBy(F.col("_g.grid_no").alias("grid_no"), F.col("_g.regParam").alias("regParam"),
                       F.col("user_fold").alias("fold"))
-            .agg(F.sqrt(F.avg(err * err)).alias("rmse"), F.count(F.lit(1)).alias("n_rows")))
+            .agg(F.sqrt(F.sum(F.col("_c") * err * err) / F.sum("_c")).alias("rmse"), F.sum("_c").alias("n_rows")))

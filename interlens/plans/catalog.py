@@ -86,14 +86,6 @@ def _sql(final: str, *ctes, views_=("interactions",)) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" + final) if parts else final
 
 
-def _users(spark, d) -> int:
-    return views.stored_stats(spark, d)["n_users"]
-
-
-def _items(spark, d) -> int:
-    return views.stored_stats(spark, d)["n_items"]
-
-
 def _labeled(spark, d) -> DataFrame:
     return split.label_roles(_a(spark, d), ROLES, seed=SEED)
 
@@ -102,7 +94,7 @@ def _scored(spark, d) -> DataFrame:
     lab = _labeled(spark, d)
     train = lab.where(F.col("role") == "train")
     val = lab.where(F.col("role") == "val")
-    return baseline.score_item_mean(train, val, ROLES, max_items=_items(spark, d))
+    return baseline.score_item_mean(train, val, ROLES)
 
 
 # ------------------------------------------------------------ sources
@@ -154,6 +146,48 @@ def review_flag(spark: SparkSession, d: str) -> DataFrame:
                       F.coalesce(F.length("review_text_incomplete"), F.lit(0)).cast("bigint").alias("review_chars"))
 
 
+_CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+_CUSTOMER_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
+
+
+@register("parquet_typed", """
+SELECT CAST(o_orderkey AS INT) AS o_orderkey, CAST(o_custkey AS INT) AS o_custkey, o_orderstatus FROM orders""")
+def parquet_typed(spark, d):
+    """Orders read with the caller's narrower schema."""
+    from pyspark.sql.types import _parse_datatype_string
+    return io.read_parquet(spark, f"{d}/orders.parquet",
+                           _parse_datatype_string("o_orderkey int, o_custkey int, o_orderstatus string"))
+
+
+@register("parquet_overwrite", _CUSTOMER_SQL)
+def parquet_overwrite(spark, d):
+    """Suppliers written, then customers over them: the customers stand."""
+    path = scratch_path(spark, "overwrite")
+    io.write_parquet(views.table(spark, d, "supplier"), path)
+    io.write_parquet(views.table(spark, d, "customer"), path, mode="overwrite")
+    return io.read_parquet(spark, path).select(*[c.split()[0] for c in _CUSTOMER.split(", ")])
+
+
+@register("parquet_ignore", _CUSTOMER_SQL)
+def parquet_ignore(spark, d):
+    """Customers written, then suppliers with mode ignore: the customers stand (S3)."""
+    path = scratch_path(spark, "ignore")
+    io.write_parquet(views.table(spark, d, "customer"), path)
+    io.write_parquet(views.table(spark, d, "supplier"), path, mode="ignore")
+    return io.read_parquet(spark, path).select(*[c.split()[0] for c in _CUSTOMER.split(", ")])
+
+
+JSON_HEAD = 500
+
+
+@register("json_head", f"SELECT CAST(LEAST(COUNT(*), {JSON_HEAD}) AS BIGINT) AS n_rows FROM events")
+def json_head(spark, d):
+    """Exactly the first rows asked for of the events as JSON lines."""
+    path = scratch_path(spark, "json-head")
+    views.event_genre_records(spark, d).write.json(path)
+    return io.read_json(spark, path, schema.GENRE_JSON, head=JSON_HEAD).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 # ------------------------------------------------------------ filters (A1-A4)
 
 @register("user_activity", _sql("""
@@ -179,16 +213,16 @@ SELECT {cols} FROM interactions
 WHERE user_id IN (SELECT user_id FROM interactions GROUP BY user_id HAVING COUNT(*) {op} {t})"""
 
 
-@register("frequent_users_window", _sql(_FREQ_ROWS.format(cols=ACOLS, op=">", t=THRESHOLD)))
-def frequent_users_window(spark, d):
-    """Rows of users with more than the threshold (strict, as the window variant)."""
-    return _cols(filters.frequent_interactions(_a(spark, d), threshold=THRESHOLD, inclusive=False,
-                                               max_users=_users(spark, d)))
+@register("frequent_interactions_strict", _sql(_FREQ_ROWS.format(cols=ACOLS, op=">", t=THRESHOLD)))
+def frequent_interactions_strict(spark, d):
+    """Rows of users with more than the threshold: the result of a count window
+    over the user, by aggregate and semi join."""
+    return _cols(filters.frequent_interactions(_a(spark, d), threshold=THRESHOLD, inclusive=False))
 
 
 @register("frequent_interactions", _sql(_FREQ_ROWS.format(cols=ACOLS, op=">=", t=THRESHOLD)))
 def frequent_interactions(spark, d):
-    return _cols(filters.frequent_interactions(_a(spark, d), threshold=THRESHOLD, max_users=_users(spark, d)))
+    return _cols(filters.frequent_interactions(_a(spark, d), threshold=THRESHOLD))
 
 
 @register("distinct_users", _sql("SELECT DISTINCT user_id FROM interactions"))
@@ -237,8 +271,7 @@ WHERE {_SAMPLED}
   AND user_id IN (SELECT user_id FROM interactions WHERE user_id IS NOT NULL
                   GROUP BY user_id HAVING COUNT(*) >= {SUBSET_THRESHOLD})"""))
 def create_subset(spark, d):
-    return _cols(sampling.create_subset(_a(spark, d), threshold=SUBSET_THRESHOLD, percentage=SAMPLE_P, seed=SEED,
-                                        max_users=_users(spark, d)))
+    return _cols(sampling.create_subset(_a(spark, d), threshold=SUBSET_THRESHOLD, percentage=SAMPLE_P, seed=SEED))
 
 
 # ------------------------------------------------------------ splits
@@ -311,6 +344,21 @@ def union_all_splits(spark, d):
     return split.union_all(*[_cols(lab.where(F.col("role") == r), "split") for r in ("train", "val")])
 
 
+def _refit(part):
+    def q(spark, d):
+        return _cols(split.final_split(_a(spark, d), ROLES, FOLDS, seed=SEED)[part])
+    return q
+
+
+_REFIT_LAB = f"""
+SELECT *, CASE WHEN {_b(SALT_TEST, 'user_id')} >= {cut(0.8)}
+                AND {_b(SALT_ROW, 'user_id', 'item_id')} < {HALF} THEN 1 ELSE 0 END AS is_test
+FROM interactions WHERE user_id IS NOT NULL AND item_id IS NOT NULL"""
+for _part, _name in enumerate(("train", "test")):
+    register(f"final_split_{_name}", _sql(f"SELECT {ACOLS} FROM rlab WHERE is_test = {_part}",
+                                          ("rlab", _REFIT_LAB)))(_refit(_part))
+
+
 # ------------------------------------------------------------ set operations
 
 @register("subtract_distinct", _sql(f"""
@@ -362,9 +410,9 @@ FROM (SELECT item_key, COUNT(*) AS n FROM string_interactions GROUP BY item_key)
 def frequency_index(spark, d):
     """Item keys numbered most frequent first (the StringIndexer order of X4)."""
     c = views.string_interactions(spark, d)
-    idx, n = index.dense_index(c, "item_key", order="frequency")
+    idx, _ = index.dense_index(c, "item_key", order="frequency")
     counts = c.groupBy("item_key").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
-    return index.lookup_index(counts, idx, "item_key", known_rows=n).select("item_key", "item_key_index", "n_rows")
+    return index.lookup_index(counts, idx, "item_key").select("item_key", "item_key_index", "n_rows")
 
 
 _C_TRAIN = f"{_b(SALT_SPLIT, 'user_key')} < {C1}"
@@ -380,8 +428,15 @@ def index_map_lookup(spark, d):
     """1-based item index built from training users' rows, looked up for all rows."""
     c = views.string_interactions(spark, d)
     train = c.where(split.split_label("user_key", seed=SEED) == "train")
-    idx, n = index.dense_index(train, "item_key", start=1)
-    return index.lookup_index(c, idx, "item_key", known_rows=n).select("user_key", "item_key", "rating", "item_key_index")
+    idx, _ = index.dense_index(train, "item_key", start=1)
+    return index.lookup_index(c, idx, "item_key").select("user_key", "item_key", "rating", "item_key_index")
+
+
+@register("row_index", _sql("SELECT COUNT(*) AS n_rows, COUNT(*) AS n_ids FROM interactions"))
+def row_index(spark, d):
+    """Row ids (X5): no row lost, no id twice."""
+    return index.row_index(_a(spark, d)).agg(F.count(F.lit(1)).alias("n_rows"),
+                                             F.count_distinct("row_index").alias("n_ids"))
 
 
 # ------------------------------------------------------------ top k
@@ -403,12 +458,12 @@ WHERE rk <= {K}"""
 
 @register("topk_pred_rank", _sql(_TOPK_SQL.format(fn="RANK", order="prediction DESC"), *_SCORED_CTES))
 def topk_pred_rank(spark, d):
-    return _topk_out(topk.top_k(_scored(spark, d), K, "prediction", ROLES, ties="keep", max_users=_users(spark, d)))
+    return _topk_out(topk.top_k(_scored(spark, d), K, "prediction", ROLES, ties="keep"))
 
 
 @register("topk_actual_rank", _sql(_TOPK_SQL.format(fn="RANK", order="rating DESC"), *_SCORED_CTES))
 def topk_actual_rank(spark, d):
-    return _topk_out(topk.top_k(_scored(spark, d), K, "rating", ROLES, ties="keep", max_users=_users(spark, d)))
+    return _topk_out(topk.top_k(_scored(spark, d), K, "rating", ROLES, ties="keep"))
 
 
 @register("topk_strict", _sql(_TOPK_SQL.format(
@@ -458,6 +513,7 @@ _RANK_CTES = _SCORED_CTES + (
     ("pairs", "SELECT user_id, item_id, MAX(rating) AS r, MAX(prediction) AS p FROM scored "
               "WHERE rating IS NOT NULL AND prediction IS NOT NULL GROUP BY user_id, item_id"),
     ("ranked", f"""SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY p DESC, item_id) AS pos,
+                   RANK() OVER (PARTITION BY user_id ORDER BY p DESC) AS prank,
                    CASE WHEN RANK() OVER (PARTITION BY user_id ORDER BY r DESC) <= {K} THEN 1 ELSE 0 END AS rel
                    FROM pairs"""),
     ("sized", "SELECT *, SUM(rel) OVER (PARTITION BY user_id) AS nrel, "
@@ -466,7 +522,7 @@ _RANK_CTES = _SCORED_CTES + (
     ("per_user", f"""SELECT user_id,
         SUM(CASE WHEN pos <= {K} THEN rel ELSE 0 END) / {float(K)} AS precision,
         SUM(CASE WHEN pos <= {K} THEN rel * hits / pos ELSE 0 END) / LEAST(MAX(nrel), {K}) AS ap,
-        SUM(CASE WHEN pos <= {K} THEN rel * hits / pos ELSE 0 END) / MAX(nrel) AS ap_all,
+        SUM(CASE WHEN prank <= {K} THEN rel * hits / pos ELSE 0 END) / MAX(nrel) AS ap_all,
         SUM(CASE WHEN pos <= {K} THEN rel / LN(pos + 1.0) ELSE 0 END)
           / SUM(CASE WHEN pos <= LEAST(nrel, {K}) THEN 1 / LN(pos + 1.0) ELSE 0 END) AS ndcg,
         COUNT(*) AS n_items
@@ -558,7 +614,7 @@ _CV_CTES = (
 
 
 def _cv(spark, d):
-    return baseline.baseline_cv_table(_a(spark, d), ROLES, FOLDS, DAMPING, SEED, max_items=_items(spark, d))
+    return baseline.baseline_cv_table(_a(spark, d), ROLES, FOLDS, DAMPING, SEED)
 
 
 @register("baseline_cv_table", _sql(
@@ -590,7 +646,12 @@ def best_config(spark, d):
                     F.round("mean_rmse", 6).alias("mean_rmse"))
 
 
-# ------------------------------------------------------------ ALS (M1-M9, S8): rows only
+# ------------------------------------------------------------ ALS
+#
+# No SQL engine repeats a factorisation, so these queries return what SQL can
+# check: which rows are scored, the grid and its folds, the users and rows that
+# the metrics cover, what a reload changes.  tests/test_recommend.py compares
+# each prediction with the dot product of the saved factors.
 
 ALS_RANK, ALS_REG = 5, 0.1
 GRID_RANKS, GRID_REGS = (5, 10), (0.01, 0.1)
@@ -602,15 +663,32 @@ def _als_split(spark, d):
     return lab.where(F.col("role") == "train"), lab.where(F.col("role") == "val")
 
 
-@register("als_predict")
+# rows of {target} whose user and item are both in {train}
+_COVERED = """SELECT t.* FROM {target} t WHERE t.user_id IN (SELECT user_id FROM {train} WHERE rating IS NOT NULL)
+              AND t.item_id IN (SELECT item_id FROM {train} WHERE rating IS NOT NULL)"""
+_ALS_CTES = (("labeled", LABELED_SQL), ("als_train", "SELECT * FROM labeled WHERE role = 'train'"),
+             ("als_val", "SELECT * FROM labeled WHERE role = 'val'"),
+             ("covered", _COVERED.format(target="als_val", train="als_train")))
+
+
+def _grid_rows(ranks, regs):
+    return "(VALUES " + ", ".join(f"({j}, {a}, CAST({b} AS DOUBLE))" for j, a, b in tuning.grid(ranks, regs)) \
+        + ") g(grid_no, rank, regParam)"
+
+
+@register("als_predict", _sql("SELECT user_id, item_id, rating, true AS predicted FROM covered", *_ALS_CTES))
 def als_predict(spark, d):
-    """ALS fit on the training role, scored on the held-out validation rows."""
+    """ALS fit on the training role, scored on the held-out validation rows: the
+    rows whose user and item were both trained get a number."""
     train, val = _als_split(spark, d)
     model = recommend.fit(train, ROLES, ALS_RANK, ALS_REG, seed=SEED)
-    return recommend.score(model, val).select("user_id", "item_id", "rating", "prediction")
+    return recommend.score(model, val).select(
+        "user_id", "item_id", "rating",
+        (F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("predicted"))
 
 
-@register("als_reload_scores")
+@register("als_reload_scores", _sql("SELECT user_id, item_id, rating, CAST(0 AS DOUBLE) AS abs_diff FROM covered",
+                                    *_ALS_CTES))
 def als_reload_scores(spark, d):
     """Saved and reloaded model scores the same rows with the same numbers."""
     train, val = _als_split(spark, d)
@@ -620,35 +698,75 @@ def als_reload_scores(spark, d):
     first = recommend.score(model, val.select("user_id", "item_id", "rating")) \
         .withColumnRenamed("prediction", "prediction_saved")
     again = recommend.score(recommend.load_model(path), first)
-    return again.select("user_id", "item_id", "rating", "prediction_saved", "prediction",
-                        F.abs(F.col("prediction") - F.col("prediction_saved")).alias("abs_diff"))
+    return again.select("user_id", "item_id", "rating",
+                        F.abs(F.col("prediction") - F.col("prediction_saved")).cast("double").alias("abs_diff"))
 
 
-@register("tuning_table")
+@register("tuning_table", _sql(
+    f"SELECT CAST(grid_no AS INT) AS grid_no, CAST(rank AS INT) AS rank, regParam, "
+    f"(SELECT COUNT(DISTINCT user_id) FROM covered) AS n_users, true AS measured "
+    f"FROM {_grid_rows(GRID_RANKS, GRID_REGS)}", *_ALS_CTES))
 def tuning_table(spark, d):
     """ALS grid on train / validation: every metric per configuration (M4)."""
     train, val = _als_split(spark, d)
-    return recommend.tuning_table(train, val, ROLES, GRID_RANKS, GRID_REGS, k=K, seed=SEED)
+    t = recommend.tuning_table(train, val, ROLES, GRID_RANKS, GRID_REGS, k=K, seed=SEED)
+    return t.select("grid_no", "rank", "regParam", "n_users", _measured())
+
+
+def _measured():
+    """All metrics are numbers, and shares lie in [0, 1]."""
+    ok = F.col("rmse").isNotNull() & F.col("mae").isNotNull() & F.col("r2").isNotNull()
+    for c in ("precision_at_k", "map_at_k", "mean_average_precision", "ndcg_at_k"):
+        ok = ok & F.col(c).between(0, 1)
+    return ok.alias("measured")
+
+
+# the k-fold roles: each fold's training rows, and its validation rows that they cover
+_ALS_CV_CTES = (
+    ("flab", _FOLD_LAB),
+    ("fold_train", f"""SELECT fold, user_id, item_id FROM (SELECT *, UNNEST([{_FOLD_LIST}]) AS fold FROM flab) t
+                       WHERE NOT (user_fold = -1 AND held = 1) AND NOT (user_fold = fold AND held = 1)"""),
+    ("fold_val", """SELECT user_fold AS fold, user_id, item_id FROM flab WHERE user_fold >= 0 AND held = 1"""),
+    ("fold_users", """SELECT fold, COUNT(DISTINCT user_id) AS n_users FROM fold_val v
+                      WHERE EXISTS (SELECT 1 FROM fold_train t WHERE t.fold = v.fold AND t.user_id = v.user_id)
+                        AND EXISTS (SELECT 1 FROM fold_train t WHERE t.fold = v.fold AND t.item_id = v.item_id)
+                      GROUP BY fold"""),
+    ("refit", "SELECT * FROM flab WHERE NOT (user_fold = -1 AND held = 1)"),
+    ("tested", "SELECT * FROM flab WHERE user_fold = -1 AND held = 1"),
+    ("covered_test", _COVERED.format(target="tested", train="refit")),
+)
 
 
-@register("cv_table")
+@register("cv_table", _sql(
+    f"SELECT CAST(grid_no AS INT) AS grid_no, CAST(rank AS INT) AS rank, regParam, CAST(fold AS INT) AS fold, n_users, "
+    f"true AS measured FROM fold_users JOIN {_grid_rows(CV_RANKS, CV_REGS)} ON true", *_ALS_CV_CTES))
 def cv_table(spark, d):
     """ALS grid over k folds: one row per (configuration, fold) (M5)."""
-    return recommend.cv_table(_a(spark, d), ROLES, CV_RANKS, CV_REGS, k=K, folds=FOLDS, seed=SEED)
+    t = recommend.cv_table(_a(spark, d), ROLES, CV_RANKS, CV_REGS, k=K, folds=FOLDS, seed=SEED)
+    return t.select("grid_no", "rank", "regParam", "fold", "n_users", _measured())
 
 
-@register("final_test_metrics")
+@register("final_test_metrics", _sql(f"""
+SELECT 'precisionAt' AS metric, (SELECT COUNT(*) FROM tested) AS n_test_rows,
+       (SELECT COUNT(*) FROM tested) - (SELECT COUNT(*) FROM covered_test) AS n_dropped,
+       COUNT(*) AS n_users, COUNT(*) FILTER (n_items <= {K}) AS n_users_le_k, true AS measured
+FROM (SELECT user_id, COUNT(DISTINCT item_id) AS n_items FROM covered_test GROUP BY user_id)""", *_ALS_CV_CTES))
 def final_test_metrics(spark, d):
     """Cross-validate, refit the best on train + val, test metrics; model saved (M6-M9)."""
-    return recommend.final_test_metrics(_a(spark, d), ROLES, CV_RANKS, CV_REGS, metric="precisionAt", k=K,
-                                        folds=FOLDS, seed=SEED, model_path=scratch_path(spark, "final-model"))
+    t = recommend.final_test_metrics(_a(spark, d), ROLES, CV_RANKS, CV_REGS, metric="precisionAt", k=K,
+                                     folds=FOLDS, seed=SEED, model_path=scratch_path(spark, "final-model"))
+    return t.select("metric", "n_test_rows", "n_dropped", "n_users", "n_users_le_k", _measured())
 
 
-@register("tuning_history")
+@register("tuning_history", f"""
+SELECT 'config' AS kind, CAST(rank AS INT) AS rank, regParam, 'rmse' AS metric, true AS has_value
+FROM {_grid_rows(GRID_RANKS, GRID_REGS)}
+UNION ALL SELECT 'final', NULL, NULL, 'rmse', true""")
 def tuning_history(spark, d):
     """ALS grid on train / validation, best configuration refit on train and
     scored on the test rows; every configuration and the final result appended
-    to a Parquet history table, which is read back (S9, M9)."""
+    to a Parquet history table, which is read back (S9, M9).  The final row's
+    configuration is the fit's choice, so it is not returned."""
     import uuid
     lab = _labeled(spark, d)
     train, val = lab.where(F.col("role") == "train"), lab.where(F.col("role") == "val")
@@ -656,19 +774,22 @@ def tuning_history(spark, d):
     best = recommend.choose(table, "rmse")
     model = recommend.fit(lab.where(F.col("role") != "test"), ROLES, best["rank"], best["regParam"], seed=SEED)
     test_rmse = metrics.evaluate(recommend.score(model, lab.where(F.col("role") == "test")), "rmse", K, ROLES)
+    recommend.release_factors(model)
     path = scratch_path(spark, "history")
     recommend.record_history(spark, path, table, "rmse", run_id=uuid.uuid4().hex[:8], data=d,
                              final={"rank": best["rank"], "regParam": best["regParam"], "value": test_rmse},
                              note=f"top {K} rmse on test rows")
-    return spark.read.parquet(path)
+    config = F.col("kind") == "config"
+    return spark.read.parquet(path).select("kind", F.when(config, F.col("rank")).alias("rank"),
+                                           F.when(config, F.col("regParam")).alias("regParam"), "metric",
+                                           F.col("value").isNotNull().alias("has_value"))
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Frequent users -> hash split -> hold-out -> item-mean predictor -> all top-k metrics."""
-    a = filters.frequent_interactions(_a(spark, d), threshold=THRESHOLD, max_users=_users(spark, d))
+    a = filters.frequent_interactions(_a(spark, d), threshold=THRESHOLD)
     lab = split.label_roles(a, ROLES, seed=SEED)
-    scored = baseline.score_item_mean(lab.where(F.col("role") == "train"), lab.where(F.col("role") == "val"), ROLES,
-                                      max_items=_items(spark, d))
+    scored = baseline.score_item_mean(lab.where(F.col("role") == "train"), lab.where(F.col("role") == "val"), ROLES)
     rk = metrics.ranking_metrics(scored, K, ROLES)
     rg = metrics.regression_metrics(scored, K, ROLES)
     return rk.join(F.broadcast(rg))  # two one-row aggregates

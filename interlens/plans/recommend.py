@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT_FOLDS, DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SEED, Roles
-from ..operators.metrics import evaluate, metric_info, ranking_metrics, regression_metrics
-from ..operators.split import TEST, fold_role, kfold_labels
+from ..operators.metrics import metric_info, ranking_metrics, regression_metrics
+from ..operators.split import fold_role, kfold_labels, refit_split
 from ..sources.io import append_history
+from .tuning import best_config, fold_mean, grid
 
 _INTEGRAL = (T.IntegerType, T.LongType, T.ShortType, T.ByteType)
 
@@ -54,7 +55,8 @@ def als_estimator(roles: Roles, rank: int, reg_param: float, max_iter: int = DEF
 
 def fit(train: DataFrame, roles: Roles, rank: int, reg_param: float, **kw) -> ALSModel:
     check_ids(train, roles)
-    return als_estimator(roles, rank, reg_param, **kw).fit(train.where(F.col(roles.rating).isNotNull()))
+    ok = F.col(roles.user).isNotNull() & F.col(roles.item).isNotNull() & F.col(roles.rating).isNotNull()
+    return als_estimator(roles, rank, reg_param, **kw).fit(train.where(ok))
 
 
 def score(model: ALSModel, df: DataFrame) -> DataFrame:
@@ -78,17 +80,31 @@ def load_model(path: str) -> ALSModel:
     return ALSModel.load(path)
 
 
-def _grid(rank_list, reg_list):
-    if not rank_list or not reg_list:
-        raise ValueError("rank_list and regParam_list must be non-empty")
-    return [(j, int(a), float(b)) for j, (a, b) in
-            enumerate((a, b) for a in rank_list for b in reg_list)]
+def release_factors(model: ALSModel) -> None:
+    """Unpersist the factor sets that ALS keeps cached behind its model, those of
+    its last iterations included; the training data's own cache is left alone."""
+    todo = [f._jdf.queryExecution().toRdd() for f in (model.userFactors, model.itemFactors)]
+    seen = set()
+    while todo:
+        rdd = todo.pop()
+        if rdd.id() in seen:
+            continue
+        seen.add(rdd.id())
+        if str(rdd.name()).startswith(("userFactors", "itemFactors")):
+            rdd.unpersist(False)
+        deps = rdd.dependencies()
+        todo += [deps.apply(n).rdd() for n in range(deps.size())]
 
 
 def _metric_row(scored: DataFrame, k: int | None, roles: Roles) -> dict:
-    rk = ranking_metrics(scored, k, roles).first().asDict() if k else {}
-    rg = regression_metrics(scored, k, roles).first().asDict()
-    return {**rk, **rg}
+    """All metrics of one scored table, scored once and released."""
+    scored = scored.select(roles.user, roles.item, roles.rating, roles.prediction).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rk = ranking_metrics(scored, k, roles).first().asDict() if k else {}
+        rg = regression_metrics(scored, k, roles).first().asDict()
+        return {**rk, **rg, "n_scored": scored.count()}
+    finally:
+        scored.unpersist()
 
 
 _TABLE_SCHEMA = ("grid_no int, rank int, regParam double, fold int, precision_at_k double, "
@@ -115,12 +131,13 @@ def tuning_table(train: DataFrame, val: DataFrame, roles: Roles, rank_list, reg_
             t0 = time.time()
             model = fit(train, roles, rank, reg, **als_kw)
             row = _metric_row(score(model, val), k, roles)
+            release_factors(model)
             return {"grid_no": j, "rank": rank, "regParam": reg, "fold": None, **row,
                     "seconds": time.time() - t0}
         return run
 
     try:
-        return _run_grid(train.sparkSession, [task(*g) for g in _grid(rank_list, reg_list)], parallelism)
+        return _run_grid(train.sparkSession, [task(*g) for g in grid(rank_list, reg_list)], parallelism)
     finally:
         train.unpersist()
         val.unpersist()
@@ -129,59 +146,68 @@ def tuning_table(train: DataFrame, val: DataFrame, roles: Roles, rank_list, reg_
 def cv_table(df: DataFrame, roles: Roles, rank_list, reg_list, k: int = DEFAULT_K,
              folds: int = DEFAULT_FOLDS, seed: int = DEFAULT_SEED, parallelism: int = 2,
              **als_kw) -> DataFrame:
-    """One row per (configuration, fold) (M5); ``fold_mean`` averages them."""
+    """One row per (configuration, fold) (M5); ``fold_mean`` averages them.
+    ``seed`` fixes the folds and, unless ``als_seed`` says otherwise, the fits."""
     check_ids(df, roles)
     lab = kfold_labels(df, roles, folds, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _cv_on(lab, roles, rank_list, reg_list, k, folds, seed, parallelism, **als_kw)
+    finally:
+        lab.unpersist()
+
+
+def _cv_on(lab: DataFrame, roles: Roles, rank_list, reg_list, k, folds, seed, parallelism,
+           als_seed: int | None = None, **als_kw) -> DataFrame:
+    als_seed = seed if als_seed is None else als_seed
 
     def task(j, rank, reg, f):
         def run():
             t0 = time.time()
             r = lab.withColumn("_role", fold_role(f))
-            model = fit(r.where(F.col("_role") == "train"), roles, rank, reg, **als_kw)
+            model = fit(r.where(F.col("_role") == "train"), roles, rank, reg, seed=als_seed, **als_kw)
             row = _metric_row(score(model, r.where(F.col("_role") == "val")), k, roles)
+            release_factors(model)
             return {"grid_no": j, "rank": rank, "regParam": reg, "fold": f, **row,
                     "seconds": time.time() - t0}
         return run
 
-    try:
-        tasks = [task(j, a, b, f) for (j, a, b) in _grid(rank_list, reg_list) for f in range(folds)]
-        return _run_grid(df.sparkSession, tasks, parallelism)
-    finally:
-        lab.unpersist()
+    tasks = [task(j, a, b, f) for (j, a, b) in grid(rank_list, reg_list) for f in range(folds)]
+    return _run_grid(lab.sparkSession, tasks, parallelism)
 
 
 def choose(table: DataFrame, metric: str) -> dict:
     """Best configuration by ``metric`` (first in grid order on ties)."""
     col, _, higher = metric_info(metric)
-    cfg = [c for c in ("grid_no", "rank", "regParam") if c in table.columns]
-    means = table.groupBy(*cfg).agg(F.avg(col).alias(col))
-    key = F.col(col).desc_nulls_last() if higher else F.col(col).asc_nulls_last()
-    return means.orderBy(key, "grid_no").first().asDict()
+    return best_config(fold_mean(table, col, out=col), col, higher).first().asDict()
 
 
 def final_test_metrics(df: DataFrame, roles: Roles, rank_list, reg_list, metric: str = "rmse",
                        k: int = DEFAULT_K, folds: int = DEFAULT_FOLDS, seed: int = DEFAULT_SEED,
-                       model_path: str | None = None, parallelism: int = 2, **als_kw) -> DataFrame:
+                       model_path: str | None = None, parallelism: int = 2, als_seed: int | None = None,
+                       **als_kw) -> DataFrame:
     """Cross-validate, refit the best configuration on train + val of fold 0,
     score the test rows; one row with the choice, all test metrics, dropped rows
     and seconds (M5-M7, M9).  Saves the model when ``model_path`` is given (S8).
+    The labels are made once, for the folds, the refit and the test.
     """
     t0 = time.time()
-    table = cv_table(df, roles, rank_list, reg_list, k, folds, seed, parallelism, **als_kw)
-    best = choose(table, metric)
-    lab = kfold_labels(df, roles, folds, seed=seed).withColumn("_role", fold_role(0))
-    train = lab.where(F.col("_role") != TEST)
-    test = lab.where(F.col("_role") == TEST)
-    model = fit(train, roles, best["rank"], best["regParam"], **als_kw)
-    scored = score(model, test).persist(StorageLevel.MEMORY_AND_DISK)
-    row = _metric_row(scored, k, roles)
-    n_test, n_scored = test.count(), scored.count()
-    scored.unpersist()
-    if model_path:
-        save_model(model, model_path)
+    check_ids(df, roles)
+    lab = kfold_labels(df, roles, folds, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        table = _cv_on(lab, roles, rank_list, reg_list, k, folds, seed, parallelism, als_seed, **als_kw)
+        best = choose(table, metric)
+        train, test = refit_split(lab)
+        model = fit(train, roles, best["rank"], best["regParam"], seed=seed if als_seed is None else als_seed, **als_kw)
+        row = _metric_row(score(model, test), k, roles)
+        n_test = test.count()
+        if model_path:
+            save_model(model, model_path)
+        release_factors(model)
+    finally:
+        lab.unpersist()
     out = {"rank": best["rank"], "regParam": best["regParam"], "metric": metric,
            "value": row[metric_info(metric)[0]], **row, "n_test_rows": n_test,
-           "n_dropped": n_test - n_scored,
+           "n_dropped": n_test - row["n_scored"],
            "seconds": time.time() - t0}
     schema = ("rank int, regParam double, metric string, value double, precision_at_k double, "
               "map_at_k double, mean_average_precision double, ndcg_at_k double, n_users bigint, n_users_le_k bigint, rmse double, "
@@ -190,10 +216,6 @@ def final_test_metrics(df: DataFrame, roles: Roles, rank_list, reg_list, metric:
     return df.sparkSession.createDataFrame([tuple(out.get(c) for c in cols)], schema)
 
 
-def evaluate_model(model: ALSModel, df: DataFrame, metric: str, k: int | None, roles: Roles) -> float:
-    return evaluate(score(model, df), metric, k, roles)
-
-
 def record_history(spark: SparkSession, path: str, table: DataFrame, metric: str, run_id: str,
                    model_path: str | None = None, data: str | None = None, final: dict | None = None,
                    note: str | None = None) -> DataFrame:

@@ -102,10 +102,12 @@ def genre_to_interactions(df: DataFrame, user: str = "user_id", item: str = "boo
 
 
 def count_corrupt(df: DataFrame) -> int:
-    """Rows a permissive read could not parse (one small aggregate job)."""
+    """Rows a permissive read could not parse (one small aggregate job).  Data
+    columns are counted along: Spark refuses a query of the corrupt column only."""
     if CORRUPT not in df.columns:
         return 0
-    return df.select(F.sum(F.col(CORRUPT).isNotNull().cast("long"))).first()[0] or 0
+    data = [F.count(F.col(c)).alias(c) for c in df.columns if c != CORRUPT]
+    return df.agg(F.count_if(F.col(CORRUPT).isNotNull()).alias(CORRUPT), *data).first()[CORRUPT]
 
 
 # ------------------------------------------------------------- history

@@ -15,21 +15,6 @@ INTERACTIONS = T.StructType([
     T.StructField("is_reviewed", _INT),
 ])
 
-# the local CSV variant names the last flag ``is_review``
-INTERACTIONS_LOCAL = T.StructType(INTERACTIONS.fields[:4] + [T.StructField("is_review", _INT)])
-
-# interactions with string keys and integer indexes
-INDEXED_INTERACTIONS = T.StructType([
-    T.StructField("user_id", T.StringType()),
-    T.StructField("book_id", T.StringType()),
-    T.StructField("is_read", _INT),
-    T.StructField("rating", _INT),
-    T.StructField("is_reviewed", _INT),
-    T.StructField("row_index", T.LongType()),
-    T.StructField("book_id_index", _INT),
-    T.StructField("user_id_index", _INT),
-])
-
 # one JSON line of the genre dumps
 GENRE_JSON = T.StructType([
     T.StructField("user_id", T.StringType()),
@@ -38,7 +23,3 @@ GENRE_JSON = T.StructType([
     T.StructField("rating", _INT),
     T.StructField("review_text_incomplete", T.StringType()),
 ])
-
-
-def ddl(schema: T.StructType) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)

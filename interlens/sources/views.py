@@ -11,7 +11,6 @@ oracle.  Both must stay the same definition.
 
 from __future__ import annotations
 
-import os
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,39 +56,22 @@ def stored_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The join runs once instead of once per job that reads the view, the later
     scans get one split per written file and can prune columns and push down
-    filters, and lineage is cut: a lost executor does not re-run the join.
+    filters, and lineage is cut: a lost executor does not re-run the join.  The
+    copy is made again when the tables' files have changed or it was released.
     """
-    from ..session import scratch_path
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    from ..session import fingerprint, is_scratch, scratch_path
+    root = sf_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, root,
+           *(fingerprint(spark, f"{root}/{t}.parquet") for t in ("lineitem", "orders")))
     with _LOCK:
         path = _STORED.get(key)
-        if path is None:
+        if path is None or not is_scratch(path):
             path = scratch_path(spark, "interactions")
             interactions(spark, sf_dir).write.mode("errorifexists").parquet(path)
             _STORED[key] = path
     return spark.read.parquet(path)
 
 
-_STATS: dict = {}
-
-
-def stored_stats(spark: SparkSession, sf_dir: str) -> dict:
-    """Exact distinct users and items of the stored view, counted once per
-    session (as ANALYZE TABLE ... FOR COLUMNS would): proven upper bounds for
-    every key table derived from it."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    with _LOCK:
-        st = _STATS.get(key)
-    if st is None:
-        row = stored_interactions(spark, sf_dir).agg(
-            F.count_distinct("user_id").alias("n_users"), F.count_distinct("item_id").alias("n_items"),
-            F.count(F.lit(1)).alias("n_rows")).first()
-        st = row.asDict()
-        with _LOCK:
-            _STATS[key] = st
-    return st
-
-
 def event_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select(

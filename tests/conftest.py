@@ -14,6 +14,8 @@ def spark():
     from interlens.session import local_session
     s = local_session("4", shuffle_partitions=4, app="interlens-tests")
     yield s
+    from interlens.session import release_scratch
+    release_scratch(s)
     s.stop()
 
 

@@ -23,9 +23,8 @@ def test_threshold_inclusive_and_strict(spark):
     df = _df(spark, rows)
     assert {r[0] for r in filters.frequent_users(df, threshold=3).collect()} == {1}
     assert filters.frequent_users(df, threshold=3, inclusive=False).count() == 0
-    for method in ("semi", "window"):
-        assert filters.frequent_interactions(df, threshold=2, method=method).count() == 5
-        assert filters.frequent_interactions(df, threshold=2, inclusive=False, method=method).count() == 3
+    assert filters.frequent_interactions(df, threshold=2).count() == 5
+    assert filters.frequent_interactions(df, threshold=2, inclusive=False).count() == 3
 
 
 def test_report_with_null_user_and_empty(spark):
@@ -70,7 +69,7 @@ def test_csv_strict_and_permissive(spark):
         f.write("user_id,book_id,is_read,rating,is_reviewed\n1,2,1,5,0\n3,x,1,4,1\n5,6\n")
     with pytest.raises(Exception):
         io.read_csv(spark, p, schema.INTERACTIONS, strict=True).collect()
-    df = io.read_csv(spark, p, schema.INTERACTIONS, strict=False).cache()
+    df = io.read_csv(spark, p, schema.INTERACTIONS, strict=False)
     rows = df.collect()
     assert len(rows) == 3
     assert rows[1].book_id is None and io.count_corrupt(df) == 2
@@ -89,7 +88,7 @@ def test_json_missing_text_and_malformed(spark):
         f.write('{"user_id": "u2", "book_id": "b2", "is_read": false, "rating": 0}\n')
         f.write('{"user_id": "u3", "book_id": "b3", "is_read": false, "rating": 0, "review_text_incomplete": ""}\n')
         f.write('{not json\n')
-    raw = io.read_json(spark, p, schema.GENRE_JSON).cache()
+    raw = io.read_json(spark, p, schema.GENRE_JSON)
     assert io.count_corrupt(raw) == 1
     out = {r.user_id: r for r in io.genre_to_interactions(raw).collect() if r.user_id}
     assert out["u1"].is_reviewed == 1 and out["u2"].is_reviewed == 0 and out["u3"].is_reviewed == 0
@@ -140,10 +139,10 @@ def test_join_small_above_cap_same_rows(spark, interactions):
     from interlens.operators.joins import join_small, restrict_to_keys
     keys = filters.frequent_users(interactions, threshold=40)
     small = restrict_to_keys(interactions, keys, "user_id")
-    big = restrict_to_keys(interactions, keys, "user_id", max_rows=0)
+    big = restrict_to_keys(interactions, keys, "user_id", limit=0)
     assert sorted(tuple(r) for r in small.collect()) == sorted(tuple(r) for r in big.collect())
     means = interactions.groupBy("item_id").count()
-    a = join_small(interactions, means, "item_id", max_rows=0).count()
+    a = join_small(interactions, means, "item_id", limit=0).count()
     assert a == interactions.count()
 
 
@@ -162,15 +161,39 @@ def test_frequency_index(spark):
         index.dense_index(df, "k", order="random")
 
 
-def test_table_stats_bound_key_tables(spark, interactions):
-    from conftest import SF001
-    from interlens.operators import topk
-    from interlens.plans import baseline
-    from interlens.sources.views import ROLES, stored_stats
-    st = stored_stats(spark, SF001)
-    assert st["n_rows"] == interactions.count()
-    assert filters.frequent_users(interactions, threshold=1).count() <= st["n_users"]
-    assert baseline.item_means(interactions, ROLES).count() <= st["n_items"]
-    ranks = topk.value_ranks(interactions, 5, "rating", "user_id")
-    assert ranks.count() <= 5 * st["n_users"]
-    assert ranks.groupBy("user_id").count().agg(F.max("count")).first()[0] <= 5
+def test_key_table_is_broadcast_by_bytes(spark):
+    """300 keys of 100 kB each: few rows, but too large to broadcast."""
+    wide = spark.range(300).select(F.concat(F.lpad(F.col("id").cast("string"), 4, "0"), F.repeat(F.lit("x"), 100_000)).alias("k"))
+    idx, n = index.dense_index(wide, "k")
+    narrow = spark.range(300).select(F.col("id").cast("string").alias("k"))
+    idx2, _ = index.dense_index(narrow, "k")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert n == 300
+    assert "strategy=broadcast" not in plan(index.attach_index(wide, "k", index=idx))
+    assert "strategy=broadcast" in plan(index.attach_index(narrow, "k", index=idx2))
+    assert index.attach_index(wide, "k", index=idx).select("k_index").distinct().count() == 300
+
+
+def test_salted_join_keeps_left_rows(spark):
+    from interlens.operators.joins import join_small
+    big = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c"), (9, "d")], "k int, v string")
+    small = spark.createDataFrame([(1, 10), (2, 20), (None, 30)], "k int, w int")
+    for how, safe, want in (("inner", False, [(1, "a", 10), (1, "a", 10), (2, "b", 20)]),
+                            ("inner", True, [(1, "a", 10), (1, "a", 10), (2, "b", 20), (None, "c", 30)]),
+                            ("left", False, [(1, "a", 10), (1, "a", 10), (2, "b", 20), (9, "d", None), (None, "c", None)])):
+        for limit in (0, 1 << 20):
+            got = join_small(big, small, "k", how, limit, safe).collect()
+            assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_stored_view_follows_its_files(spark, tmp_path):
+    from interlens.session import release_scratch
+    from interlens.sources import views
+    for t, n in (("lineitem", 100), ("orders", 1500)):
+        spark.read.parquet(f"{SF001}/{t}.parquet").limit(n).write.parquet(f"{tmp_path}/{t}.parquet")
+    first = views.stored_interactions(spark, str(tmp_path)).count()
+    spark.read.parquet(f"{SF001}/lineitem.parquet").limit(300).write.mode("overwrite").parquet(f"{tmp_path}/lineitem.parquet")
+    assert views.stored_interactions(spark, str(tmp_path)).count() == 300 != first
+    mine = [v for k, v in views._STORED.items() if str(tmp_path) in k]
+    assert len(mine) == 2 and release_scratch(spark, *mine) == 2
+    assert views.stored_interactions(spark, str(tmp_path)).count() == 300

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from interlens.plans import catalog
 from oracle_harness import compare, duck
 
 from conftest import SF01
@@ -10,7 +11,7 @@ from conftest import SF01
 _CON = {}
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_query_matches_duckdb(spark, name):
     con = _CON.setdefault("c", duck(SF01))
     r = compare(spark, name, SF01, con)
@@ -25,7 +26,7 @@ def test_entry_smoke(spark):
     assert len(rows) == 1 and 0 <= rows[0].precision_at_k <= 1
 
 
-def test_every_query_has_sql_or_is_model_based():
-    rows_only = set(entry.queries()) - set(entry.oracle_sql())
-    assert rows_only == {"als_predict", "als_reload_scores", "tuning_table", "cv_table", "final_test_metrics",
-                         "tuning_history"}
+def test_every_query_has_sql():
+    """All of the library's own queries; the training-data ones are tested in tests/llm."""
+    from interlens.plans import catalog
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)

@@ -50,3 +50,37 @@ def test_tuning_table_rows(spark, interactions):
     assert len(rows) == 2 and all(0 <= r.precision_at_k <= 1 and r.rmse > 0 for r in rows)
     best = recommend.choose(t, "precisionAt")
     assert best["grid_no"] in (0, 1)
+
+
+def test_predictions_are_dot_products_of_saved_factors(spark, interactions):
+    train, val, _ = split.train_val_test_split(interactions, ROLES)
+    model = recommend.fit(train, ROLES, 4, 0.1, max_iter=3)
+    path = scratch_path(spark, "model")
+    recommend.save_model(model, path)
+    users = {r.id: r.features for r in spark.read.parquet(f"{path}/userFactors").collect()}
+    items = {r.id: r.features for r in spark.read.parquet(f"{path}/itemFactors").collect()}
+    rows = recommend.score(model, val).collect()
+    assert rows
+    for r in rows:
+        want = sum(a * b for a, b in zip(users[r.user_id], items[r.item_id]))
+        assert r.prediction == pytest.approx(want, abs=1e-4)
+    assert len(rows) == sum(r.user_id in users and r.item_id in items for r in val.collect())
+
+
+def test_grid_releases_what_it_caches(spark, interactions):
+    train, val, _ = split.train_val_test_split(interactions, ROLES)
+    held = lambda: set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+    before = held()
+    recommend.tuning_table(train, val, ROLES, [2, 3], [0.1], k=5, max_iter=2)
+    recommend.cv_table(interactions, ROLES, [2], [0.1], k=5, folds=2, max_iter=2)
+    assert held() <= before
+
+
+def test_seed_reaches_als(spark, interactions, monkeypatch):
+    seen = []
+    fit = recommend.fit
+    monkeypatch.setattr(recommend, "fit", lambda *a, **kw: seen.append(kw["seed"]) or fit(*a, **kw))
+    recommend.cv_table(interactions, ROLES, [2], [0.1], k=5, folds=2, seed=7, max_iter=1)
+    assert seen == [7, 7]
+    recommend.final_test_metrics(interactions, ROLES, [2], [0.1], k=5, folds=2, seed=9, als_seed=3, max_iter=1)
+    assert seen[2:] == [3, 3, 3]
