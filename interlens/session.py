@@ -20,8 +20,19 @@ def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, also
+    when the driver runs in another folder.  (A cluster installs the package.)"""
+    env = spark.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared scratch area (``spark.checkpoint.dir``)."""
+    importable(spark)
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
