@@ -8,23 +8,39 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, shared_dir
+from ..session import importable, release_scratch, scratch_path, shared_dir
+from .textvec import mix
+
+
+BATCH_ROWS = 1000
+
+
+def _short_batches(spark: SparkSession) -> None:
+    """Texts are long: unless the session says otherwise, Arrow batches have
+    1,000 rows, not 10,000, which bounds the memory of a Python worker."""
+    importable(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _short_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text) of every document that has an id; a null text is empty.  Other
     columns, whatever their names, are left behind."""
+    _short_batches(docs.sparkSession)
     return docs.select(docs[id_col].cast("long").alias("id"),
                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text")).where("id is not null")
 
 
-def text_bytes(docs: DataFrame) -> int:
-    """Bytes of all texts (one narrow scan; sizes slices and sketches)."""
-    return int(docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0)
+def text_bytes(docs: DataFrame) -> tuple[int, int]:
+    """Number and bytes of all texts (one narrow scan; sizes slices and sketches)."""
+    n, size = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length("text").cast("long"))).first()
+    return n, int(size or 0)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -34,7 +50,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     shared_dir(spark)
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete ``stored`` tables that no later result reads."""
+    for t in tables:
+        release_scratch(t.sparkSession, t._scratch)
 
 
 def slices_for(n_bytes: int, per_slice: int = 8 << 20, least: int = 64) -> int:
@@ -44,10 +68,6 @@ def slices_for(n_bytes: int, per_slice: int = 8 << 20, least: int = 64) -> int:
     return int(max(least, min(n, max(4096, n // 8))))
 
 
-def i64(a) -> pa.Array:
-    return pa.array(a, pa.int64())
-
-
 def crc_fold(id_col: Column) -> Column:
     """crc32 of the id as text, modulo 5: remainder 0 is held out."""
     return F.crc32(id_col.cast("string").cast("binary")) % 5
@@ -64,7 +84,11 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
     """
     edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                    .distinct(), "cc-links")
-    mark = None
+
+    def state(df: DataFrame):
+        return df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1000003)).first()
+
+    mark = state(edges)
     for _ in range(rounds):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "cc-low")
@@ -75,15 +99,18 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
         near = large.withColumn("m", F.min("b").over(Window.partitionBy("a")))
         small = (near.select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
                  .where("a <> b").distinct())
-        edges = stored(small, "cc-round")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1000003)).first()
+        last, edges = edges, stored(small, "cc-round")
+        release(last, low)
+        now = state(edges)
         if now == mark:
             break
         mark = now
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return nodes.union(nodes.select(F.col("component").alias("node"), "component").distinct())
+    out = nodes.union(nodes.select(F.col("component").alias("node"), "component").distinct())
+    out._scratch = edges._scratch
+    return out
 
 
 def summed(vectors: DataFrame, size: int) -> np.ndarray:
@@ -96,3 +123,65 @@ def summed(vectors: DataFrame, size: int) -> np.ndarray:
     part = vectors.select("count", (F.spark_partition_id() % 32).alias("g"))
     rows = part.groupBy("g").applyInArrow(lambda g: add(g), "count binary").collect()
     return sum((np.frombuffer(r["count"], np.int64) for r in rows), np.zeros(size, np.int64))
+
+
+BLOOM_BITS = 1 << 26
+
+
+class IdFilter:
+    """Bloom filter of a set of ids, sent to the scans: rows that surely are not
+    of the set need no shuffle.  At most ``BLOOM_BITS``; beyond about ten million
+    ids more rows pass, and the join that follows stays exact."""
+
+    def __init__(self, bits: np.ndarray, spark: SparkSession):
+        self.bits = spark.sparkContext.broadcast(bits)
+
+    @staticmethod
+    def slots(ids: np.ndarray, bits: int) -> list[np.ndarray]:
+        h = mix(ids.astype(np.int64).view(np.uint64))
+        return [((h >> np.uint64(32 * k)) & np.uint64(bits - 1)).astype(np.int64) for k in range(2)]
+
+    def mask(self, ids: pa.Array) -> np.ndarray:
+        """Which ids may be of the set (in a task)."""
+        bits = self.bits.value
+        ids = ids.fill_null(0).to_numpy(zero_copy_only=False)
+        ok = np.ones(len(ids), bool)
+        for slot in IdFilter.slots(ids, len(bits) * 8):
+            ok &= (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+        return ok
+
+    def rows(self, df: DataFrame, id_col: str, wanted: bool = True) -> DataFrame:
+        """Rows that may be of the set, all of it among them; or, not
+        ``wanted``, rows that surely are not of it."""
+        column = df.columns.index(id_col)
+
+        def run(batches):
+            for batch in batches:
+                ok = self.mask(batch.column(column))
+                yield batch.filter(pa.array(ok if wanted else ~ok))
+
+        return df.mapInArrow(run, df.schema)
+
+
+def id_filter(ids: DataFrame, id_col: str, n: int) -> IdFilter:
+    """Filter of the ids (no nulls) in a table of about ``n`` rows."""
+    bits = min(BLOOM_BITS, 1 << max(10, (16 * max(n, 1) - 1).bit_length()))
+
+    def run(batches):
+        mine = np.zeros(bits, bool)
+        for batch in batches:
+            for slot in IdFilter.slots(batch.column(0).to_numpy(zero_copy_only=False), bits):
+                mine[slot] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(mine, bitorder="little").tobytes()], pa.binary())], ["bits"])
+
+    def merge(group: pa.Table) -> pa.Table:
+        out = np.zeros(bits // 8, np.uint8)
+        for x in group["bits"]:
+            out |= np.frombuffer(x.as_py(), np.uint8)
+        return pa.table({"bits": pa.array([out.tobytes()], pa.binary())})
+
+    part = ids.select(ids[id_col].cast("long")).mapInArrow(run, "bits binary").withColumn("g", F.spark_partition_id() % 16)
+    merged = np.zeros(bits // 8, np.uint8)
+    for r in part.groupBy("g").applyInArrow(lambda g: merge(g), "bits binary").toLocalIterator():
+        merged |= np.frombuffer(r["bits"], np.uint8)
+    return IdFilter(merged, ids.sparkSession)

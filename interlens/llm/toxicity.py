@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import crc_fold, id_text, stored, summed
+from .common import crc_fold, id_text, release, stored, summed
 from .quality_model import training_ids
 
 PREFIXES = (4, 5, 6, 7, 8)
@@ -244,6 +244,7 @@ def document_counts(texts: DataFrame, lexicon: Lexicon) -> tuple[np.ndarray, int
     """Documents that hold each token, and distinct tokens, over all texts."""
     sent = texts.sparkSession.sparkContext.broadcast(lexicon)
     out = summed(texts.select("text").mapInArrow(_document_counts(sent), "count binary"), len(lexicon.token) + 1)
+    sent.unpersist()
     return out[:-1], int(out[-1])
 
 
@@ -293,6 +294,7 @@ def train(texts: DataFrame, labels: DataFrame, target: str, max_rows: int, least
 
     held = (sample.where("not fits").select("text", "y").mapInArrow(hits, "y int, n long, at array<long>, entry array<long>")
             .orderBy("n", "y", "at").collect())
+    release(sample)
     return calibrate(lex, [(r["y"], r["n"], np.array(r["at"], np.int64), np.array(r["entry"], np.int64)) for r in held])
 
 
