@@ -8,7 +8,8 @@ byte for byte; ``parse_records`` reads records back and checks each payload
 against both digests.  ``export_warc`` and ``read_warc`` go through ``.warc``
 files of the standard layout.
 
-Payloads and response headers are bucketed alike by digest, so the join that
+Payloads and response headers are bucketed alike by digest and the id of the
+digest's response, so the join that
 rebuilds the records shuffles nothing.  Only responses carry a payload, one for
 each digest; revisits need no join.  So a payload that a third of all pages
 share is stored, shuffled and joined once.
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices_for, stored
+from .common import release, slices_for, stored
 
 BUCKET_BYTES = 16 << 20
 # Fixed value: the standard's profile of revisits of an identical payload.
@@ -81,23 +82,30 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str =
     total, clashes = originals.agg(F.sum("n"), F.count_if("clash")).first()
     if clashes:
         raise ValueError(f"{clashes} digests stand for different payloads")
-    buckets = slices_for(total or 0, BUCKET_BYTES, 16)
+    buckets = slices_for(total or 0, BUCKET_BYTES, 4)
     keep = originals.select("sha256", F.col("original").alias("page_id"))
 
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition(buckets, "sha256", "page_id")
+
     def bucketed(df: DataFrame, name: str) -> None:
         table = f"warc_{uuid.uuid4().hex}"
-        (df.repartition(buckets, "sha256").write.bucketBy(buckets, "sha256").sortBy("sha256")
+        (df.write.bucketBy(buckets, "sha256", "page_id").sortBy("sha256", "page_id")
          .option("path", f"{path}/{name}").format("parquet").saveAsTable(table))
         spark.sql(f"DROP TABLE {table}")  # the files stay
 
-    bucketed(full.join(keep, ["sha256", "page_id"]).dropDuplicates(["sha256", "page_id"]).select("sha256", "payload"),
-             "payloads")
+    # one shuffle of the payloads: by the buckets they are written to
+    bucketed(dealt(full).join(dealt(keep).hint("merge"), ["sha256", "page_id"]).dropDuplicates(["sha256", "page_id"])
+             .select("sha256", "page_id", "payload"), "payloads")
     typed = slim.join(originals.select("sha256", "original"), "sha256").withColumn("http", _http_header())
     response = (F.col("page_id") == F.col("original")) | (F.col("n") < min_bytes)
-    bucketed(typed.where(response).select("sha256", _warc_header(False).cast("binary").alias("header"),
-                                          F.col("http").cast("binary").alias("http")), "responses")
+    # a small payload that is no revisit still shares the stored bytes of its digest
+    bucketed(dealt(typed.where(response).select("sha256", F.col("original").alias("page_id"),
+                                                _warc_header(False).cast("binary").alias("header"),
+                                                F.col("http").cast("binary").alias("http"))), "responses")
     typed.where(~response).select(_warc_header(True).cast("binary").alias("header"),
                                   F.col("http").cast("binary").alias("http")).write.parquet(f"{path}/revisits")
+    release(slim, originals)
     spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.parquet(f"{path}/meta")
 
 
@@ -107,16 +115,17 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
     def table(name: str, columns: str) -> DataFrame:
         t = f"warc_{uuid.uuid4().hex}"
-        spark.sql(f"CREATE TABLE {t} ({columns}) USING parquet CLUSTERED BY (sha256) SORTED BY (sha256) "
-                  f"INTO {buckets} BUCKETS LOCATION '{path}/{name}'")
+        spark.sql(f"CREATE TABLE {t} (sha256 STRING, page_id BIGINT, {columns}) USING parquet "
+                  f"CLUSTERED BY (sha256, page_id) SORTED BY (sha256, page_id) INTO {buckets} BUCKETS "
+                  f"LOCATION '{path}/{name}'")
         df = spark.table(t)
         df.schema  # noqa: B018  resolved while the table is there
         spark.sql(f"DROP TABLE {t}")
         return df
 
-    responses = table("responses", "sha256 STRING, header BINARY, http BINARY")
-    payloads = table("payloads", "sha256 STRING, payload BINARY")
-    whole = responses.join(payloads.hint("merge"), "sha256").select(
+    responses = table("responses", "header BINARY, http BINARY")
+    payloads = table("payloads", "payload BINARY")
+    whole = responses.join(payloads.hint("merge"), ["sha256", "page_id"]).select(
         F.concat("header", "http", "payload", F.lit(b"\r\n\r\n")).alias("record"), "sha256")
     revisits = spark.read.parquet(f"{path}/revisits").select(
         F.concat("header", "http", F.lit(b"\r\n\r\n")).alias("record"), F.lit(None).cast("string").alias("sha256"))
