@@ -12,16 +12,18 @@ from ..session import importable, release_scratch, scratch_path, shared_dir
 from .textvec import mix
 
 
-BATCH_ROWS = 1000
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+           "spark.sql.parquet.columnarReaderBatchSize": ("4096", "512")}
 
 
 def _short_batches(spark: SparkSession) -> None:
-    """Texts are long: unless the session says otherwise, Arrow batches have
-    1,000 rows, not 10,000, which bounds the memory of a Python worker."""
+    """Texts are long: unless the session says otherwise, Arrow and Parquet
+    batches have fewer rows than Spark's defaults, which bounds the memory of
+    executors and of Python workers."""
     importable(spark)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":
-        spark.conf.set(key, str(BATCH_ROWS))
+    for key, (default, rows) in BATCHES.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, rows)
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
