@@ -17,6 +17,9 @@ The sketch has ``sketch_bytes`` at most, whatever the input: that is the proven
 bound of what is broadcast.  It grows with the text up to that bound.  Beyond it
 more windows pass the filter, and the second pass, which is exact and spread
 over hash slices, groups them: slower, with the same result.
+
+Only documents that lose words are shuffled: a Bloom filter of their ids (of
+bounded size) lets the scan finish all others on the spot.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import id_text, slices_for, text_bytes
+from .common import IdFilter, id_filter, id_text, slices_for, stored, text_bytes
 
 SLICE_CELLS = 1 << 22
 ROWS = 2
@@ -212,37 +215,48 @@ def repeated_windows(texts: DataFrame, window: int, sketch_bytes: int) -> DataFr
     """(id, tag, pos): starts of the windows that also start earlier, for each
     row of ``texts`` (id, text, tag) that has any; several rows a document."""
     spark = texts.sparkSession
-    n = text_bytes(texts)
+    _, n = text_bytes(texts)
     width = sketch_cells(n, sketch_bytes)
     bits = spark.sparkContext.broadcast(merged_sketch(texts, width, window))
-    return (texts.mapInArrow(_candidates(bits, width, window, slices_for(n)), _ENTRY)
-            .groupBy("slice").applyInArrow(_repeats, "id long, tag short, pos binary"))
-
-
-def _rest(window: int):
-    """Words left over, joined by one space."""
+    found = stored(texts.mapInArrow(_candidates(bits, width, window, slices_for(n)), _ENTRY)
+                   .groupBy("slice").applyInArrow(_repeats, "id long, tag short, pos binary"), "repeats")
+    bits.unpersist()
+    return found
+
+
+_REST = "id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+
+
+def _rest_of(texts, starts, window: int):
+    """(words, removed, digest, words left joined by one space) of each text."""
+    for text, blobs in zip(texts, starts):
+        found = text.as_py().encode().split()
+        n = len(found)
+        if blobs:
+            gone = np.zeros(n + 1, np.int32)
+            at = np.unique(np.concatenate([np.frombuffer(b, np.int32) for b in blobs]))
+            gone[at] += 1
+            np.subtract.at(gone, at + window, 1)
+            found = [found[i] for i in np.flatnonzero(np.cumsum(gone[:n]) == 0)]
+        kept = b" ".join(found)
+        yield n, n - len(found), hashlib.sha256(kept).hexdigest(), kept.decode()
+
+
+def _rest(window: int, losing: IdFilter | None = None):
+    """What is left of each text: rows (id, text, pos), or, with a filter, rows
+    (id, text) that surely lose nothing.  (The filter is applied here: a second
+    Python step in one stage would double its workers.)"""
     def run(batches):
         for batch in batches:
-            texts = batch.column(1)
-            out = []
-            for text, starts in zip(texts, batch.column(2)):
-                found = text.as_py().encode().split()
-                blobs = starts.as_py()
-                n = len(found)
-                if blobs:
-                    gone = np.zeros(n + 1, np.int32)
-                    at = np.unique(np.concatenate([np.frombuffer(b, np.int32) for b in blobs]))
-                    gone[at] += 1
-                    np.subtract.at(gone, at + window, 1)
-                    keep = np.cumsum(gone[:n]) == 0
-                    found = [found[i] for i in np.flatnonzero(keep)]
-                kept = b" ".join(found)
-                out.append((n, n - len(found), hashlib.sha256(kept).hexdigest(), kept.decode()))
-            cols = list(zip(*out)) if out else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                 pa.array(cols[2], pa.string()), pa.array(cols[3], pa.string())],
-                ["id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+            if losing is not None:
+                batch = batch.filter(pa.array(~losing.mask(batch.column(0))))
+            starts = batch.column(2).to_pylist() if batch.num_columns > 2 else [None] * batch.num_rows
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                cols = list(zip(*_rest_of(part.column(1), starts[lo:lo + 512], window)))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.string(), pa.string())))],
+                    ["id", "n_words", "n_removed", "kept_sha256", "kept_text"])
     return run
 
 
@@ -259,8 +273,10 @@ def substring_dedup(docs: DataFrame, window: int = 20, sketch_bytes: int = 64 <<
     read.
     """
     texts = id_text(docs, id_col, text_col).withColumn("tag", (F.xxhash64("text") % 32768).cast("short"))
-    found = (repeated_windows(texts, window, sketch_bytes)
-             .groupBy("id", "tag").agg(F.collect_list("pos").alias("pos")))
-    rest = texts.join(found, ["id", "tag"], "left").select("id", "text", "pos").mapInArrow(
-        _rest(window), "id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
-    return rest.withColumnRenamed("id", "doc_id")
+    found = repeated_windows(texts, window, sketch_bytes)
+    losing = id_filter(found, "id", found.count())
+    untouched = texts.select("id", "text").mapInArrow(_rest(window, losing), _REST)
+    cut = losing.rows(texts, "id").join(
+        found.groupBy("id", "tag").agg(F.collect_list("pos").alias("pos")), ["id", "tag"], "left")
+    cut = cut.select("id", "text", "pos").mapInArrow(_rest(window), _REST)
+    return untouched.union(cut).withColumnRenamed("id", "doc_id")
