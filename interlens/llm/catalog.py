@@ -150,7 +150,7 @@ def op3(spark, sf_dir) -> DataFrame:
 
 @_query("op4_licences")
 def op4(spark, sf_dir) -> DataFrame:
-    return _op("licences").scan(load(spark, sf_dir, "documents"))
+    return _op("licences").scan(load(spark, sf_dir, "documents"), windows=True)
 
 
 @_query("op5_warc")

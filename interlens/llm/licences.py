@@ -3,11 +3,17 @@ coefficient over word bigrams.
 
 Normalised: A-Z folded, and only letters, digits and bytes above 127 count, so
 punctuation and layout do not matter.  Each template is a set of word bigrams.
-Compared are the passages of a text: every line, and the blocks of lines between
-blank lines (a notice of several lines).  Two sets of a and b bigrams have a Dice
-coefficient 2|A & B| / (a + b) of at most 2 min(a, b) / (a + b); so for a
-threshold t only templates of t / (2 - t) * a to (2 - t) / t * a bigrams are
-candidates, and the rest are never compared.
+Compared are the passages of a text: every line, the blocks of lines between
+blank lines (a notice of several lines) and, with ``windows``, every run of words
+inside the text, whatever its lines, comment marks and surroundings.  Two sets of
+a and b bigrams have a Dice coefficient 2|A & B| / (a + b) of at most
+2 min(a, b) / (a + b); so for a threshold t only templates of t / (2 - t) * a to
+(2 - t) / t * a bigrams are candidates, and the rest are never compared.
+
+Windows are cut per template of b bigrams: a run that reaches t holds t / (2 - t) * b
+of them at least, and loses nothing if it starts and ends with one of them.  So
+runs start only where that many of the template's bigrams follow within
+(2 - t) / t of its length (repeats counted), and only those are compared.
 
 Templates are a short fixed table (a parameter): its size is known before it is
 sent.  Documents are never shuffled.
@@ -80,16 +86,20 @@ def _bigrams(c: tv.Chunk):
 class Templates:
     def __init__(self, table: dict[str, list[str]], threshold: float):
         self.threshold = threshold
-        self.names, sets = [], []
+        self.names, sets, runs = [], [], []
         for name, texts in table.items():
             for t in texts:
                 self.names.append(name)
                 sets.append(np.unique(_bigrams(next(tv.chunks(pa.array([t]), 1)))[2]))
+                runs.append(len(_bigrams(next(tv.chunks(pa.array([t]), 1)))[2]))
         order = np.argsort([len(s) for s in sets], kind="stable")
         self.names = [self.names[i] for i in order]
         self.sets = [sets[i] for i in order]
         self.size = np.array([len(s) for s in self.sets])
         self.known = np.unique(np.concatenate(self.sets))
+        self.member = np.array([np.isin(self.known, s) for s in self.sets])
+        self.least = [max(1, math.ceil(b * threshold / (2 - threshold) - 1e-9)) for b in self.size]
+        self.longest = [math.floor(runs[i] * (2 - threshold) / threshold + 1e-9) for i in order]
 
     def best(self, h: np.ndarray) -> tuple[float, int]:
         """Highest coefficient of the bigrams ``h`` with a candidate template."""
@@ -133,15 +143,82 @@ class Templates:
                     out.add((int(lines.doc[np.searchsorted(lines.start, begin[u])]), int(begin[u]), int(end[u]), i, dice))
         return sorted(out)
 
+    def _windows(self, w: tv.Words, at: np.ndarray, h: np.ndarray):
+        """(first word, last word, template, bigrams in common, coefficient) of
+        the runs of words at or over the threshold, as arrays for each template."""
+        k = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
+        place = np.flatnonzero(self.known[k] == h)
+        k, doc, before = k[place], w.doc[at], None
+        for i, (b, least, longest) in enumerate(zip(self.size, self.least, self.longest)):
+            p = place[self.member[i, k]]
+            if len(p) < least:
+                continue
+            start, enough = p[:len(p) - least + 1], p[least - 1:]
+            start = start[(enough - start < longest) & (doc[enough] == doc[start])]
+            if not len(start):
+                continue
+            if before is None:       # place of the same bigram before
+                order = np.argsort(h, kind="stable")
+                same = h[order[1:]] == h[order[:-1]]
+                before = np.full(len(h), -1)
+                before[order[1:][same]] = order[:-1][same]
+            mine = np.zeros(len(h), bool)
+            mine[p] = True
+            size = max(1, (1 << 18) // longest)
+            for lo in range(0, len(start), size):
+                s = start[lo:lo + size, None]
+                j = s + np.arange(longest)
+                inside = j < len(h)
+                j = np.minimum(j, len(h) - 1)
+                new = inside & (doc[j] == doc[s]) & (before[j] < s)
+                hit = new & mine[j]
+                common = np.cumsum(hit, 1)
+                dice = 2 * common / (np.cumsum(new, 1) + b)
+                r, e = np.nonzero(hit & (dice >= self.threshold))
+                yield at[s[r, 0]], at[j[r, e]] + 1, np.full(len(r), i), common[r, e], dice[r, e]
+
+    def search(self, c: tv.Chunk):
+        """As ``scan``, over lines, blocks and windows: of passages that share a
+        word, the one with the most in common (bigrams times coefficient)."""
+        w, at, h = _bigrams(c)
+        if not len(at):
+            return []
+        parts = list(self._windows(w, at, h))
+        units = self.scan(c)
+        if units:
+            _, a, b, i, dice = (np.array(x) for x in zip(*units))
+            a, b = np.searchsorted(w.start, a), np.searchsorted(w.start, b) - 1
+            common = [len(np.intersect1d(h[np.searchsorted(at, x):np.searchsorted(at, y)], self.sets[n]))
+                      for x, y, n in zip(a, b, i)]
+            parts.append((a, b, i, np.array(common), dice))
+        if not parts:
+            return []
+        a, b, i, common, dice = (np.concatenate(x) for x in zip(*parts))
+        left = np.lexsort((i, b, a, -dice, -(common * dice)))
+        taken, out, step = np.zeros(len(w.start), bool), [], 64
+        while len(left):
+            for x in left[:step].tolist():
+                if not taken[a[x]:b[x] + 1].any():
+                    taken[a[x]:b[x] + 1] = True
+                    out.append((int(w.doc[a[x]]), int(w.start[a[x]]), int(w.end[b[x]]), int(i[x]), float(dice[x])))
+            left, step = left[step:], step * 2
+            used = np.concatenate([[0], np.cumsum(taken)])
+            left = left[used[b[left] + 1] == used[a[left]]]
+        return sorted(out)
+
 
 def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, threshold: float = 0.8,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", windows: bool = False) -> DataFrame:
     """Licences of every document, from the passages that match a template.
 
     Returns one row per input row: doc_id, licences (names, sorted, joined by
     commas; empty if none), n_passages, best_dice, spans (start:end:name in code
     points, joined by commas).  Null, empty and single-word texts match nothing.
     A template that a line and its block both match counts for each passage.
+    With ``windows`` (the registered query) passages are also any run of words,
+    and no two of them share a word: of those that do the one with the most in
+    common counts, so a notice is found inside longer lines, across line breaks
+    and comment marks, and once.
     Rows without an id are left out; repeated rows are scanned each.  Empty
     table: empty result.  Extra columns are not read.
     """
@@ -152,7 +229,7 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, thresho
         for batch in batches:
             for c in tv.chunks(batch.column(1)):
                 found: dict[int, list] = {}
-                for row, a, b, i, dice in t.scan(c):
+                for row, a, b, i, dice in t.search(c) if windows else t.scan(c):
                     raw, lo = c.data, c.offsets[row]
                     before = int(np.count_nonzero((raw[lo:a] & 0xC0) != 0x80))
                     size = int(np.count_nonzero((raw[a:b] & 0xC0) != 0x80))

@@ -61,3 +61,71 @@ def test_documents(spark):
 
 def test_empty_table(spark):
     assert lc.scan(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def brute_windows(text, table, threshold=0.8):
+    """Every run of words against every template, the best ones that share no word."""
+    t = text or ""
+    at = [m.span() for m in WORDS.finditer(t)]
+    w = [t[a:b].lower() for a, b in at]
+    pairs = list(zip(w, w[1:]))
+    ordered = sorted(((n, x) for n, xs in table.items() for x in xs), key=lambda r: len(bigrams(r[1])))
+    found = []
+    for k, (_, x) in enumerate(ordered):
+        s, most = bigrams(x), int((len(WORDS.findall(x)) - 1) * (2 - threshold) / threshold + 1e-9)
+        for i in range(len(pairs)):
+            for j in range(i, min(len(pairs), i + most)):
+                if pairs[i] in s and pairs[j] in s:
+                    run = set(pairs[i:j + 1])
+                    hit = len(run & s)
+                    dice = 2 * hit / (len(run) + len(s))
+                    if dice >= threshold:
+                        found.append((-(hit * dice), -dice, i, j + 1, k))
+    taken, out = set(), []
+    for _, d, i, j, k in sorted(found):
+        if not taken & set(range(i, j + 1)):
+            taken |= set(range(i, j + 1))
+            out.append((at[i][0], at[j][1], ordered[k][0], -d))
+    out.sort()
+    return (",".join(sorted({x[2] for x in out})), len(out), max((x[3] for x in out), default=0.0),
+            ",".join(f"{a}:{b}:{n}" for a, b, n, _ in out))
+
+
+def test_windows_equal_brute_force(frame):
+    rnd = random.Random(5)
+    table = {"A": ["one two three four five six seven", "one two three four five nine"], "B": ["six seven eight one two three"],
+             "C": ["two three two three four"]}
+    some = "one two three four five six seven eight nine x".split()
+    texts = [None, "", "one", " ".join(rnd.choices(some[1:3], k=60))]
+    for _ in range(150):
+        parts = [rnd.choice([x for xs in table.values() for x in xs]) if rnd.random() < .6
+                 else " ".join(rnd.choices(some, k=rnd.randint(1, 8))) for _ in range(rnd.randint(1, 7))]
+        texts.append("".join(rnd.choice([" ", "\n", "\n\n", ", é ", "\r\n * "]) + x for x in " ".join(parts).split(" ")))
+    got = rows(lc.scan(frame(texts), templates=table, windows=True))
+    for i, t in enumerate(texts):
+        assert got[i] == brute_windows(t, table), t
+
+
+def test_notices_inside_texts(frame):
+    import textwrap
+    fill = " ".join(f"word{i} and{i}" for i in range(400))
+    mit, apache, gpl = lc.TEMPLATES["MIT"][2], lc.TEMPLATES["Apache-2.0"][1], lc.TEMPLATES["GPL-3.0"][1]
+    jane = "Copyright 2020 Jane Doe and contributors. Released under the MIT License. See LICENSE for details."
+    wrap = lambda t, mark="", end="\n": end.join(mark + x for x in textwrap.wrap(t, 60))
+    texts = [jane, f"{fill} {jane} {fill}", f"{fill} {gpl} {fill}", f"{wrap(mit)}\nimport os\n{wrap(fill)}",
+             "/*\r\n" + wrap(mit.replace(", to deal", "\n\nto deal"), " * ", "\r\n") + "\r\n */\r\n" + fill,
+             "\n".join(["# Copyright 1999 X", "#", wrap(gpl, "# "), "#", "# more of it", "import os"]),
+             "// (c) Y\n//\n" + wrap(apache, "// ").replace("obtain a copy", "obtain a\n//\n// copy") + "\nint main() {}",
+             f"{jane} {fill} Licensed under the Apache License, Version 2.0. {fill}", fill]
+    got = rows(lc.scan(frame(texts), windows=True))
+    want = ["MIT", "MIT", "GPL-3.0", "MIT", "MIT", "GPL-3.0", "Apache-2.0", "Apache-2.0,MIT", ""]
+    assert [got[i][0] for i in range(len(texts))] == want
+    a = jane.index("Released")
+    assert got[0] == ("MIT", 1, 1.0, f"{a}:{a + 30}:MIT")
+
+
+def test_query_finds_all_that_lines_and_blocks_hold(spark):
+    from interlens.llm import catalog
+    d = spark.read.parquet(f"{SF01}/documents.parquet")
+    plain, whole = rows(lc.scan(d)), rows(catalog.QUERIES["op4_licences"](spark, SF01))
+    assert all(set(plain[i][0].split(",")) - {""} <= set(whole[i][0].split(",")) for i in plain)
