@@ -30,40 +30,106 @@ from pyspark.sql import DataFrame
 from . import textvec as tv
 from .common import id_text
 
-# The notices as their licences state them.
+# The short notices as authors write them (four are those of the given documents), and the notices and
+# conditions as the licences word them.  Licences that share wording stand side by side with the same notices, so that
+# the best template is the right one; what several share alone has a name of its own (BSD) or one without a version.
+_MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+        "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
+        "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+        "copies of the Software, and to permit persons to whom the Software is furnished to do so")
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met:")
+_BSD_SOURCE = (" 1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
+               "the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+               "this list of conditions and the following disclaimer in the documentation and/or other materials "
+               "provided with the distribution.")
+_BSD_ADVERT = (" 3. All advertising materials mentioning features or use of this software must display the following "
+               "acknowledgement: This product includes software developed by the copyright holder.")
+_BSD_NAMES = (" Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+              "promote products derived from this software without specific prior written permission.")
+_ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+_ISC_KEEP = ", provided that the above copyright notice and this permission notice appear in all copies."
+
+
+def _gnu(full: str, version: str, *things: str) -> list[str]:
+    """Short notices of a GNU licence, its own notice (which may name the work a
+    program or a library) and the form without later versions."""
+    of = "," if version == "1" else " of the License,"
+    return [f"This work is licensed under the GNU {full} Public License, version {version}.",
+            *(f"This {x} is free software: you can redistribute it and/or modify it under the terms of the GNU {full} "
+              f"Public License as published by the Free Software Foundation, either version {version}{of} or (at your "
+              "option) any later version." for x in things),
+            *(f"This {x} is free software; you can redistribute it and/or modify it under the terms of the GNU {full} "
+              f"Public License version {version} as published by the Free Software Foundation." for x in things)]
+
+
+def _creative_commons() -> dict[str, list[str]]:
+    out = {}
+    for version, where in (("4.0", " International"), ("3.0", " Unported"), ("2.5", " Generic"), ("2.0", " Generic"),
+                           ("1.0", " Generic"), ("", "")):
+        for kind, full in (("BY", ""), ("BY-SA", "-ShareAlike"), ("BY-NC", "-NonCommercial"), ("BY-ND", "-NoDerivatives"),
+                           ("BY-NC-SA", "-NonCommercial-ShareAlike"), ("BY-NC-ND", "-NonCommercial-NoDerivatives")):
+            v = f" {version}" if version else ""
+            out[f"CC-{kind}{v.replace(' ', '-')}"] = [
+                f"Licensed under CC {kind}{v}.",
+                f"This work is licensed under a Creative Commons Attribution{full}{v}{where} License."]
+    return out
+
+
 TEMPLATES = {
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
         "compliance with the License. You may obtain a copy of the License at "
         "http://www.apache.org/licenses/LICENSE-2.0"],
-    "MIT": [
-        "Released under the MIT License.",
-        "Licensed under the MIT License.",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-        "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
-        "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
-        "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
-        "following conditions:"],
-    "GPL-3.0": [
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-        "option) any later version."],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
-    "BSD-3-Clause": [
-        "Licensed under the BSD 3-Clause License.",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-        "that the following conditions are met:"],
+    "ECL-2.0": [
+        "Licensed under the Educational Community License, Version 2.0.",
+        "Licensed under the Educational Community License, Version 2.0 (the \"License\"); you may not use this file "
+        "except in compliance with the License. You may obtain a copy of the License at "
+        "http://www.opensource.org/licenses/ECL-2.0"],
+    "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", f"{_MIT}, subject to the following conditions:"],
+    "MIT-0": [f"{_MIT}. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND"],
+    "GPL-3.0": [*_gnu("General", "3", "program"),
+                "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "GPL-2.0": [*_gnu("General", "2", "program"),
+                "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "GPL-1.0": [*_gnu("General", "1", "program"),
+                "GNU GENERAL PUBLIC LICENSE Version 1, February 1989"],
+    "GPL": ["This work is licensed under the GNU General Public License."],
+    "LGPL-3.0": [*_gnu("Lesser General", "3", "program", "library"),
+                 "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "LGPL-2.1": [*_gnu("Lesser General", "2.1", "library", "program"),
+                 "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"],
+    "LGPL-2.0": [*_gnu("Library General", "2", "library", "program"),
+                 "GNU LIBRARY GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "LGPL": ["This work is licensed under the GNU Lesser General Public License."],
+    "AGPL-3.0": [*_gnu("Affero General", "3", "program"),
+                 "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"],
+    "AGPL": ["This work is licensed under the GNU Affero General Public License."],
+    "BSD-3-Clause": ["Licensed under the BSD 3-Clause License.", f"{_BSD}{_BSD_SOURCE} 3.{_BSD_NAMES}"],
+    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License.", f"{_BSD}{_BSD_SOURCE}"],
+    "BSD-4-Clause": ["Licensed under the BSD 4-Clause License.", f"{_BSD}{_BSD_SOURCE}{_BSD_ADVERT} 4.{_BSD_NAMES}"],
+    "BSD": [_BSD],
+    "ISC": ["Released under the ISC License.", "Licensed under the ISC License.", f"{_ISC}{_ISC_KEEP}"],
+    "0BSD": [f"{_ISC}."],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
         "was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0.",
-                  "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.",
-                     "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.",
-                     "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
+    "MPL-1.1": [
+        "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not "
+        "use this file except in compliance with the License. You may obtain a copy of the License at "
+        "http://www.mozilla.org/MPL/"],
+    "CC0-1.0": [
+        "Licensed under CC0 1.0.",
+        "Licensed under CC0 1.0 Universal.",
+        "This work is licensed under a CC0 1.0 Universal License.",
+        "This work is marked with CC0 1.0 Universal.",
+        "CC0 1.0 Universal (CC0 1.0) Public Domain Dedication",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+        "this work.",
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights "
+        "to this software to the public domain worldwide. This software is distributed without any warranty."],
+    **_creative_commons(),
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
 

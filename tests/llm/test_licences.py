@@ -129,3 +129,47 @@ def test_query_finds_all_that_lines_and_blocks_hold(spark):
     d = spark.read.parquet(f"{SF01}/documents.parquet")
     plain, whole = rows(lc.scan(d)), rows(catalog.QUERIES["op4_licences"](spark, SF01))
     assert all(set(plain[i][0].split(",")) - {""} <= set(whole[i][0].split(",")) for i in plain)
+
+
+GNU = ("This {} is free software{} you can redistribute it and/or modify it under the terms of the GNU {} Public License as "
+       "published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version.")
+BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+       "following conditions are met:\n\n")
+BSD12 = ("1. Redistributions of source code must retain the above copyright notice, this list of conditions and the\n   following "
+         "disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions\n   "
+         "and the following disclaimer in the documentation and/or other materials provided with the distribution.\n\n")
+BSD3 = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote\n   "
+        "products derived from this software without specific prior written permission.\n\n")
+AS_IS = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES'
+STANDARD = [
+    ("GPL-2.0", GNU.format("program", ";", "General", ";", 2)), ("GPL-3.0", GNU.format("program", ":", "General", ",", 3)),
+    ("LGPL-2.1", GNU.format("library", ";", "Lesser General", ";", 2.1)),
+    ("LGPL-3.0", GNU.format("program", ":", "Lesser General", ",", 3)),
+    ("LGPL-3.0", GNU.format("library", ":", "Lesser General", ",", 3)),
+    ("LGPL-2.0", GNU.format("library", ";", "Library General", ";", 2)),
+    ("AGPL-3.0", GNU.format("program", ":", "Affero General", ",", 3)),
+    ("BSD-2-Clause", BSD + BSD12 + AS_IS), ("BSD-3-Clause", BSD + BSD12 + BSD3 + AS_IS), ("BSD", BSD),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies.\n\n" + AS_IS),
+    ("CC0-1.0", "To the extent possible under law, Jane Doe has waived all copyright and related or neighboring rights to "
+                "This Work."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."), ("CC-BY-NC-3.0", "Licensed under CC BY-NC 3.0."),
+    ("CC-BY-3.0", "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
+    ("CC-BY", "This work is licensed under a Creative Commons Attribution license."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("GPL", "This work is licensed under the GNU General Public License."),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE\n   Version 2, June 1991\n\nCopyright (C) 1989, 1991"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\nCopyright (C) 2007"),
+]
+
+
+def test_standard_notices_have_their_own_names(frame):
+    own = [(n, x) for n, xs in lc.TEMPLATES.items() for x in xs]
+    cases = STANDARD + own + [(n, f"Some words before it. {x}\nint main() {{}}") for n, x in STANDARD + own]
+    got = rows(lc.scan(frame([x for _, x in cases]), windows=True))
+    assert [(n, x, got[i][0]) for i, (n, x) in enumerate(cases) if got[i][0] != n] == []
+    single = [(n, " ".join(x.split())) for n, x in STANDARD if len(x) < 400]
+    got = rows(lc.scan(frame([x for _, x in single])))
+    assert [(n, x, got[i][0]) for i, (n, x) in enumerate(single) if got[i][0] not in (n, "")] == []
