@@ -187,3 +187,62 @@ def op7(spark, sf_dir) -> DataFrame:
 @_query("op8_personal")
 def op8(spark, sf_dir) -> DataFrame:
     return _op("personal").find(load(spark, sf_dir, "documents"))
+
+
+def _level_sql(below: str, name: str, group: str) -> str:
+    """One level of a Merkle forest over (group, idx, h, n = nodes of the tree)."""
+    return (f"{name} AS MATERIALIZED (SELECT {group}, idx // 2 AS idx, CASE WHEN any_value(n) = 1 THEN min(h) "
+            f"ELSE sha256(string_agg(h, '' ORDER BY idx)) END AS h, (any_value(n) + 1) // 2 AS n "
+            f"FROM {below} GROUP BY {group}, idx // 2)")
+
+
+def op12_sql(levels: int = 24) -> str:
+    def field(c):
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+
+    def leaf(n_chars):
+        return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+    doc = [_level_sql(f"a{i}", f"a{i + 1}", "lang") for i in range(levels)]
+    top = [_level_sql(f"b{i}", f"b{i + 1}", "one") for i in range(levels)]
+    near = " UNION ALL ".join(f"SELECT {i} AS l, lang, idx, h, n FROM a{i} WHERE n > 1" for i in range(levels))
+    far = " UNION ALL ".join(f"SELECT {i} AS l, idx, h, n FROM b{i} WHERE n > 1" for i in range(levels))
+    step = "CASE WHEN s.h IS NULL THEN 'A' WHEN m.idx % 2 = 1 THEN 'L' || s.h ELSE 'R' || s.h END"
+    fold = ("list_reduce(list_prepend({start}, coalesce({steps}, [])), lambda a, s: CASE s[1] WHEN 'L' THEN sha256(s[2:] || a) "
+            "WHEN 'R' THEN sha256(a || s[2:]) ELSE sha256(a) END)")
+    return f"""
+WITH RECURSIVE bit AS (SELECT i AS b, i AS c, 0 AS k FROM range(256) r(i)
+  UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bit WHERE k < 8),
+tab AS (SELECT list(c ORDER BY b) AS tab FROM bit WHERE k = 8),
+crc AS (SELECT doc_id, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+          list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+          lambda c, x: xor(c >> 8, tab[1 + (xor(c, x) & 255)]))) AS crc
+        FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), tab),
+d AS MATERIALIZED (SELECT doc_id, lang, row_number() OVER () AS k, {leaf('n_chars')} AS leaf,
+             CASE WHEN crc % 7 = 0 THEN {leaf('(n_chars + 1)')} ELSE {leaf('n_chars')} END AS found
+      FROM documents LEFT JOIN crc USING (doc_id)),
+a0 AS MATERIALIZED (SELECT k, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, leaf AS h,
+              count(*) OVER (PARTITION BY lang) AS n FROM d),
+{", ".join(doc)},
+b0 AS MATERIALIZED (SELECT 1 AS one, lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, h, count(*) OVER () AS n FROM a{levels}),
+{", ".join(top)},
+near AS ({near}), far AS ({far}),
+ns AS (SELECT k, list({step} ORDER BY m.l) AS steps FROM (SELECT a0.k, a0.lang, m.l, m.idx FROM a0
+         JOIN near m ON m.lang IS NOT DISTINCT FROM a0.lang AND m.idx = a0.idx >> m.l) m
+       LEFT JOIN near s ON s.l = m.l AND s.lang IS NOT DISTINCT FROM m.lang AND s.idx = xor(m.idx, 1) GROUP BY k),
+fs AS (SELECT m.lang, list({step} ORDER BY m.l) AS steps FROM (SELECT b0.lang, m.l, m.idx FROM b0
+         JOIN far m ON m.idx = b0.idx >> m.l) m LEFT JOIN far s ON s.l = m.l AND s.idx = xor(m.idx, 1) GROUP BY m.lang),
+w AS (SELECT d.doc_id, d.leaf, d.found, b0.h AS subroot, (SELECT h FROM b{levels}) AS root,
+             list_concat(coalesce(ns.steps, []), coalesce(fs.steps, [])) AS steps
+      FROM d JOIN b0 ON b0.lang IS NOT DISTINCT FROM d.lang LEFT JOIN ns USING (k)
+           LEFT JOIN fs ON fs.lang IS NOT DISTINCT FROM d.lang)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(steps, lambda s: s[2:]), '')) AS proof_sha256,
+       {fold.format(start='found', steps='steps')} AS folded_root,
+       {fold.format(start='found', steps='steps')} = root AS verified
+FROM w
+"""
+
+
+@_query("op12_merkle", op12_sql())
+def op12(spark, sf_dir) -> DataFrame:
+    return _op("merkle").audit(load(spark, sf_dir, "documents"))
