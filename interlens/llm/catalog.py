@@ -246,3 +246,8 @@ FROM w
 @_query("op12_merkle", op12_sql())
 def op12(spark, sf_dir) -> DataFrame:
     return _op("merkle").audit(load(spark, sf_dir, "documents"))
+
+
+@_query("op13_simhash")
+def op13(spark, sf_dir) -> DataFrame:
+    return _op("simhash").near_duplicates(load(spark, sf_dir, "documents"))
