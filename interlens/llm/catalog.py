@@ -251,3 +251,38 @@ def op12(spark, sf_dir) -> DataFrame:
 @_query("op13_simhash")
 def op13(spark, sf_dir) -> DataFrame:
     return _op("simhash").near_duplicates(load(spark, sf_dir, "documents"))
+
+
+def op11_sql(rounds: int = 4) -> str:
+    """The same search by all distances, one chain of steps a round."""
+    def near(t):
+        return (f"n{t} AS MATERIALIZED (SELECT k, part, min({{'d': d, 'entry': entry}}) AS m FROM (SELECT k, part, entry, "
+                f"CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d "
+                f"FROM p JOIN c{t} USING (part)) GROUP BY k, part)")
+
+    def book(t):
+        return (f"s{t} AS (SELECT part, m.entry AS entry, q, sum(x[q]) AS s, count(*) AS n FROM n{t} JOIN p USING (k, part), "
+                f"(SELECT unnest(range(1, w + 1)) AS q FROM size) GROUP BY part, m.entry, q), "
+                f"c{t + 1} AS MATERIALIZED (SELECT part, entry, coalesce(g, c) AS c FROM c{t} LEFT JOIN (SELECT part, entry, "
+                f"list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY q) AS g FROM s{t} GROUP BY part, entry) USING (part, entry))")
+
+    steps = ", ".join(f"{near(t)}, {book(t)}" for t in range(rounds))
+    return f"""
+WITH e AS MATERIALIZED (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS k,
+         list_transform(embedding, lambda x: CAST(floor(1024.0 * x) AS BIGINT)) AS v FROM embeddings
+       WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+size AS (SELECT any_value(len(v)) // 4 AS w FROM e),
+p AS MATERIALIZED (SELECT k, part, v[part * w + 1:(part + 1) * w] AS x FROM e, size, range(4) r(part)),
+c0 AS MATERIALIZED (SELECT part, k - 1 AS entry, x AS c FROM p WHERE k <= 256),
+{steps}, {near(rounds)},
+f AS (SELECT k, string_agg(printf('%02x', m.entry), '' ORDER BY part) AS code, CAST(sum(m.d) AS BIGINT) AS error
+      FROM n{rounds} GROUP BY k)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM c{rounds}) AS codebooks_sha256
+FROM e JOIN f USING (k)
+"""
+
+
+@_query("op11_vector_codes", op11_sql())
+def op11(spark, sf_dir) -> DataFrame:
+    return _op("vector_codes").compress(load(spark, sf_dir, "embeddings"))
