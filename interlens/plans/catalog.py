@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..config import Roles
 from ..functions.hashing import (SALT_FOLD, SALT_HALF, SALT_ROW, SALT_SAMPLE, SALT_SPLIT, SALT_TEST,
                                  bucket_sql, cumulative_cuts, cut)
-from ..operators import filters, index, metrics, sampling, setops, split, topk
+from ..operators import filters, index, joins, metrics, sampling, setops, split, topk
 from ..plans import baseline, recommend, tuning
 from ..session import scratch_path
 from ..sources import io, schema, views
@@ -389,6 +389,56 @@ def except_all(spark, d):
     return setops.except_all(b, even)
 
 
+# ------------------------------------------------------------ heavy hitters
+
+HOT_PARTS = 100         # a key is hot when it holds at least one in so many rows
+
+
+@register("hot_keys", _sql(f"""
+SELECT 'order_line' AS key_of, CAST(l_linenumber AS BIGINT) AS key, COUNT(*) AS n_rows, ANY_VALUE(n) AS n_total
+FROM (SELECT l_linenumber, COUNT(*) OVER () AS n FROM interactions) a
+GROUP BY l_linenumber HAVING COUNT(*) * {HOT_PARTS} >= ANY_VALUE(n)
+UNION ALL
+SELECT 'event_item', CAST(item_id AS BIGINT), COUNT(*), ANY_VALUE(n)
+FROM (SELECT item_id, COUNT(*) OVER () AS n FROM event_interactions) b
+GROUP BY item_id HAVING COUNT(*) * {HOT_PARTS} >= ANY_VALUE(n)""", views_=("interactions", "event_interactions")))
+def hot_keys(spark, d):
+    """Keys that one join partition in a hundred could not hold: line numbers of
+    orders and items of events, by a frequent-items sketch, with exact counts."""
+    parts = [joins.hot_keys(df, key, HOT_PARTS).select(
+        F.lit(name).alias("key_of"), F.col(key).cast("bigint").alias("key"), "n_rows", "n_total")
+        for name, df, key in (("order_line", _a(spark, d), "l_linenumber"),
+                              ("event_item", views.event_interactions(spark, d), "item_id"))]
+    return parts[0].unionByName(parts[1])
+
+
+@register("heavy_hitter_join", _sql(f"""
+SELECT {ACOLS}, n_line, mean_rating FROM interactions JOIN (
+  SELECT l_linenumber, COUNT(*) AS n_line, ROUND(AVG(CAST(rating AS DOUBLE)), 6) AS mean_rating
+  FROM interactions GROUP BY l_linenumber) k USING (l_linenumber)"""))
+def heavy_hitter_join(spark, d):
+    """Every interaction with its line number's statistics.  The key has a handful
+    of values, all hot; with the broadcast ruled out, they are salted."""
+    a = _a(spark, d)
+    k = a.groupBy("l_linenumber").agg(F.count(F.lit(1)).alias("n_line"),
+                                      F.round(F.avg(F.col("rating").cast("double")), 6).alias("mean_rating"))
+    return _cols(joins.join_small(a, k, "l_linenumber", limit=0), "n_line", "mean_rating")
+
+
+@register("heavy_hitter_lookup", _sql("""
+SELECT e.user_id, e.item_id, e.rating, m.item_index
+FROM event_interactions e LEFT JOIN (
+  SELECT item_id, CAST(DENSE_RANK() OVER (ORDER BY item_id) AS INT) AS item_index
+  FROM (SELECT DISTINCT item_id FROM event_interactions WHERE rating >= 5) k) m
+ON e.item_id = m.item_id""", views_=("event_interactions",)))
+def heavy_hitter_lookup(spark, d):
+    """Index lookup of the events' items (unknown ones get null) through the
+    shuffle join that salts heavy hitters alone."""
+    b = views.event_interactions(spark, d)
+    idx, _ = index.dense_index(b.where("rating >= 5"), "item_id", start=1, out="item_index")
+    return joins.join_small(b, idx, "item_id", "left", limit=0).select("user_id", "item_id", "rating", "item_index")
+
+
 # ------------------------------------------------------------ index builders
 
 @register("dense_index", _sql("""
