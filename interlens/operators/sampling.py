@@ -3,8 +3,8 @@
 Sampling and hold-out are seeded hash buckets of the key: a projection and a
 filter, no shuffle, the same rows for any partitioning, and equal (user, item)
 pairs always on one side.  Exact halves need positions inside each user's rows;
-they come from ``group_positions`` on rows collapsed to distinct values, so no
-user and no group of copies is ever handled by one task.
+they come from ``cell_positions``, which refines users that are too large by
+counts of order ranges, so no user and no group of copies is handled by one task.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from ..config import DEFAULT_HOLDOUT, DEFAULT_PERCENTAGE, DEFAULT_SEED, Roles
 from ..functions.hashing import SALT_HALF, SALT_ROW, SALT_SAMPLE, bucket, cut
 from .filters import frequent_users
 from .joins import restrict_to_keys
-from .positions import expand_counts, group_positions
+from .positions import CELL, cell_positions, expand_counts, largest_group
 
 
 def in_sample(user: str, p: float, seed: int = DEFAULT_SEED, salt: str = SALT_SAMPLE, method: str = "md5"):
@@ -65,12 +65,13 @@ def holdout_flag(roles: Roles, fraction: float = DEFAULT_HOLDOUT, seed: int = DE
 
 
 def stratified_halves(df: DataFrame, roles: Roles, seed: int = DEFAULT_SEED, order: str = "item",
-                      out: str = "half") -> DataFrame:
+                      out: str = "half", limit: int = CELL) -> DataFrame:
     """Each user's rows cut into two exact halves (R5); adds ``out``: 0 even, 1 odd.
 
     Rows are numbered 1.. per user in the order (item, tie-break columns, the
     rest of the row), or with ``order="hash"`` by a seeded hash of (user, item)
-    first; even numbers form half 0.  Rows with a null user are dropped.
+    first; even numbers form half 0.  Rows with a null user are dropped.  A user of
+    over ``limit`` rows is cut into cells of its order, so that no task numbers more.
     """
     cols = df.columns
     rest = [c for c in cols if c not in (roles.user, roles.item) and c not in roles.tiebreak]
@@ -81,10 +82,15 @@ def stratified_halves(df: DataFrame, roles: Roles, seed: int = DEFAULT_SEED, ord
         order_cols = ["_h", *order_cols]
     elif order != "item":
         raise ValueError(f"order must be 'item' or 'hash', got {order!r}")
-    # Rows are collapsed to distinct values with a count, numbered over range
-    # partitions, then expanded again: no user and no group of copies is one task.
+    largest = largest_group(base, [roles.user])
+    if largest <= limit:
+        # every user fits a window; copies are rows like any other
+        return (cell_positions(base, [roles.user], order_cols, out="_p", limit=limit, largest=largest)
+                .select(*cols, ((F.col("_p") + 1) % 2).cast("int").alias(out)))
+    # Copies are collapsed to one row with a count, numbered cell by cell, then
+    # expanded again: no user and no group of copies is one task.
     collapsed = base.groupBy(*base.columns).agg(F.count(F.lit(1)).alias("_cnt"))
-    pos, _ = group_positions(collapsed, [roles.user], order_cols, weight="_cnt", out="_p")
+    pos = cell_positions(collapsed, [roles.user], order_cols, weight="_cnt", out="_p", limit=limit)
     # rows of this value hold numbers p+1 .. p+cnt; how many of them are even
     p, c = F.col("_p"), F.col("_cnt")
     n_even = F.floor((p + c) / 2) - F.floor(p / 2)

@@ -51,9 +51,16 @@ def test_frequent_rows(skewed):
     assert _bag(got) == _bag(ref)
 
 
-def test_halves(skewed):
+@pytest.mark.parametrize("order_by,limit", [("item", 1 << 20), ("item", 100), ("hash", 30)])
+def test_halves(skewed, order_by, limit):
     df, con = skewed
-    got = sampling.stratified_halves(df, ROLES).select(*COLUMNS, "half").collect()
+    got = sampling.stratified_halves(df, ROLES, order=order_by, limit=limit).select(*COLUMNS, "half").collect()
+    if order_by == "hash":      # exact halves of every user, all rows kept
+        assert _bag(r[:-1] for r in got) == _bag(df.collect())
+        per = Counter((r.user_id, r.half) for r in got)
+        assert all(per[u, 1] - per[u, 0] in (0, 1) for u, _ in per)
+        assert _bag(got) == _bag(sampling.stratified_halves(df, ROLES, order=order_by).select(*COLUMNS, "half").collect())
+        return
     order = "item_id, l_orderkey, l_linenumber, l_suppkey, is_read, rating, is_reviewed"
     ref = con.execute(f"SELECT {ACOLS}, CAST((ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY {order})) % 2 AS INT) "
                       "FROM interactions").fetchall()
