@@ -70,3 +70,26 @@ def removal_report(df: DataFrame, user: str = "user_id", threshold: int = DEFAUL
 def _pct_removed(kept: str, total: str):
     share = F.try_divide(F.col(kept).cast("double"), F.col(total).cast("double"))
     return F.round((F.lit(1.0) - share) * 100, 2)
+
+
+# ------------------------------------------------- mergeable distinct counts (A2)
+
+SKETCH_LG = 12      # 4096 registers
+
+
+def sketch_error(lg_k: int = SKETCH_LG) -> float:
+    """Relative standard deviation of a merged distinct sketch."""
+    return 1.04 / (1 << lg_k) ** 0.5
+
+
+def distinct_sketches(df: DataFrame, group_cols, col: str, lg_k: int = SKETCH_LG) -> DataFrame:
+    """(group columns, sketch): a HyperLogLog sketch of the distinct non-null values
+    of ``col`` in each group, of fixed size however many there are.  Stored, it
+    answers later unions without the rows: days to months, parts to wholes."""
+    return df.groupBy(*group_cols).agg(F.hll_sketch_agg(F.col(col), F.lit(lg_k)).alias("sketch"))
+
+
+def merged_distinct(sketches: DataFrame, by=()) -> DataFrame:
+    """(by, n_distinct): stored sketches merged over all groups of equal ``by`` and
+    estimated.  Exact counts do not add up over groups that share values; sketches do."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_distinct"))

@@ -107,15 +107,17 @@ def copied(small: DataFrame, keys, table: DataFrame) -> DataFrame:
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", limit: int | None = None,
-               null_safe: bool = False) -> DataFrame:
+               null_safe: bool = False, size: int | None = None) -> DataFrame:
     """``big.join(small, on, how)`` on equally named columns, which come once.
 
     ``small`` is broadcast if its measured bytes are within ``limit`` (Spark's
     threshold); else heavy hitters of ``big`` are salted.  ``how``: inner, left or
-    left_semi.  ``null_safe``: null keys match null keys.
+    left_semi.  ``null_safe``: null keys match null keys.  ``size``: the bytes of a
+    ``small`` that was already ``measured``.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    small, size = measured(small)
+    if size is None:
+        small, size = measured(small)
     renamed = {c: f"_k_{c}" for c in keys}
     right = small.withColumnsRenamed(renamed)
     left, salt = big, []

@@ -11,12 +11,12 @@ distinct items with their best rating):
     NDCG@k      = sum_{i<k} [P_i in L] / ln(i + 2)  /  sum_{i < min(|L|, k)} 1 / ln(i + 2)
 
 averaged over users.  These equal Spark's ``RankingMetrics`` fed the lists the
-reference builds.  Nothing here needs a user's whole list in one place: P
-comes from a ``rank() <= k`` limit, which Catalyst applies per map task
-before the shuffle, and L from per-(user, rating) counts where only the k best
-ratings can qualify.
-
-Both read one shuffle of the (user, item) pairs.
+reference builds.  Nothing here needs a user's whole list in one place: P comes
+from ``top_k``, whose survivors are spread over tasks, and L from per-(user,
+rating) counts where only the k best ratings can qualify.  Where a user ties over
+more rows than one window may hold, the places and the hits before each item are
+running sums over cells of (rank, item): each cell is one task's, and the sums of
+the cells before it are carried in.
 
 Regression (rmse, mae, r2) runs over the rows whose prediction rank() is at
 most k (all rows when k is None), from per-(user, prediction) counts, errors and
@@ -33,6 +33,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import RANKING_METRICS, REGRESSION_METRICS, Roles
+from .joins import join_small, measured
+from .positions import CELL, cell_sums
+from .topk import survivors, value_ranks
 
 
 def _clean(df: DataFrame, roles: Roles) -> DataFrame:
@@ -43,20 +46,17 @@ def _clean(df: DataFrame, roles: Roles) -> DataFrame:
     return df.select(*cols).where(cond & ~F.isnan(F.col(roles.prediction).cast("double")))
 
 
-def ranking_per_user(scored: DataFrame, k: int, roles: Roles) -> DataFrame:
-    """(user, precision, ap, ap_all, ndcg, n_items, n_relevant) for every scored user."""
+def ranking_per_user(scored: DataFrame, k: int, roles: Roles, limit: int = CELL) -> DataFrame:
+    """(user, precision, ap, ap_all, ndcg, n_items, n_relevant) for every scored user.
+    ``limit``: rows of one user that a window may hold."""
     if k < 1:
         raise ValueError("k must be >= 1")
     u, i, r, p = roles.user, roles.item, roles.rating, roles.prediction
     pairs = _clean(scored, roles).groupBy(u, i).agg(F.max(r).alias("_r"), F.max(p).alias("_p"))
-
-    # both branches keep the same columns of the pairs, so the exchange below
-    # them is planned once and reused
-    pairs = pairs.where(F.col("_r").isNotNull() & F.col("_p").isNotNull())
-    ties = Window.partitionBy(u).orderBy(F.col("_p").desc())
-    w_pred = Window.partitionBy(u).orderBy(F.col("_p").desc(), F.col(i).asc())
-    top = (pairs.withColumn("_prank", F.rank().over(ties)).where(F.col("_prank") <= k)
-           .withColumn("_pos", F.row_number().over(w_pred)))
+    left = survivors(pairs, k, "_p", u)
+    ranks, size = measured(value_ranks(left, k, "_p", u).select(u, "_p", F.col("_rank").alias("_prank"), "_n"))
+    tied = ranks.groupBy(u).agg(F.sum("_n").alias("_n")).agg(F.max("_n")).first()[0] or 0
+    top = join_small(left, ranks.drop("_n"), [u, "_p"], size=size)
 
     hist = pairs.groupBy(u, "_r").agg(F.count(F.lit(1)).alias("_n"))
     w_rat = Window.partitionBy(u).orderBy(F.col("_r").desc())
@@ -67,12 +67,10 @@ def ranking_per_user(scored: DataFrame, k: int, roles: Roles) -> DataFrame:
     sizes = hist.groupBy(u).agg(F.sum("_n").alias("_items"))
     stats = rel_stats.join(sizes, u)
 
-    # neither side is the big input (at most k rows and one row per user): a
-    # plain join, planned by AQE from the real sizes
-    t = top.join(stats, u)
-    rel = (F.col("_r") >= F.col("_thr")).cast("int")
-    w_hits = Window.partitionBy(u).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    t = t.withColumn("_rel", rel).withColumn("_hits", F.sum("_rel").over(w_hits))
+    # one row per user: broadcast if small, and a tied user's rows stay spread
+    t = join_small(top, stats, u).withColumn("_rel", (F.col("_r") >= F.col("_thr")).cast("int"))
+    t = cell_sums(t, [u], ["_prank", i], {"_pos": None, "_hits": "_rel"}, limit, tied)
+    t = t.withColumn("_pos", F.col("_pos") + 1).withColumn("_hits", F.col("_hits") + F.col("_rel"))
     disc = F.lit(1.0) / F.log(F.col("_pos") + 1.0)
     gain = F.col("_rel") * F.col("_hits") / F.col("_pos")
     in_k = F.col("_pos") <= k
@@ -96,14 +94,14 @@ def ranking_per_user(scored: DataFrame, k: int, roles: Roles) -> DataFrame:
     )
 
 
-def ranking_metrics(scored: DataFrame, k: int, roles: Roles) -> DataFrame:
+def ranking_metrics(scored: DataFrame, k: int, roles: Roles, limit: int = CELL) -> DataFrame:
     """One row: precision_at_k, map_at_k, mean_average_precision, ndcg_at_k, n_users, n_users_le_k.
 
     ``mean_average_precision`` is MAP without a cut-off over the items whose
     prediction rank() is at most k (divisor |L|), as Spark's
     ``RankingMetrics.meanAveragePrecision`` over those lists.
     """
-    per = ranking_per_user(scored, k, roles)
+    per = ranking_per_user(scored, k, roles, limit)
     return per.agg(
         F.avg("precision").alias("precision_at_k"),
         F.avg("ap").alias("map_at_k"),

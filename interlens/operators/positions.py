@@ -207,9 +207,10 @@ def refined_cells(df: DataFrame, group_cols, codes, limit: int = CELL) -> DataFr
                .drop("_at", "_step", "_lo", "_x", "_codes"))
 
 
-def cell_positions(df: DataFrame, group_cols, order_cols, weight: str | None = None, out: str = "pos",
-                   limit: int = CELL, largest: int | None = None) -> DataFrame:
-    """Add ``out`` (bigint, 0-based): total weight of earlier rows in the group.
+def cell_sums(df: DataFrame, group_cols, order_cols, sums: dict[str, str | None], limit: int = CELL,
+              largest: int | None = None) -> DataFrame:
+    """Add running sums over the group's earlier rows: for each ``out: weight`` of
+    ``sums`` a bigint, the weight of the rows before (their number for None).
 
     ``limit``: rows of a group that one window may hold.  Rows that tie in all
     order columns cannot be told apart, so the order should be total.  Columns
@@ -217,26 +218,38 @@ def cell_positions(df: DataFrame, group_cols, order_cols, weight: str | None = N
     is too large.  ``largest``: the largest group's rows, where known.
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
-    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    zero = F.lit(0).cast("long")
+
+    def weight(w):
+        return F.col(w).cast("long") if w else F.lit(1).cast("long")
 
-    def inside(keys):
+    def inside(frame, keys):
         win = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-        if weight is None:
-            return F.row_number().over(win).cast("long") - 1
-        return F.coalesce(F.sum(w).over(win.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+        before = win.rowsBetween(Window.unboundedPreceding, -1)
+        return frame.withColumns({o: F.coalesce(F.sum(weight(w)).over(before), zero) if w else F.row_number().over(win).cast("long") - 1
+                                  for o, w in sums.items()})
 
     if (largest_group(df, group_cols) if largest is None else largest) <= limit:
-        return df.withColumn(out, inside(group_cols))
+        return inside(df, group_cols)
     codes = [order_codes(df, c) for c in order_cols]
     if any(c is None for c in codes):
-        return group_positions(df, group_cols, order_cols, weight, out)[0]
+        for o, w in sums.items():
+            df = group_positions(df, group_cols, order_cols, w, o)[0]
+        return df
     cells = refined_cells(df, group_cols, [x for c in codes for x in c], limit)
     keys = [*group_cols, "_cell"]
     before = Window.partitionBy(*group_cols).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (cells.where(F.size("_cell") > 0).groupBy(*keys).agg(F.sum(w).alias("_w"))
-               .withColumn("_before", F.coalesce(F.sum("_w").over(before), F.lit(0).cast("long"))).drop("_w"))
-    placed = join_small(cells.withColumn(out, inside(keys)), offsets, keys, "left", null_safe=True)
-    return placed.withColumn(out, F.col(out) + F.coalesce("_before", F.lit(0).cast("long"))).drop("_cell", "_before")
+    held = {o: f"_b{i}" for i, o in enumerate(sums)}
+    offsets = (cells.where(F.size("_cell") > 0).groupBy(*keys).agg(*[F.sum(weight(w)).alias(held[o]) for o, w in sums.items()])
+               .withColumns({b: F.coalesce(F.sum(b).over(before), zero) for b in held.values()}))
+    placed = join_small(inside(cells, keys), offsets, keys, "left", null_safe=True)
+    return placed.withColumns({o: F.col(o) + F.coalesce(F.col(b), zero) for o, b in held.items()}).drop("_cell", *held.values())
+
+
+def cell_positions(df: DataFrame, group_cols, order_cols, weight: str | None = None, out: str = "pos",
+                   limit: int = CELL, largest: int | None = None) -> DataFrame:
+    """Add ``out`` (bigint, 0-based): total weight of earlier rows in the group."""
+    return cell_sums(df, group_cols, order_cols, {out: weight}, limit, largest)
 
 
 def expand_counts(df: DataFrame, count_col: str, chunk: int = 100_000,

@@ -65,13 +65,15 @@ def holdout_flag(roles: Roles, fraction: float = DEFAULT_HOLDOUT, seed: int = DE
 
 
 def stratified_halves(df: DataFrame, roles: Roles, seed: int = DEFAULT_SEED, order: str = "item",
-                      out: str = "half", limit: int = CELL) -> DataFrame:
+                      out: str = "half", limit: int = CELL, counted: bool = False) -> DataFrame:
     """Each user's rows cut into two exact halves (R5); adds ``out``: 0 even, 1 odd.
 
     Rows are numbered 1.. per user in the order (item, tie-break columns, the
     rest of the row), or with ``order="hash"`` by a seeded hash of (user, item)
     first; even numbers form half 0.  Rows with a null user are dropped.  A user of
     over ``limit`` rows is cut into cells of its order, so that no task numbers more.
+    ``counted``: rows of a half that are equal come once, with ``n_copies``; in
+    pieces where that saves a shuffle.
     """
     cols = df.columns
     rest = [c for c in cols if c not in (roles.user, roles.item) and c not in roles.tiebreak]
@@ -85,8 +87,9 @@ def stratified_halves(df: DataFrame, roles: Roles, seed: int = DEFAULT_SEED, ord
     largest = largest_group(base, [roles.user])
     if largest <= limit:
         # every user fits a window; copies are rows like any other
-        return (cell_positions(base, [roles.user], order_cols, out="_p", limit=limit, largest=largest)
-                .select(*cols, ((F.col("_p") + 1) % 2).cast("int").alias(out)))
+        halves = (cell_positions(base, [roles.user], order_cols, out="_p", limit=limit, largest=largest)
+                  .select(*cols, ((F.col("_p") + 1) % 2).cast("int").alias(out)))
+        return halves.withColumn("n_copies", F.lit(1).cast("long")) if counted else halves
     # Copies are collapsed to one row with a count, numbered cell by cell, then
     # expanded again: no user and no group of copies is one task.
     collapsed = base.groupBy(*base.columns).agg(F.count(F.lit(1)).alias("_cnt"))
@@ -98,4 +101,5 @@ def stratified_halves(df: DataFrame, roles: Roles, seed: int = DEFAULT_SEED, ord
         F.struct(F.lit(0).alias(out), n_even.cast("long").alias("_n")),
         F.struct(F.lit(1).alias(out), (c - n_even).cast("long").alias("_n")))).alias("_s"))
     halves = halves.select(*cols, F.col("_s")[out].alias(out), F.col("_s._n").alias("_n"))
-    return expand_counts(halves.where(F.col("_n") > 0), "_n")
+    halves = halves.where(F.col("_n") > 0)
+    return halves.withColumnRenamed("_n", "n_copies") if counted else expand_counts(halves, "_n")

@@ -30,10 +30,41 @@ def subtract_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
     return seen.where(F.col("_l") & ~F.col("_r")).select(*cols)
 
 
+COPIES = "n_copies"
+
+
+def counted(df: DataFrame, copies: str | None = None) -> DataFrame:
+    """A bag as its distinct rows with ``n_copies``; ``copies`` names a column that
+    already counts them.  The form that bag operations pass on."""
+    n = F.count(F.lit(1)) if copies is None else F.sum(F.col(copies).cast("long"))
+    return df.groupBy(*[c for c in df.columns if c != copies]).agg(n.alias(COPIES))
+
+
+def _signed(left: DataFrame, right: DataFrame, sign: int) -> DataFrame:
+    """Copies of both sides, the right one's times ``sign``, summed by row: one
+    aggregate whose partial step combines equal rows before the shuffle."""
+    cols = [c for c in left.columns if c != COPIES]
+    both = left.unionByName(right.withColumn(COPIES, F.col(COPIES) * sign))
+    return both.groupBy(*cols).agg(F.sum(COPIES).alias(COPIES))
+
+
+def except_counted(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Bag difference of counted bags: max(0, m - n) copies of each row.  Either side
+    may hold a row several times, with its copies in pieces."""
+    return _signed(left, right, -1).where(F.col(COPIES) > 0)
+
+
+def union_counted(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Bag union of counted bags."""
+    return _signed(left, right, 1)
+
+
+def expanded(bag: DataFrame) -> DataFrame:
+    """The rows of a counted bag, each as often as it counts: once, at the sink."""
+    return expand_counts(bag, COPIES)
+
+
 def except_all(left: DataFrame, right: DataFrame) -> DataFrame:
     """Bag difference (SQL EXCEPT ALL): each row kept max(0, m - n) times."""
-    cols = left.columns
-    tagged = (left.select(*cols, F.lit(1).cast("long").alias("_d"))
-              .unionByName(right.select(*cols, F.lit(-1).cast("long").alias("_d"))))
-    net = tagged.groupBy(*cols).agg(F.sum("_d").alias("_n")).where(F.col("_n") > 0)
-    return expand_counts(net, "_n")
+    one = F.lit(1).cast("long")
+    return expanded(except_counted(left.withColumn(COPIES, one), right.withColumn(COPIES, one)))
