@@ -188,6 +188,36 @@ def json_head(spark, d):
     return io.read_json(spark, path, schema.GENRE_JSON, head=JSON_HEAD).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+BAD_EVERY = 17          # every so many events have a cell that does not parse
+
+
+@register("csv_quarantine", _sql(f"""
+SELECT 'row' AS kind, event_id, CAST(user_id AS INT) AS user_id, CAST(floor(value) AS INT) AS rating, NULL AS line, NULL AS n
+FROM events WHERE event_id % {BAD_EVERY} <> 0 AND event_id % {BAD_EVERY} <> 5
+UNION ALL SELECT 'line', NULL, NULL, NULL, event_id || ',' || user_id || ',' ||
+  CASE WHEN event_id % {BAD_EVERY} = 0 THEN 'n/a' ELSE floor(value)::INT || ',' || event_type END, NULL
+FROM events WHERE event_id % {BAD_EVERY} IN (0, 5)
+UNION ALL SELECT 'good', NULL, NULL, NULL, NULL, COUNT(*) FILTER (event_id % {BAD_EVERY} NOT IN (0, 5)) FROM events
+UNION ALL SELECT 'bad', NULL, NULL, NULL, NULL, COUNT(*) FILTER (event_id % {BAD_EVERY} IN (0, 5)) FROM events""", views_=()))
+def csv_quarantine(spark, d):
+    """Events as CSV lines, of which every ``BAD_EVERY``-th has a cell that is no number and
+    as many have a cell too many: good rows, bad lines and both counts (S1, D13)."""
+    from pyspark.sql.types import _parse_datatype_string
+    ev, path = views.table(spark, d, "events"), scratch_path(spark, "bad-csv")
+    rule = F.col("event_id") % BAD_EVERY
+    cell = F.floor("value").cast("int").cast("string")
+    line = F.concat_ws(",", F.col("event_id").cast("string"), F.col("user_id").cast("string"),
+                       F.when(rule == 0, "n/a").otherwise(cell), F.when(rule == 5, F.col("event_type")))
+    ev.select(line.alias("value")).write.text(path)
+    good, bad, counts = io.quarantine_csv(spark, path, _parse_datatype_string("event_id bigint, user_id int, rating int"),
+                                          scratch_path(spark, "quarantine"), header=False)
+    text, number = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    rows = good.select(F.lit("row").alias("kind"), "event_id", "user_id", "rating", text.alias("line"), number.alias("n"))
+    lines = bad.select(F.lit("line"), number, number.cast("int"), number.cast("int"), "line", number)
+    totals = spark.createDataFrame([("good", counts["n_good"]), ("bad", counts["n_bad"])], "kind string, n bigint")
+    return rows.union(lines).union(totals.select("kind", number, number.cast("int"), number.cast("int"), text, "n"))
+
+
 # ------------------------------------------------------------ filters (A1-A4)
 
 @register("user_activity", _sql("""
@@ -246,6 +276,21 @@ def removal_report(spark, d):
     return filters.removal_report(_a(spark, d), threshold=THRESHOLD)
 
 
+@register("distinct_sketch", _sql("""
+SELECT rating, CAST(COUNT(DISTINCT user_id) AS BIGINT) AS n_users, true AS within
+FROM interactions GROUP BY rating"""))
+def distinct_sketch(spark, d):
+    """Distinct users per rating, from sketches stored per (line number, rating) and
+    merged: within three standard deviations of the exact count (A2)."""
+    a, path = _a(spark, d), scratch_path(spark, "sketches")
+    filters.distinct_sketches(a, ["l_linenumber", "rating"], "user_id").write.parquet(path)
+    about = filters.merged_distinct(spark.read.parquet(path), ["rating"]).withColumnRenamed("rating", "_rating")
+    exact = a.groupBy("rating").agg(F.countDistinct("user_id").alias("n_users"))
+    near = F.abs(F.col("n_distinct") - F.col("n_users")) <= 3 * filters.sketch_error() * F.col("n_users")
+    return (exact.join(about, F.col("rating").eqNullSafe(F.col("_rating")), "left")
+            .select("rating", "n_users", F.coalesce(near, F.lit(False)).alias("within")))
+
+
 # ------------------------------------------------------------ sampling
 
 _SAMPLED = f"{_b(SALT_SAMPLE, 'user_id')} < {cut(SAMPLE_P)}"
@@ -385,8 +430,21 @@ WHERE rn % 2 = 0""", views_=("event_interactions",)))
 def except_all(spark, d):
     """Event interactions (many copies) minus their even half: the odd half, as a bag."""
     b = views.event_interactions(spark, d)
-    even = sampling.stratified_halves(b, _B_ROLES, SEED).where(F.col("half") == 0).drop("half")
-    return setops.except_all(b, even)
+    even = sampling.stratified_halves(b, _B_ROLES, SEED, counted=True).where(F.col("half") == 0).drop("half")
+    return setops.expanded(setops.except_counted(b.withColumn(setops.COPIES, F.lit(1).cast("long")), even))
+
+
+@register("counted_bag", _sql(f"""
+SELECT {_B_COLS}, CAST(COUNT(*) AS BIGINT) AS n_copies FROM (
+  (SELECT {_B_COLS} FROM event_interactions EXCEPT ALL SELECT DISTINCT {_B_COLS} FROM event_interactions)
+  UNION ALL SELECT {_B_COLS} FROM event_interactions WHERE rating >= 4) t
+GROUP BY {_B_COLS}""", views_=("event_interactions",)))
+def counted_bag(spark, d):
+    """Surplus copies of the events' interactions (all but one of each), and all
+    highly rated ones, as a counted bag that is never expanded."""
+    b = setops.counted(views.event_interactions(spark, d))
+    surplus = setops.except_counted(b, b.withColumn(setops.COPIES, F.lit(1).cast("long")))
+    return setops.union_counted(surplus, b.where("rating >= 4"))
 
 
 # ------------------------------------------------------------ heavy hitters
@@ -737,6 +795,17 @@ def als_predict(spark, d):
         (F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("predicted"))
 
 
+@register("als_optimality", _sql("""
+SELECT user_id, CAST(COUNT(*) AS BIGINT) AS n_ratings, true AS optimal
+FROM als_train WHERE user_id IS NOT NULL AND item_id IS NOT NULL AND rating IS NOT NULL GROUP BY user_id""", *_ALS_CTES))
+def als_optimality(spark, d):
+    """Each trained user's factors solve the non-negative least squares of the
+    fit's last half step, over exactly that user's ratings (M1)."""
+    train, _ = _als_split(spark, d)
+    model = recommend.fit(train, ROLES, ALS_RANK, ALS_REG, seed=SEED)
+    return recommend.optimality(model, train, ROLES, ALS_REG).drop("residual")
+
+
 @register("als_reload_scores", _sql("SELECT user_id, item_id, rating, CAST(0 AS DOUBLE) AS abs_diff FROM covered",
                                     *_ALS_CTES))
 def als_reload_scores(spark, d):
@@ -754,13 +823,19 @@ def als_reload_scores(spark, d):
 
 @register("tuning_table", _sql(
     f"SELECT CAST(grid_no AS INT) AS grid_no, CAST(rank AS INT) AS rank, regParam, "
-    f"(SELECT COUNT(DISTINCT user_id) FROM covered) AS n_users, true AS measured "
+    f"(SELECT COUNT(DISTINCT user_id) FROM covered) AS n_users, true AS measured, true AS agrees, true AS timed "
     f"FROM {_grid_rows(GRID_RANKS, GRID_REGS)}", *_ALS_CTES))
 def tuning_table(spark, d):
-    """ALS grid on train / validation: every metric per configuration (M4)."""
-    train, val = _als_split(spark, d)
-    t = recommend.tuning_table(train, val, ROLES, GRID_RANKS, GRID_REGS, k=K, seed=SEED)
-    return t.select("grid_no", "rank", "regParam", "n_users", _measured())
+    """ALS grid on train / validation: every metric per configuration (M4), each
+    equal to the same metric of the stored scores by a second route."""
+    (train, val), path = _als_split(spark, d), scratch_path(spark, "grid-scores")
+    t = recommend.tuning_table(train, val, ROLES, GRID_RANKS, GRID_REGS, k=K, seed=SEED, scores_path=path)
+    return recommend.audit_metrics(t, path, K, ROLES).select("grid_no", "rank", "regParam", "n_users", _measured(), "agrees", _timed())
+
+
+def _timed():
+    """The fit took time, and no longer than a day (M9)."""
+    return (F.col("seconds").isNotNull() & (F.col("seconds") > 0) & (F.col("seconds") < 86400)).alias("timed")
 
 
 def _measured():
@@ -789,23 +864,70 @@ _ALS_CV_CTES = (
 
 @register("cv_table", _sql(
     f"SELECT CAST(grid_no AS INT) AS grid_no, CAST(rank AS INT) AS rank, regParam, CAST(fold AS INT) AS fold, n_users, "
-    f"true AS measured FROM fold_users JOIN {_grid_rows(CV_RANKS, CV_REGS)} ON true", *_ALS_CV_CTES))
+    f"true AS measured, true AS agrees, true AS timed FROM fold_users JOIN {_grid_rows(CV_RANKS, CV_REGS)} ON true", *_ALS_CV_CTES))
 def cv_table(spark, d):
-    """ALS grid over k folds: one row per (configuration, fold) (M5)."""
-    t = recommend.cv_table(_a(spark, d), ROLES, CV_RANKS, CV_REGS, k=K, folds=FOLDS, seed=SEED)
-    return t.select("grid_no", "rank", "regParam", "fold", "n_users", _measured())
+    """ALS grid over k folds: one row per (configuration, fold) (M5), its metrics
+    those of the stored scores by a second route."""
+    path = scratch_path(spark, "fold-scores")
+    t = recommend.cv_table(_a(spark, d), ROLES, CV_RANKS, CV_REGS, k=K, folds=FOLDS, seed=SEED, scores_path=path)
+    return recommend.audit_metrics(t, path, K, ROLES).select(
+        "grid_no", "rank", "regParam", "fold", "n_users", _measured(), "agrees", _timed())
 
 
 @register("final_test_metrics", _sql(f"""
 SELECT 'precisionAt' AS metric, (SELECT COUNT(*) FROM tested) AS n_test_rows,
        (SELECT COUNT(*) FROM tested) - (SELECT COUNT(*) FROM covered_test) AS n_dropped,
-       COUNT(*) AS n_users, COUNT(*) FILTER (n_items <= {K}) AS n_users_le_k, true AS measured
+       COUNT(*) AS n_users, COUNT(*) FILTER (n_items <= {K}) AS n_users_le_k, true AS measured,
+       true AS agrees, true AS timed
 FROM (SELECT user_id, COUNT(DISTINCT item_id) AS n_items FROM covered_test GROUP BY user_id)""", *_ALS_CV_CTES))
 def final_test_metrics(spark, d):
-    """Cross-validate, refit the best on train + val, test metrics; model saved (M6-M9)."""
-    t = recommend.final_test_metrics(_a(spark, d), ROLES, CV_RANKS, CV_REGS, metric="precisionAt", k=K,
-                                     folds=FOLDS, seed=SEED, model_path=scratch_path(spark, "final-model"))
-    return t.select("metric", "n_test_rows", "n_dropped", "n_users", "n_users_le_k", _measured())
+    """Cross-validate, refit the best on train + val, test metrics; model saved (M6-M9).
+    All test metrics, the chosen one among them, equal those of the stored scores."""
+    path = scratch_path(spark, "test-scores")
+    t = recommend.final_test_metrics(_a(spark, d), ROLES, CV_RANKS, CV_REGS, metric="precisionAt", k=K, folds=FOLDS, seed=SEED,
+                                     model_path=scratch_path(spark, "final-model"), scores_path=path)
+    t = recommend.audit_metrics(t.withColumns({"grid_no": F.lit(-1), "fold": F.lit(None).cast("int")}), path, K, ROLES)
+    chosen = F.col("value") == F.col("precision_at_k")
+    return t.select("metric", "n_test_rows", "n_dropped", "n_users", "n_users_le_k", _measured(),
+                    (F.col("agrees") & chosen).alias("agrees"), _timed())
+
+
+# a resumed run: its first fits are there already
+_RESUME_RANKS, _RESUME_REGS = (3, 5), (0.05, 0.1)
+
+
+@register("tuning_resume", f"""
+SELECT CAST(rank AS INT) AS rank, regParam, CAST(1 AS BIGINT) AS n_records, grid_no < 2 AS kept, true AS timed
+FROM {_grid_rows(_RESUME_RANKS, _RESUME_REGS)}, (SELECT COUNT(*) AS n FROM lineitem) t WHERE n > 0""")
+def tuning_resume(spark, d):
+    """An ALS grid that stopped after its first two fits, run again to its end:
+    each configuration is recorded once, those two as they were (M4, M5, M9, S9)."""
+    (train, val), path = _als_split(spark, d), scratch_path(spark, "resumed")
+
+    def run(ranks):
+        h = recommend.History(spark, path, "nightly")
+        recommend.tuning_table(train, val, ROLES, ranks, _RESUME_REGS, k=K, history=h, seed=SEED, max_iter=2)
+
+    run(_RESUME_RANKS[:1])
+    first = io.read_history(spark, path, "nightly").select("rank", "regParam", F.col("seconds").alias("_s"), F.col("value").alias("_v")).collect()
+    run(_RESUME_RANKS)
+    before = spark.createDataFrame(first, "rank int, regParam double, _s double, _v double")         # two records
+    h = io.read_history(spark, path, "nightly").join(F.broadcast(before), ["rank", "regParam"], "left")
+    kept = (F.col("_s") == F.col("seconds")) & (F.col("_v") == F.col("value"))
+    return h.groupBy("rank", "regParam").agg(F.count(F.lit(1)).alias("n_records"), F.bool_and(F.coalesce(kept, F.lit(False))).alias("kept"),
+                                             F.bool_and(F.col("seconds") > 0).alias("timed"))
+
+
+@register("history_retry", _sql(
+    "SELECT run_id, regParam, CAST(fold AS INT) AS fold, 'rmse' AS metric, ROUND(rmse, 6) AS value "
+    "FROM cv, (VALUES ('a'), ('b')) r(run_id)", *_CV_CTES))
+def history_retry(spark, d):
+    """The baseline's tuning table recorded by two runs, the first of which is
+    retried: read back, every run has each record once, with its value (S9)."""
+    path, t = scratch_path(spark, "retried"), _cv(spark, d).select(F.lit(0).alias("rank"), "regParam", "fold", "rmse")
+    for run in ("a", "b", "a"):
+        recommend.record_history(spark, path, t, "rmse", run_id=run, data=d)
+    return io.read_history(spark, path).select("run_id", "regParam", "fold", "metric", F.round("value", 6).alias("value"))
 
 
 @register("tuning_history", f"""
@@ -830,7 +952,7 @@ def tuning_history(spark, d):
                              final={"rank": best["rank"], "regParam": best["regParam"], "value": test_rmse},
                              note=f"top {K} rmse on test rows")
     config = F.col("kind") == "config"
-    return spark.read.parquet(path).select("kind", F.when(config, F.col("rank")).alias("rank"),
+    return io.read_history(spark, path).select("kind", F.when(config, F.col("rank")).alias("rank"),
                                            F.when(config, F.col("regParam")).alias("regParam"), "metric",
                                            F.col("value").isNotNull().alias("has_value"))
 

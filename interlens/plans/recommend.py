@@ -2,25 +2,37 @@
 
 Spark ML's ALS does the solving; this module decides what it is fed.  Splits
 are role columns on one labelled table that is persisted once for the whole
-grid, configurations run in a small thread pool (each fit is its own set of
-Spark jobs), and only one metric row per fit reaches the driver.
+grid, and only one metric row per fit reaches the driver.
+
+Configurations run in a small thread pool.  Each fit is its own set of Spark jobs
+in a scheduler pool of its own, with the caller's job properties, so that under
+``spark.scheduler.mode=FAIR`` a long fit does not starve the others.  With a
+history, every fit is recorded as soon as it is done and fits that the run has
+already recorded are not made again: a killed run goes on where it stopped.
+
+Two audits check what comes out.  ``optimality`` tests the factors: those of the
+last half step must solve each user's non-negative least squares.
+``audit_metrics`` tests the numbers: it computes every metric again from the
+stored scores, by plain windows over sorted rows instead of aggregates.
 """
 
 from __future__ import annotations
 
+import json
 import time
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT_FOLDS, DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SEED, Roles
+from ..operators.joins import join_small
 from ..operators.metrics import metric_info, ranking_metrics, regression_metrics
 from ..operators.split import fold_role, kfold_labels, refit_split
-from ..sources.io import append_history
+from ..sources.io import read_history, write_history
 from .tuning import best_config, fold_mean, grid
 
 _INTEGRAL = (T.IntegerType, T.LongType, T.ShortType, T.ByteType)
@@ -96,10 +108,52 @@ def release_factors(model: ALSModel) -> None:
         todo += [deps.apply(n).rdd() for n in range(deps.size())]
 
 
-def _metric_row(scored: DataFrame, k: int | None, roles: Roles) -> dict:
-    """All metrics of one scored table, scored once and released."""
+def optimality(model: ALSModel, train: DataFrame, roles: Roles, reg_param: float, tolerance: float = 1e-4) -> DataFrame:
+    """Whether each user's factors solve the least squares of the last half step:
+    (user, n_ratings, residual, optimal).
+
+    ALS ends by solving, for every user, min over x >= 0 of sum (x.y - r)^2 +
+    regParam n |x|^2 with the items' factors y fixed.  There the gradient must
+    vanish where x > 0 and must not be negative where x = 0; ``residual`` is the
+    largest violation relative to the size of sum r y.  Rows are joined with both
+    factor tables and summed per user with a partial step, so a hot user is not
+    one task's.
+    """
+    u, i, r = roles.user, roles.item, roles.rating
+    rows = train.where(F.col(u).isNotNull() & F.col(i).isNotNull() & F.col(r).isNotNull()).select(
+        u, i, F.col(r).cast("double").alias("_r"))
+
+    def factors(df, key):
+        t = train.schema[key].dataType
+        return df.select(F.col("id").cast(t).alias(key), F.col("features").cast("array<double>").alias(f"_{key}"))
+
+    x, y = F.col(f"_{u}"), F.col(f"_{i}")
+    rows = join_small(join_small(rows, factors(model.itemFactors, i), i), factors(model.userFactors, u), u)
+    error = F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b) - F.col("_r")
+    rows = rows.withColumn("_e", error)
+    ranks = range(model.rank)
+    sums = rows.groupBy(u).agg(F.count(F.lit(1)).alias("n_ratings"), F.first(x).alias("_x"),
+                               F.array(*[F.sum(F.col("_e") * y[j]) for j in ranks]).alias("_g"),
+                               F.array(*[F.sum(F.abs(F.col("_r") * y[j])) for j in ranks]).alias("_b"))
+    slope = F.zip_with("_g", "_x", lambda g, a: F.struct((g + reg_param * F.col("n_ratings") * a).alias("g"), a.alias("x")))
+    off = F.transform(slope, lambda s: F.when(s["x"] > 0, F.abs(s["g"])).otherwise(F.greatest(-s["g"], F.lit(0.0))))
+    size = F.greatest(F.array_max("_b"), F.lit(1e-12))
+    out = sums.withColumn("residual", F.array_max(off) / size)
+    return out.select(u, "n_ratings", "residual",
+                      ((F.col("residual") <= tolerance) & (F.array_min("_x") >= 0)).alias("optimal"))
+
+
+METRIC_COLUMNS = ("precision_at_k", "map_at_k", "mean_average_precision", "ndcg_at_k", "rmse", "mae", "r2")
+
+
+def _metric_row(scored: DataFrame, k: int | None, roles: Roles, scores_path: str | None = None, **labels) -> dict:
+    """All metrics of one scored table, scored once and released.  With a path the
+    scores are kept there, under ``labels`` (grid_no, fold), for ``audit_metrics``."""
     scored = scored.select(roles.user, roles.item, roles.rating, roles.prediction).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if scores_path:
+            part = "/".join(f"{c}={-1 if v is None else v}" for c, v in labels.items())
+            scored.write.mode("overwrite").parquet(f"{scores_path}/{part}")
         rk = ranking_metrics(scored, k, roles).first().asDict() if k else {}
         rg = regression_metrics(scored, k, roles).first().asDict()
         return {**rk, **rg, "n_scored": scored.count()}
@@ -107,37 +161,116 @@ def _metric_row(scored: DataFrame, k: int | None, roles: Roles) -> dict:
         scored.unpersist()
 
 
+def audit_metrics(table: DataFrame, scores_path: str, k: int, roles: Roles, tolerance: float = 1e-9) -> DataFrame:
+    """Whether each row of a tuning table is what its stored scores say: (grid_no,
+    fold, off, agrees), ``off`` being the largest difference over all metrics.
+
+    The second route numbers every user's sorted rows in windows and averages over
+    them, for all configurations in one plan.  (It holds a user's rows in one task,
+    so it is a check for test sets, not the way the metrics are made.)
+    """
+    u, i, r, p = roles.user, roles.item, roles.rating, roles.prediction
+    spark = table.sparkSession
+    s = spark.read.parquet(scores_path).where(F.col(p).isNotNull() & ~F.isnan(p) & F.col(r).isNotNull())
+    key = ["grid_no", "fold"]
+    by = Window.partitionBy(*key, u)
+    pr, rt = F.col(p).cast("double"), F.col(r).cast("double")
+    near = s.withColumn("_k", F.rank().over(by.orderBy(F.desc(p)))).where(F.col("_k") <= k)
+    regression = near.groupBy(*key).agg(
+        F.sqrt(F.avg((pr - rt) * (pr - rt))).alias("rmse"), F.avg(F.abs(pr - rt)).alias("mae"),
+        (1 - F.try_divide(F.sum((pr - rt) * (pr - rt)), F.var_pop(rt) * F.count(F.lit(1)))).alias("r2"))
+    pairs = s.groupBy(*key, u, i).agg(F.max(r).alias("_r"), F.max(p).alias("_p"))
+    best, good = by.orderBy(F.desc("_p"), F.asc(i)), by.orderBy(F.desc("_r"))
+    pos = (pairs.withColumn("_pos", F.row_number().over(best)).withColumn("_tie", F.rank().over(by.orderBy(F.desc("_p"))))
+           .withColumn("_rel", (F.rank().over(good) <= k).cast("int")))
+    pos = (pos.withColumn("_hits", F.sum("_rel").over(best.rowsBetween(Window.unboundedPreceding, 0)))
+           .withColumn("_all", F.sum("_rel").over(by)))
+    gain, disc = F.col("_rel") * F.col("_hits") / F.col("_pos"), 1 / F.log(F.col("_pos") + 1.0)
+    top = F.col("_pos") <= k
+    user = pos.groupBy(*key, u).agg(
+        (F.sum(F.when(top, F.col("_rel")).otherwise(0)) / k).alias("precision_at_k"),
+        (F.sum(F.when(top, gain).otherwise(0)) / F.least(F.first("_all"), F.lit(k))).alias("map_at_k"),
+        (F.sum(F.when(F.col("_tie") <= k, gain).otherwise(0)) / F.first("_all")).alias("mean_average_precision"),
+        (F.sum(F.when(top, F.col("_rel") * disc).otherwise(0))
+         / F.sum(F.when(F.col("_pos") <= F.least(F.col("_all"), F.lit(k)), disc).otherwise(0))).alias("ndcg_at_k"))
+    ranking = user.groupBy(*key).agg(*[F.avg(c).alias(c) for c in METRIC_COLUMNS[:4]])
+    again = ranking.join(regression, key).select(*key, *[F.col(c).alias(f"_{c}") for c in METRIC_COLUMNS])
+    mine = table.withColumn("fold", F.coalesce("fold", F.lit(-1)))
+    # null in both is agreement, null in one is not
+    diff = [F.when(F.col(c).isNull() & F.col(f"_{c}").isNull(), 0.0).otherwise(
+        F.coalesce(F.abs(F.col(c) - F.col(f"_{c}")), F.lit(float("inf")))) for c in METRIC_COLUMNS]
+    out = mine.join(F.broadcast(again), key, "left").withColumn("off", F.greatest(*diff))       # one row a fit
+    return out.select(*table.columns, "off", (F.col("off") <= tolerance).alias("agrees"))
+
+
 _TABLE_SCHEMA = ("grid_no int, rank int, regParam double, fold int, precision_at_k double, "
                  "map_at_k double, mean_average_precision double, ndcg_at_k double, rmse double, mae double, "
                  "r2 double, n_users bigint, n_rows bigint, seconds double")
 
 
-def _run_grid(spark: SparkSession, tasks, parallelism: int) -> DataFrame:
+class History:
+    """The history of one run: what it has finished, and where its fits go."""
+
+    def __init__(self, spark: SparkSession, path: str, run_id: str, metric: str = "rmse", data: str | None = None):
+        self.spark, self.path, self.run_id, self.metric, self.data = spark, path, run_id, metric, data
+        self.done = {}
+        for r in read_history(spark, path, run_id).where("kind = 'config' AND metrics IS NOT NULL").collect():     # grid-sized
+            self.done[r["rank"], r["regParam"], r["fold"]] = json.loads(r["metrics"])
+
+    def record(self, row: dict) -> None:
+        write_history(self.spark, self.path, [{
+            "run_id": self.run_id, "data": self.data, "kind": "config", "rank": row["rank"], "regParam": row["regParam"],
+            "fold": row["fold"], "metric": self.metric, "value": row.get(metric_info(self.metric)[0]),
+            "seconds": row["seconds"], "metrics": json.dumps(row)}])
+
+
+def _run_grid(spark: SparkSession, tasks, parallelism: int, history: History | None = None) -> DataFrame:
+    """Run ``tasks`` ((grid_no, rank, regParam, fold), fit) side by side, each in
+    its own scheduler pool; those that the history has are read from it."""
+    def one(labels, fit_one):
+        j, rank, reg, fold = labels
+        known = history and history.done.get((rank, reg, fold))
+        if known:
+            return {**known, "grid_no": j}
+        sc = spark.sparkContext
+        sc.setLocalProperty("spark.scheduler.pool", f"interlens-{j}-{fold}")
+        try:
+            t0 = time.time()
+            row = {"grid_no": j, "rank": rank, "regParam": reg, "fold": fold, **fit_one(), "seconds": time.time() - t0}
+            if history:
+                history.record(row)
+            return row
+        finally:
+            sc.setLocalProperty("spark.scheduler.pool", None)
+
+    # workers take over the caller's job group, description and other properties
+    run = inheritable_thread_target(spark)(one)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(lambda t: t(), tasks))
+        rows = list(pool.map(lambda t: run(*t), tasks))
     cols = [c.split()[0] for c in _TABLE_SCHEMA.split(", ")]
     return spark.createDataFrame([tuple(r.get(c) for c in cols) for r in rows], _TABLE_SCHEMA)
 
 
 def tuning_table(train: DataFrame, val: DataFrame, roles: Roles, rank_list, reg_list,
-                 k: int = DEFAULT_K, parallelism: int = 2, **als_kw) -> DataFrame:
-    """One row per configuration with all metrics on the validation rows (M4)."""
+                 k: int = DEFAULT_K, parallelism: int = 2, history: History | None = None,
+                 scores_path: str | None = None, **als_kw) -> DataFrame:
+    """One row per configuration with all metrics on the validation rows (M4).
+    ``history``: record each fit, skip those recorded.  ``scores_path``: keep the
+    scores of each configuration."""
     check_ids(train, roles)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     val = val.persist(StorageLevel.MEMORY_AND_DISK)
 
     def task(j, rank, reg):
         def run():
-            t0 = time.time()
             model = fit(train, roles, rank, reg, **als_kw)
-            row = _metric_row(score(model, val), k, roles)
+            row = _metric_row(score(model, val), k, roles, scores_path, grid_no=j, fold=None)
             release_factors(model)
-            return {"grid_no": j, "rank": rank, "regParam": reg, "fold": None, **row,
-                    "seconds": time.time() - t0}
-        return run
+            return row
+        return (j, rank, reg, None), run
 
     try:
-        return _run_grid(train.sparkSession, [task(*g) for g in grid(rank_list, reg_list)], parallelism)
+        return _run_grid(train.sparkSession, [task(*g) for g in grid(rank_list, reg_list)], parallelism, history)
     finally:
         train.unpersist()
         val.unpersist()
@@ -147,7 +280,8 @@ def cv_table(df: DataFrame, roles: Roles, rank_list, reg_list, k: int = DEFAULT_
              folds: int = DEFAULT_FOLDS, seed: int = DEFAULT_SEED, parallelism: int = 2,
              **als_kw) -> DataFrame:
     """One row per (configuration, fold) (M5); ``fold_mean`` averages them.
-    ``seed`` fixes the folds and, unless ``als_seed`` says otherwise, the fits."""
+    ``seed`` fixes the folds and, unless ``als_seed`` says otherwise, the fits;
+    ``history`` and ``scores_path`` as in ``tuning_table``."""
     check_ids(df, roles)
     lab = kfold_labels(df, roles, folds, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -157,22 +291,20 @@ def cv_table(df: DataFrame, roles: Roles, rank_list, reg_list, k: int = DEFAULT_
 
 
 def _cv_on(lab: DataFrame, roles: Roles, rank_list, reg_list, k, folds, seed, parallelism,
-           als_seed: int | None = None, **als_kw) -> DataFrame:
+           als_seed: int | None = None, history: History | None = None, scores_path: str | None = None, **als_kw) -> DataFrame:
     als_seed = seed if als_seed is None else als_seed
 
     def task(j, rank, reg, f):
         def run():
-            t0 = time.time()
             r = lab.withColumn("_role", fold_role(f))
             model = fit(r.where(F.col("_role") == "train"), roles, rank, reg, seed=als_seed, **als_kw)
-            row = _metric_row(score(model, r.where(F.col("_role") == "val")), k, roles)
+            row = _metric_row(score(model, r.where(F.col("_role") == "val")), k, roles, scores_path, grid_no=j, fold=f)
             release_factors(model)
-            return {"grid_no": j, "rank": rank, "regParam": reg, "fold": f, **row,
-                    "seconds": time.time() - t0}
-        return run
+            return row
+        return (j, rank, reg, f), run
 
     tasks = [task(j, a, b, f) for (j, a, b) in grid(rank_list, reg_list) for f in range(folds)]
-    return _run_grid(lab.sparkSession, tasks, parallelism)
+    return _run_grid(lab.sparkSession, tasks, parallelism, history)
 
 
 def choose(table: DataFrame, metric: str) -> dict:
@@ -184,21 +316,22 @@ def choose(table: DataFrame, metric: str) -> dict:
 def final_test_metrics(df: DataFrame, roles: Roles, rank_list, reg_list, metric: str = "rmse",
                        k: int = DEFAULT_K, folds: int = DEFAULT_FOLDS, seed: int = DEFAULT_SEED,
                        model_path: str | None = None, parallelism: int = 2, als_seed: int | None = None,
-                       **als_kw) -> DataFrame:
+                       history: History | None = None, scores_path: str | None = None, **als_kw) -> DataFrame:
     """Cross-validate, refit the best configuration on train + val of fold 0,
     score the test rows; one row with the choice, all test metrics, dropped rows
     and seconds (M5-M7, M9).  Saves the model when ``model_path`` is given (S8).
-    The labels are made once, for the folds, the refit and the test.
+    The labels are made once, for the folds, the refit and the test.  ``history``
+    as in ``tuning_table``; ``scores_path`` keeps the test scores (grid_no -1).
     """
     t0 = time.time()
     check_ids(df, roles)
     lab = kfold_labels(df, roles, folds, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        table = _cv_on(lab, roles, rank_list, reg_list, k, folds, seed, parallelism, als_seed, **als_kw)
+        table = _cv_on(lab, roles, rank_list, reg_list, k, folds, seed, parallelism, als_seed, history, **als_kw)
         best = choose(table, metric)
         train, test = refit_split(lab)
         model = fit(train, roles, best["rank"], best["regParam"], seed=seed if als_seed is None else als_seed, **als_kw)
-        row = _metric_row(score(model, test), k, roles)
+        row = _metric_row(score(model, test), k, roles, scores_path, grid_no=-1, fold=None)
         n_test = test.count()
         if model_path:
             save_model(model, model_path)
@@ -219,15 +352,17 @@ def final_test_metrics(df: DataFrame, roles: Roles, rank_list, reg_list, metric:
 def record_history(spark: SparkSession, path: str, table: DataFrame, metric: str, run_id: str,
                    model_path: str | None = None, data: str | None = None, final: dict | None = None,
                    note: str | None = None) -> DataFrame:
-    """Append one history row per configuration (and fold) of ``table`` and one
-    for the final test result to the Parquet history at ``path`` (S9, M9)."""
+    """Write one history row per configuration (and fold) of ``table`` and one for
+    the final test result to the Parquet history at ``path`` (S9, M9).  Recorded
+    again, a run's rows replace themselves.  Returns the run's history."""
     col = metric_info(metric)[0]
-    rows = [{"run_id": run_id, "model_path": model_path, "data": data, "kind": "config", "rank": r["rank"],
-             "regParam": r["regParam"], "fold": r["fold"], "metric": metric, "value": r[col],
-             "seconds": r["seconds"], "note": note}
-            for r in table.select("rank", "regParam", "fold", col, "seconds").collect()]   # grid-sized
+    cols = [c for c in ("rank", "regParam", "fold", col, "seconds") if c in table.columns]
+    rows = [{"run_id": run_id, "model_path": model_path, "data": data, "kind": "config", "metric": metric, "value": r[col],
+             "note": note, **{c: r[c] for c in cols if c != col}}
+            for r in table.select(*cols).collect()]   # grid-sized
     if final is not None:
         rows.append({"run_id": run_id, "model_path": model_path, "data": data, "kind": "final",
                      "rank": final["rank"], "regParam": final["regParam"], "metric": metric,
                      "value": final["value"], "seconds": final.get("seconds"), "note": note})
-    return append_history(spark, path, rows)
+    write_history(spark, path, rows)
+    return read_history(spark, path, run_id)

@@ -75,6 +75,12 @@ def _file_system(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``, by Spark's own file system."""
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
 def release_scratch(spark: SparkSession, *paths: str) -> int:
     """Delete the given scratch copies, or every one made so far; call it once
     results are written (``bench.py`` and the tests do; at exit it runs by itself)."""
@@ -116,6 +122,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.scheduler.mode", "FAIR")     # fits of a grid share the cores
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

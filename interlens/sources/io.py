@@ -8,10 +8,12 @@ in ``_corrupt_record`` so it can be counted.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import exists
+
 CORRUPT = "_corrupt_record"
 
 
@@ -124,12 +126,61 @@ HISTORY_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType()),
     T.StructField("seconds", T.DoubleType()),
     T.StructField("note", T.StringType()),
+    T.StructField("metrics", T.StringType()),     # every metric of the record, as JSON
 ])
+_RECORD = ("kind", "rank", "regParam", "fold", "metric")     # what makes two records of a run the same
+
+
+def record_id(row: dict) -> str:
+    """Name of a record inside its run, the same whenever it is written again.  A
+    run has one final record a metric, whatever configuration it names."""
+    if row.get("kind") == "final":
+        return f"final-{row.get('metric')}"
+    return "-".join("none" if row.get(c) is None else repr(row[c]) if isinstance(row[c], float) else str(row[c]) for c in _RECORD)
+
 
+def write_history(spark: SparkSession, path: str, rows: list[dict]) -> None:
+    """Write tuning records to the Parquet history at ``path``.
 
-def append_history(spark: SparkSession, path: str, rows: list[dict]) -> DataFrame:
-    """Append tuning records (one per configuration and one per run) to Parquet."""
+    A record's place is its run and its own name (kind, configuration, fold,
+    metric), and a write replaces just the places it holds: a retried run leaves
+    one copy of every record, and runs that write at the same time do not touch
+    each other's.
+    """
     names = HISTORY_SCHEMA.fieldNames()
-    df = spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], HISTORY_SCHEMA)
-    df.write.mode("append").parquet(path)
-    return df
+    if any(not r.get("run_id") for r in rows):
+        raise ValueError("every record needs a run_id")
+    df = spark.createDataFrame([(*(r.get(n) for n in names), record_id(r)) for r in rows],
+                               T.StructType([*HISTORY_SCHEMA.fields, T.StructField("record", T.StringType())]))
+    # the run stands in the data too, so that a partition value read as a number loses nothing
+    (df.withColumn("run", F.col("run_id")).repartition(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run", "record").parquet(path))
+
+
+def read_history(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+    """The records at ``path`` (of one run); none where nothing was written."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], HISTORY_SCHEMA)
+    df = spark.read.schema(HISTORY_SCHEMA).parquet(path)
+    return df.where(F.col("run_id") == run_id) if run_id is not None else df
+
+
+# ------------------------------------------------------- quarantine
+
+def quarantine_csv(spark: SparkSession, path: str, schema: T.StructType, out_path: str,
+                   header: bool = True) -> tuple[DataFrame, DataFrame, dict]:
+    """Split a CSV into typed rows and raw bad lines: (rows, lines, counts).
+
+    One pass over the text writes Parquet partitioned by whether the row parsed, so
+    no line is lost, kept twice or parsed again; the counts (``n_good``, ``n_bad``)
+    are observed by that same write.  ``rows`` has the schema's columns, ``lines``
+    the lines of all other rows as they stand (one column ``line``).
+    """
+    raw = read_csv(spark, path, schema, strict=False, header=header)
+    counts = Observation()
+    parsed = F.col(CORRUPT).isNull()
+    (raw.observe(counts, F.count_if(parsed).alias("n_good"), F.count_if(~parsed).alias("n_bad"))
+     .withColumn("parsed", parsed.cast("int")).write.mode("overwrite").partitionBy("parsed").parquet(out_path))
+    stored = spark.read.schema(T.StructType([*_with_corrupt(schema).fields, T.StructField("parsed", T.IntegerType())])).parquet(out_path)
+    return (stored.where("parsed = 1").select(*schema.fieldNames()),
+            stored.where("parsed = 0").select(F.col(CORRUPT).alias("line")), counts.get)

@@ -109,14 +109,37 @@ def test_parquet_schema_cast_and_modes(spark):
     assert spark.read.parquet(out).count() == 5
 
 
-def test_history_append(spark):
+def test_history_is_idempotent(spark):
+    """Written twice, a record is there once; runs do not touch each other's."""
     p = scratch_path(spark, "history")
-    io.append_history(spark, p, [{"run_id": "r1", "kind": "config", "rank": 5, "regParam": 0.1, "metric": "rmse",
-                                  "value": 1.2, "seconds": 3.0}])
-    io.append_history(spark, p, [{"run_id": "r1", "kind": "final", "rank": 5, "regParam": 0.1, "metric": "rmse",
-                                  "value": 1.1, "note": "refit"}])
-    h = spark.read.parquet(p)
-    assert h.count() == 2 and set(r.kind for r in h.collect()) == {"config", "final"}
+    assert io.read_history(spark, p).collect() == []
+    config = {"run_id": "r1", "kind": "config", "rank": 5, "regParam": 0.1, "fold": 2, "metric": "rmse", "value": 1.2, "seconds": 3.0}
+    other = {**config, "run_id": "007", "value": 9.0}
+    final = {"run_id": "r1", "kind": "final", "rank": 5, "regParam": 0.1, "metric": "rmse", "value": 1.1, "note": "refit"}
+    io.write_history(spark, p, [config, {**config, "fold": None}])
+    io.write_history(spark, p, [other])
+    io.write_history(spark, p, [{**config, "value": 1.3}, final])        # the retry, with another value
+    io.write_history(spark, p, [{**final, "rank": 10}])                  # a run has one final record a metric
+    rows = io.read_history(spark, p).collect()
+    assert sorted((r.run_id, r.kind, r.fold, r["rank"], r.value) for r in rows if r.fold is not None) == [
+        ("007", "config", 2, 5, 9.0), ("r1", "config", 2, 5, 1.3)]
+    assert len(rows) == 4 and [r["rank"] for r in rows if r.kind == "final"] == [10]
+    assert io.read_history(spark, p, "007").count() == 1
+    with pytest.raises(ValueError):
+        io.write_history(spark, p, [{"kind": "config"}])
+
+
+def test_quarantine(spark, tmp_path):
+    lines = ["a,b,c", "1,2,x", "bad,2,y", "3,,z", "4", "5,6,7,8", "", '6,7,"q, r"']
+    (tmp_path / "in.csv").write_text("\n".join(lines))
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType()), T.StructField("c", T.StringType())])
+    good, bad, counts = io.quarantine_csv(spark, str(tmp_path / "in.csv"), schema, str(tmp_path / "out"))
+    assert sorted(map(tuple, good.collect()), key=str) == [(1, 2, "x"), (3, None, "z"), (6, 7, 'q, r')]
+    assert sorted(r.line for r in bad.collect()) == ["4", "5,6,7,8", "bad,2,y"]
+    assert counts == {"n_good": 3, "n_bad": 3} and good.columns == ["a", "b", "c"]
+    (tmp_path / "none.csv").write_text("a,b,c\n")
+    good, bad, counts = io.quarantine_csv(spark, str(tmp_path / "none.csv"), schema, str(tmp_path / "out2"))
+    assert good.count() == bad.count() == 0 and counts == {"n_good": 0, "n_bad": 0}
 
 
 def test_event_view_and_reviews(spark):
@@ -197,3 +220,37 @@ def test_stored_view_follows_its_files(spark, tmp_path):
     mine = [v for k, v in views._STORED.items() if str(tmp_path) in k]
     assert len(mine) == 2 and release_scratch(spark, *mine) == 2
     assert views.stored_interactions(spark, str(tmp_path)).count() == 300
+
+
+def test_distinct_sketches_merge(spark):
+    """Sketches stored per part and merged by union estimate the union's users."""
+    d = spark.range(0, 60_000, 1, 6).select((F.col("id") % 3).cast("int").alias("g"), (F.col("id") % 7).cast("int").alias("part"),
+                                            F.when(F.col("id") % 1000 > 0, F.col("id") % 20_001).alias("user_id"))
+    path = scratch_path(spark, "sketches")
+    filters.distinct_sketches(d, ["g", "part"], "user_id").write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 21
+    exact = {r.g: r.n for r in d.groupBy("g").agg(F.countDistinct("user_id").alias("n")).collect()}
+    for r in filters.merged_distinct(stored, ["g"]).collect():
+        assert abs(r.n_distinct - exact[r.g]) <= 3 * filters.sketch_error() * exact[r.g]
+    one = filters.merged_distinct(stored).first()
+    n = d.agg(F.countDistinct("user_id")).first()[0]
+    assert abs(one.n_distinct - n) <= 3 * filters.sketch_error() * n
+    none = filters.distinct_sketches(d.limit(0), ["g"], "user_id")
+    assert filters.merged_distinct(none, ["g"]).collect() == []
+    nulls = filters.distinct_sketches(spark.createDataFrame([(1, None), (1, None)], "g int, user_id long"), ["g"], "user_id")
+    assert filters.merged_distinct(nulls, ["g"]).first().n_distinct == 0
+
+
+def test_counted_bags(spark):
+    """Bags stay counted through a chain of operations and are expanded once."""
+    a = spark.createDataFrame([(1, "x")] * 5 + [(2, None)] * 2 + [(None, "y")], "k int, v string")
+    b = spark.createDataFrame([(1, "x")] * 3 + [(2, None)] * 4 + [(9, "z")], "k int, v string")
+    net = setops.except_counted(setops.counted(a), setops.counted(b))
+    assert sorted((str(r.k), r.v, r[setops.COPIES]) for r in net.collect()) == [("1", "x", 2), ("None", "y", 1)]
+    both = setops.union_counted(net, setops.counted(b))
+    assert {(r.k, r.v): r[setops.COPIES] for r in both.collect()} == {(1, "x"): 5, (None, "y"): 1, (2, None): 4, (9, "z"): 1}
+    assert sorted(map(tuple, setops.expanded(net).collect()), key=str) == sorted([(1, "x"), (1, "x"), (None, "y")], key=str)
+    assert sorted(map(tuple, setops.except_all(a, b).collect()), key=str) == sorted([(1, "x"), (1, "x"), (None, "y")], key=str)
+    plan = setops.expanded(setops.except_counted(setops.counted(a), setops.counted(b)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") <= 3        # one expansion: small counts, chunks of large ones, their rows

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from interlens.operators import split
 from interlens.plans import recommend, tuning
 from interlens.session import scratch_path
+from interlens.sources import io
 from interlens.sources.views import ROLES
 
 
@@ -84,3 +85,70 @@ def test_seed_reaches_als(spark, interactions, monkeypatch):
     assert seen == [7, 7]
     recommend.final_test_metrics(interactions, ROLES, [2], [0.1], k=5, folds=2, seed=9, als_seed=3, max_iter=1)
     assert seen[2:] == [3, 3, 3]
+
+
+def test_optimality_holds_and_notices_changes(spark, interactions, monkeypatch):
+    train, _, _ = split.train_val_test_split(interactions, ROLES)
+    model = recommend.fit(train, ROLES, 4, 0.1, max_iter=3)
+    rows = recommend.optimality(model, train, ROLES, 0.1).collect()
+    counts = {r.user_id: r.n for r in train.where("rating IS NOT NULL").groupBy("user_id").agg(F.count("*").alias("n")).collect()}
+    assert {r.user_id: r.n_ratings for r in rows} == counts and all(r.optimal for r in rows)
+    # another regularisation, another training set, a changed factor: no longer the solution
+    assert not any(r.optimal for r in recommend.optimality(model, train, ROLES, 1.0).collect())
+    more = train.unionByName(train.where("user_id % 2 = 0").withColumn("rating", F.col("rating") % 5 + 1))
+    assert {r.optimal for r in recommend.optimality(model, more, ROLES, 0.1).collect() if r.user_id % 2 == 0} == {False}
+
+    class Altered:
+        rank, itemFactors = model.rank, model.itemFactors
+        userFactors = model.userFactors.withColumn("features", F.when(F.col("id") % 3 == 0, F.transform("features", lambda v: v * 1.01))
+                                                   .otherwise(F.col("features")))
+    for r in recommend.optimality(Altered, train, ROLES, 0.1).collect():
+        assert r.optimal == (r.user_id % 3 != 0)
+
+
+def test_audit_finds_altered_metrics(spark, interactions):
+    train, val, _ = split.train_val_test_split(interactions, ROLES)
+    path = scratch_path(spark, "scores")
+    t = recommend.tuning_table(train, val, ROLES, [2, 3], [0.1], k=5, max_iter=2, scores_path=path)
+    assert [r.agrees for r in recommend.audit_metrics(t, path, 5, ROLES).collect()] == [True, True]
+    for c in recommend.METRIC_COLUMNS:
+        wrong = t.withColumn(c, F.when(F.col("grid_no") == 1, F.col(c) + 1e-6).otherwise(F.col(c)))
+        assert {r.grid_no: r.agrees for r in recommend.audit_metrics(wrong, path, 5, ROLES).collect()} == {0: True, 1: False}
+    lost = t.withColumn("r2", F.lit(None).cast("double"))
+    assert not any(r.agrees for r in recommend.audit_metrics(lost, path, 5, ROLES).collect())
+
+
+def test_killed_grid_resumes(spark, interactions, monkeypatch):
+    """The third fit dies; the run started again makes only what is missing."""
+    train, val, _ = split.train_val_test_split(interactions, ROLES)
+    path, fit, made = scratch_path(spark, "history"), recommend.fit, []
+
+    def dying(*a, **kw):
+        if len(made) == 2:
+            raise RuntimeError("executor lost")
+        made.append(a[2:4])
+        return fit(*a, **kw)
+
+    grid = dict(rank_list=[2, 3], reg_list=[0.1, 0.2], k=5, max_iter=1, parallelism=1)
+    monkeypatch.setattr(recommend, "fit", dying)
+    with pytest.raises(RuntimeError):
+        recommend.tuning_table(train, val, ROLES, history=recommend.History(spark, path, "run"), **grid)
+    assert io.read_history(spark, path).count() == 2
+    monkeypatch.setattr(recommend, "fit", lambda *a, **kw: made.append(a[2:4]) or fit(*a, **kw))
+    t = recommend.tuning_table(train, val, ROLES, history=recommend.History(spark, path, "run"), **grid)
+    assert made == [(2, 0.1), (2, 0.2), (3, 0.1), (3, 0.2)]
+    h = io.read_history(spark, path, "run").collect()
+    assert sorted((r["rank"], r.regParam) for r in h) == made and all(r.seconds > 0 for r in h)
+    assert {(r["rank"], r.regParam): r.rmse for r in t.collect()} == {(r["rank"], r.regParam): r.value for r in h}
+    # another run does not see them
+    assert recommend.History(spark, path, "other").done == {}
+
+
+def test_fits_run_in_pools_with_the_callers_properties(spark, monkeypatch):
+    sc, seen = spark.sparkContext, []
+    sc.setLocalProperty("spark.job.description", "tuning of today")
+    task = lambda: seen.append((sc.getLocalProperty("spark.scheduler.pool"), sc.getLocalProperty("spark.job.description"))) or {}
+    recommend._run_grid(spark, [((j, 2, 0.1, None), task) for j in range(3)], 2)
+    sc.setLocalProperty("spark.job.description", None)
+    assert sorted(seen) == [(f"interlens-{j}-None", "tuning of today") for j in range(3)]
+    assert sc.getConf().get("spark.scheduler.mode") == "FAIR"
