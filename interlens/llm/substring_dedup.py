@@ -1,25 +1,25 @@
-"""Substring deduplication by a count-min prefilter.
+"""Substring deduplication by a distributed count-min prefilter.
 
-Pass 1: every partition writes the cells of its word windows, counted up to 2,
-into a sketch of two rows; the partition sketches are merged by slice.  A cell
-that was counted twice or more marks its windows as *estimated repeated*; a
-merged sketch can only overestimate, so no repeated window is lost.
+Texts are written once as *chunks* (one row of some whole documents each), so that
+whatever is sent about a chunk later meets exactly the same documents again.
 
-Pass 2: only windows whose two cells are both marked go on.  Each is grouped by
-96 hash bits of its 20 words; every occurrence after the first one, in the order
-(document id, start), covers words that are removed.
+Pass 1: every chunk names the cells of its word windows in a sketch of two rows,
+by slice of the sketch; a task merges the messages of one slice, each cell counted
+up to 2, and answers every message with **one bit for each cell that it named**.
+The sketch is never in one place and never broadcast: it has about ``CELLS`` cells
+a window however large the input is.  A merged sketch can only overestimate, so no
+repeated window is lost.
 
-A task sends one occurrence for each distinct window (its first); the later
-ones inside the task are known to be removed at once.  So a window that a third
-of all rows share costs one entry per task, not one per row.
+Pass 2: a chunk joins its answers, hashes its texts again and sends only windows
+whose two cells were both counted twice or more.  Each is grouped by 96 hash bits
+of its 20 words; every occurrence after the first one, in the order (document id,
+start), covers words that are removed.
 
-The sketch has ``sketch_bytes`` at most, whatever the input: that is the proven
-bound of what is broadcast.  It grows with the text up to that bound.  Beyond it
-more windows pass the filter, and the second pass, which is exact and spread
-over hash slices, groups them: slower, with the same result.
+A chunk sends one occurrence for each distinct window (its first); the later ones
+inside the chunk are known to be removed at once.  So a window that a third of all
+rows share costs one entry per chunk, not one per row.
 
-Only documents that lose words are shuffled: a Bloom filter of their ids (of
-bounded size) lets the scan finish all others on the spot.
+At last every chunk joins the places of its repeats and gives out what is left.
 """
 
 from __future__ import annotations
@@ -34,249 +34,284 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import IdFilter, id_filter, id_text, slices_for, stored, text_bytes
+from .common import id_text, slices_for, stored
 
-SLICE_CELLS = 1 << 22
+CHUNK = 4 << 20         # bytes of text in a chunk; a longer document is one of its own
 ROWS = 2
+CELLS = 4               # cells a window in each row of the sketch
+_TEXTS = pa.schema([("id", pa.int64()), ("text", pa.large_string())])
 
 
 def encode_cells(cells: np.ndarray) -> bytes:
-    """Sorted distinct cell numbers as byte gaps; 255 means 'and more'."""
+    """Sorted distinct cell numbers as gaps, in byte planes of the narrowest type."""
     gap = np.diff(cells, prepend=0)
-    q = gap // 255
-    at = np.cumsum(q + 1) - 1
-    out = np.full(int(at[-1]) + 1 if len(at) else 0, 255, np.uint8)
-    out[at] = gap - q * 255
-    return out.tobytes()
+    top = int(gap.max(initial=0))
+    kind = np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64
+    return bytes([np.dtype(kind).itemsize]) + tv.pack(gap.astype(kind))
 
 
 def decode_cells(blob: bytes) -> np.ndarray:
-    b = np.frombuffer(blob, np.uint8)
-    return np.cumsum(b, dtype=np.int64)[b != 255]
+    size = blob[0]
+    planes = np.frombuffer(blob, np.uint8, offset=1).reshape(size, -1).T
+    return np.cumsum(np.ascontiguousarray(planes).view(f"<u{size}").ravel(), dtype=np.int64)
 
 
-def sketch_cells(n_bytes: int, sketch_bytes: int) -> int:
-    """Cells of one row: a power of two near half the text bytes (about three
-    cells a window), within the bound."""
-    want = 1 << max(16, (max(n_bytes, 1) - 1).bit_length() - 1)
-    return min(want, 1 << ((sketch_bytes * 8 // ROWS).bit_length() - 1))
+def pack_steps(a: np.ndarray) -> bytes:
+    """Byte planes of the steps between neighbours: places in text order take next
+    to nothing once compressed."""
+    return tv.pack(np.diff(a, prepend=a.dtype.type(0)))
 
 
-def cells_of(h: np.ndarray, row: int, width: int) -> np.ndarray:
-    return ((h >> tv.U64(32 * row)) & tv.U64(width - 1)).astype(np.int64)
+def unpack_steps(blob: bytes, dtype) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    steps = np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+    return np.cumsum(steps, dtype=dtype)
 
 
-def _partition_sketch(width: int, window: int):
-    """One sketch a task, flushed when it holds 2 million cells a row."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
-
-        def flush():
-            h = np.concatenate(held)
-            slices, once, twice = [], [], []
-            for row in range(ROWS):
-                cell = np.sort(cells_of(h, row, width))
-                new = np.ones(len(cell), bool)
-                new[1:] = cell[1:] != cell[:-1]
-                again = np.unique(cell[~new])
-                cell = cell[new]
-                cuts = np.arange(0, width + 1, min(width, SLICE_CELLS))
-                lo, lo2 = np.searchsorted(cell, cuts), np.searchsorted(again, cuts)
-                for s in range(len(cuts) - 1):
-                    if lo[s] < lo[s + 1]:
-                        slices.append(row * (len(cuts) - 1) + s)
-                        once.append(encode_cells(cell[lo[s]:lo[s + 1]] - cuts[s]))
-                        twice.append(encode_cells(again[lo2[s]:lo2[s + 1]] - cuts[s]))
-            held.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(slices, pa.int32()), pa.array(once, pa.binary()), pa.array(twice, pa.binary())],
-                ["slice", "once", "twice"])
+def _pack_chunk(ids: list, texts: list) -> bytes:
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.large_string())], schema=_TEXTS)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _TEXTS, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
-        for batch in batches:
-            for c in tv.chunks(batch.column(0)):
-                _, h = tv.windows(tv.words(c), window)
-                held.append(h)
-                size += len(h)
-                if size > 2_000_000:
-                    yield flush()
-                    size = 0
-        if size:
-            yield flush()
-    return run
 
+def _open_chunk(blob: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(pa.py_buffer(blob)).read_next_batch()
 
-def _merge(width: int):
-    cells = min(width, SLICE_CELLS)
 
-    def run(group: pa.Table) -> pa.Table:
-        count = np.zeros(cells, np.uint8)
-        for once, twice in zip(group.column("once"), group.column("twice")):
-            at = decode_cells(once.as_py())
-            count[at] = np.minimum(count[at] + 1, 2)
-            count[decode_cells(twice.as_py())] = 2
-        return pa.table({"slice": group.column("slice")[:1].cast(pa.int32()),
-                         "bits": pa.array([np.packbits(count >= 2, bitorder="little").tobytes()], pa.binary())})
+def chunked(texts: DataFrame, limit: int) -> DataFrame:
+    """(chunk, payload, n_bytes): the rows of (id, text) in chunks of about ``limit``
+    bytes, written once."""
+    def run(batches):
+        ids, held, size = [], [], 0
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array([_pack_chunk(ids, held)], pa.binary()), pa.array([size], pa.int64())],
+                                              ["payload", "n_bytes"])
+
+        for batch in batches:
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                n = len(t.encode())
+                if held and size + n > limit:
+                    yield out()
+                    ids, held, size = [], [], 0
+                ids.append(i)
+                held.append(t)
+                size += n
+        if held:
+            yield out()
+
+    return stored(texts.mapInArrow(run, "payload binary, n_bytes long").withColumn("chunk", F.monotonically_increasing_id()), "chunks")
+
+
+class Plan:
+    """Sizes of the sketch and of the messages, from the bytes of all texts."""
+
+    def __init__(self, n_bytes: int, window: int, sketch_bytes: int | None = None):
+        self.window = window
+        windows = max(n_bytes // 6, 1 << 14)        # words of six bytes
+        # messages of one slice are about 8 MB; slices are whole numbers of cells
+        self.slices = slices_for(windows, 4 << 20, least=16)
+        width = CELLS * windows if sketch_bytes is None else max(sketch_bytes * 8 // ROWS, 1)
+        self.span = -(-width // self.slices)
+        self.width = self.span * self.slices
+        self.groups = slices_for(n_bytes, 16 << 20)
+
+    def cells(self, h: np.ndarray, row: int) -> np.ndarray:
+        """Cell of each window in a row of the sketch."""
+        return (tv.mix(h + tv.U64(row + 1)) % tv.U64(self.width)).astype(np.int64)
+
+
+def _windows(chunk: pa.RecordBatch, window: int, second: bool = False):
+    """(row of the chunk, start, hash, second hash) of all windows, piece by piece."""
+    parts = []
+    for c in tv.chunks(chunk.column(1)):
+        w = tv.words(c)
+        at, h = tv.windows(w, window)
+        doc = w.doc[at]
+        g = (tv.windows(w, window, second=True)[1] >> tv.U64(32)).astype(np.uint32) if second else None
+        parts.append(((c.first + doc).astype(np.uint32), (at - w.first[doc]).astype(np.uint32), h, g))
+    if not parts:
+        return (np.zeros(0, np.uint32),) * 2 + (np.zeros(0, np.uint64), np.zeros(0, np.uint32))
+    return tuple(np.concatenate([p[k] for p in parts]) if parts[0][k] is not None else None for k in range(4))
+
+
+def _messages(plan: Plan):
+    """A chunk's cells by slice of the sketch: distinct, sorted, and which it has
+    twice or more."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, payload in zip(batch.column(0), batch.column(1)):
+                _, _, h, _ = _windows(_open_chunk(payload.as_py()), plan.window)
+                for row in range(ROWS):
+                    cell, n = np.unique(plan.cells(h, row), return_counts=True)
+                    part = cell // plan.span
+                    cut = np.flatnonzero(np.diff(part, prepend=-1))
+                    ends = [*cut[1:], len(cell)]
+                    if not len(cut):
+                        continue
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array((row * plan.slices + part[cut]).astype(np.int32)), pa.array([chunk.as_py()] * len(cut), pa.int64()),
+                         pa.array([encode_cells(cell[a:b] - part[a] * plan.span) for a, b in zip(cut, ends)], pa.binary()),
+                         pa.array([np.packbits(n[a:b] > 1).tobytes() for a, b in zip(cut, ends)], pa.binary())],
+                        ["slice", "chunk", "cells", "twice"])
     return run
 
 
-def merged_sketch(texts: DataFrame, width: int, window: int) -> np.ndarray:
-    """Marked cells of the merged sketch: ROWS x width bits, packed.  Bounded by
-    ``sketch_bytes``, so it may come to the driver."""
-    cells = min(width, SLICE_CELLS)
-    bits = np.zeros(ROWS * width // 8, np.uint8)
-    merged = (texts.select("text").mapInArrow(_partition_sketch(width, window), "slice int, once binary, twice binary")
-              .groupBy("slice").applyInArrow(_merge(width), "slice int, bits binary"))
-    for r in merged.toLocalIterator():
-        bits[r["slice"] * cells // 8:(r["slice"] + 1) * cells // 8] = np.frombuffer(r["bits"], np.uint8)
-    return bits
+def _answers(span: int):
+    """Merge the messages of one slice and answer each: a bit a cell, set where the
+    merged count is two or more."""
+    def run(group: pa.Table) -> pa.Table:
+        count = np.zeros(span, np.uint8)
+        for cells, twice in zip(group["cells"], group["twice"]):
+            at = decode_cells(cells.as_py())
+            more = np.unpackbits(np.frombuffer(twice.as_py(), np.uint8), count=len(at))
+            count[at] = np.minimum(count[at] + 1 + more, 2)
+        bits = [np.packbits(count[decode_cells(x.as_py())] > 1).tobytes() for x in group["cells"]]
+        return pa.table({"chunk": group["chunk"].cast(pa.int64()), "slice": group["slice"].cast(pa.int32()),
+                         "bits": pa.array(bits, pa.binary())})
+    return run
 
 
-def _marked(bits: np.ndarray, h: np.ndarray, width: int) -> np.ndarray:
+def _marked(h: np.ndarray, answers: pa.Table, plan: Plan) -> np.ndarray:
+    """Windows of a chunk whose cells were answered with ones in every row."""
+    order = np.argsort(answers["slice"].to_numpy())
+    slices, bits = answers["slice"].to_numpy()[order], answers["bits"].to_pylist()
     ok = np.ones(len(h), bool)
     for row in range(ROWS):
-        c = cells_of(h, row, width)
-        ok &= (bits[row * (width // 8) + (c >> 3)] >> (c & 7).astype(np.uint8) & 1).astype(bool)
+        cell, back = np.unique(plan.cells(h, row), return_inverse=True)
+        part, n = np.unique(cell // plan.span, return_counts=True)
+        mine = order[(slices >= row * plan.slices) & (slices < (row + 1) * plan.slices)]
+        if len(mine) != len(part):
+            raise RuntimeError("a chunk's answers do not match its messages")
+        mark = np.concatenate([np.unpackbits(np.frombuffer(bits[k], np.uint8), count=c) for k, c in zip(mine, n)]) if len(n) else cell
+        ok &= mark.astype(bool)[back]
     return ok
 
 
-_ENTRY = "slice int, known boolean, h binary, g binary, id binary, tag binary, pos binary"
-_ENTRY_PA = pa.schema([("slice", pa.int32()), ("known", pa.bool_()), *((c, pa.binary()) for c in ("h", "g", "id", "tag", "pos"))])
+_ENTRY = "slice int, chunk long, known boolean, h binary, g binary, id binary, row binary, pos binary"
+_ENTRY_PA = pa.schema([("slice", pa.int32()), ("chunk", pa.int64()), ("known", pa.bool_()),
+                       *((c, pa.binary()) for c in ("h", "g", "id", "row", "pos"))])
+
+
+def _candidates(plan: Plan):
+    """Occurrences of the marked windows of one chunk: the first of each distinct
+    window, by hash group, and the later ones, already known as repeats."""
+    def run(key, chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        docs = _open_chunk(chunk["payload"][0].as_py())
+        ids = docs.column(0).to_numpy()
+        row, pos, h, g = _windows(docs, plan.window, second=True)
+        keep = np.flatnonzero(_marked(h, answers, plan))
+        row, pos, h, g = row[keep], pos[keep], h[keep], g[keep]
+        did = ids[row.astype(np.int64)]
+        order = np.lexsort((row, pos, did, g, h))
+        same = (h[order][1:] == h[order][:-1]) & (g[order][1:] == g[order][:-1])
+        lead = np.concatenate([[True], ~same])[:len(order)]
+        head = order[np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))]
+        later = np.zeros(len(order), bool)
+        later[order] = (did[order] != did[head]) | (pos[order] != pos[head])
+        # rows of one id may hold the same window at the same place: neither is later
+        rows = []
+        own = key[0].as_py()
+        for known, pick in ((False, np.flatnonzero(~later)), (True, np.flatnonzero(later))):
+            slot = np.full(len(pick), own % plan.groups) if known else (h[pick] >> tv.U64(20)) % tv.U64(plan.groups)
+            slot = slot.astype(np.int32)
+            by = np.argsort(slot, kind="stable")
+            pick, slot = pick[by], slot[by]
+            cut = np.flatnonzero(np.diff(slot, prepend=-1))
+            for a, b in zip(cut, [*cut[1:], len(pick)]):
+                p = pick[a:b]
+                rows.append((int(slot[a]), own, known, b"" if known else tv.pack(h[p]), b"" if known else tv.pack(g[p]),
+                             b"" if known else tv.pack(did[p]), pack_steps(row[p]), pack_steps(pos[p])))
+        cols = list(zip(*rows)) if rows else [[]] * len(_ENTRY_PA)
+        return pa.table([pa.array(c, f.type) for c, f in zip(cols, _ENTRY_PA)], schema=_ENTRY_PA)
+    return run
 
 
-def _candidates(bits, width: int, window: int, n_slices: int):
-    """Occurrences of the marked windows: the first of each distinct window in
-    the chunk, by hash slice, and the later ones, already known as repeats."""
-    def run(batches):
-        marks = bits.value
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            tags = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int16)
-            for c in tv.chunks(batch.column(1), 2 * tv.CHUNK_BYTES):
-                w = tv.words(c)
-                at, h = tv.windows(w, window)
-                keep = np.flatnonzero(_marked(marks, h, width))
-                if not len(keep):
-                    continue
-                _, g = tv.windows(w, window, second=True)
-                at, h, g = at[keep], h[keep], (g[keep] >> tv.U64(32)).astype(np.uint32)
-                doc = w.doc[at]
-                pos = (at - w.first[doc]).astype(np.int32)
-                did, tag = ids[c.first + doc], tags[c.first + doc]
-                order = np.lexsort((pos, did, g, h))
-                same = (h[order][1:] == h[order][:-1]) & (g[order][1:] == g[order][:-1])
-                lead = np.concatenate([[True], ~same])
-                head = order[np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))]
-                later = np.zeros(len(order), bool)
-                later[order] = (did[order] != did[head]) | (pos[order] != pos[head])
-                first = np.zeros(len(order), bool)
-                first[order] = lead | ((did[order] == did[head]) & (pos[order] == pos[head]))
-                for known, pick in ((False, np.flatnonzero(first)), (True, np.flatnonzero(later))):
-                    slot = (tv.mix(did[pick].astype(np.uint64)) if known else h[pick]) >> tv.U64(20)
-                    slot = (slot % tv.U64(n_slices)).astype(np.int32)
-                    by = np.argsort(slot, kind="stable")
-                    pick, slot = pick[by], slot[by]
-                    cut = np.flatnonzero(np.diff(slot, prepend=-1))
-                    rows = [(int(slot[a]), known, b"" if known else tv.pack(h[p]), b"" if known else tv.pack(g[p]),
-                             *(tv.pack(x[p]) for x in (did, tag, pos)))
-                            for a, b in zip(cut, [*cut[1:], len(pick)]) for p in [pick[a:b]]]
-                    if rows:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(col, f.type) for col, f in zip(zip(*rows), _ENTRY_PA)], schema=_ENTRY_PA)
-    return run
+_FOUND = "chunk long, row binary, pos binary"
 
 
 def _repeats(group: pa.Table) -> pa.Table:
-    """Occurrences after the first, per document row."""
+    """Occurrences after the first one, by chunk."""
     sent = group.filter(pc.invert(group["known"]))
     known = group.filter(group["known"])
-    h, g = tv.unpack(sent["h"], np.uint64), tv.unpack(sent["g"], np.uint32)
-    did, tag, pos = tv.unpack(sent["id"], np.int64), tv.unpack(sent["tag"], np.int16), tv.unpack(sent["pos"], np.int32)
+    out = [(c, r, p) for c, r, p in zip(known["chunk"].to_pylist(), known["row"].to_pylist(), known["pos"].to_pylist())]
+    h, g, did = tv.unpack(sent["h"], np.uint64), tv.unpack(sent["g"], np.uint32), tv.unpack(sent["id"], np.int64)
     if len(h):
+        rows = [unpack_steps(x.as_py(), np.uint32) for x in sent["row"]]
+        row, pos = np.concatenate(rows), np.concatenate([unpack_steps(x.as_py(), np.uint32) for x in sent["pos"]])
+        chunk = np.repeat(sent["chunk"].to_numpy(), [len(r) for r in rows])
         order = np.lexsort((pos, did, g, h))
-        h, g, did, tag, pos = h[order], g[order], did[order], tag[order], pos[order]
+        h, g, did, pos, row, chunk = (x[order] for x in (h, g, did, pos, row, chunk))
         lead = np.concatenate([[True], (h[1:] != h[:-1]) | (g[1:] != g[:-1])])
         head = np.maximum.accumulate(np.where(lead, np.arange(len(h)), 0))
         later = (did != did[head]) | (pos != pos[head])
-        did, tag, pos = did[later], tag[later], pos[later]
-    did = np.concatenate([did, tv.unpack(known["id"], np.int64)])
-    tag = np.concatenate([tag, tv.unpack(known["tag"], np.int16)])
-    pos = np.concatenate([pos, tv.unpack(known["pos"], np.int32)])
-    order = np.lexsort((pos, tag, did))
-    did, tag, pos = did[order], tag[order], pos[order]
-    cut = np.flatnonzero(np.concatenate([[True], (did[1:] != did[:-1]) | (tag[1:] != tag[:-1])])) if len(did) else []
-    ends = [*cut[1:], len(did)] if len(cut) else []
-    return pa.table({"id": pa.array(did[cut] if len(cut) else [], pa.int64()),
-                     "tag": pa.array(tag[cut] if len(cut) else [], pa.int16()),
-                     "pos": pa.array([pos[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary())})
-
-
-def repeated_windows(texts: DataFrame, window: int, sketch_bytes: int) -> DataFrame:
-    """(id, tag, pos): starts of the windows that also start earlier, for each
-    row of ``texts`` (id, text, tag) that has any; several rows a document."""
-    spark = texts.sparkSession
-    _, n = text_bytes(texts)
-    width = sketch_cells(n, sketch_bytes)
-    bits = spark.sparkContext.broadcast(merged_sketch(texts, width, window))
-    found = stored(texts.mapInArrow(_candidates(bits, width, window, slices_for(n)), _ENTRY)
-                   .groupBy("slice").applyInArrow(_repeats, "id long, tag short, pos binary"), "repeats")
-    bits.unpersist()
-    return found
+        chunk, row, pos = chunk[later], row[later], pos[later]
+        order = np.lexsort((pos, row, chunk))
+        chunk, row, pos = chunk[order], row[order], pos[order]
+        cut = np.flatnonzero(np.diff(chunk, prepend=-1))
+        out += [(int(chunk[a]), pack_steps(row[a:b]), pack_steps(pos[a:b])) for a, b in zip(cut, [*cut[1:], len(chunk)])]
+    cols = list(zip(*out)) if out else [[]] * 3
+    return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary())],
+                    names=["chunk", "row", "pos"])
 
 
 _REST = "id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+_REST_PA = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
+                      ("kept_text", pa.string())])
+
+
+def _rest(window: int):
+    """What is left of each text of a chunk."""
+    def run(chunk: pa.Table, found: pa.Table) -> pa.Table:
+        docs = _open_chunk(chunk["payload"][0].as_py())
+        row, pos = ([unpack_steps(x.as_py(), np.uint32) for x in found[c]] for c in ("row", "pos"))
+        row, pos = (np.concatenate(x) if x else np.zeros(0, np.uint32) for x in (row, pos))
+        order = np.lexsort((pos, row))
+        row, pos = row[order], pos[order].astype(np.int64)
+        first = np.searchsorted(row, np.arange(docs.num_rows + 1))
+        out = []
+        for i, (doc, text) in enumerate(zip(docs.column(0), docs.column(1))):
+            words = text.as_py().encode().split()
+            n = len(words)
+            at = np.unique(pos[first[i]:first[i + 1]])
+            if len(at):
+                gone = np.zeros(n + 1, np.int32)
+                gone[at] += 1
+                np.subtract.at(gone, at + window, 1)
+                words = [words[k] for k in np.flatnonzero(np.cumsum(gone[:n]) == 0)]
+            kept = b" ".join(words)
+            out.append((doc.as_py(), n, n - len(words), hashlib.sha256(kept).hexdigest(), kept.decode()))
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), _REST_PA)], schema=_REST_PA)
+    return run
 
 
-def _rest_of(texts, starts, window: int):
-    """(words, removed, digest, words left joined by one space) of each text."""
-    for text, blobs in zip(texts, starts):
-        found = text.as_py().encode().split()
-        n = len(found)
-        if blobs:
-            gone = np.zeros(n + 1, np.int32)
-            at = np.unique(np.concatenate([np.frombuffer(b, np.int32) for b in blobs]))
-            gone[at] += 1
-            np.subtract.at(gone, at + window, 1)
-            found = [found[i] for i in np.flatnonzero(np.cumsum(gone[:n]) == 0)]
-        kept = b" ".join(found)
-        yield n, n - len(found), hashlib.sha256(kept).hexdigest(), kept.decode()
-
-
-def _rest(window: int, losing: IdFilter | None = None):
-    """What is left of each text: rows (id, text, pos), or, with a filter, rows
-    (id, text) that surely lose nothing.  (The filter is applied here: a second
-    Python step in one stage would double its workers.)"""
-    def run(batches):
-        for batch in batches:
-            if losing is not None:
-                batch = batch.filter(pa.array(~losing.mask(batch.column(0))))
-            starts = batch.column(2).to_pylist() if batch.num_columns > 2 else [None] * batch.num_rows
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                cols = list(zip(*_rest_of(part.column(1), starts[lo:lo + 512], window)))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.string(), pa.string())))],
-                    ["id", "n_words", "n_removed", "kept_sha256", "kept_text"])
-    return run
+def marked_windows(chunks: DataFrame, plan: Plan) -> DataFrame:
+    """Entries of the windows that pass the prefilter (columns of ``_ENTRY``)."""
+    answers = (chunks.select("chunk", "payload").mapInArrow(_messages(plan), "slice int, chunk long, cells binary, twice binary")
+               .groupBy("slice").applyInArrow(lambda g: _answers(plan.span)(g), "chunk long, slice int, bits binary"))
+    return (chunks.select("chunk", "payload").groupBy("chunk").cogroup(answers.groupBy("chunk"))
+            .applyInArrow(lambda k, a, b: _candidates(plan)(k, a, b), _ENTRY))
 
 
-def substring_dedup(docs: DataFrame, window: int = 20, sketch_bytes: int = 64 << 20,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def substring_dedup(docs: DataFrame, window: int = 20, sketch_bytes: int | None = None,
+                    id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK) -> DataFrame:
     """Remove every word covered by a window of ``window`` words that also starts
     earlier (smaller id, or same document and earlier start).
 
     Returns one row per input row: doc_id, n_words, n_removed, kept_sha256,
     kept_text.  Null text: no words.  Rows without an id are left out.  Texts
-    shorter than a window lose nothing.  Rows repeated with one id are no copies
-    of each other (neither starts earlier); a different text under that id is
-    compared by start alone, and told apart by a 16-bit hash of the text.  Empty table: empty result.  Extra columns are not
-    read.
+    shorter than a window lose nothing; texts of any length are read whole.  Rows
+    repeated with one id are no copies of each other (neither starts earlier); a
+    different text under that id is compared by start alone.  Empty table: empty
+    result.  Extra columns are not read.  ``sketch_bytes`` fixes the size of the
+    whole sketch; left out, it grows with the input.
     """
-    texts = id_text(docs, id_col, text_col).withColumn("tag", (F.xxhash64("text") % 32768).cast("short"))
-    found = repeated_windows(texts, window, sketch_bytes)
-    losing = id_filter(found, "id", found.count())
-    untouched = texts.select("id", "text").mapInArrow(_rest(window, losing), _REST)
-    cut = losing.rows(texts, "id").join(
-        found.groupBy("id", "tag").agg(F.collect_list("pos").alias("pos")), ["id", "tag"], "left")
-    cut = cut.select("id", "text", "pos").mapInArrow(_rest(window), _REST)
-    return untouched.union(cut).withColumnRenamed("id", "doc_id")
+    chunks = chunked(id_text(docs, id_col, text_col), chunk_bytes)
+    n = chunks.agg(F.sum("n_bytes")).first()[0] or 0
+    plan = Plan(n, window, sketch_bytes)
+    found = marked_windows(chunks, plan).groupBy("slice").applyInArrow(_repeats, _FOUND)
+    rest = (chunks.select("chunk", "payload").groupBy("chunk").cogroup(stored(found, "repeats").groupBy("chunk"))
+            .applyInArrow(lambda a, b: _rest(window)(a, b), _REST))
+    return rest.withColumnRenamed("id", "doc_id")
