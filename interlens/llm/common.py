@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import importable, release_scratch, scratch_path, shared_dir
@@ -79,34 +79,31 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
     """Components of the links (a, b): (node, component) with the smallest
     reachable node, for every node of a link.
 
-    Alternating large-star and small-star steps; each step aggregates minima
-    with map-side combine and joins them back, so a node with very many links
-    never sits in one task (AQE splits that join).  Steps are written to the
-    shared folder; the number of links never grows.
+    Alternating large-star and small-star steps; each aggregates minima with
+    map-side combine and joins them back, so a node with very many links never
+    sits in one task (AQE splits that join).  Steps are written to the shared
+    folder; the number of links never grows.  It ends when a round changes no link.
     """
     edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                    .distinct(), "cc-links")
-
-    def state(df: DataFrame):
-        return df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1000003)).first()
-
-    mark = state(edges)
     for _ in range(rounds):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "cc-low")
-        # large-star: neighbours above a go to a's minimum
+        # large-star: neighbours above go to a's minimum
         large = (edges.select(F.col("b").alias("a"), F.col("a").alias("v")).join(low, "a")
                  .select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
+        large = stored(large, "cc-large")
         # small-star: a and its neighbours below go to the least of them
-        near = large.withColumn("m", F.min("b").over(Window.partitionBy("a")))
-        small = (near.select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = (large.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
                  .where("a <> b").distinct())
         last, edges = edges, stored(small, "cc-round")
-        release(last, low)
-        now = state(edges)
-        if now == mark:
+        # both are sets of links: they are equal if no link is in one alone
+        changed = (last.select("a", "b", F.lit(1).alias("side")).union(edges.select("a", "b", F.lit(-1)))
+                   .groupBy("a", "b").agg(F.sum("side").alias("side")).where("side <> 0").limit(1).count())
+        release(last, low, large)
+        if not changed:
             break
-        mark = now
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
@@ -115,15 +112,57 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
     return out
 
 
+MERGE_BYTES = 64 << 20
+MERGE_TASKS = 17        # merged to one vector up to 2 ** 17 tasks; beyond, to one per as many
+
+
+def fan_in(size: int) -> int:
+    """Vectors of ``size`` bytes that one merge holds: a power of two up to 64."""
+    return 1 << min(6, max(1, (MERGE_BYTES // max(size, 1)).bit_length() - 1))
+
+
+def merged(vectors: DataFrame, column: str, size: int, add, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Binary vectors of ``size`` bytes merged level by level: (keys, column).
+
+    ``vectors`` has a row for each task (and key) and the task's number in ``task``
+    (``numbered`` adds it).  ``add`` merges a list of vectors.  No group holds more
+    than ``fan_in(size)`` of them, however many tasks there are.
+    """
+    f = fan_in(size)
+
+    def step(group: pa.Table) -> pa.Table:
+        one = {c: group[c][:1] for c in ("task", *keys)}
+        return pa.table({**one, column: pa.array([add([x.as_py() for x in group[column]])], pa.binary())})
+
+    rows = vectors.select("task", *keys, column)
+    for _ in range(-(-MERGE_TASKS // (f.bit_length() - 1))):
+        rows = rows.withColumn("task", F.floor(F.col("task") / f).cast("long"))
+        rows = rows.groupBy("task", *keys).applyInArrow(lambda g: step(g), rows.schema)
+    return rows.drop("task")
+
+
+def numbered(vectors: DataFrame) -> DataFrame:
+    return vectors.withColumn("task", F.spark_partition_id().cast("long"))
+
+
+def _sum_vectors(blobs: list[bytes]) -> bytes:
+    total = np.frombuffer(blobs[0], np.int64).copy()
+    for b in blobs[1:]:
+        total += np.frombuffer(b, np.int64)
+    return total.tobytes()
+
+
+def _or_vectors(blobs: list[bytes]) -> bytes:
+    total = np.frombuffer(blobs[0], np.uint8).copy()
+    for b in blobs[1:]:
+        total |= np.frombuffer(b, np.uint8)
+    return total.tobytes()
+
+
 def summed(vectors: DataFrame, size: int) -> np.ndarray:
-    """Sum of the int64 vectors in the binary column ``count`` (one a task, of a
-    known size), in two steps: no task gathers a vector from every other one."""
-    def add(group: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x.as_py(), np.int64) for x in group["count"])
-        return pa.table({"count": pa.array([total.tobytes()], pa.binary())})
-
-    part = vectors.select("count", (F.spark_partition_id() % 32).alias("g"))
-    rows = part.groupBy("g").applyInArrow(lambda g: add(g), "count binary").collect()
+    """Sum of the int64 vectors of length ``size`` in the binary column ``count``,
+    one a task."""
+    rows = merged(numbered(vectors.select("count")), "count", 8 * size, _sum_vectors).toLocalIterator()
     return sum((np.frombuffer(r["count"], np.int64) for r in rows), np.zeros(size, np.int64))
 
 
@@ -176,14 +215,8 @@ def id_filter(ids: DataFrame, id_col: str, n: int) -> IdFilter:
                 mine[slot] = True
         yield pa.RecordBatch.from_arrays([pa.array([np.packbits(mine, bitorder="little").tobytes()], pa.binary())], ["bits"])
 
-    def merge(group: pa.Table) -> pa.Table:
-        out = np.zeros(bits // 8, np.uint8)
-        for x in group["bits"]:
-            out |= np.frombuffer(x.as_py(), np.uint8)
-        return pa.table({"bits": pa.array([out.tobytes()], pa.binary())})
-
-    part = ids.select(ids[id_col].cast("long")).mapInArrow(run, "bits binary").withColumn("g", F.spark_partition_id() % 16)
-    merged = np.zeros(bits // 8, np.uint8)
-    for r in part.groupBy("g").applyInArrow(lambda g: merge(g), "bits binary").toLocalIterator():
-        merged |= np.frombuffer(r["bits"], np.uint8)
-    return IdFilter(merged, ids.sparkSession)
+    part = numbered(ids.select(ids[id_col].cast("long")).mapInArrow(run, "bits binary"))
+    found = np.zeros(bits // 8, np.uint8)
+    for r in merged(part, "bits", bits // 8, _or_vectors).toLocalIterator():
+        found |= np.frombuffer(r["bits"], np.uint8)
+    return IdFilter(found, ids.sparkSession)

@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import numpy as np
@@ -53,6 +54,36 @@ def test_segments_equal_definition():
         assert all(np.isclose(s, sum(full[a:b + 1])) for s, a, b in got)
 
 
+def test_segments_take_linear_time():
+    """Mild words far apart, rising and falling runs: no hit looks back over all others."""
+    n = 200_000
+    for score in (np.ones(n), np.linspace(0.1, 3, n), np.linspace(3, 0.1, n), np.where(np.arange(n) % 3, 0.2, 2.5)):
+        start = time.perf_counter()
+        got = tx.segments(np.arange(n) * 20, score, 20 * n, -0.1)
+        assert got and time.perf_counter() - start < 3
+
+
+def test_very_long_text(spark, frame):
+    """A document of 20 MB with a mild word now and then is scored like any other."""
+    rnd = random.Random(1)
+    plain = [" ".join(rnd.choices("alpha beta gamma delta".split(), k=30)) for _ in range(200)]
+    texts = [t.replace("beta", "vileword", 3) if i % 3 == 0 else t for i, t in enumerate(plain)]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(200)], LABELS)
+    long = ("alpha gamma delta " * 40 + "vileword ") * 27_000
+    out = {r.doc_id: r for r in tx.score(frame([*texts, long, long.replace("vileword ", "")]), labels).collect()}
+    assert out[201].predicted == 0 and 0 <= out[200].score <= 1 and out[200].score >= out[201].score
+
+
+def test_repeated_rows_and_rows_without_id(spark):
+    rnd = random.Random(1)
+    rows = [(i, " ".join(rnd.choices("alpha beta gamma delta".split(), k=30) + ["vileword"] * (i % 3 == 0) * 4)) for i in range(150)]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(150)] * 2, LABELS)
+    d = spark.createDataFrame(rows + rows[:20] + [(None, rows[0][1])], "doc_id long, text string")
+    out = tx.score(d, labels).collect()
+    assert len(out) == 170 and len({(r.doc_id, r.score) for r in out}) == 150
+    assert all(r.predicted == int(r.doc_id % 3 == 0) for r in out)
+
+
 def test_folding_and_prefixes():
     c = next(tv.chunks(pa.array(["ÉCOLE école Straße STRASSE ×"])))
     assert tx.folded(c).bytes_of(0).decode() == "école école straße strasse ×"
