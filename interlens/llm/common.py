@@ -3,6 +3,8 @@ and connected components over DataFrames."""
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,6 +59,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, name: str, key: str, buckets: int | None = None) -> DataFrame:
+    """``df`` written like ``stored``, in buckets of ``key`` (as many as the session
+    has shuffle partitions): later joins and groups on the key read it in place."""
+    spark = df.sparkSession
+    shared_dir(spark)
+    path, table = scratch_path(spark, name), f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    df.write.bucketBy(buckets, key).option("path", path).format("parquet").saveAsTable(table)
+    out = spark.table(table)
+    out.schema  # noqa: B018  resolved while the table is there
+    spark.sql(f"DROP TABLE {table}")    # the files stay
+    out._scratch = path
+    return out
+
+
 def release(*tables: DataFrame) -> None:
     """Delete ``stored`` tables that no later result reads."""
     for t in tables:

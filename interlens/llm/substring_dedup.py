@@ -20,6 +20,8 @@ inside the chunk are known to be removed at once.  So a window that a third of a
 rows share costs one entry per chunk, not one per row.
 
 At last every chunk joins the places of its repeats and gives out what is left.
+The chunks lie in buckets of their number, so both joins move the small side only:
+no text is shuffled.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import id_text, slices_for, stored
+from .common import bucketed, id_text, slices_for, stored
 
 CHUNK = 4 << 20         # bytes of text in a chunk; a longer document is one of its own
 ROWS = 2
@@ -71,7 +73,7 @@ def unpack_steps(blob: bytes, dtype) -> np.ndarray:
 def _pack_chunk(ids: list, texts: list) -> bytes:
     batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.large_string())], schema=_TEXTS)
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, _TEXTS, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, _TEXTS, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -82,7 +84,7 @@ def _open_chunk(blob: bytes) -> pa.RecordBatch:
 
 def chunked(texts: DataFrame, limit: int) -> DataFrame:
     """(chunk, payload, n_bytes): the rows of (id, text) in chunks of about ``limit``
-    bytes, written once."""
+    bytes, written once, in buckets of the chunk: answers and repeats come to them."""
     def run(batches):
         ids, held, size = [], [], 0
 
@@ -102,7 +104,8 @@ def chunked(texts: DataFrame, limit: int) -> DataFrame:
         if held:
             yield out()
 
-    return stored(texts.mapInArrow(run, "payload binary, n_bytes long").withColumn("chunk", F.monotonically_increasing_id()), "chunks")
+    return bucketed(texts.mapInArrow(run, "payload binary, n_bytes long").withColumn("chunk", F.monotonically_increasing_id()),
+                    "chunks", "chunk")
 
 
 class Plan:
@@ -306,7 +309,9 @@ def substring_dedup(docs: DataFrame, window: int = 20, sketch_bytes: int | None
     repeated with one id are no copies of each other (neither starts earlier); a
     different text under that id is compared by start alone.  Empty table: empty
     result.  Extra columns are not read.  ``sketch_bytes`` fixes the size of the
-    whole sketch; left out, it grows with the input.
+    whole sketch; left out, it grows with the input.  ``chunk_bytes``: text in a
+    chunk; every chunk is a row and a file of its own, so tables of many terabytes
+    want larger ones, at about 40 bytes of a task's memory per byte.
     """
     chunks = chunked(id_text(docs, id_col, text_col), chunk_bytes)
     n = chunks.agg(F.sum("n_bytes")).first()[0] or 0
