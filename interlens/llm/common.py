@@ -199,10 +199,11 @@ class IdFilter:
         h = mix(ids.astype(np.int64).view(np.uint64))
         return [((h >> np.uint64(32 * k)) & np.uint64(bits - 1)).astype(np.int64) for k in range(2)]
 
-    def mask(self, ids: pa.Array) -> np.ndarray:
+    def mask(self, ids: pa.Array | np.ndarray) -> np.ndarray:
         """Which ids may be of the set (in a task)."""
         bits = self.bits.value
-        ids = ids.fill_null(0).to_numpy(zero_copy_only=False)
+        if not isinstance(ids, np.ndarray):
+            ids = ids.fill_null(0).to_numpy(zero_copy_only=False)
         ok = np.ones(len(ids), bool)
         for slot in IdFilter.slots(ids, len(bits) * 8):
             ok &= (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
