@@ -83,9 +83,13 @@ ds AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS g
 bs AS (SELECT DISTINCT item_id, array_to_string(w[p:p + 4], ' ') AS g
        FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS p FROM b WHERE len(w) >= 5)),
 n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id),
-c AS (SELECT doc_id, item_id, count(*) AS n_common FROM ds JOIN bs USING (g) GROUP BY doc_id, item_id)
+c AS (SELECT doc_id, item_id, count(*) AS n_common FROM ds JOIN bs USING (g) GROUP BY doc_id, item_id),
+short AS (SELECT item_id, len(w) AS k, array_to_string(w, ' ') AS g FROM b WHERE len(w) BETWEEN 1 AND 4),
+runs AS (SELECT DISTINCT doc_id, k, array_to_string(w[p:p + k - 1], ' ') AS g
+         FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM short) WHERE len(w) >= k))
 SELECT doc_id, item_id, n_shingles, n_common, n_common / n_shingles AS containment
 FROM c JOIN n USING (item_id) WHERE 100 * n_common >= 80 * n_shingles
+UNION ALL SELECT doc_id, item_id, 1, 1, 1.0 FROM runs JOIN short USING (k, g)
 """
 
 

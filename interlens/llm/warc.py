@@ -9,10 +9,11 @@ against both digests.  ``export_warc`` and ``read_warc`` go through ``.warc``
 files of the standard layout.
 
 Payloads and response headers are bucketed alike by digest and the id of the
-digest's response, so the join that
-rebuilds the records shuffles nothing.  Only responses carry a payload, one for
-each digest; revisits need no join.  So a payload that a third of all pages
-share is stored, shuffled and joined once.
+digest's response, so the join that rebuilds the records shuffles nothing.  Only
+responses carry a payload, one for each digest; revisits need no join.  A Bloom
+filter of the responses' ids stops the copies in the scan, so a payload that a
+third of all pages share is shuffled, stored and joined once (but for the few
+copies that the filter lets through, which the join drops).
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import release, slices_for, stored
+from .common import id_filter, release, slices_for, stored
 
 BUCKET_BYTES = 16 << 20
 # Fixed value: the standard's profile of revisits of an identical payload.
@@ -79,7 +80,7 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str =
         F.max("page_id").alias("original"), F.max("n").alias("n"),
         ((F.min("n") != F.max("n")) | (F.min("other") != F.max("other")) | (F.min("sha1") != F.max("sha1"))).alias("clash")),
         "warc-originals")
-    total, clashes = originals.agg(F.sum("n"), F.count_if("clash")).first()
+    total, clashes, n = originals.agg(F.sum("n"), F.count_if("clash"), F.count(F.lit(1))).first()
     if clashes:
         raise ValueError(f"{clashes} digests stand for different payloads")
     buckets = slices_for(total or 0, BUCKET_BYTES, 4)
@@ -94,8 +95,9 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str =
          .option("path", f"{path}/{name}").format("parquet").saveAsTable(table))
         spark.sql(f"DROP TABLE {table}")  # the files stay
 
-    # one shuffle of the payloads: by the buckets they are written to
-    bucketed(dealt(full).join(dealt(keep).hint("merge"), ["sha256", "page_id"]).dropDuplicates(["sha256", "page_id"])
+    # one shuffle of the payloads, once each: by the buckets they are written to
+    likely = id_filter(keep, "page_id", n).rows(full, "page_id")
+    bucketed(dealt(likely).join(dealt(keep).hint("merge"), ["sha256", "page_id"]).dropDuplicates(["sha256", "page_id"])
              .select("sha256", "page_id", "payload"), "payloads")
     typed = slim.join(originals.select("sha256", "original"), "sha256").withColumn("http", _http_header())
     response = (F.col("page_id") == F.col("original")) | (F.col("n") < min_bytes)
