@@ -53,3 +53,15 @@ def test_native_plan_builds_arrays_once(frame, capsys):
 
 def test_empty_table(spark):
     assert q.quality_rules(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_rows_without_id_and_repeated_rows(spark):
+    """Rows go by themselves: those without an id and repeated ones each have a result."""
+    d = spark.createDataFrame([(None, "a b c"), (1, "a a a a a"), (1, "a a a a a"), (2, None)], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_words, r.n_repeat_words) for r in q.quality_rules(d).collect()), key=str)
+    assert got == [(1, 5, 5), (1, 5, 5), (2, 0, 0), (None, 3, 0)]
+
+
+def test_very_long_text(frame):
+    texts = ["w%d " * 3 % (1, 2, 3) + " ".join(f"v{i % 70_000}" for i in range(250_000))]       # 1.7 MB
+    assert rows(q.quality_rules(frame(texts))) == {0: brute(texts[0])}

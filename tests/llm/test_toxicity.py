@@ -109,3 +109,58 @@ def test_odd_tables(spark, frame):
     assert all(out[i].predicted == int("vileword" in texts[i]) for i in range(200)) and out[200].predicted == 0
     toxic = next(r for r in out.values() if r.predicted)
     assert toxic.evidence > 0
+
+
+def plain_score(m, text):
+    """Score and passages of one text by the definition: words by an expression,
+    the best token of each from a dictionary, all segments by recursion."""
+    import math
+    import re
+    raw = (text or "").encode()
+    raw = bytes(c + 32 if 65 <= c <= 90 else c for c in raw)
+    raw = b"".join(bytes([raw[i] + 32 if i and raw[i - 1] == 0xC3 and 0x80 <= raw[i] <= 0x9E and raw[i] != 0x97 else raw[i]])
+                   for i in range(len(raw)))
+    words = re.findall(rb"[0-9a-z\x80-\xff]+", raw)
+    entry = {int(t): k for k, t in enumerate(m.lexicon.token)}
+    full = [m.other] * len(words)
+    for i, w in enumerate(words):
+        one = next(tv.chunks(pa.array([w.decode("utf-8", "surrogateescape").encode("utf-8", "surrogateescape")], pa.binary()).cast(
+            pa.string(), safe=False)))
+        here = [entry[int(h)] for _, hs in tx.tokens(tv.words(one, separator=tx._PART)) for h in hs if int(h) in entry]
+        if here:
+            full[i] = m.score[max(here, key=lambda k: m.lexicon.odds[k])]
+    cum = np.concatenate([[0], np.cumsum(full)])
+
+    def inside(lo, hi):
+        hits = [p for p in range(lo, hi) if full[p] > 0]
+        best = max(((cum[b + 1] - cum[a], -(b - a), a, b) for a in hits for b in hits if a <= b), default=(0, 0, 0, 0))
+        return [] if best[0] <= 0 else inside(lo, best[2]) + [(best[0], best[2], best[3])] + inside(best[3] + 1, hi)
+
+    found = inside(0, len(full))
+    out = total = 0.0
+    for r, (s, _, _) in enumerate(sorted(found, reverse=True), 1):
+        x = m.lam * s - m.log_k - math.log(max(len(words), 1))
+        if r > 1 and x <= 0:
+            break
+        total += x
+        if total > 0:
+            out = max(out, total - (r - 1) * math.log(total) + math.lgamma(r + 1) + math.lgamma(r) - r * math.log(2))
+    passages = [(a, b) for s, a, b in found if s >= (math.log(1e6) + m.log_k) / m.lam]
+    return 1 / (1 + math.exp(-(m.bias + m.slope * math.log1p(out)))), passages
+
+
+def test_whole_result_equals_plain_python(spark):
+    base = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet")
+    from interlens.llm.common import id_text
+    m = tx.train(id_text(docs), labels, "toxic", 20_000, 3.0, 1.5, 3, 100.0)
+    assert len(m.lexicon.token)
+    got = {r.doc_id: r for r in tx.score(docs, labels).collect()}
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    assert len(got) == len(rows)
+    toxic = {r.doc_id for r in labels.collect() if r.toxic}
+    for i, text in [r for r in rows if r[0] in toxic or r[0] % 6 == 0]:
+        want, passages = plain_score(m, text)
+        assert abs(got[i].score - want) < 1e-9, i
+        assert [(p["first"], p["last"]) for p in got[i].passages] == passages
+        assert got[i].predicted == int(want >= 0.5) and got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
