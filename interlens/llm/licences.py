@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from . import textvec as tv
 from .common import id_text
 
-# The short notices as authors write them (four are those of the given documents), and the notices and
-# conditions as the licences word them.  Licences that share wording stand side by side with the same notices, so that
+# The short notices as authors write them (four are those of the given documents), the notices and
+# conditions as the licences word them, and the whole texts of the short ones (of the long ones the title and notice).  Licences that share wording stand side by side with the same notices, so that
 # the best template is the right one; what several share alone has a name of its own (BSD) or one without a version.
 _MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
         "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
@@ -49,6 +49,41 @@ _BSD_NAMES = (" Neither the name of the copyright holder nor the names of its co
               "promote products derived from this software without specific prior written permission.")
 _ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
 _ISC_KEEP = ", provided that the above copyright notice and this permission notice appear in all copies."
+# whole texts of the short licences
+_AS_IS = (" THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO "
+          "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+          "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+          "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+          "IN THE SOFTWARE.")
+_MIT_KEEP = (", subject to the following conditions: The above copyright notice and this permission notice shall be included "
+             "in all copies or substantial portions of the Software.")
+_ISC_AS_IS = (" THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
+              "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY "
+              "SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR "
+              "PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION "
+              "WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.")
+_BSD_AS_IS = (" THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+              "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+              "PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+              "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+              "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+              "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY "
+              "OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_PUBLIC_DOMAIN = (
+    "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+    "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial "
+    "or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software "
+    "dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the "
+    "public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of "
+    "relinquishment in perpetuity of all present and future rights to this software under copyright law.")
+_ZLIB = (
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for "
+    "any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, "
+    "including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The "
+    "origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this "
+    "software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered "
+    "source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice "
+    "may not be removed or altered from any source distribution.")
 
 
 def _gnu(full: str, version: str, *things: str) -> list[str]:
@@ -87,8 +122,9 @@ TEMPLATES = {
         "Licensed under the Educational Community License, Version 2.0 (the \"License\"); you may not use this file "
         "except in compliance with the License. You may obtain a copy of the License at "
         "http://www.opensource.org/licenses/ECL-2.0"],
-    "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", f"{_MIT}, subject to the following conditions:"],
-    "MIT-0": [f"{_MIT}. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND"],
+    "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", f"{_MIT}, subject to the following conditions:",
+            f"{_MIT}{_MIT_KEEP}{_AS_IS}"],
+    "MIT-0": [f"{_MIT}. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND", f"{_MIT}.{_AS_IS}"],
     "GPL-3.0": [*_gnu("General", "3", "program"),
                 "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
     "GPL-2.0": [*_gnu("General", "2", "program"),
@@ -106,12 +142,15 @@ TEMPLATES = {
     "AGPL-3.0": [*_gnu("Affero General", "3", "program"),
                  "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"],
     "AGPL": ["This work is licensed under the GNU Affero General Public License."],
-    "BSD-3-Clause": ["Licensed under the BSD 3-Clause License.", f"{_BSD}{_BSD_SOURCE} 3.{_BSD_NAMES}"],
-    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License.", f"{_BSD}{_BSD_SOURCE}"],
-    "BSD-4-Clause": ["Licensed under the BSD 4-Clause License.", f"{_BSD}{_BSD_SOURCE}{_BSD_ADVERT} 4.{_BSD_NAMES}"],
+    "BSD-3-Clause": ["Licensed under the BSD 3-Clause License.", f"{_BSD}{_BSD_SOURCE} 3.{_BSD_NAMES}",
+                     f"{_BSD}{_BSD_SOURCE} 3.{_BSD_NAMES}{_BSD_AS_IS}"],
+    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License.", f"{_BSD}{_BSD_SOURCE}", f"{_BSD}{_BSD_SOURCE}{_BSD_AS_IS}"],
+    "BSD-4-Clause": ["Licensed under the BSD 4-Clause License.", f"{_BSD}{_BSD_SOURCE}{_BSD_ADVERT} 4.{_BSD_NAMES}",
+                     f"{_BSD}{_BSD_SOURCE}{_BSD_ADVERT} 4.{_BSD_NAMES}{_BSD_AS_IS}"],
     "BSD": [_BSD],
-    "ISC": ["Released under the ISC License.", "Licensed under the ISC License.", f"{_ISC}{_ISC_KEEP}"],
-    "0BSD": [f"{_ISC}."],
+    "ISC": ["Released under the ISC License.", "Licensed under the ISC License.", f"{_ISC}{_ISC_KEEP}", f"{_ISC}{_ISC_KEEP}{_ISC_AS_IS}"],
+    "0BSD": [f"{_ISC}.", f"{_ISC}.{_ISC_AS_IS}"],
+    "Zlib": ["Licensed under the zlib License.", _ZLIB],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
         "was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."],
@@ -130,7 +169,8 @@ TEMPLATES = {
         "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights "
         "to this software to the public domain worldwide. This software is distributed without any warranty."],
     **_creative_commons(),
-    "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "Unlicense": ["This is free and unencumbered software released into the public domain.", _PUBLIC_DOMAIN,
+                  f"{_PUBLIC_DOMAIN}{_AS_IS} For more information, please refer to https://unlicense.org"],
 }
 
 _PART = np.ones(256, bool)       # separators of normalised words

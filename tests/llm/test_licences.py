@@ -173,3 +173,28 @@ def test_standard_notices_have_their_own_names(frame):
     single = [(n, " ".join(x.split())) for n, x in STANDARD if len(x) < 400]
     got = rows(lc.scan(frame([x for _, x in single])))
     assert [(n, x, got[i][0]) for i, (n, x) in enumerate(single) if got[i][0] not in (n, "")] == []
+
+
+def test_whole_texts_under_their_own_names(frame):
+    """LICENSE files of the short licences, with a copyright line, wrapped, inside other text."""
+    import textwrap
+    whole = {}
+    for name in ("MIT", "MIT-0", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause", "ISC", "0BSD", "Zlib", "Unlicense"):
+        whole[name] = max(lc.TEMPLATES[name], key=len)
+    assert all(len(t) > 600 for t in whole.values())
+    texts = []
+    for t in whole.values():
+        texts.append("Copyright (c) 2021 Jane Doe\n\n" + textwrap.fill(t, 72))
+        texts.append("/*\n" + textwrap.indent(textwrap.fill(t, 60), " * ") + "\n */\nint main() { return 0; }\n" * 1)
+        texts.append("some words before it " * 20 + t + " and more words after it" * 20)
+    got = {r.doc_id: r for r in lc.scan(frame(texts), windows=True).collect()}
+    for i, name in enumerate(n for n in whole for _ in range(3)):
+        assert got[i].licences == name and got[i].n_passages == 1 and got[i].best_dice > 0.95, (name, got[i])
+
+
+def test_rows_without_id_repeats_and_long_text(spark):
+    notice = "Released under the MIT License."
+    long = "word " * 400_000 + notice + " word" * 10
+    d = spark.createDataFrame([(None, notice), (1, notice), (1, notice), (2, None), (3, long)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.licences, r.n_passages) for r in lc.scan(d, windows=True).collect())
+    assert got == [(1, "MIT", 1), (1, "MIT", 1), (2, "", 0), (3, "MIT", 1)]
