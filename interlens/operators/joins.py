@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from ..session import cut_lineage
 
 ROW_OVERHEAD = 32   # hash relation and row header, per row
+MOST_PARTS = 125_000    # the sketch tracks a million keys at most
 
 
 def broadcast_limit(spark) -> int:
@@ -61,8 +62,10 @@ def frequent_hashes(df: DataFrame, keys, parts: int) -> tuple[list[tuple[int, in
 
     The sketch tracks at least ``8 * parts`` keys, which bounds its error by a third
     of such a key's share; so none is missed, and at most about three times
-    ``parts`` keys are reported.
+    ``parts`` keys are reported.  ``parts`` may be up to ``MOST_PARTS``.
     """
+    if not 0 < parts <= MOST_PARTS:
+        raise ValueError(f"parts must be between 1 and {MOST_PARTS}")
     row = df.select(F.xxhash64(*keys).alias("h")).agg(
         F.expr(f"approx_top_k(h, {4 * parts}, {8 * parts})").alias("top"), F.count(F.lit(1)).alias("n")).first()
     return [(t["item"], t["count"]) for t in row["top"] or [] if t["count"] * parts >= row["n"]], row["n"]
@@ -84,7 +87,7 @@ def salts(df: DataFrame, keys, parts: int | None = None) -> DataFrame | None:
     """(_hot, _salts): hash and number of salts of the keys that fill more than a
     fair one of ``parts`` shuffle partitions; None when there are none."""
     spark = df.sparkSession
-    parts = max(2, parts or int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    parts = min(MOST_PARTS, max(2, parts or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
     found, n = frequent_hashes(df, keys, parts)
     # a key of x partitions' rows gets 2x salts, so that each piece is half a partition
     table = [(h, min(parts, -(-2 * c * parts // n))) for h, c in found]

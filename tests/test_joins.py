@@ -32,6 +32,9 @@ def test_hot_keys_of_nulls_pairs_and_nothing(spark, hot):
     assert joins.hot_keys(d.limit(0), "k", 10).collect() == []
     assert joins.salts(d.limit(0), ["k"]) is None
     assert joins.salts(hot.where("k > 100"), ["k"], 50) is None
+    assert len(dict(joins.salts(hot, ["k"], 10**6).collect())) >= 2         # more than the sketch can tell apart: its most
+    with pytest.raises(ValueError):
+        joins.hot_keys(hot, "k", 10**6)
 
 
 def test_key_side_grows_by_the_hot_keys_only(spark, hot):
