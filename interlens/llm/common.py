@@ -104,22 +104,22 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
     edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                    .distinct(), "cc-links")
     for _ in range(rounds):
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "cc-low")
         # large-star: neighbours above go to a's minimum
         large = (edges.select(F.col("b").alias("a"), F.col("a").alias("v")).join(low, "a")
-                 .select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
+                 .select(F.col("v").alias("a"), F.col("m").alias("b"), (F.col("m") != F.col("a")).alias("moved"))
+                 .where("a <> b").groupBy("a", "b").agg(F.max("moved").alias("moved")))
         large = stored(large, "cc-large")
         # small-star: a and its neighbours below go to the least of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
-                 .where("a <> b").distinct())
+        small = (large.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"),
+                                               (F.col("moved") | (F.col("m") != F.col("b"))).alias("moved"))
+                 .where("a <> b").groupBy("a", "b").agg(F.max("moved").alias("moved")))
         last, edges = edges, stored(small, "cc-round")
-        # both are sets of links: they are equal if no link is in one alone
-        changed = (last.select("a", "b", F.lit(1).alias("side")).union(edges.select("a", "b", F.lit(-1)))
-                   .groupBy("a", "b").agg(F.sum("side").alias("side")).where("side <> 0").limit(1).count())
         release(last, low, large)
-        if not changed:
+        # without a move in either step the links are the same as before
+        if not edges.where("moved").take(1):
             break
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
@@ -130,7 +130,6 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
 
 
 MERGE_BYTES = 64 << 20
-MERGE_TASKS = 17        # merged to one vector up to 2 ** 17 tasks; beyond, to one per as many
 
 
 def fan_in(size: int) -> int:
@@ -138,21 +137,33 @@ def fan_in(size: int) -> int:
     return 1 << min(6, max(1, (MERGE_BYTES // max(size, 1)).bit_length() - 1))
 
 
-def merged(vectors: DataFrame, column: str, size: int, add, keys: tuple[str, ...] = ()) -> DataFrame:
+def n_tasks(df: DataFrame) -> int:
+    """Tasks that make ``df``: the parts of its scan, or the session's shuffle
+    partitions where it is shuffled (nothing is run to find out)."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return df.rdd.getNumPartitions()
+
+
+def merged(vectors: DataFrame, column: str, size: int, add, keys: tuple[str, ...] = (), tasks: int | None = None) -> DataFrame:
     """Binary vectors of ``size`` bytes merged level by level: (keys, column).
 
     ``vectors`` has a row for each task (and key) and the task's number in ``task``
     (``numbered`` adds it).  ``add`` merges a list of vectors.  No group holds more
-    than ``fan_in(size)`` of them, however many tasks there are.
+    than ``fan_in(size)`` of them, however many tasks there are; with ``tasks`` tasks
+    there are as many levels as leave one row a key.
     """
     f = fan_in(size)
+    tasks = n_tasks(vectors) if tasks is None else tasks
 
     def step(group: pa.Table) -> pa.Table:
         one = {c: group[c][:1] for c in ("task", *keys)}
         return pa.table({**one, column: pa.array([add([x.as_py() for x in group[column]])], pa.binary())})
 
     rows = vectors.select("task", *keys, column)
-    for _ in range(-(-MERGE_TASKS // (f.bit_length() - 1))):
+    while tasks > 1:
+        tasks = -(-tasks // f)
         rows = rows.withColumn("task", F.floor(F.col("task") / f).cast("long"))
         rows = rows.groupBy("task", *keys).applyInArrow(lambda g: step(g), rows.schema)
     return rows.drop("task")

@@ -22,15 +22,20 @@ def test_merges_hold_few_vectors(spark, monkeypatch):
                 raise ValueError("too many vectors in one group")
             return common._sum_vectors(blobs)
 
-        got = {r["slice"]: np.frombuffer(r["v"], np.int64)[0] for r in common.merged(vectors, "v", size, add, ("slice",)).collect()}
+        got = {r["slice"]: np.frombuffer(r["v"], np.int64)[0] for r in common.merged(vectors, "v", size, add, ("slice",), n).collect()}
         assert got == {0: sum(range(0, n, 2)), 1: sum(range(1, n, 2))}
-        assert common.merged(vectors.drop("slice"), "v", size, add).count() == 1
+        assert common.merged(vectors.drop("slice"), "v", size, add, tasks=n).count() == 1
 
 
 def test_fan_in_is_bounded():
     assert common.fan_in(1) == 64 and common.fan_in(8 << 20) == 8 and common.fan_in(1 << 40) == 2
 
 
+def test_tasks_are_counted_without_running(spark):
+    d = spark.range(0, 100, 1, 7)
+    assert common.n_tasks(common.numbered(d)) == 7 and common.n_tasks(common.numbered(d.repartition(3))) == 4     # the session's
+
+
 def test_summed_and_filter(spark):
     d = spark.range(0, 1000, 1, 7)
     ones = d.mapInPandas(lambda it: (p.iloc[:1].assign(count=[np.arange(5).tobytes()])[["count"]] for p in it), "count binary")
