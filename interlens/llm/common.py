@@ -105,7 +105,7 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
                    .distinct(), "cc-links")
     for _ in range(rounds):
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "cc-low")
+        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         # large-star: neighbours above go to a's minimum
         large = (edges.select(F.col("b").alias("a"), F.col("a").alias("v")).join(low, "a")
                  .select(F.col("v").alias("a"), F.col("m").alias("b"), (F.col("m") != F.col("a")).alias("moved"))
@@ -117,7 +117,7 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
                                                (F.col("moved") | (F.col("m") != F.col("b"))).alias("moved"))
                  .where("a <> b").groupBy("a", "b").agg(F.max("moved").alias("moved")))
         last, edges = edges, stored(small, "cc-round")
-        release(last, low, large)
+        release(last, large)
         # without a move in either step the links are the same as before
         if not edges.where("moved").take(1):
             break
