@@ -1,5 +1,7 @@
 """ALS wrapper, grid and tuning tables."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,3 +154,33 @@ def test_fits_run_in_pools_with_the_callers_properties(spark, monkeypatch):
     sc.setLocalProperty("spark.job.description", None)
     assert sorted(seen) == [(f"interlens-{j}-None", "tuning of today") for j in range(3)]
     assert sc.getConf().get("spark.scheduler.mode") == "FAIR"
+
+
+def _shuffles(spark, wanted):
+    """Shuffles whose files still stand, once Spark's cleaner (a thread of its own) is through."""
+    kept = spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses()
+    end = time.time() + 10
+    while kept.size() > wanted and time.time() < end:
+        time.sleep(0.1)
+    return kept.size()
+
+
+def test_shuffle_files_of_a_fit_go_with_it(spark, interactions, monkeypatch):
+    """cv_table, final_test_metrics: eight fits and more, whose files must not pile up."""
+    recommend.release_shuffles(spark)
+    time.sleep(2)
+    before, fit, seen = _shuffles(spark, 0), recommend.fit, []
+    monkeypatch.setattr(recommend, "fit", lambda *a, **kw: seen.append(_shuffles(spark, before + 10)) or fit(*a, **kw))
+    recommend.cv_table(interactions, ROLES, [2, 3], [0.1], k=5, folds=2, max_iter=2, parallelism=1)
+    assert len(seen) == 4 and max(seen) <= before + 10
+    recommend.final_test_metrics(interactions, ROLES, [2], [0.1], k=5, folds=2, max_iter=2, parallelism=1)
+    assert len(seen) == 7 and max(seen) <= before + 10 and _shuffles(spark, before + 10) <= before + 10
+
+
+def test_fits_side_by_side_share_the_cores(spark, interactions, monkeypatch):
+    seen, fit = [], recommend.fit
+    monkeypatch.setattr(recommend, "fit", lambda *a, **kw: seen.append(kw.get("num_blocks")) or fit(*a, **kw))
+    train, val, _ = split.train_val_test_split(interactions, ROLES)
+    recommend.tuning_table(train, val, ROLES, [2], [0.1], k=5, max_iter=1)
+    recommend.cv_table(interactions, ROLES, [2], [0.1], k=5, folds=2, max_iter=1, num_blocks=3)
+    assert seen == [-(-spark.sparkContext.defaultParallelism // 2), 3, 3]
