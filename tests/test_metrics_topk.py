@@ -173,3 +173,27 @@ def test_metrics_plans_use_group_limit(spark, monkeypatch):
     metrics.ranking_metrics(_scored(spark), 5, R)
     plan = plans[0]
     assert "WindowGroupLimit" in plan
+
+
+def test_fair_users_need_one_shuffle(spark, monkeypatch):
+    """tuning_table, tuning_history, tuning_resume: lists meet in one shuffle by user,
+    none where the rows are dealt by user already, and the numbers are those of the
+    route for users too large for that."""
+    df = spark.range(4000).selectExpr("cast(id % 90 as int) u", "cast(id % 37 as int) i", "cast(id * 7 % 5 + 1 as int) r",
+                                      "cast(IF(id % 4 = 0, 0, (id * 31 % 17) / 4) as float) p")
+    roles = Roles(user="u", item="i", rating="r", prediction="p")
+    seen, cut = [], metrics.cut_lineage
+    monkeypatch.setattr(metrics, "cut_lineage", lambda d: seen.append(d._jdf.queryExecution().executedPlan().toString()) or cut(d))
+    metrics.ranking_per_user(df, 5, roles).collect()
+    assert len(seen) == 1 and seen[0].count("Exchange hashpartitioning") == 1
+    dealt = df.repartition("u").cache()
+    dealt.count()
+    metrics.ranking_per_user(dealt, 5, roles).collect()
+    assert seen[1].split("InMemoryTableScan")[0].count("Exchange hashpartitioning") <= 1
+    fair = sorted(map(tuple, metrics.ranking_per_user(df, 5, roles).collect()))
+    large = sorted(map(tuple, metrics.ranking_per_user(df, 5, roles, limit=30).collect()))
+    assert len(fair) == 90 and fair == [pytest.approx(x) for x in large]
+    dealt.unpersist()
+    hot = df.withColumn("u", F.when(F.col("i") < 30, 1).otherwise(F.col("u")))
+    assert metrics.fair_users(df, "u") and not metrics.fair_users(df, "u", 3)
+    assert not metrics.fair_users(hot.crossJoin(spark.range(20)), "u")
