@@ -43,26 +43,31 @@ def dense_index(df: DataFrame, col_name: str, start: int = 0, out: str | None =
 
 
 def attach_index(df: DataFrame, col_name: str, start: int = 0, out: str | None = None,
-                 index: DataFrame | None = None, as_int: bool = True, how: str = "inner") -> DataFrame:
-    """``df`` with ``<col>_index`` joined on (J3); builds the index when not given."""
+                 index: DataFrame | None = None, as_int: bool = True, how: str = "inner",
+                 source: DataFrame | None = None) -> DataFrame:
+    """``df`` with ``<col>_index`` joined on (J3); builds the index when not given.
+    ``source``: as in ``join_small``."""
     if index is None:
         index, _ = dense_index(df, col_name, start, out, as_int)
-    return join_small(df, index, col_name, how)
+    return join_small(df, index, col_name, how, source=source)
 
 
 def attach_indexes(df: DataFrame, cols, start: int = 0, as_int: bool = True) -> DataFrame:
     """``df`` with a dense index for each of ``cols``.
 
     The indexes are independent, so their (small) jobs are submitted from a
-    thread pool and overlap; each is then measured and joined.
+    thread pool and overlap; each is then measured and joined.  Heavy hitters are
+    sought in ``df`` itself: in the rows joined so far, every index before would be
+    joined once more, with all it shuffles.
     """
     from concurrent.futures import ThreadPoolExecutor
     cols = list(cols)
     with ThreadPoolExecutor(max_workers=max(1, min(4, len(cols)))) as pool:
         built = list(pool.map(lambda c: dense_index(df, c, start, as_int=as_int), cols))
+    out = df
     for c, (idx, _) in zip(cols, built):
-        df = attach_index(df, c, index=idx)
-    return df
+        out = attach_index(out, c, index=idx, source=df)
+    return out
 
 
 def lookup_index(df: DataFrame, index: DataFrame, col_name: str) -> DataFrame:

@@ -110,13 +110,14 @@ def copied(small: DataFrame, keys, table: DataFrame) -> DataFrame:
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", limit: int | None = None,
-               null_safe: bool = False, size: int | None = None) -> DataFrame:
+               null_safe: bool = False, size: int | None = None, source: DataFrame | None = None) -> DataFrame:
     """``big.join(small, on, how)`` on equally named columns, which come once.
 
     ``small`` is broadcast if its measured bytes are within ``limit`` (Spark's
     threshold); else heavy hitters of ``big`` are salted.  ``how``: inner, left or
     left_semi.  ``null_safe``: null keys match null keys.  ``size``: the bytes of a
-    ``small`` that was already ``measured``.
+    ``small`` that was already ``measured``.  ``source``: the table whose keys tell
+    the heavy hitters, where ``big`` is made from it by joins that keep its rows.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if size is None:
@@ -129,7 +130,7 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", limit:
     else:
         # equal keys of two types have two hashes: such a join stays plain (AQE splits its skew)
         alike = all(big.schema[c].dataType == small.schema[c].dataType for c in keys)
-        table = salts(big, keys) if alike else None
+        table = salts(big if source is None else source, keys) if alike else None
         if table is not None:
             left, right = dealt(big, keys, table), copied(right, list(renamed.values()), table)
             salt = [F.col("_salt") == F.col("_k_salt")]

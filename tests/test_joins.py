@@ -69,3 +69,19 @@ def test_keys_of_two_types_and_plain_joins_carry_no_salt(spark, hot):
         got = joins.join_small(big, small, "k", limit=0)
         assert "_salt" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert joins.join_small(hot, small, "k", limit=0).count() == hot.where("k in (7, 8)").count()
+
+
+def test_heavy_hitters_of_several_indexes_need_no_join(spark, monkeypatch):
+    from interlens.operators import index, joins
+    seen, salts = [], joins.salts
+    monkeypatch.setattr(joins, "salts", lambda df, *a: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or salts(df, *a))
+    df = spark.range(3000).selectExpr("concat('u', if(id % 3 = 0, 1, id)) k", "concat('b', id % 50) v")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = index.attach_indexes(df, ["k", "v"]).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(seen) == 2 and not any("Join" in p for p in seen)
+    ks, vs = ({x: n for n, x in enumerate(sorted({r[c] for r in rows}))} for c in ("k", "v"))
+    assert len(rows) == 3000 and all((r.k_index, r.v_index) == (ks[r.k], vs[r.v]) for r in rows)
