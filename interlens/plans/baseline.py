@@ -7,7 +7,8 @@ damping values over k folds, with the fold roles of ``kfold_labels``.
 Per-fold item statistics are not recomputed per fold.  A row is training data
 in every fold except where it is held out (its own fold, or always for test
 users), so fold f's statistics are ``all training-eligible rows`` minus ``held
-rows of fold f``: one aggregate by (item, fold it validates) covers all folds.
+rows of fold f``: one aggregate by (item, fold it validates, rating) covers all
+folds, and holds the validation rows too.
 """
 
 from __future__ import annotations
@@ -44,11 +45,12 @@ def baseline_cv_table(df: DataFrame, roles: Roles, k: int = DEFAULT_FOLDS,
     i, r = roles.item, roles.rating
     lab = kfold_labels(df, roles, k, seed=seed).where(F.col(r).isNotNull())
     held, uf = F.col("held") == 1, F.col("user_fold")
-    # One pass over the data: sums per (item, g), g = the fold a held row
+    # One pass over the data: rows per (item, g, rating), g = the fold a held row
     # validates, or -2 for rows that train in every fold; test users' held rows
     # train nowhere.  Fold f trains on every g except f.
     keyed = lab.where(~((uf == -1) & held)).withColumn("_g", F.when(held, uf).otherwise(F.lit(-2)))
-    stats = keyed.groupBy(i, "_g").agg(F.count(F.lit(1)).alias("_n"), F.sum(r).alias("_s"))
+    cells = cut_lineage(keyed.groupBy(i, "_g", r).agg(F.count(F.lit(1)).alias("_c")))
+    stats = cells.groupBy(i, "_g").agg(F.sum("_c").alias("_n"), F.sum(F.col(r) * F.col("_c")).alias("_s"))
     stats = cut_lineage(stats)   # one row per (item, g): read three times below
     per_g = {row["_g"]: (row["_n"], row["_s"]) for row in
              stats.groupBy("_g").agg(F.sum("_n").alias("_n"), F.sum("_s").alias("_s")).collect()}
@@ -65,8 +67,7 @@ def baseline_cv_table(df: DataFrame, roles: Roles, k: int = DEFAULT_FOLDS,
 
     # the prediction depends on (fold, item) only: held rows collapse to distinct
     # (fold, item, rating) cells before the grid multiplies them
-    v = (lab.where((uf >= 0) & held).groupBy(i, "user_fold", F.col(r).cast("double").alias("_l"))
-         .agg(F.count(F.lit(1)).alias("_c")))
+    v = cells.where(F.col("_g") >= 0).select(i, F.col("_g").alias("user_fold"), F.col(r).cast("double").alias("_l"), "_c")
     v = join_small(v, all_items, i)
     v = join_small(v, fold_items, [i, "user_fold"], "left")
     v = v.withColumn("_mu", F.element_at(mu_map, F.col("user_fold")))

@@ -16,7 +16,7 @@ from ..functions.hashing import (SALT_FOLD, SALT_HALF, SALT_ROW, SALT_SAMPLE, SA
                                  bucket_sql, cumulative_cuts, cut)
 from ..operators import filters, index, joins, metrics, sampling, setops, split, topk
 from ..plans import baseline, recommend, tuning
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources import io, schema, views
 from ..sources.views import COLUMNS, ROLES
 
@@ -925,6 +925,7 @@ def history_retry(spark, d):
     """The baseline's tuning table recorded by two runs, the first of which is
     retried: read back, every run has each record once, with its value (S9)."""
     path, t = scratch_path(spark, "retried"), _cv(spark, d).select(F.lit(0).alias("rank"), "regParam", "fold", "rmse")
+    t = cut_lineage(t)      # made once: grid-sized, recorded three times
     for run in ("a", "b", "a"):
         recommend.record_history(spark, path, t, "rmse", run_id=run, data=d)
     return io.read_history(spark, path).select("run_id", "regParam", "fold", "metric", F.round("value", 6).alias("value"))

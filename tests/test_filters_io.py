@@ -254,3 +254,18 @@ def test_counted_bags(spark):
     assert sorted(map(tuple, setops.except_all(a, b).collect()), key=str) == sorted([(1, "x"), (1, "x"), (None, "y")], key=str)
     plan = setops.expanded(setops.except_counted(setops.counted(a), setops.counted(b)))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate") <= 3        # one expansion: small counts, chunks of large ones, their rows
+
+
+def test_history_retry_makes_its_table_once(spark, monkeypatch):
+    from interlens.plans import catalog
+    seen, record = [], catalog.recommend.record_history
+    monkeypatch.setattr(catalog.recommend, "record_history", lambda s, p, t, *a, **kw: seen.append(t) or record(s, p, t, *a, **kw))
+    rows = catalog.history_retry(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == 2 * len(catalog.DAMPING) * catalog.FOLDS and len(seen) == 3
+    assert not any("md5" in t._jdf.queryExecution().optimizedPlan().toString() for t in seen)
+
+
+def test_folds_are_labelled_once(spark):
+    from interlens.plans import catalog
+    plan = catalog._cv(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan
