@@ -67,3 +67,12 @@ def test_components(spark, seed):
     got = {r.node: r.component for r in common.connected(spark.createDataFrame(links, "a long, b long").repartition(5)).collect()}
     assert got == {x: find(x) for x in up}
     assert common.connected(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_workers_give_memory_back_when_a_task_ends(monkeypatch):
+    seen = []
+    monkeypatch.setattr(common, "_give_back", lambda: seen.append("back"))
+    assert list(common.lean(lambda batches: (seen.append(b) or 2 * b for b in batches))(iter([1, 2]))) == [2, 4]
+    assert seen == [1, 2, "back"]
+    monkeypatch.undo()
+    common._give_back()     # also where there is nothing to give back
