@@ -5,8 +5,9 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF001
 from interlens.operators import split
-from interlens.plans import recommend, tuning
+from interlens.plans import catalog, recommend, tuning
 from interlens.session import scratch_path
 from interlens.sources import io
 from interlens.sources.views import ROLES
@@ -184,3 +185,23 @@ def test_fits_side_by_side_share_the_cores(spark, interactions, monkeypatch):
     recommend.tuning_table(train, val, ROLES, [2], [0.1], k=5, max_iter=1)
     recommend.cv_table(interactions, ROLES, [2], [0.1], k=5, folds=2, max_iter=1, num_blocks=3)
     assert seen == [-(-spark.sparkContext.defaultParallelism // 2), 3, 3]
+
+
+def test_blocks_follow_the_ratings(spark, interactions, monkeypatch):
+    """A block is made in one task's memory: cv_table, final_test_metrics (the refit too),
+    tuning_table and tuning_history (its refit too) make more of them where there are more ratings."""
+    seen, fit = [], recommend.ALS.fit
+    monkeypatch.setattr(recommend, "BLOCK_RATINGS", 400, raising=False)
+    monkeypatch.setattr(recommend.ALS, "fit", lambda self, df, *a: seen.append(
+        (df.count(), self.getNumUserBlocks(), self.getNumItemBlocks())) or fit(self.setMaxIter(1), df, *a))
+    train, val, _ = split.train_val_test_split(interactions, ROLES)
+    recommend.tuning_table(train, val, ROLES, [2], [0.1], k=5)
+    recommend.cv_table(interactions, ROLES, [2], [0.1], k=5, folds=2, num_blocks=3)
+    recommend.final_test_metrics(interactions, ROLES, [2], [0.1], k=5, folds=2)
+    assert len(catalog.QUERIES["tuning_history"](spark, SF001).collect()) == 5
+    recommend.fit(train, ROLES, 2, 0.1)
+    assert len(seen) == 1 + 2 + 3 + 5 + 1
+    assert all(n > 4000 and n <= 400 * min(users, items) for n, users, items in seen)
+    monkeypatch.setattr(recommend, "BLOCK_RATINGS", 1 << 22, raising=False)     # few ratings: as many blocks as before
+    recommend.fit(train, ROLES, 2, 0.1, num_blocks=3)
+    assert seen[-1][1:] == (3, 3)
